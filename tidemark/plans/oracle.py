@@ -19,3 +19,80 @@ WITH {ORDERS_CHG},
 {closed_form('orders_chg', ORDERS_COLS, ORDERS_ROW_KEY)}
 SELECT * FROM orders_chg_state
 """
+
+_ALL_CHG = """
+all_chg AS (
+  SELECT 'shop.orders' AS source_key, seq, exec_time, op FROM orders_chg
+  UNION ALL
+  SELECT 'app.users', seq, exec_time, op FROM events_chg
+)"""
+
+ORACLE["segment_counts"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_ALL_CHG}
+SELECT source_key, strftime(exec_time, '%Y%m%d') AS segment, op, count(*) AS n_events
+FROM all_chg GROUP BY ALL
+"""
+
+ORACLE["segment_changes"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_ALL_CHG},
+l AS (SELECT source_key, seq, exec_time, lag(exec_time) OVER (PARTITION BY source_key ORDER BY seq) AS prev FROM all_chg)
+SELECT source_key, seq, strftime(exec_time, '%Y%m%d') AS segment, strftime(prev, '%Y%m%d') AS prev_segment
+FROM l
+WHERE prev IS NOT NULL AND exec_time > prev AND strftime(exec_time, '%Y%m%d') <> strftime(prev, '%Y%m%d')
+"""
+
+_EV_PICKS = ",\n  ".join(f"max_by({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in EVENTS_COLS)
+
+ORACLE["increment_table"] = f"""
+WITH {EVENTS_CHG},
+inc AS (
+  SELECT strftime(exec_time, '%Y%m%d') AS segment, k,
+  {_EV_PICKS},
+  coalesce(max_by(CASE op WHEN 'INSERT' THEN 'INSERTED' ELSE 'DELETED' END, seq) FILTER (WHERE op IN ('INSERT', 'DELETE')), 'UPDATED') AS final_status
+  FROM events_chg GROUP BY ALL
+)
+SELECT segment, {EVENTS_ROW_KEY.format(k='k')} AS row_key, {', '.join(EVENTS_COLS)}, final_status FROM inc
+"""
+
+ORACLE["snapshot_at"] = f"""
+WITH {EVENTS_CHG},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY, cond="exec_time < TIMESTAMP '2024-01-15 00:00:00'", name='snap')}
+SELECT * FROM snap
+"""
+
+ORACLE["segment_ready"] = """
+WITH s AS (SELECT strftime(ts, '%Y%m%d') AS segment, event_type AS instance, min(ts) AS ready_at FROM events GROUP BY ALL)
+SELECT segment, count(*) AS n_instances, count(*) >= 5 AS ready, max(ready_at) AS ready_at,
+       first(instance ORDER BY ready_at, instance) AS elected
+FROM s GROUP BY segment
+"""
+
+_LI_SUM = """
+SELECT reverse(coalesce(l_linestatus, '') || '+' || coalesce(l_returnflag, '')) || '+rollup.lineitem' AS row_key,
+       l_linestatus, l_returnflag, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS l_quantity_accumulation
+FROM lineitem GROUP BY l_linestatus, l_returnflag
+"""
+ORACLE["rollup_sum"] = _LI_SUM
+ORACLE["rollup_paged"] = _LI_SUM
+
+ORACLE["rollup_count"] = """
+SELECT reverse(CAST(l_suppkey AS VARCHAR)) || '+count.lineitem' AS row_key, l_suppkey, count(*) AS "count"
+FROM lineitem GROUP BY l_suppkey
+"""
+
+_ABSENT_INSERTS = f"""
+WITH {ORDERS_CHG},
+l AS (SELECT *, lag(op) OVER (PARTITION BY k ORDER BY seq) AS prev_op FROM orders_chg),
+ins AS (SELECT * FROM l WHERE op = 'INSERT' AND (prev_op IS NULL OR prev_op = 'DELETE'))
+"""
+
+ORACLE["rollup_sum_stream"] = _ABSENT_INSERTS + """
+SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus,
+       CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS o_totalprice_accumulation
+FROM ins GROUP BY o_orderstatus
+"""
+
+ORACLE["rollup_count_stream"] = _ABSENT_INSERTS + """
+SELECT reverse(o_orderstatus) || '+count.orders' AS row_key, o_orderstatus, count(*) AS "count"
+FROM ins GROUP BY o_orderstatus
+"""

@@ -10,9 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import apply as A
+from tidemark.operators import rollup as R
+from tidemark.operators import segments as SG
+from tidemark.schema import STATUS_COLUMN
 from tidemark.sources import fixtures as FX
+from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,3 +32,76 @@ def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current orders table after the orders change log."""
     state = A.apply_changes(FX.orders_changelog(spark, sf_dir))
     return A.to_columns(state, FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+def _both_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.orders_changelog(spark, sf_dir).unionByName(FX.events_changelog(spark, sf_dir))
+
+
+@query
+def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per source, daily segment and op."""
+    return SG.segment_counts(_both_logs(spark, sf_dir), SG.DAILY)
+
+
+@query
+def segment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events opening a new daily segment per source (T2, with re-triggers)."""
+    return SG.segment_changes(_both_logs(spark, sf_dir), SG.DAILY)
+
+
+@query
+def increment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily increment table of app.users with final status."""
+    inc = SG.increment_table(FX.events_changelog(spark, sf_dir), SG.DAILY)
+    return A.to_columns(inc, FX.EVENTS_COLUMNS + [STATUS_COLUMN], extra=["segment", "row_key"])
+
+
+SNAPSHOT_BOUNDARY = "2024-01-15 00:00:00"
+
+
+@query
+def snapshot_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of app.users as of a segment start."""
+    snap = SG.snapshot_at(FX.events_changelog(spark, sf_dir), SNAPSHOT_BOUNDARY)
+    return A.to_columns(snap, FX.EVENTS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def segment_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily barrier over five instances (event types) signalling."""
+    ev = table(spark, sf_dir, "events")
+    signals = ev.select(SG.segment_id("ts").alias("segment"), F.col("event_type").alias("instance"), F.col("ts").alias("ready_at"))
+    return SG.segment_ready(signals, instances=5)
+
+
+@query
+def rollup_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUM roll-up of lineitem quantity per return flag and line status (G1)."""
+    li = table(spark, sf_dir, "lineitem")
+    return R.rollup_sum(li, ["l_returnflag", "l_linestatus"], ["l_quantity"], "rollup.lineitem")
+
+
+@query
+def rollup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COUNT roll-up of lineitem per supplier."""
+    return R.rollup_count(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "count.lineitem")
+
+
+@query
+def rollup_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page-wise partial sums of lineitem (pages of 1000 order keys) added up."""
+    li = table(spark, sf_dir, "lineitem")
+    return R.rollup_paged(li, "l_orderkey", 1000, ["l_returnflag", "l_linestatus"], ["l_quantity"], "rollup.lineitem")
+
+
+@query
+def rollup_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUM of order totals per status, fed by inserts of absent rows."""
+    return R.rollup_sum_stream(FX.orders_changelog(spark, sf_dir), ["o_orderstatus"], ["o_totalprice"], "rollup.orders")
+
+
+@query
+def rollup_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COUNT of orders per status, fed by inserts of absent rows."""
+    return R.rollup_count_stream(FX.orders_changelog(spark, sf_dir), ["o_orderstatus"], "count.orders")
