@@ -96,3 +96,203 @@ ORACLE["rollup_count_stream"] = _ABSENT_INSERTS + """
 SELECT reverse(o_orderstatus) || '+count.orders' AS row_key, o_orderstatus, count(*) AS "count"
 FROM ins GROUP BY o_orderstatus
 """
+
+# ---- sources, keys and loads -------------------------------------------------
+
+_CLEAN = "'[\\x00-\\x1f]+'"
+
+
+def _clean(x: str) -> str:
+    return f"regexp_replace({x}, {_CLEAN}, ' ', 'g')"
+
+
+ORACLE["initial_load"] = f"""
+SELECT reverse(CAST(p_partkey AS VARCHAR)) || '+shop.part' AS row_key,
+       {_clean('CAST(p_partkey AS VARCHAR)')} AS p_partkey, {_clean('p_name')} AS p_name, {_clean('p_brand')} AS p_brand,
+       {_clean('p_type')} AS p_type, {_clean('CAST(p_size AS VARCHAR)')} AS p_size
+FROM part
+"""
+
+ORACLE["paged_scan"] = """
+WITH b AS (SELECT coalesce(min(o_orderkey), 0) AS lo, coalesce(max(o_orderkey), 0) AS hi FROM orders),
+p AS (SELECT CAST(floor((o_orderkey - lo) / 1000) AS BIGINT) AS page, lo, hi FROM orders, b WHERE hi > 0 AND lo >= 0)
+SELECT page, lo + page * 1000 AS page_lo, lo + (page + 1) * 1000 AS page_hi,
+       CAST(ceil((hi - lo + 1) / 1000) AS BIGINT) AS n_pages, count(*) AS n_rows
+FROM p GROUP BY ALL
+"""
+
+ORACLE["shard_union"] = """
+SELECT 'shop_a.customer_' || CAST(c_custkey % 2 AS VARCHAR) AS source_key,
+       reverse(CAST(c_custkey AS VARCHAR)) || '+shop_a.customer_' || CAST(c_custkey % 2 AS VARCHAR) AS row_key,
+       c_custkey, c_name, c_nationkey, c_mktsegment
+FROM customer
+UNION ALL
+SELECT 'shop_b.supplier', reverse(CAST(s_suppkey AS VARCHAR)) || '+shop_b.supplier', s_suppkey, s_name, s_nationkey, CAST(NULL AS VARCHAR)
+FROM supplier
+"""
+
+ORACLE["row_keys"] = """
+SELECT conv_id, turn, reverse(CAST(conv_id AS VARCHAR) || '+' || CAST(turn AS VARCHAR)) || '+chat.conversations' AS row_key
+FROM conversations
+"""
+
+
+def _key_check(name: str, cols: list[str]) -> str:
+    ordered = sorted(cols)
+    rk = " || '+' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in ordered)
+    any_null = " OR ".join(f"{c} IS NULL" for c in cols)
+    return f"""
+SELECT '{name}' AS table_name, CAST(sum(n) AS BIGINT) AS n_rows,
+       CAST(coalesce(sum(n) FILTER (WHERE {any_null}), 0) AS BIGINT) AS n_null_keys,
+       count(*) FILTER (WHERE n > 1) AS n_dup_keys,
+       (SELECT count(*) FROM (SELECT reverse({rk}) AS rk FROM (SELECT DISTINCT {', '.join(cols)} FROM {name}) GROUP BY rk HAVING count(*) > 1)) AS n_collisions
+FROM (SELECT {', '.join(cols)}, count(*) AS n FROM {name} GROUP BY ALL) g"""
+
+
+ORACLE["key_check"] = (
+    _key_check("lineitem", ["l_orderkey", "l_linenumber"]) + "\nUNION ALL" + _key_check("orders", ["o_orderkey"])
+    + "\nUNION ALL" + _key_check("conversations", ["conv_id", "turn"])
+)
+
+_MAPPING_VALUES = """
+m(source_key, reinitialize) AS (VALUES ('shop.orders', false), ('app.users', true), ('shop_a.customer_0', false),
+                                      ('shop_b.supplier', true), ('shop_a.customer_1', false))"""
+
+ORACLE["load_plan"] = f"""
+WITH wanted AS (
+  SELECT DISTINCT 'shop.orders' AS source_key FROM orders
+  UNION SELECT DISTINCT 'app.users' FROM events
+  UNION SELECT DISTINCT 'chat.conversations' FROM conversations
+  UNION SELECT DISTINCT 'shop_a.customer_' || CAST(c_custkey % 2 AS VARCHAR) FROM customer
+  UNION SELECT DISTINCT 'shop_b.supplier' FROM supplier
+), {_MAPPING_VALUES}
+SELECT w.source_key, CASE WHEN m.source_key IS NULL THEN 'load' WHEN m.reinitialize THEN 'reload' ELSE 'skip' END AS action
+FROM wanted w LEFT JOIN m ON w.source_key = m.source_key
+"""
+
+ORACLE["decode_changes"] = f"""
+WITH {EVENTS_CHG}
+SELECT 'app.users' AS source_key, seq * 1024 AS seq, op, {EVENTS_ROW_KEY.format(k='k')} AS row_key, 4 AS n_cells
+FROM events_chg
+"""
+
+ORACLE["subscription_filter"] = f"""
+WITH {ORDERS_CHG}
+SELECT 'shop.orders' AS source_key, op, count(*) AS n_events FROM orders_chg GROUP BY op
+UNION ALL SELECT 'chat.conversations', 'INSERT', count(*) FROM conversations
+UNION ALL SELECT 'chat.conversations', 'UPDATE', count(*) FROM conversations WHERE role = 'assistant'
+"""
+
+_EV_CELLS = "\nUNION ALL\n".join(
+    f"SELECT k, seq, '{c}' AS name, {c} AS value FROM events_chg WHERE op <> 'DELETE' AND {c} IS NOT NULL" for c in EVENTS_COLS
+)
+
+ORACLE["cells_from_images"] = f"""
+WITH {EVENTS_CHG}
+SELECT seq, name, value FROM ({_EV_CELLS}) c
+"""
+
+ORACLE["clean_values"] = f"""
+SELECT doc_id, {_clean('text')} AS text_clean, {_clean('text')} <> text AS changed FROM documents
+"""
+
+ORACLE["route_changes"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}
+SELECT 'orders_dest' AS destination, 'shop.orders' AS source_key, op, count(*) AS n_events FROM orders_chg GROUP BY op
+UNION ALL SELECT 'users_dest', 'app.users', op, count(*) FROM events_chg GROUP BY op
+"""
+
+ORACLE["forward_filter"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}
+SELECT 'shop.orders' AS source_key, op, count(*) AS n_events FROM orders_chg WHERE exec_time > TIMESTAMP '1996-01-01 00:00:00' GROUP BY op
+UNION ALL SELECT 'app.users', op, count(*) FROM events_chg WHERE exec_time > TIMESTAMP '2024-01-10 00:00:00' GROUP BY op
+"""
+
+ORACLE["mapping_state"] = """
+SELECT 'shop.orders' AS source_key, 'orders_dest' AS destination, min(o_orderdate) AS registered_at FROM orders
+UNION ALL SELECT 'app.members', 'users_dest', TIMESTAMP '2024-02-01 00:00:00' FROM (SELECT 1 FROM events LIMIT 1)
+UNION ALL SELECT 'shop_a.customer_0', 'party', TIMESTAMP '2024-01-01 00:00:00'
+"""
+
+def _substring_index(sep: str) -> str:
+    return f"""
+SELECT page_id, n, '{sep}' AS sep,
+       CASE WHEN n = 0 THEN ''
+            WHEN n > 0 THEN array_to_string(string_split(url, '{sep}')[1:n], '{sep}')
+            ELSE array_to_string(string_split(url, '{sep}')[n:], '{sep}') END AS part
+FROM pages, (VALUES (-3), (-2), (-1), (0), (1), (2), (3)) t(n)"""
+
+
+ORACLE["substring_index_fn"] = _substring_index("/") + "\nUNION ALL" + _substring_index(".")
+
+# ---- per-change views --------------------------------------------------------
+
+
+def _short(x: str) -> str:
+    return f"CASE WHEN length({x}) > 100 THEN substr({x}, 1, 100) || '...' ELSE {x} END"
+
+
+ORACLE["column_audit"] = f"""
+WITH c AS (SELECT *, 2 * (conv_id * 1000 + turn) AS s FROM conversations),
+a AS (
+  SELECT s AS seq, 'INSERT' AS op, 'conv_id' AS column_name, CAST(NULL AS VARCHAR) AS b, CAST(conv_id AS VARCHAR) AS af FROM c
+  UNION ALL SELECT s, 'INSERT', 'turn', NULL, CAST(turn AS VARCHAR) FROM c
+  UNION ALL SELECT s, 'INSERT', 'role', NULL, role FROM c
+  UNION ALL SELECT s, 'INSERT', 'text', NULL, text FROM c
+  UNION ALL SELECT s + 1, 'UPDATE', 'text', text, text || ' (edited)' FROM c WHERE role = 'assistant'
+)
+SELECT 'chat.conversations' AS source_key, seq, op, column_name, {_short('b')} AS before_value, {_short('af')} AS after_value FROM a
+"""
+
+ORACLE["cell_versions"] = f"""
+WITH {EVENTS_CHG},
+keys AS (SELECT k, max(seq) FILTER (WHERE op = 'DELETE') AS del_seq, max(seq) FILTER (WHERE op IN ('INSERT', 'UPDATE')) AS live_seq
+         FROM events_chg GROUP BY k),
+live AS (SELECT * FROM keys WHERE live_seq > coalesce(del_seq, -1)),
+cells AS ({_EV_CELLS}),
+r AS (SELECT {EVENTS_ROW_KEY.format(k='c.k')} AS row_key, c.name, c.value, c.seq,
+             row_number() OVER (PARTITION BY c.k, c.name ORDER BY c.seq DESC) AS version
+      FROM cells c JOIN live l ON c.k = l.k WHERE c.seq > coalesce(l.del_seq, -1))
+SELECT row_key, name, version, value, seq FROM r WHERE version <= 2
+"""
+
+# ---- schema events on a state ------------------------------------------------
+
+_STATES = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG},
+{closed_form('orders_chg', ORDERS_COLS, ORDERS_ROW_KEY)},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
+"""
+
+
+def _n_cells(cols: list[str]) -> str:
+    return "CAST(" + " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in cols) + " AS INTEGER)"
+
+
+ORACLE["source_slice"] = _STATES + "SELECT * FROM events_chg_state"
+
+ORACLE["drop_column"] = _STATES + f"""
+SELECT row_key, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority,
+       {_n_cells(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate'])} AS n_cells
+FROM orders_chg_state
+"""
+
+ORACLE["rename_column"] = _STATES + f"""
+SELECT row_key, o_orderkey, o_orderstatus AS o_status, CAST(NULL AS VARCHAR) AS o_orderstatus, {_n_cells(ORDERS_COLS)} AS n_cells
+FROM orders_chg_state
+"""
+
+ORACLE["rekey"] = _STATES + """
+SELECT reverse(coalesce(o_custkey, '') || '+' || coalesce(o_orderkey, '')) || '+shop.orders' AS row_key, o_orderkey, o_custkey
+FROM orders_chg_state
+"""
+
+ORACLE["rename_source"] = _STATES + """
+SELECT 'shop.orders' AS source_key, count(*) AS n_rows, min(row_key) AS min_row_key, max(row_key) AS max_row_key FROM orders_chg_state
+UNION ALL
+SELECT 'app.members', count(*), min(reverse(user_id) || '+app.members'), max(reverse(user_id) || '+app.members') FROM events_chg_state
+"""
+
+ORACLE["stop_source"] = _STATES + """
+SELECT 'app.users' AS source_key, (SELECT count(*) FROM events_chg_state) AS n_rows, (SELECT count(*) FROM events_chg) AS n_routed
+"""

@@ -12,8 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import keys as K
+from tidemark.functions.cells import clean_value
 from tidemark.operators import apply as A
+from tidemark.operators import audit as AU
+from tidemark.operators import load as L
+from tidemark.operators import mapping as M
 from tidemark.operators import rollup as R
+from tidemark.operators import schema_events as SE
+from tidemark.sources import decode as DEC
 from tidemark.operators import segments as SG
 from tidemark.schema import STATUS_COLUMN
 from tidemark.sources import fixtures as FX
@@ -105,3 +112,237 @@ def rollup_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollup_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COUNT of orders per status, fed by inserts of absent rows."""
     return R.rollup_count_stream(FX.orders_changelog(spark, sf_dir), ["o_orderstatus"], "count.orders")
+
+
+# ---- sources, keys and loads -------------------------------------------------
+
+SHARD_PATTERN = r"^shop_a\.customer_\d+$|^shop_b\.supplier$"
+
+# Configuration: source -> destination mapping (FIXTURES.md 4.3).  One source
+# is mapped to a destination that does not exist, conversations are unmapped.
+MAPPING_ROWS = [
+    ("shop.orders", "orders_dest", ["o_orderkey"], "1996-01-01 00:00:00", False),
+    ("app.users", "users_dest", ["user_id"], "2024-01-10 00:00:00", True),
+    ("shop_a.customer_0", "party", ["c_custkey"], "2024-01-01 00:00:00", False),
+    ("shop_b.supplier", "party", ["c_custkey"], "2024-01-01 00:00:00", True),
+    ("shop_a.customer_1", "ghost", ["c_custkey"], "2024-01-01 00:00:00", False),
+]
+DESTINATIONS = ["orders_dest", "users_dest", "party"]
+
+
+def mapping_frame(spark: SparkSession) -> DataFrame:
+    rows = [(s, d, k, r, re_) for s, d, k, r, re_ in MAPPING_ROWS]
+    df = spark.createDataFrame(rows, "source_key string, destination string, keys array<string>, registered_at string, reinitialize boolean")
+    return df.withColumn("registered_at", F.col("registered_at").cast("timestamp_ntz"))
+
+
+def _three_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _both_logs(spark, sf_dir).unionByName(FX.conversations_changelog(spark, sf_dir))
+
+
+@query
+def initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full scan of part with a field list into keyed cells."""
+    fields = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+    state = L.initial_load(table(spark, sf_dir, "part"), "shop.part", ["p_partkey"], fields)
+    return A.to_columns(state, fields)
+
+
+@query
+def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 1000 order keys with bounds and row counts."""
+    return L.page_summary(table(spark, sf_dir, "orders"), "o_orderkey", 1000)
+
+
+@query
+def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer shards and the renamed supplier table as one keyed frame."""
+    u = L.shard_union(FX.party_shards(spark, sf_dir), SHARD_PATTERN, ["c_custkey"])
+    return u.select("source_key", "row_key", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+@query
+def row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Composite row keys of conversation turns, keys in name order (K1-K3)."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", K.row_key_from_columns(["turn", "conv_id"], F.lit(FX.CONVERSATIONS_SOURCE)).alias("row_key"))
+
+
+@query
+def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null, duplicate and colliding keys of lineitem, orders and conversations."""
+    checks = [
+        L.key_check(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
+        L.key_check(table(spark, sf_dir, "orders"), ["o_orderkey"], "orders"),
+        L.key_check(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "conversations"),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query
+def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """load / reload / skip per wanted source against the mapping."""
+    wanted = _three_logs(spark, sf_dir).select("source_key").unionByName(
+        L.shard_union(FX.party_shards(spark, sf_dir), SHARD_PATTERN, ["c_custkey"]).select("source_key")
+    )
+    return L.load_plan(wanted, mapping_frame(spark))
+
+
+@query
+def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state laid out in 11 contiguous row-key ranges (K6)."""
+    state = L.initial_load(table(spark, sf_dir, "orders"), FX.ORDERS_SOURCE, ["o_orderkey"])
+    return L.range_layout(state, 11)
+
+
+@query
+def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON change entries (with transaction markers) decoded to change rows."""
+    feed = DEC.encode_entries(FX.events_changelog(spark, sf_dir))
+    ch = A.with_row_keys(DEC.decode_changes(feed))
+    return ch.select("source_key", "seq", "op", "row_key", F.size(F.coalesce("after", "before")).alias("n_cells"))
+
+
+@query
+def subscription_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of tables matching the subscription pattern, counted per op."""
+    ch = M.subscription_filter(_three_logs(spark, sf_dir), r"^(shop|chat)\..*")
+    return ch.groupBy("source_key", "op").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query
+def cells_from_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written after-cells of users changes (null skipped, null+updated = '')."""
+    return AU.written_cells(FX.events_changelog(spark, sf_dir)).select("seq", "name", "value")
+
+
+@query
+def clean_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts with control-character runs replaced by one space (P10)."""
+    d = table(spark, sf_dir, "documents")
+    cleaned = clean_value(F.col("text"))
+    return d.select("doc_id", cleaned.alias("text_clean"), (cleaned != F.col("text")).alias("changed"))
+
+
+@query
+def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes routed to their destination; unmapped sources dropped."""
+    r = M.route_changes(_three_logs(spark, sf_dir), mapping_frame(spark))
+    return r.groupBy("destination", "source_key", "op").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+FORWARD_NOW = "2030-01-01 00:00:00"
+
+
+@query
+def forward_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes newer than the mapping's registration time."""
+    f = M.forward_filter(_three_logs(spark, sf_dir), mapping_frame(spark), FORWARD_NOW)
+    return f.groupBy("source_key", "op").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query
+def mapping_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapping after a mapping log, kept only for existing destinations (M1, M2).
+
+    The log registers every source seen in the change logs at its first
+    event; configured rows then rename app.users and remove the supplier shard.
+    """
+    logs = _three_logs(spark, sf_dir)
+    cfg = mapping_frame(spark)
+    seen = logs.groupBy("source_key").agg(F.min("seq").alias("seq"), F.min("exec_time").alias("at"))
+    adds = seen.join(cfg.select("source_key", "destination", "keys"), "source_key", "left").select(
+        "seq", F.lit("add").alias("op"), "source_key", F.lit(None).cast("string").alias("new_source_key"),
+        F.coalesce("destination", F.lit("unrouted")).alias("destination"), "keys", "at")
+    shard_adds = cfg.where(F.col("source_key").startswith("shop_")).select(
+        F.lit(0).cast("long").alias("seq"), F.lit("add").alias("op"), "source_key", F.lit(None).cast("string").alias("new_source_key"),
+        "destination", "keys", F.col("registered_at").alias("at"))
+    edits = spark.createDataFrame(
+        [(2**62, "rename", "app.users", "app.members", "users_dest", ["user_id"], "2024-02-01 00:00:00"),
+         (2**62 + 1, "remove", "shop_b.supplier", None, None, None, "2024-02-01 00:00:00")],
+        "seq long, op string, source_key string, new_source_key string, destination string, keys array<string>, at string",
+    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    log = adds.unionByName(shard_adds).unionByName(edits)
+    dest = spark.createDataFrame([(d,) for d in DESTINATIONS], "destination string")
+    return M.mapping_state(log, dest).select("source_key", "destination", "registered_at")
+
+
+@query
+def substring_index_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """substring_index of page URLs by '/' and '.' for counts -3..3."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    ns = F.explode(F.array(*[F.lit(n) for n in range(-3, 4)])).alias("n")
+    seps = F.explode(F.array(F.lit("/"), F.lit("."))).alias("sep")
+    x = p.select("page_id", "url", ns).select("page_id", "url", "n", seps)
+    return x.select("page_id", "n", "sep", F.expr("substring_index(url, sep, n)").alias("part"))
+
+
+# ---- per-change views --------------------------------------------------------
+
+
+@query
+def column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column-level audit of conversation changes, long values shortened."""
+    return AU.column_audit(FX.conversations_changelog(spark, sf_dir))
+
+
+@query
+def cell_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last two versions of every cell of every live users row."""
+    return AU.cell_versions(FX.events_changelog(spark, sf_dir), n=2).select("row_key", "name", "version", "value", "seq")
+
+
+# ---- schema events on a state ------------------------------------------------
+
+
+def _two_source_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.apply_changes(_both_logs(spark, sf_dir))
+
+
+@query
+def source_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of app.users out of a state shared with shop.orders."""
+    s = SE.source_slice(_two_source_state(spark, sf_dir), FX.EVENTS_SOURCE)
+    return A.to_columns(s, FX.EVENTS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def drop_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state after DROP COLUMN o_orderpriority (D3)."""
+    s = SE.drop_column(_two_source_state(spark, sf_dir), FX.ORDERS_SOURCE, "O_ORDERPRIORITY")
+    s = SE.source_slice(s, FX.ORDERS_SOURCE)
+    return A.to_columns(s, FX.ORDERS_COLUMNS, extra=["row_key", F.size("cells").alias("n_cells")])
+
+
+@query
+def rename_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state after CHANGE COLUMN o_orderstatus -> o_status."""
+    s = SE.rename_column(_two_source_state(spark, sf_dir), FX.ORDERS_SOURCE, "o_orderstatus", "O_Status")
+    s = SE.source_slice(s, FX.ORDERS_SOURCE)
+    return A.to_columns(s, ["o_orderkey", "o_status", "o_orderstatus"], extra=["row_key", F.size("cells").alias("n_cells")])
+
+
+@query
+def rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders re-keyed on (o_custkey, o_orderkey) after a key change."""
+    s = SE.rekey(_two_source_state(spark, sf_dir), FX.ORDERS_SOURCE, ["o_orderkey", "o_custkey"])
+    return A.to_columns(SE.source_slice(s, FX.ORDERS_SOURCE), ["o_orderkey", "o_custkey"])
+
+
+@query
+def rename_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """app.users renamed to app.members with new row keys."""
+    s = SE.rename_source(_two_source_state(spark, sf_dir), FX.EVENTS_SOURCE, "app.members", ["user_id"])
+    return s.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"), F.min("row_key").alias("min_row_key"), F.max("row_key").alias("max_row_key"))
+
+
+@query
+def stop_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key dropped without replacement: slice deleted, mapping removed."""
+    state, mapping = SE.stop_source(_two_source_state(spark, sf_dir), mapping_frame(spark), FX.ORDERS_SOURCE)
+    routed = M.route_changes(_both_logs(spark, sf_dir), mapping).groupBy("source_key").agg(F.count(F.lit(1)).alias("n_routed"))
+    rows = state.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(routed, "source_key", "full")

@@ -150,3 +150,45 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(op == "DELETE", img).otherwise(_empty()).cast(IMAGE).alias("before"),
         F.when(op != "DELETE", img).otherwise(_empty()).cast(IMAGE).alias("after"),
     ).select(*CHANGELOG_COLUMNS)
+
+
+CONVERSATIONS_SOURCE = "chat.conversations"
+CONVERSATIONS_COLUMNS = ["conv_id", "turn", "role", "text"]
+
+
+def conversations_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT of every turn of ``chat.conversations`` (composite key conv_id, turn),
+    then an UPDATE of every assistant turn appending " (edited)" to its
+    text; ``seq`` = 2 * (conv_id * 1000 + turn) (+1 for the update)."""
+    c = table(spark, sf_dir, "conversations")
+    base = F.col("conv_id") * 1000 + F.col("turn")
+    t0 = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
+    def img(text: Column, text_updated: bool, updated: bool) -> Column:
+        return image(
+            cell("conv_id", F.col("conv_id"), key=True, updated=updated),
+            cell("turn", F.col("turn"), key=True, updated=updated),
+            cell("role", F.col("role"), updated=updated),
+            cell("text", text, updated=text_updated),
+        )
+
+    ins = _log(c, CONVERSATIONS_SOURCE, t0 + F.make_interval(secs=F.col("turn")), "INSERT", base * 2, _empty(), img(F.col("text"), True, True))
+    upd = _log(c.where(F.col("role") == "assistant"), CONVERSATIONS_SOURCE, t0 + F.expr("INTERVAL 1 DAY") + F.make_interval(secs=F.col("turn")),
+               "UPDATE", base * 2 + 1, img(F.col("text"), False, False), img(F.concat(F.col("text"), F.lit(" (edited)")), True, False))
+    return ins.unionByName(upd)
+
+
+def party_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Shards feeding one destination (FIXTURES.md 4.3): customer split by
+    ``c_custkey % 2``, supplier renamed to customer columns, plus nation as a
+    table the shard pattern must not pick."""
+    cu = table(spark, sf_dir, "customer")
+    su = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal")
+    )
+    return {
+        "shop_a.customer_0": cu.where(F.col("c_custkey") % 2 == 0),
+        "shop_a.customer_1": cu.where(F.col("c_custkey") % 2 == 1),
+        "shop_b.supplier": su,
+        "shop_a.nation": table(spark, sf_dir, "nation"),
+    }
