@@ -52,3 +52,23 @@ def previous_row(df: DataFrame, by: list[str], order: str, cols: list[str], pref
     rest = lagged.where(~F.col("_first"))
     out = rest.unionByName(heads.select(*rest.columns))
     return out.select(*df.columns, *[F.col("_prev")[c].alias(prefix + c) for c in fields])
+
+
+def running_max(df: DataFrame, order: str, cols: list[str], block_size: int, prefix: str = "run_") -> DataFrame:
+    """Add ``prefix+c`` = max of ``c`` over all rows with ``order`` <= this
+    row's (one global order, e.g. a batch sequence).
+
+    Rows are cut into blocks of ``block_size`` consecutive ``order`` values;
+    a window runs inside each block, and the maxima of earlier blocks (one
+    row per block, ``block_size`` times fewer rows) are carried in by a
+    prefix over the block table.
+    """
+    b = df.withColumn("_blk", F.floor(F.col(order) / F.lit(block_size)))
+    inner = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for c in cols:
+        b = b.withColumn("_in_" + c, F.max(c).over(inner))
+    blocks = b.groupBy("_blk").agg(*[F.max(c).alias("_bm_" + c) for c in cols])
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_blk", *[F.max("_bm_" + c).over(before).alias("_pre_" + c) for c in cols])
+    j = b.join(blocks, "_blk", "left")
+    return j.select(*df.columns, *[F.greatest(F.col("_in_" + c), F.col("_pre_" + c)).alias(prefix + c) for c in cols])

@@ -296,3 +296,31 @@ SELECT 'app.members', count(*), min(reverse(user_id) || '+app.members'), max(rev
 ORACLE["stop_source"] = _STATES + """
 SELECT 'app.users' AS source_key, (SELECT count(*) FROM events_chg_state) AS n_rows, (SELECT count(*) FROM events_chg) AS n_routed
 """
+
+# ---- monitoring --------------------------------------------------------------
+
+_BATCHES = """
+WITH b0 AS (SELECT (min(epoch_us(ts)) // 1000000) // 60 * 60 AS t0, max(epoch_us(ts)) // 1000000 AS hi FROM events),
+grid AS (SELECT unnest(range(0, (hi - t0) // 60 + 1)) AS batch_id FROM b0),
+per AS (SELECT (epoch_us(ts) // 1000000 - t0) // 60 AS batch_id, count(*) AS n_rows, max(ts) AS last_ts FROM events, b0 GROUP BY 1),
+g AS (SELECT grid.batch_id, make_timestamp((t0 + grid.batch_id * 60) * 1000000) AS batch_start,
+             make_timestamp((t0 + (grid.batch_id + 1) * 60) * 1000000) AS batch_end,
+             coalesce(per.n_rows, 0) AS n_rows, per.last_ts
+      FROM grid CROSS JOIN b0 LEFT JOIN per ON grid.batch_id = per.batch_id),
+r AS (SELECT *, max(last_ts) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_exec_time,
+                max(CASE WHEN n_rows > 0 THEN batch_id END) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_busy
+      FROM g),
+s AS (SELECT *, CASE WHEN n_rows > 0 THEN 0 ELSE batch_id - coalesce(last_busy, -1) END AS idle_pos FROM r),
+m AS (SELECT *, idle_pos % 11 AS sleeping_batches FROM s)
+"""
+
+ORACLE["progress"] = _BATCHES + "SELECT batch_id, n_rows, last_exec_time, sleeping_batches FROM m"
+
+ORACLE["idle_alerts"] = _BATCHES + "SELECT batch_id, batch_start, idle_pos FROM m WHERE idle_pos > 0 AND sleeping_batches = 0"
+
+ORACLE["lag_alerts"] = _BATCHES + """
+SELECT batch_id, batch_end AS check_time, (epoch_us(batch_end) - epoch_us(last_exec_time)) // 1000000 AS delay_seconds,
+       hour(batch_end) AS hour, hour(batch_end) NOT IN (0, 1, 2, 3, 4) AS alert
+FROM m
+WHERE (batch_id + 1) % 15 = 0 AND epoch_us(batch_end) - epoch_us(last_exec_time) >= 1200 * 1000000 AND sleeping_batches = 0
+"""

@@ -18,6 +18,7 @@ from tidemark.operators import apply as A
 from tidemark.operators import audit as AU
 from tidemark.operators import load as L
 from tidemark.operators import mapping as M
+from tidemark.operators import monitor as MON
 from tidemark.operators import rollup as R
 from tidemark.operators import schema_events as SE
 from tidemark.sources import decode as DEC
@@ -346,3 +347,35 @@ def stop_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = M.route_changes(_both_logs(spark, sf_dir), mapping).groupBy("source_key").agg(F.count(F.lit(1)).alias("n_routed"))
     rows = state.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"))
     return rows.join(routed, "source_key", "full")
+
+
+# ---- monitoring --------------------------------------------------------------
+
+# Parameters of the monitoring queries (never the wall clock).
+BATCH_SECONDS = 60
+IDLE_THRESHOLD = 10
+LAG_THRESHOLD_SECONDS = 1200
+LAG_CHECK_EVERY = 15
+IGNORED_HOURS = [0, 1, 2, 3, 4]
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MON.batch_metrics(spark, FX.events_changelog(spark, sf_dir), BATCH_SECONDS)
+
+
+@query
+def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per one-minute batch: changes, last exec time seen, idle counter (O3)."""
+    return MON.progress(_metrics(spark, sf_dir), IDLE_THRESHOLD)
+
+
+@query
+def idle_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts after more than 10 consecutive empty batches, then reset (O2)."""
+    return MON.idle_alerts(_metrics(spark, sf_dir), IDLE_THRESHOLD)
+
+
+@query
+def lag_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag >= 20 min at checks every 15 batches, not while idle; hours 0-4 muted (O1)."""
+    return MON.lag_alerts(_metrics(spark, sf_dir), IDLE_THRESHOLD, LAG_THRESHOLD_SECONDS, LAG_CHECK_EVERY, IGNORED_HOURS)
