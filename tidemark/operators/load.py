@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import DEFAULT_CONNECTOR, row_key_from_columns
 from tidemark.operators import apply as A
 from tidemark.operators.joins import join_small
+from tidemark.schema import IMAGE
 
 
 def initial_load(df: DataFrame, source: str, keys: list[str], fields: list[str] | None = None,
@@ -103,3 +104,26 @@ def range_layout(state: DataFrame, regions: int) -> DataFrame:
     like pre-split regions) and report each range's bounds and size."""
     r = state.repartitionByRange(regions, "row_key").withColumn("region", F.spark_partition_id())
     return r.groupBy("region").agg(F.min("row_key").alias("start_key"), F.max("row_key").alias("end_key"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def source_listing(changes: DataFrame) -> DataFrame:
+    """Sources seen in a change log with their physical key columns (the
+    images' key flags, ascending name order; empty when none is flagged)."""
+    img = F.coalesce(F.col("after"), F.col("before"))
+    names = F.array_sort(F.transform(F.filter(F.coalesce(img, F.array().cast(IMAGE)),
+                                              lambda c: F.coalesce(c["is_key"], F.lit(False))), lambda c: F.lower(c["name"])))
+    return changes.groupBy("source_key", "database", "table").agg(F.max(names).alias("physical_keys"))
+
+
+def resolve_groups(listing: DataFrame, rules: DataFrame) -> DataFrame:
+    """Assign sources to table groups: a rule names its tables explicitly, or
+    else gives a pattern; logical keys of the rule win over physical keys.
+    ``rules``: ``(group_name, database, tables ARRAY, pattern, logical_keys ARRAY)``."""
+    j = join_small(listing, rules, "database", "inner")
+    explicit = F.coalesce(F.size("tables"), F.lit(0)) > 0
+    hit = F.when(explicit, F.array_contains("tables", F.col("table"))).otherwise(F.rlike(F.col("table"), F.col("pattern")))
+    keys = F.coalesce(F.col("logical_keys"), F.col("physical_keys"))
+    return j.where(hit).select(
+        "source_key", "group_name", F.array_join(keys, ",").alias("key_list"),
+        F.when(F.col("logical_keys").isNotNull(), "logical").otherwise("physical").alias("key_origin"),
+    )

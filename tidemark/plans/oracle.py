@@ -324,3 +324,125 @@ SELECT batch_id, batch_end AS check_time, (epoch_us(batch_end) - epoch_us(last_e
 FROM m
 WHERE (batch_id + 1) % 15 = 0 AND epoch_us(batch_end) - epoch_us(last_exec_time) >= 1200 * 1000000 AND sleeping_batches = 0
 """
+
+# ---- schema events -----------------------------------------------------------
+
+from tidemark.functions import ddl as _D  # noqa: E402  (pattern constants are fixed values)
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _first(x: str, table: list[tuple[str, str]], default: str) -> str:
+    arms = " ".join(f"WHEN regexp_matches({x}, {_q(p)}) THEN '{k}'" for k, p in table)
+    return f"CASE {arms} ELSE '{default}' END"
+
+
+_DDL_FIXTURE = """
+p AS (
+  SELECT p_partkey AS seq, regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g') AS nm,
+         'parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1) AS tbl, CAST(p_size AS VARCHAR) AS sz, p_partkey % 13 AS t
+  FROM part),
+d AS (
+  SELECT 'shop.' || tbl AS source_key, seq,
+    CASE t
+      WHEN 0 THEN 'ALTER TABLE `' || tbl || '` ADD COLUMN `' || nm || '` varchar(64) COMMENT ''size, ' || sz || ''''
+      WHEN 1 THEN 'alter table ' || tbl || ' drop column ' || nm
+      WHEN 2 THEN 'alter table ' || tbl || chr(10) || ' change ' || nm || ' ' || nm || '_v2 decimal(10,2) default ''1,5'''
+      WHEN 3 THEN 'alter table ' || tbl || ' change column ' || nm || ' ' || nm || ' bigint'
+      WHEN 4 THEN 'ALTER TABLE ' || tbl || chr(10) || '  DROP PRIMARY KEY,' || chr(10) || '  ADD PRIMARY KEY (`id`, `' || nm || '`)'
+      WHEN 5 THEN 'alter table ' || tbl || ' drop primary key'
+      WHEN 6 THEN 'alter table ' || tbl || ' add primary key (id)'
+      WHEN 7 THEN 'rename table ' || tbl || ' to ' || nm || '_t, ' || nm || '_x to ' || nm || '_y'
+      WHEN 8 THEN 'alter table ' || tbl || ' rename to ' || nm || '_t'
+      WHEN 9 THEN 'alter table ' || tbl || ' drop foreign key fk_' || sz
+      WHEN 10 THEN 'truncate table ' || tbl
+      WHEN 11 THEN 'alter table ' || tbl || ' auto_increment=' || sz
+      ELSE 'flush tables' END AS ddl,
+    CASE t WHEN 7 THEN 'RENAME' WHEN 10 THEN 'TRUNCATE' WHEN 12 THEN 'QUERY' ELSE 'ALTER' END AS op
+  FROM p)"""
+
+_CHANGE = "^change (?:column )?([^ ]+) ([^ ]+)"
+_PAIR = "^([^ ]+) to ([^ ]+)$"
+
+ORACLE["ddl_changelog"] = f"""
+WITH {_DDL_FIXTURE},
+n AS (
+  SELECT source_key, seq,
+         trim(regexp_replace(trim(regexp_replace(replace(lower(ddl), '`', ''), '\\s+', ' ', 'g')), {_q(_D.COMMENT)}, '', 'g')) AS norm
+  FROM d WHERE op IN ('ALTER', 'CREATE', 'RENAME', 'TRUNCATE', 'ERASE') AND ddl IS NOT NULL),
+s AS (SELECT *, {_first('norm', _D.STATEMENT_KINDS, 'unknown')} AS stmt_kind, regexp_extract(norm, {_q(_D.TARGET)}, 1) AS target FROM n),
+b AS (SELECT *, CASE stmt_kind
+                  WHEN 'alter' THEN list_filter(list_transform(regexp_extract_all(regexp_extract(norm, {_q(_D.ALTER_BODY)}, 1), {_q(_D.CLAUSE)}, 0), lambda x: trim(x)), lambda x: x <> '')
+                  WHEN 'rename_tables' THEN list_filter(list_transform(regexp_extract_all(regexp_extract(norm, {_q(_D.RENAME_BODY)}, 1), {_q(_D.CLAUSE)}, 0), lambda x: trim(x)), lambda x: x <> '')
+                  ELSE [norm] END AS cl FROM s),
+c AS (SELECT source_key, seq, stmt_kind, target, unnest(cl) AS clause, generate_subscripts(cl, 1) AS clause_no FROM b),
+k AS (SELECT *, CASE WHEN stmt_kind = 'alter' THEN {_first('clause', _D.CLAUSE_KINDS, 'unknown')}
+                     WHEN stmt_kind = 'rename_tables' THEN CASE WHEN regexp_matches(clause, '^[^ ]+ to [^ ]+$') THEN 'rename_table' ELSE 'unknown' END
+                     ELSE stmt_kind END AS kind0 FROM c),
+nm AS (SELECT *,
+  CASE WHEN stmt_kind = 'rename_tables' THEN regexp_extract(clause, {_q(_PAIR)}, 1)
+       WHEN kind0 = 'rename_table' THEN target
+       WHEN kind0 = 'rename_column' THEN regexp_extract(clause, '^rename column ([^ ]+) to', 1)
+       WHEN kind0 = 'drop_column' THEN regexp_extract(clause, '^drop (?:column )?([^ ]+)', 1)
+       WHEN kind0 = 'change_column' THEN regexp_extract(clause, {_q(_CHANGE)}, 1)
+       WHEN kind0 = 'modify_column' THEN regexp_extract(clause, '^modify (?:column )?([^ ]+)', 1)
+       WHEN kind0 = 'add_column' THEN regexp_extract(clause, '^add (?:column )?([^ ]+)', 1)
+       WHEN kind0 IN ('truncate', 'drop_table', 'create') THEN target END AS old_name,
+  CASE WHEN stmt_kind = 'rename_tables' THEN regexp_extract(clause, {_q(_PAIR)}, 2)
+       WHEN kind0 = 'rename_table' THEN regexp_extract(clause, '^rename (?:to |as )?([^ ]+)$', 1)
+       WHEN kind0 = 'rename_column' THEN regexp_extract(clause, 'to ([^ ]+)$', 1)
+       WHEN kind0 = 'change_column' THEN regexp_extract(clause, {_q(_CHANGE)}, 2) END AS new_name
+  FROM k),
+f AS (SELECT *, CASE WHEN kind0 = 'change_column' AND old_name = new_name THEN 'noop' ELSE kind0 END AS kind FROM nm),
+w AS (SELECT *, max(CAST(kind = 'add_key' AS INTEGER)) OVER (PARTITION BY source_key, seq) = 1 AS has_add,
+                max(CAST(kind = 'drop_key' AS INTEGER)) OVER (PARTITION BY source_key, seq) = 1 AS has_drop FROM f)
+SELECT source_key, seq, clause_no, kind, old_name, new_name,
+  CASE WHEN kind = 'add_key' THEN array_to_string(list_transform(string_split(regexp_extract(clause, {_q(_D.KEY_LIST)}, 1), ','), lambda x: trim(x)), ',') END AS key_list,
+  CASE WHEN kind IN ('add_key', 'drop_key') AND has_add AND has_drop THEN 'rekey'
+       WHEN kind = 'drop_key' AND NOT has_add THEN 'stop'
+       WHEN kind = 'unknown' THEN 'error'
+       WHEN kind = 'rename_table' THEN 'rename_source'
+       WHEN kind IN ('rename_column', 'change_column') THEN 'rename_column'
+       WHEN kind = 'drop_column' THEN 'drop_column'
+       WHEN kind IN ('truncate', 'drop_table') THEN 'wipe'
+       WHEN kind = 'create' THEN 'refresh_mapping'
+       ELSE 'none' END AS effect
+FROM w
+"""
+
+ORACLE["op_summary"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_DDL_FIXTURE},
+allops AS (
+  SELECT 'shop.orders' AS source_key, op FROM orders_chg
+  UNION ALL SELECT 'app.users', op FROM events_chg
+  UNION ALL SELECT 'chat.conversations', 'INSERT' FROM conversations
+  UNION ALL SELECT 'chat.conversations', 'UPDATE' FROM conversations WHERE role = 'assistant'
+  UNION ALL SELECT source_key, op FROM d)
+SELECT op, count(*) AS n_events, count(DISTINCT source_key) AS n_sources,
+       CASE WHEN op IN ('INSERT', 'UPDATE', 'DELETE') THEN 'row'
+            WHEN op IN ('QUERY', 'CINDEX', 'DINDEX') THEN 'ignored'
+            WHEN op IN ('ALTER', 'CREATE', 'RENAME', 'TRUNCATE', 'ERASE') THEN 'schema'
+            ELSE 'other' END AS op_class
+FROM allops GROUP BY op
+"""
+
+ORACLE["truncate_source"] = f"""
+WITH {ORDERS_CHG},
+tr AS (SELECT CAST(floor(max(o_orderkey) / 2) AS BIGINT) * 10 + 5 AS t FROM orders),
+orders_chg2 AS (
+  SELECT * FROM orders_chg
+  UNION ALL
+  SELECT DISTINCT k, 'DELETE', t, CAST(NULL AS TIMESTAMP), NULL, NULL, NULL, NULL, NULL, NULL FROM orders_chg, tr
+),
+{closed_form('orders_chg2', ORDERS_COLS, ORDERS_ROW_KEY)}
+SELECT * FROM orders_chg2_state
+"""
+
+ORACLE["resolve_groups"] = """
+SELECT 'shop.orders' AS source_key, 'orders' AS group_name, 'o_orderkey' AS key_list, 'physical' AS key_origin FROM (SELECT 1 FROM orders LIMIT 1)
+UNION ALL SELECT 'app.users', 'users', 'user_id', 'logical' FROM (SELECT 1 FROM events LIMIT 1)
+UNION ALL SELECT 'chat.conversations', 'chat', 'conv_id,turn', 'physical' FROM (SELECT 1 FROM conversations LIMIT 1)
+UNION ALL SELECT DISTINCT 'shop.parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1), 'parts', 'id', 'logical' FROM part
+"""

@@ -16,6 +16,7 @@ from tidemark.functions import keys as K
 from tidemark.functions.cells import clean_value
 from tidemark.operators import apply as A
 from tidemark.operators import audit as AU
+from tidemark.operators import ddl as DDL
 from tidemark.operators import load as L
 from tidemark.operators import mapping as M
 from tidemark.operators import monitor as MON
@@ -379,3 +380,42 @@ def idle_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lag_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag >= 20 min at checks every 15 batches, not while idle; hours 0-4 muted (O1)."""
     return MON.lag_alerts(_metrics(spark, sf_dir), IDLE_THRESHOLD, LAG_THRESHOLD_SECONDS, LAG_CHECK_EVERY, IGNORED_HOURS)
+
+
+# ---- schema events -----------------------------------------------------------
+
+
+@query
+def ddl_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DDL events cut into classified sub-changes with names and effects."""
+    return DDL.ddl_changelog(FX.ddl_changelog_fixture(spark, sf_dir))
+
+
+@query
+def op_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per kind with their dispatch class over row and schema logs."""
+    return AU.op_summary(_three_logs(spark, sf_dir).unionByName(FX.ddl_changelog_fixture(spark, sf_dir)))
+
+
+@query
+def truncate_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state when a TRUNCATE sits in the middle of the log."""
+    log = FX.orders_changelog(spark, sf_dir).unionByName(FX.orders_truncate_event(spark, sf_dir))
+    return A.to_columns(A.apply_changes(log), FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+# Configuration: table groups (explicit list, else pattern; logical keys win).
+GROUP_RULES = [
+    ("orders", "shop", ["orders"], None, None),
+    ("users", "app", None, "^user", ["user_id"]),
+    ("chat", "chat", None, "^conv", None),
+    ("parts", "shop", None, "^parts_[0-9]+$", ["id"]),
+]
+
+
+@query
+def resolve_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of all logs assigned to table groups with their keys."""
+    logs = _three_logs(spark, sf_dir).unionByName(FX.ddl_changelog_fixture(spark, sf_dir))
+    rules = spark.createDataFrame(GROUP_RULES, "group_name string, database string, tables array<string>, pattern string, logical_keys array<string>")
+    return L.resolve_groups(L.source_listing(logs), rules)

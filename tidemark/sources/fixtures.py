@@ -192,3 +192,58 @@ def party_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "shop_b.supplier": su,
         "shop_a.nation": table(spark, sf_dir, "nation"),
     }
+
+
+def ddl_changelog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema events derived from ``part`` rows: one DDL statement per part,
+    on table ``parts_<brand number>``, naming a column after the part name.
+    The statement form cycles through thirteen templates by ``p_partkey``
+    (add/drop/change column, key changes, renames, truncate, options, and a
+    QUERY event that carries no schema change)."""
+    p = table(spark, sf_dir, "part")
+    nm = F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "_")
+    tbl = F.concat(F.lit("parts_"), F.regexp_extract(F.lower("p_brand"), "([0-9]+)", 1))
+    sz = F.col("p_size").cast("string")
+    t = F.col("p_partkey") % 13
+    nl = F.lit("\n")
+    forms = [
+        F.concat(F.lit("ALTER TABLE `"), tbl, F.lit("` ADD COLUMN `"), nm, F.lit("` varchar(64) COMMENT 'size, "), sz, F.lit("'")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop column "), nm),
+        F.concat(F.lit("alter table "), tbl, nl, F.lit(" change "), nm, F.lit(" "), nm, F.lit("_v2 decimal(10,2) default '1,5'")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" change column "), nm, F.lit(" "), nm, F.lit(" bigint")),
+        F.concat(F.lit("ALTER TABLE "), tbl, nl, F.lit("  DROP PRIMARY KEY,"), nl, F.lit("  ADD PRIMARY KEY (`id`, `"), nm, F.lit("`)")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop primary key")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" add primary key (id)")),
+        F.concat(F.lit("rename table "), tbl, F.lit(" to "), nm, F.lit("_t, "), nm, F.lit("_x to "), nm, F.lit("_y")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" rename to "), nm, F.lit("_t")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop foreign key fk_"), sz),
+        F.concat(F.lit("truncate table "), tbl),
+        F.concat(F.lit("alter table "), tbl, F.lit(" auto_increment="), sz),
+        F.lit("flush tables"),
+    ]
+    ddl = None
+    for i, f in enumerate(forms):
+        ddl = F.when(t == i, f) if ddl is None else ddl.when(t == i, f)
+    op = F.when(t == 7, "RENAME").when(t == 10, "TRUNCATE").when(t == 12, "QUERY").otherwise("ALTER")
+    return p.select(
+        F.concat(F.lit("shop."), tbl).alias("source_key"),
+        F.lit("shop").alias("database"),
+        tbl.alias("table"),
+        (F.lit("2024-03-01 00:00:00").cast("timestamp_ntz") + F.make_interval(secs=F.col("p_partkey"))).alias("exec_time"),
+        op.alias("op"),
+        ddl.alias("ddl"),
+        F.col("p_partkey").cast("long").alias("seq"),
+        _empty().alias("before"),
+        _empty().alias("after"),
+    )
+
+
+def orders_truncate_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One TRUNCATE of ``shop.orders`` ordered between the changes of the lower
+    and upper half of the order keys (``seq = floor(max key / 2) * 10 + 5``)."""
+    o = table(spark, sf_dir, "orders")
+    return o.agg((F.floor(F.max("o_orderkey") / 2) * 10 + 5).cast("long").alias("seq"), F.max("o_orderdate").alias("exec_time")).select(
+        F.lit(ORDERS_SOURCE).alias("source_key"), F.lit("shop").alias("database"), F.lit("orders").alias("table"),
+        F.col("exec_time").cast("timestamp_ntz").alias("exec_time"), F.lit("TRUNCATE").alias("op"),
+        F.lit("truncate table orders").alias("ddl"), "seq", _empty().alias("before"), _empty().alias("after"),
+    )
