@@ -446,3 +446,11 @@ UNION ALL SELECT 'app.users', 'users', 'user_id', 'logical' FROM (SELECT 1 FROM
 UNION ALL SELECT 'chat.conversations', 'chat', 'conv_id,turn', 'physical' FROM (SELECT 1 FROM conversations LIMIT 1)
 UNION ALL SELECT DISTINCT 'shop.parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1), 'parts', 'id', 'logical' FROM part
 """
+
+# ---- streaming ---------------------------------------------------------------
+
+ORACLE["stream_apply"] = f"""
+WITH {EVENTS_CHG},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
+SELECT * FROM events_chg_state
+"""

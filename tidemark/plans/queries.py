@@ -7,6 +7,7 @@ to the names used by the DuckDB oracle in ``tidemark.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,10 @@ from tidemark.sources import decode as DEC
 from tidemark.operators import segments as SG
 from tidemark.schema import STATUS_COLUMN
 from tidemark.sources import fixtures as FX
+from tidemark.session import scratch_path
 from tidemark.sources.tables import table
+from tidemark.streaming import apply_stream as STR
+from tidemark.streaming import forward as FWD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -419,3 +423,23 @@ def resolve_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = _three_logs(spark, sf_dir).unionByName(FX.ddl_changelog_fixture(spark, sf_dir))
     rules = spark.createDataFrame(GROUP_RULES, "group_name string, database string, tables array<string>, pattern string, logical_keys array<string>")
     return L.resolve_groups(L.source_listing(logs), rules)
+
+
+# ---- streaming ---------------------------------------------------------------
+
+
+@query
+def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """users state from a file stream of the change log: 8 files of shuffled
+    rows, 2 files per micro-batch, merged into the bucketed state (S5, A5)."""
+    run = scratch_path(spark, f"stream-apply-{uuid.uuid4().hex}")
+    src, state, ckpt = f"{run}/input", f"{run}/state", f"{run}/checkpoint"
+    FX.events_changelog(spark, sf_dir).repartition(8).write.parquet(src)
+    st = STR.apply_stream_once(spark, src, state, ckpt, buckets=16, max_files_per_trigger=2)
+    return A.to_columns(st, FX.EVENTS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def forward_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes newer than their registration as JSON entries on the instance topic."""
+    return FWD.forward_json(_three_logs(spark, sf_dir), mapping_frame(spark), FORWARD_NOW, "instance_1")
