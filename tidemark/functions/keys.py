@@ -49,7 +49,12 @@ def row_key_from_columns(cols: list[str], src: Column, connector: str = DEFAULT_
     return row_key_from_values(values, src, connector, reverse)
 
 
+def has_key(image: Column, keys: Column | None = None) -> Column:
+    if keys is None:
+        return F.exists(image, lambda c: F.coalesce(c["is_key"], F.lit(False)))
+    return F.exists(image, lambda c: F.array_contains(keys, F.lower(c["name"])))
+
+
 def row_key(image: Column, src: Column, keys: Column | None = None, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:
     """Row key of a row image; null when the image has no key column."""
-    vals = key_values(image, keys)
-    return F.when(F.size(vals) > 0, row_key_from_values(vals, src, connector, reverse))
+    return F.when(has_key(image, keys), row_key_from_values(key_values(image, keys), src, connector, reverse))

@@ -18,13 +18,14 @@ It is computed in two aggregation levels:
    The reduced records are also the mergeable streaming state: the union of
    two reductions, reduced again, equals the reduction of the union, in any
    order and with any replays.
-2. ``materialize`` groups the reduced records per row key (bounded by the
-   number of columns) and builds the cell map.
+2. ``materialize`` finds each row key's floor with a window over its
+   reduced records (bounded by the number of columns), keeps the cells above
+   it and builds the cell map in the same partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,9 +66,12 @@ def with_row_keys(changes: DataFrame, keys_col: str | None = None, connector: st
     )
 
 
-def _marker(tag: str, rk: Column) -> Column:
+def _marker(tag: str) -> Column:
+    """A marker travels in an image-shaped struct with a null name; the tag
+    rides in ``value`` so markers and cells explode together."""
     return F.struct(
-        F.lit(tag).alias("tag"), rk.alias("row_key"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value")
+        F.lit(None).cast("string").alias("name"), F.lit(False).alias("is_key"), F.lit(False).alias("updated"),
+        F.lit(False).alias("is_null"), F.lit(tag).alias("value"),
     )
 
 
@@ -77,29 +81,36 @@ def contributions(keyed: DataFrame, keep_old_key: bool = False, clean: bool = Tr
     tags: ``live`` (an INSERT/UPDATE touched the row), ``del`` (a DELETE, or
     the old key of a key-changing UPDATE unless ``keep_old_key``), ``cell``
     (a written cell), ``wipe`` (TRUNCATE/DROP of the whole source, row_key '').
-    Rows without a key are ignored, as the reference ignores them.
+    Rows without a key are ignored, as the reference ignores them.  One
+    ``explode`` of (after-image ++ markers); everything after it is plain
+    column expressions inside whole-stage codegen.
     """
     op = F.col("op")
     rk = F.col("row_key")
     iu = op.isin("INSERT", "UPDATE")
     markers = [
-        F.when(iu, _marker("live", rk)),
-        F.when(op == "DELETE", _marker("del", rk)),
-        F.when(op.isin(*SOURCE_WIPE_OPS), _marker("wipe", F.lit(""))),
+        F.when(iu, _marker("live")),
+        F.when(op == "DELETE", _marker("del")),
+        F.when(op.isin(*SOURCE_WIPE_OPS), _marker("wipe")),
     ]
     if not keep_old_key:
         old = F.col("old_row_key")
-        markers.append(F.when((op == "UPDATE") & old.isNotNull() & (old != rk), _marker("del", old)))
-    cells = F.transform(
-        F.filter(_image("after"), lambda c: is_written(c, op)),
-        lambda c: F.struct(F.lit("cell").alias("tag"), rk.alias("row_key"), F.lower(c["name"]).alias("name"), written_value(c, clean).alias("value")),
-    )
-    items = F.concat(F.array_compact(F.array(*markers)), F.when(iu, cells).otherwise(F.array().cast(T.ArrayType(CONTRIB))))
-    return (
-        keyed.select("source_key", "seq", F.explode(items).alias("c"))
-        .select("source_key", F.col("c.row_key").alias("row_key"), "c.tag", "c.name", "seq", "c.value")
-        .where(F.col("row_key").isNotNull())
-    )
+        markers.append(F.when((op == "UPDATE") & old.isNotNull() & (old != rk), _marker("oldkey")))
+    items = F.concat(F.when(iu, _image("after")).otherwise(F.array().cast(IMAGE)), F.array(*markers))
+    x = keyed.select("source_key", "seq", "op", "row_key", "old_row_key", F.explode(items).alias("c")).where(F.col("c").isNotNull())
+    c = F.col("c")
+    marker = c["name"].isNull()
+    kind = c["value"]
+    tag = F.when(marker, F.when(kind == "oldkey", F.lit("del")).otherwise(kind)).otherwise(F.lit("cell"))
+    out_rk = F.when(marker & (kind == "oldkey"), F.col("old_row_key")).when(marker & (kind == "wipe"), F.lit("")).otherwise(rk)
+    return x.where(marker | is_written(c, op)).select(
+        "source_key",
+        out_rk.alias("row_key"),
+        tag.alias("tag"),
+        F.when(~marker, F.lower(c["name"])).alias("name"),
+        "seq",
+        F.when(~marker, written_value(c, clean)).alias("value"),
+    ).where(F.col("row_key").isNotNull())
 
 
 def reduce_contributions(contrib: DataFrame) -> DataFrame:
@@ -111,30 +122,35 @@ def reduce_contributions(contrib: DataFrame) -> DataFrame:
     )
 
 
-def materialize(reduced: DataFrame) -> DataFrame:
+def source_wipes(changes: DataFrame) -> DataFrame:
+    """Newest TRUNCATE / DROP TABLE ``seq`` per source, straight from the log
+    (the op filter reaches the scan; no explode or cell aggregation)."""
+    return changes.where(F.col("op").isin(*SOURCE_WIPE_OPS)).groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
+
+
+def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame:
     """State rows ``(source_key, row_key, cells MAP, version)`` from reduced records.
 
-    Source-wide wipes are joined per ``source_key``: one row per source, so
-    adaptive execution broadcasts it once its measured size is small.
+    Source-wide wipes ``(source_key, wipe_seq)`` come from ``source_wipes`` or,
+    when not given, from the reduced ``wipe`` records (a stored state).  They
+    are joined per ``source_key``: one row per source, so adaptive execution
+    broadcasts the side once its measured size is small.
     """
     rows = reduced.where(F.col("tag") != "wipe")
-    wipes = reduced.where(F.col("tag") == "wipe").groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
-    per_key = rows.groupBy(*STATE_KEY).agg(
-        F.max(F.when(F.col("tag") == "del", F.col("seq"))).alias("del_seq"),
-        F.max(F.when(F.col("tag") == "live", F.col("seq"))).alias("version"),
-        F.collect_list(F.when(F.col("tag") == "cell", F.struct("name", "seq", "value"))).alias("cells"),
+    if wipes is None:
+        wipes = reduced.where(F.col("tag") == "wipe").groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
+    low = F.lit(-(2**63))
+    per_key = Window.partitionBy(*STATE_KEY)
+    floor = F.greatest(F.coalesce(F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key), low), F.coalesce("wipe_seq", low))
+    ranked = (
+        rows.join(wipes, "source_key", "left")
+        .withColumn("_floor", floor)
+        .withColumn("version", F.max(F.when(F.col("tag") == "live", F.col("seq"))).over(per_key))
+        .where((F.col("version") > F.col("_floor")) & ((F.col("tag") == "live") | ((F.col("tag") == "cell") & (F.col("seq") > F.col("_floor")))))
     )
-    floor = F.greatest(F.coalesce("del_seq", F.lit(-(2**63))), F.coalesce("wipe_seq", F.lit(-(2**63))))
-    return (
-        per_key.join(wipes, "source_key", "left")
-        .where(F.col("version") > floor)
-        .select(
-            *STATE_KEY,
-            F.map_from_entries(
-                F.transform(F.filter("cells", lambda c: c["seq"] > floor), lambda c: F.struct(c["name"].alias("key"), c["value"].alias("value")))
-            ).alias("cells"),
-            "version",
-        )
+    return ranked.groupBy(*STATE_KEY).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("tag") == "cell", F.struct("name", "value")))).alias("cells"),
+        F.max("version").alias("version"),
     )
 
 
@@ -148,7 +164,7 @@ def apply_changes(
 ) -> DataFrame:
     """Current state after a change log: ``(source_key, row_key, cells, version)``."""
     keyed = with_row_keys(changes, keys_col, connector, reverse)
-    return materialize(reduce_contributions(contributions(keyed, keep_old_key, clean)))
+    return materialize(reduce_contributions(contributions(keyed, keep_old_key, clean)), source_wipes(changes))
 
 
 def to_columns(state: DataFrame, columns: list[str], extra: list[str] | None = None) -> DataFrame:

@@ -22,6 +22,17 @@ def _empty() -> Column:
     return F.lit(None).cast(IMAGE)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a fabricated log over the cluster's default parallelism.
+
+    The test tables are single-row-group files, so a log derived from one
+    is produced by one task; a real change log arrives as many files.
+    Round-robin repartitioning (sorted first, hence deterministic on retry)
+    gives the operators an input laid out like a real log.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def cell(name: str, value: Column, *, key: bool = False, updated: Column | bool = True, null: Column | bool | None = None) -> Column:
     """One image cell; ``null`` defaults to "value is null"."""
     v = value.cast("string")
@@ -105,7 +116,7 @@ def orders_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
                 full(priority_null=True, updated=False), _empty())
     reins = _log(o.where(k % 21 == 0), ORDERS_SOURCE, F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"), "INSERT", k * 10 + 3,
                  _empty(), full(status=F.lit("R"), priority_null=True))
-    return ins.unionByName(upd).unionByName(dele).unionByName(reins)
+    return spread(ins.unionByName(upd).unionByName(dele).unionByName(reins))
 
 
 def events_values() -> dict[str, Column]:
@@ -139,7 +150,7 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell("value", F.when(~null_value, v["value"]), updated=F.when(null_value, F.col("event_id") % 10 == 0).otherwise(True)),
         cell("props", v["props"]),
     )
-    return e.select(
+    return spread(e.select(
         F.lit(EVENTS_SOURCE).alias("source_key"),
         F.lit("app").alias("database"),
         F.lit("users").alias("table"),
@@ -149,7 +160,7 @@ def events_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("long").alias("seq"),
         F.when(op == "DELETE", img).otherwise(_empty()).cast(IMAGE).alias("before"),
         F.when(op != "DELETE", img).otherwise(_empty()).cast(IMAGE).alias("after"),
-    ).select(*CHANGELOG_COLUMNS)
+    ).select(*CHANGELOG_COLUMNS))
 
 
 CONVERSATIONS_SOURCE = "chat.conversations"
@@ -175,7 +186,7 @@ def conversations_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ins = _log(c, CONVERSATIONS_SOURCE, t0 + F.make_interval(secs=F.col("turn")), "INSERT", base * 2, _empty(), img(F.col("text"), True, True))
     upd = _log(c.where(F.col("role") == "assistant"), CONVERSATIONS_SOURCE, t0 + F.expr("INTERVAL 1 DAY") + F.make_interval(secs=F.col("turn")),
                "UPDATE", base * 2 + 1, img(F.col("text"), False, False), img(F.concat(F.col("text"), F.lit(" (edited)")), True, False))
-    return ins.unionByName(upd)
+    return spread(ins.unionByName(upd))
 
 
 def party_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
