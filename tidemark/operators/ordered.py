@@ -36,21 +36,25 @@ def with_block(df: DataFrame, order: str, blocks: int = DEFAULT_BLOCKS) -> DataF
 
 def previous_row(df: DataFrame, by: list[str], order: str, cols: list[str], prefix: str = "prev_", blocks: int = DEFAULT_BLOCKS) -> DataFrame:
     """Add ``prefix+c`` for ``c`` in ``[order, *cols]``: values of the previous
-    row of the same ``by`` group in ``order`` (null for the first row)."""
+    row of the same ``by`` group in ``order`` (null for the first row).
+
+    A linear plan: the last row of every ``(by, block)`` is a map-side
+    combined aggregate, lagged over the few blocks of its group; it is joined
+    to the rows on ``(by, block)``, and that join's shuffle is exactly the
+    partitioning the in-block ``lag`` window needs, so the window adds none.
+    """
     fields = [order, *cols]
     b = with_block(df, order, blocks)
     rec = F.struct(*[F.col(c) for c in fields])
-    w = Window.partitionBy(*by, "_blk").orderBy(order)
-    lagged = b.withColumn("_prev", F.lag(rec).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     tails = (
         b.groupBy(*by, "_blk")
         .agg(F.max(rec).alias("_tail"))
         .withColumn("_prev_tail", F.lag("_tail").over(Window.partitionBy(*by).orderBy("_blk")))
+        .where(F.col("_prev_tail").isNotNull())
         .select(*by, "_blk", "_prev_tail")
     )
-    heads = lagged.where("_first").drop("_prev").join(tails, [*by, "_blk"], "left").withColumnRenamed("_prev_tail", "_prev")
-    rest = lagged.where(~F.col("_first"))
-    out = rest.unionByName(heads.select(*rest.columns))
+    w = Window.partitionBy(*by, "_blk").orderBy(order)
+    out = b.join(tails, [*by, "_blk"], "left").withColumn("_prev", F.coalesce(F.lag(rec).over(w), F.col("_prev_tail")))
     return out.select(*df.columns, *[F.col("_prev")[c].alias(prefix + c) for c in fields])
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tidemark.operators import apply as A
 
 WIPE_BUCKET = -1
+WRITE_SPLIT = 8
 
 REDUCED = T.StructType(
     [
@@ -51,17 +52,30 @@ def bucket_of(buckets: int):
     return F.when(F.col("tag") == "wipe", F.lit(WIPE_BUCKET)).otherwise(F.pmod(F.xxhash64("source_key", "row_key"), F.lit(buckets))).cast("int")
 
 
+def _committed_batches(spark: SparkSession, root: str) -> list[int]:
+    """Batch ids with a complete manifest (listing only, through the Hadoop
+    file system of the path, so it works on any shared storage)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_join(root, "_manifest"))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return out
+
+
 def latest_manifest(spark: SparkSession, root: str) -> tuple[int | None, dict[int, str]]:
     """Newest committed batch id and its bucket -> path map (bounded by B + 1)."""
-    try:
-        m = spark.read.parquet(_join(root, "_manifest"))
-    except Exception:  # noqa: BLE001 - no commit yet
-        return None, {}
-    top = m.agg(F.max("batch")).first()[0]
-    if top is None:
+    done = _committed_batches(spark, root)
+    if not done:
         return None, {}
-    rows = m.where(F.col("batch") == top).select("bucket", "path").collect()
-    return int(top), {int(r["bucket"]): r["path"] for r in rows}
+    top = max(done)
+    rows = spark.read.schema(MANIFEST).parquet(_join(root, "_manifest", f"batch={top}")).collect()
+    return top, {int(r["bucket"]): r["path"] for r in rows}
 
 
 def committed(spark: SparkSession, root: str, batch_id: int) -> bool:
@@ -80,24 +94,25 @@ def read_state(spark: SparkSession, root: str, buckets: list[int] | None = None)
 
 def merge_batch(spark: SparkSession, changes: DataFrame, batch_id: int, root: str, buckets: int = 64, **apply_kw) -> None:
     """Fold one micro-batch of change rows into the state at ``root``."""
-    if committed(spark, root, batch_id):
+    top, paths = latest_manifest(spark, root)
+    if top is not None and batch_id <= top:
         return
     keyed = A.with_row_keys(changes, apply_kw.get("keys_col"), apply_kw.get("connector", "+"), apply_kw.get("reverse", True))
     red = A.reduce_contributions(A.contributions(keyed, apply_kw.get("keep_old_key", False), apply_kw.get("clean", True)))
     red = red.withColumn("bucket", bucket_of(buckets)).persist()
     try:
         touched = sorted(r[0] for r in red.select("bucket").distinct().collect())  # at most B + 1 ints
-        if not touched:
-            _, paths = latest_manifest(spark, root)
-        else:
-            _, paths = latest_manifest(spark, root)
+        if touched:
             old_paths = [paths[b] for b in touched if b in paths]
             merged = red.drop("bucket")
             if old_paths:
                 merged = spark.read.schema(REDUCED).parquet(*old_paths).select(*REDUCED.fieldNames()).unionByName(merged)
             out = A.reduce_contributions(merged).withColumn("bucket", bucket_of(buckets))
             vdir = _join(root, f"v={batch_id}")
-            out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(vdir)
+            # (bucket, salt): a hot bucket is written by WRITE_SPLIT tasks, and
+            # a version holds at most WRITE_SPLIT files per touched bucket.
+            salt = F.pmod(F.xxhash64("row_key", "name"), F.lit(WRITE_SPLIT))
+            out.repartition(F.col("bucket"), salt).write.mode("overwrite").partitionBy("bucket").parquet(vdir)
             for b in touched:
                 paths[b] = _join(vdir, f"bucket={b}")
         manifest = spark.createDataFrame(sorted(paths.items()), MANIFEST)
