@@ -454,3 +454,10 @@ WITH {EVENTS_CHG},
 {closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
 SELECT * FROM events_chg_state
 """
+
+_DDL_WITH, _DDL_SELECT = ORACLE["ddl_changelog"].split("SELECT source_key, seq, clause_no", 1)
+ORACLE["schema_notices"] = _DDL_WITH + ", e AS (SELECT source_key, seq, clause_no" + _DDL_SELECT + """)
+SELECT n.source_key, n.seq, n.norm AS ddl FROM n
+WHERE EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq)
+  AND NOT EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq AND e.effect = 'error')
+"""

@@ -443,3 +443,9 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forward_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes newer than their registration as JSON entries on the instance topic."""
     return FWD.forward_json(_three_logs(spark, sf_dir), mapping_frame(spark), FORWARD_NOW, "instance_1")
+
+
+@query
+def schema_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notice rows (source, normalised DDL) for fully understood schema events."""
+    return DDL.schema_notices(FX.ddl_changelog_fixture(spark, sf_dir))
