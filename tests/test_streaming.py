@@ -8,7 +8,7 @@ from helpers import random_log, state_as_dict, to_df
 from tidemark.operators import apply as A
 from tidemark.session import scratch_path
 from tidemark.streaming.apply_stream import apply_stream_once
-from tidemark.streaming.state_store import merge_batch, current_state
+from tidemark.streaming.state_store import current_state, merge_batch
 
 
 @pytest.mark.parametrize("files,per_trigger", [(1, 1), (10, 3)])
@@ -32,3 +32,23 @@ def test_replayed_and_reordered_batches(spark):
     merge_batch(spark, parts[1], 2, root, buckets=4)
     merge_batch(spark, parts[1], 3, root, buckets=4)  # same data under a new id: idempotent
     assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
+
+
+def test_compaction_keeps_result_and_drops_dead_cells(spark):
+    from tidemark.streaming.state_store import compact, layout, read_records
+
+    rows = random_log(400, 15, 21)
+    df = to_df(spark, rows)
+    root = scratch_path(spark, f"t-compact-{uuid.uuid4().hex}")
+    parts = [to_df(spark, rows[i::4]) for i in range(4)]
+    for i, p in enumerate(parts):
+        merge_batch(spark, p, i, root, buckets=4, compact_every=2)
+    base, deltas = layout(spark, root)
+    assert base == 3 and deltas == []
+    assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
+    # a late batch with an old delete still applies after compaction
+    merge_batch(spark, to_df(spark, rows[:50]), 4, root, buckets=4, compact_every=10)
+    assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
+    assert compact(spark, root, 4) == 4
+    recs = read_records(spark, root)
+    assert recs.count() <= A.reduce_contributions(A.contributions(A.with_row_keys(df))).count()

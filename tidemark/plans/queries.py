@@ -431,11 +431,11 @@ def resolve_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """users state from a file stream of the change log: 8 files of shuffled
-    rows, 2 files per micro-batch, merged into the bucketed state (S5, A5)."""
+    rows, 2 files per micro-batch appended as deltas, compacted every 3 (S5, A5)."""
     run = scratch_path(spark, f"stream-apply-{uuid.uuid4().hex}")
     src, state, ckpt = f"{run}/input", f"{run}/state", f"{run}/checkpoint"
     FX.events_changelog(spark, sf_dir).repartition(8).write.parquet(src)
-    st = STR.apply_stream_once(spark, src, state, ckpt, buckets=16, max_files_per_trigger=2)
+    st = STR.apply_stream_once(spark, src, state, ckpt, buckets=16, max_files_per_trigger=2, compact_every=3)
     return A.to_columns(st, FX.EVENTS_COLUMNS, extra=["row_key", "version"])
 
 

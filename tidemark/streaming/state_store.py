@@ -1,33 +1,33 @@
-"""Versioned, bucketed state on plain parquet (no MERGE needed).
+"""Merge-on-read change state on plain parquet (no MERGE needed).
 
 The stored state is the reduced record table of ``tidemark.operators.apply``
-``(source_key, row_key, tag, name, seq, value)`` partitioned by
-``bucket = pmod(xxhash64(source_key, row_key), B)``; source-wide records
-(TRUNCATE / DROP) live in bucket -1, which every read includes.
-
-Merging a micro-batch touches only the buckets the batch hits:
-
-1. reduce the batch (map-side combined) and tag each record with its bucket;
-2. read the current version of the touched buckets only;
-3. reduce ``old union new`` again (the reduction is associative, commutative
-   and idempotent, so order, splits and replays do not matter);
-4. write the result under ``<root>/v=<batch_id>/bucket=<b>``;
-5. commit by writing the manifest ``<root>/_manifest/batch=<batch_id>``
-   (bucket -> path, at most B + 1 rows).  Untouched buckets keep their path.
-
-A batch id whose manifest exists is skipped, so a replayed micro-batch after
-a failure is harmless; a half-written version is overwritten on replay.
+``(source_key, row_key, tag, name, seq, value)``.  That reduction is
+associative, commutative and idempotent, so the state can be kept as a base
+plus deltas and reduced again when read:
+
+* ``<root>/delta/batch=<id>/``: one micro-batch's reduced records, appended
+  as they are.  A micro-batch costs work proportional to its own size; it
+  never reads or rewrites the existing state.
+* ``<root>/base/v=<id>/``: a compaction of everything up to batch ``id``,
+  partitioned by ``bucket = pmod(xxhash64(source_key, row_key), B)``.
+  Compaction also drops cells that sit below their row's newest delete: the
+  delete marker stays, so a late cell older than it is still suppressed.
+
+A batch counts as committed when its directory holds the ``_SUCCESS`` marker
+that Spark's job commit writes last.  A committed batch id is skipped on
+replay, and a half-written one is overwritten, so replays after executor or
+driver loss are harmless.  Directory listing goes through the Hadoop file
+system of the path, so any shared storage works.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import apply as A
 
-WIPE_BUCKET = -1
 WRITE_SPLIT = 8
 
 REDUCED = T.StructType(
@@ -41,86 +41,83 @@ REDUCED = T.StructType(
     ]
 )
 
-MANIFEST = "bucket int, path string"
-
 
 def _join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def bucket_of(buckets: int):
-    return F.when(F.col("tag") == "wipe", F.lit(WIPE_BUCKET)).otherwise(F.pmod(F.xxhash64("source_key", "row_key"), F.lit(buckets))).cast("int")
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _committed_batches(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids with a complete manifest (listing only, through the Hadoop
-    file system of the path, so it works on any shared storage)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_join(root, "_manifest"))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+def _committed(spark: SparkSession, parent: str, prefix: str) -> list[int]:
+    """Ids of ``<parent>/<prefix><id>`` directories that hold ``_SUCCESS``."""
+    jvm, p, fs = _fs(spark, parent)
+    if not fs.exists(p):
         return []
     out = []
-    for st in fs.listStatus(path):
+    for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return out
-
-
-def latest_manifest(spark: SparkSession, root: str) -> tuple[int | None, dict[int, str]]:
-    """Newest committed batch id and its bucket -> path map (bounded by B + 1)."""
-    done = _committed_batches(spark, root)
-    if not done:
-        return None, {}
-    top = max(done)
-    rows = spark.read.schema(MANIFEST).parquet(_join(root, "_manifest", f"batch={top}")).collect()
-    return top, {int(r["bucket"]): r["path"] for r in rows}
-
-
-def committed(spark: SparkSession, root: str, batch_id: int) -> bool:
-    top, _ = latest_manifest(spark, root)
-    return top is not None and batch_id <= top
-
-
-def read_state(spark: SparkSession, root: str, buckets: list[int] | None = None) -> DataFrame:
-    """Reduced records of the current version (optionally some buckets only)."""
-    _, paths = latest_manifest(spark, root)
-    wanted = [p for b, p in sorted(paths.items()) if buckets is None or b in buckets]
-    if not wanted:
+        if st.isDirectory() and name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(prefix):]))
+    return sorted(out)
+
+
+def layout(spark: SparkSession, root: str) -> tuple[int | None, list[int]]:
+    """(newest committed base id, committed delta ids above it)."""
+    bases = _committed(spark, _join(root, "base"), "v=")
+    base = bases[-1] if bases else None
+    deltas = [d for d in _committed(spark, _join(root, "delta"), "batch=") if base is None or d > base]
+    return base, deltas
+
+
+def read_records(spark: SparkSession, root: str) -> DataFrame:
+    """Reduced records of the current state (base + deltas, reduced again)."""
+    base, deltas = layout(spark, root)
+    parts = []
+    if base is not None:  # partitioned by bucket; read on its own
+        parts.append(spark.read.schema(REDUCED).parquet(_join(root, "base", f"v={base}")).select(*REDUCED.fieldNames()))
+    if deltas:
+        parts.append(spark.read.schema(REDUCED).parquet(*[_join(root, "delta", f"batch={d}") for d in deltas]).select(*REDUCED.fieldNames()))
+    if not parts:
         return spark.createDataFrame([], REDUCED)
-    return spark.read.schema(REDUCED).parquet(*wanted).select(*REDUCED.fieldNames())
+    recs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return recs if (base is None and len(deltas) == 1) or (base is not None and not deltas) else A.reduce_contributions(recs)
 
 
-def merge_batch(spark: SparkSession, changes: DataFrame, batch_id: int, root: str, buckets: int = 64, **apply_kw) -> None:
-    """Fold one micro-batch of change rows into the state at ``root``."""
-    top, paths = latest_manifest(spark, root)
-    if top is not None and batch_id <= top:
+def merge_batch(spark: SparkSession, changes: DataFrame, batch_id: int, root: str, buckets: int = 64,
+                compact_every: int = 8, **apply_kw) -> None:
+    """Append one micro-batch's reduced records; compact every ``compact_every`` deltas."""
+    base, deltas = layout(spark, root)
+    if (base is not None and batch_id <= base) or batch_id in deltas:
         return
     keyed = A.with_row_keys(changes, apply_kw.get("keys_col"), apply_kw.get("connector", "+"), apply_kw.get("reverse", True))
     red = A.reduce_contributions(A.contributions(keyed, apply_kw.get("keep_old_key", False), apply_kw.get("clean", True)))
-    red = red.withColumn("bucket", bucket_of(buckets)).persist()
-    try:
-        touched = sorted(r[0] for r in red.select("bucket").distinct().collect())  # at most B + 1 ints
-        if touched:
-            old_paths = [paths[b] for b in touched if b in paths]
-            merged = red.drop("bucket")
-            if old_paths:
-                merged = spark.read.schema(REDUCED).parquet(*old_paths).select(*REDUCED.fieldNames()).unionByName(merged)
-            out = A.reduce_contributions(merged).withColumn("bucket", bucket_of(buckets))
-            vdir = _join(root, f"v={batch_id}")
-            # (bucket, salt): a hot bucket is written by WRITE_SPLIT tasks, and
-            # a version holds at most WRITE_SPLIT files per touched bucket.
-            salt = F.pmod(F.xxhash64("row_key", "name"), F.lit(WRITE_SPLIT))
-            out.repartition(F.col("bucket"), salt).write.mode("overwrite").partitionBy("bucket").parquet(vdir)
-            for b in touched:
-                paths[b] = _join(vdir, f"bucket={b}")
-        manifest = spark.createDataFrame(sorted(paths.items()), MANIFEST)
-        manifest.coalesce(1).write.mode("overwrite").parquet(_join(root, "_manifest", f"batch={batch_id}"))
-    finally:
-        red.unpersist()
+    red.write.mode("overwrite").parquet(_join(root, "delta", f"batch={batch_id}"))
+    if len(deltas) + 1 >= compact_every:
+        compact(spark, root, buckets)
+
+
+def compact(spark: SparkSession, root: str, buckets: int = 64) -> int | None:
+    """Fold base + deltas into a new base; drop cells below their row's floor."""
+    base, deltas = layout(spark, root)
+    if not deltas:
+        return base
+    top = deltas[-1]
+    recs = read_records(spark, root)
+    per_key = Window.partitionBy(*A.STATE_KEY)
+    floor = F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key)
+    kept = recs.withColumn("_floor", floor).where((F.col("tag") != "cell") | F.col("_floor").isNull() | (F.col("seq") > F.col("_floor"))).drop("_floor")
+    bucket = F.pmod(F.xxhash64("source_key", "row_key"), F.lit(buckets)).cast("int")
+    salt = F.pmod(F.xxhash64("row_key", "name"), F.lit(WRITE_SPLIT))
+    (kept.withColumn("bucket", bucket).repartition(F.col("bucket"), salt)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")  # static: the job commit writes _SUCCESS
+     .partitionBy("bucket").parquet(_join(root, "base", f"v={top}")))
+    return top
 
 
 def current_state(spark: SparkSession, root: str) -> DataFrame:
     """Materialized state ``(source_key, row_key, cells, version)``."""
-    return A.materialize(read_state(spark, root))
+    return A.materialize(read_records(spark, root))
