@@ -61,9 +61,10 @@ def with_row_keys(changes: DataFrame, keys_col: str | None = None, connector: st
     src = F.col("source_key")
     op = F.col("op")
     img = F.when(op == "DELETE", _image("before")).otherwise(_image("after"))
-    return changes.withColumn("row_key", row_key(img, src, keys, connector, reverse)).withColumn(
-        "old_row_key", F.when(op == "UPDATE", row_key(_image("before"), src, keys, connector, reverse))
-    )
+    return changes.withColumns({
+        "row_key": row_key(img, src, keys, connector, reverse),
+        "old_row_key": F.when(op == "UPDATE", row_key(_image("before"), src, keys, connector, reverse)),
+    })
 
 
 def _marker(tag: str) -> Column:
@@ -144,8 +145,7 @@ def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame
     floor = F.greatest(F.coalesce(F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key), low), F.coalesce("wipe_seq", low))
     ranked = (
         rows.join(wipes, "source_key", "left")
-        .withColumn("_floor", floor)
-        .withColumn("version", F.max(F.when(F.col("tag") == "live", F.col("seq"))).over(per_key))
+        .withColumns({"_floor": floor, "version": F.max(F.when(F.col("tag") == "live", F.col("seq"))).over(per_key)})
         .where((F.col("version") > F.col("_floor")) & ((F.col("tag") == "live") | ((F.col("tag") == "cell") & (F.col("seq") > F.col("_floor")))))
     )
     return ranked.groupBy(*STATE_KEY).agg(

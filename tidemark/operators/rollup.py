@@ -43,27 +43,28 @@ def rollup_paged(df: DataFrame, page_col: str, page_size: int, groups: list[str]
     return rollup_sum(parts, groups, columns, dest, **kw)
 
 
-def absent_inserts(changes: DataFrame, keys_col: str | None = None, blocks: int = 256) -> DataFrame:
+def absent_inserts(changes: DataFrame, fields: list[str], keys_col: str | None = None, blocks: int = 256) -> DataFrame:
     """INSERT events that hit an absent row: the row has no earlier event, or
-    its previous event (by ``seq``) was a DELETE.  Adds ``cells`` (the
-    written after-cells as a map) for grouping."""
+    its previous event (by ``seq``) was a DELETE.  Returns
+    ``(source_key, row_key, seq, *fields)`` with the inserted (written) values
+    of ``fields``; only these columns travel through the ordering shuffle."""
     from tidemark.functions.cells import image_to_map
 
     keyed = A.with_row_keys(changes, keys_col).where(F.col("row_key").isNotNull() & F.col("op").isin("INSERT", "UPDATE", "DELETE"))
-    slim = keyed.select("source_key", "row_key", "seq", "op", image_to_map(F.col("after"), F.col("op")).alias("cells"))
+    cells = F.when(F.col("op") == "INSERT", image_to_map(F.col("after"), F.col("op")))
+    slim = keyed.select("source_key", "row_key", "seq", "op", *[cells[f.lower()].alias(f) for f in fields])
     prev = previous_row(slim, ["source_key", "row_key"], "seq", ["op"], blocks=blocks)
-    return prev.where((F.col("op") == "INSERT") & (F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE")))
+    hit = (F.col("op") == "INSERT") & (F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE"))
+    return prev.where(hit).select("source_key", "row_key", "seq", *fields)
 
 
 def rollup_sum_stream(changes: DataFrame, groups: list[str], columns: list[str], dest: str, **kw) -> DataFrame:
     """SUM roll-up fed by INSERTs of absent rows only (UPDATE/DELETE never count)."""
-    ins = absent_inserts(changes)
-    flat = ins.select(*[F.col("cells")[g.lower()].alias(g) for g in groups], *[F.col("cells")[c.lower()].alias(c) for c in columns])
-    return rollup_sum(flat, groups, columns, dest, **kw)
+    ins = absent_inserts(changes, list(dict.fromkeys([*groups, *columns])))
+    return rollup_sum(ins.select(*groups, *columns), groups, columns, dest, **kw)
 
 
 def rollup_count_stream(changes: DataFrame, groups: list[str], dest: str, **kw) -> DataFrame:
     """COUNT roll-up fed by INSERTs of absent rows only."""
-    ins = absent_inserts(changes)
-    flat = ins.select(*[F.col("cells")[g.lower()].alias(g) for g in groups])
-    return rollup_count(flat, groups, dest, **kw)
+    ins = absent_inserts(changes, groups)
+    return rollup_count(ins.select(*groups), groups, dest, **kw)

@@ -60,7 +60,7 @@ def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def segment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events opening a new daily segment per source (T2, with re-triggers)."""
-    return SG.segment_changes(_both_logs(spark, sf_dir), SG.DAILY)
+    return SG.segment_changes(FX.stored(_both_logs(spark, sf_dir), "both"), SG.DAILY)
 
 
 @query
@@ -111,13 +111,13 @@ def rollup_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rollup_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SUM of order totals per status, fed by inserts of absent rows."""
-    return R.rollup_sum_stream(FX.orders_changelog(spark, sf_dir), ["o_orderstatus"], ["o_totalprice"], "rollup.orders")
+    return R.rollup_sum_stream(FX.stored(FX.orders_changelog(spark, sf_dir), "orders"), ["o_orderstatus"], ["o_totalprice"], "rollup.orders")
 
 
 @query
 def rollup_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COUNT of orders per status, fed by inserts of absent rows."""
-    return R.rollup_count_stream(FX.orders_changelog(spark, sf_dir), ["o_orderstatus"], "count.orders")
+    return R.rollup_count_stream(FX.stored(FX.orders_changelog(spark, sf_dir), "orders"), ["o_orderstatus"], "count.orders")
 
 
 # ---- sources, keys and loads -------------------------------------------------
@@ -298,7 +298,7 @@ def column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cell_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last two versions of every cell of every live users row."""
-    return AU.cell_versions(FX.events_changelog(spark, sf_dir), n=2).select("row_key", "name", "version", "value", "seq")
+    return AU.cell_versions(FX.stored(FX.events_changelog(spark, sf_dir), "events"), n=2).select("row_key", "name", "version", "value", "seq")
 
 
 # ---- schema events on a state ------------------------------------------------
@@ -365,7 +365,7 @@ IGNORED_HOURS = [0, 1, 2, 3, 4]
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MON.batch_metrics(spark, FX.events_changelog(spark, sf_dir), BATCH_SECONDS)
+    return MON.batch_metrics(spark, FX.stored(FX.events_changelog(spark, sf_dir), "events"), BATCH_SECONDS)
 
 
 @query

@@ -43,7 +43,7 @@ def cell(name: str, value: Column, *, key: bool = False, updated: Column | bool
         F.lit(key).alias("is_key"),
         upd.alias("updated"),
         is_null.alias("is_null"),
-        F.when(~is_null, v).alias("value"),
+        (v if null is None else F.when(~is_null, v)).alias("value"),
     )
 
 
@@ -61,8 +61,8 @@ def _log(df: DataFrame, src: str, exec_time: Column, op: str, seq: Column, befor
         F.lit(op).alias("op"),
         F.lit(None).cast("string").alias("ddl"),
         seq.cast("long").alias("seq"),
-        before.cast(IMAGE).alias("before"),
-        after.cast(IMAGE).alias("after"),
+        before.alias("before"),
+        after.alias("after"),
     )
 
 
@@ -258,3 +258,20 @@ def orders_truncate_event(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("exec_time").cast("timestamp_ntz").alias("exec_time"), F.lit("TRUNCATE").alias("op"),
         F.lit("truncate table orders").alias("ddl"), "seq", _empty().alias("before"), _empty().alias("after"),
     )
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a stand-in log once to the shared scratch folder and read it back.
+
+    A real change log lives in storage; operators that scan their input more
+    than once (quantile bounds, block tails, two plan branches) then read the
+    table instead of rebuilding the stand-in each time.  Each call writes a
+    new folder under ``spark.checkpoint.dir``.
+    """
+    import uuid
+
+    from tidemark.session import scratch_path
+
+    path = scratch_path(df.sparkSession, f"logs/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
