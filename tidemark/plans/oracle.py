@@ -461,3 +461,29 @@ SELECT n.source_key, n.seq, n.norm AS ddl FROM n
 WHERE EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq)
   AND NOT EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq AND e.effect = 'error')
 """
+
+_T = "(SELECT CAST(floor(max(o_orderkey) {op}) AS BIGINT) * 10 + 5 FROM orders)"
+_T1, _T2, _T3 = _T.format(op="/ 3"), _T.format(op="/ 2"), _T.format(op="* 2 / 3")
+
+
+def _pick(col: str, extra: str = "") -> str:
+    return f"max_by(c.{col}, c.seq) FILTER (WHERE c.op <> 'DELETE' AND c.{col} IS NOT NULL AND c.seq > coalesce(d.del_seq, -1){extra})"
+
+
+ORACLE["apply_schema_events"] = f"""
+WITH {ORDERS_CHG},
+d AS (SELECT k, max(seq) FILTER (WHERE op = 'DELETE') AS del_seq, max(seq) FILTER (WHERE op IN ('INSERT', 'UPDATE')) AS version
+      FROM orders_chg GROUP BY k)
+SELECT {ORDERS_ROW_KEY.format(k='c.k')} AS row_key, max(d.version) AS version,
+       {_pick('o_orderkey')} AS o_orderkey,
+       {_pick('o_custkey')} AS o_custkey,
+       {_pick('o_orderstatus', ' AND c.seq > ' + _T1)} AS o_orderstatus,
+       CAST(NULL AS VARCHAR) AS o_status,
+       {_pick('o_orderstatus', ' AND c.seq < ' + _T1)} AS o_state,
+       {_pick('o_totalprice')} AS o_totalprice,
+       {_pick('o_orderdate')} AS o_orderdate,
+       {_pick('o_orderpriority', ' AND c.seq > ' + _T3)} AS o_orderpriority
+FROM orders_chg c JOIN d ON c.k = d.k
+WHERE d.version > coalesce(d.del_seq, -1)
+GROUP BY c.k
+"""

@@ -22,6 +22,7 @@ from tidemark.operators import load as L
 from tidemark.operators import mapping as M
 from tidemark.operators import monitor as MON
 from tidemark.operators import rollup as R
+from tidemark.operators import schema_apply as SA
 from tidemark.operators import schema_events as SE
 from tidemark.sources import decode as DEC
 from tidemark.operators import segments as SG
@@ -449,3 +450,12 @@ def forward_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notice rows (source, normalised DDL) for fully understood schema events."""
     return DDL.schema_notices(FX.ddl_changelog_fixture(spark, sf_dir))
+
+
+@query
+def apply_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state when column renames (a chain) and a column drop sit in the
+    log between row changes: cells follow their column's events in seq order."""
+    log = FX.orders_changelog(spark, sf_dir).unionByName(FX.orders_schema_events(spark, sf_dir))
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_status", "o_state", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return A.to_columns(SA.apply_with_schema(log), cols, extra=["row_key", "version"])

@@ -275,3 +275,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"logs/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def orders_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ALTER events of ``shop.orders`` placed between row changes by
+    ``seq`` (m = max order key): at ``10*floor(m/3)+5`` o_orderstatus is
+    renamed o_status, at ``10*floor(m/2)+5`` o_status is renamed o_state, at
+    ``10*floor(2m/3)+5`` o_orderpriority is dropped."""
+    o = table(spark, sf_dir, "orders")
+    m = F.max("o_orderkey")
+    evs = F.array(
+        F.struct((F.floor(m / 3) * 10 + 5).cast("long").alias("seq"), F.lit("alter table orders change o_orderstatus o_status char(1)").alias("ddl")),
+        F.struct((F.floor(m / 2) * 10 + 5).cast("long").alias("seq"), F.lit("ALTER TABLE `orders` CHANGE COLUMN `o_status` `o_state` varchar(2)").alias("ddl")),
+        F.struct((F.floor(m * 2 / 3) * 10 + 5).cast("long").alias("seq"), F.lit("alter table orders drop column o_orderpriority").alias("ddl")),
+    )
+    return o.agg(evs.alias("e"), F.max("o_orderdate").alias("t")).select(F.explode("e").alias("e"), "t").select(
+        F.lit(ORDERS_SOURCE).alias("source_key"), F.lit("shop").alias("database"), F.lit("orders").alias("table"),
+        F.col("t").cast("timestamp_ntz").alias("exec_time"), F.lit("ALTER").alias("op"), F.col("e.ddl").alias("ddl"),
+        F.col("e.seq").alias("seq"), _empty().alias("before"), _empty().alias("after"),
+    )
