@@ -54,7 +54,7 @@ def ddl_changelog(ddl_log: DataFrame) -> DataFrame:
         .otherwise(F.coalesce(effect, F.lit("none")))
     )
     return x.select(
-        "source_key", "seq", (F.col("pos") + 1).alias("clause_no"), "kind", "old_name", "new_name",
+        "source_key", "seq", (F.col("pos") + 1).cast("long").alias("clause_no"), "kind", "old_name", "new_name",
         F.when(F.col("kind") == "add_key", D.key_list(F.col("clause"))).alias("key_list"), effect.alias("effect"),
     )
 

@@ -75,5 +75,5 @@ def lag_alerts(metrics: DataFrame, idle_threshold: int, threshold_seconds: int,
     hour = F.hour("batch_end")
     return s.where((delay_us >= F.lit(threshold_seconds * 1_000_000)) & (F.col("sleeping_batches") == 0)).select(
         "batch_id", F.col("batch_end").alias("check_time"), F.floor(delay_us / F.lit(1_000_000)).alias("delay_seconds"),
-        hour.alias("hour"), (~hour.isin(*ignored_hours)).alias("alert"),
+        hour.cast("long").alias("hour"), (~hour.isin(*ignored_hours)).alias("alert"),
     )
