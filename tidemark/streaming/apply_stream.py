@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.mapping import route_changes
 from tidemark.schema import CHANGELOG
 from tidemark.streaming.state_store import current_state, merge_batch
 
@@ -19,11 +20,26 @@ def change_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet", ma
     return spark.readStream.schema(CHANGELOG).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
 
 
+def route_batch(batch: DataFrame, mapping_path: str) -> DataFrame:
+    """Changes of mapped sources only, against the mapping table as it is now.
+
+    The mapping is re-read for every micro-batch, so a source registered
+    after a CREATE TABLE (or removed after its key was dropped) takes effect
+    from the next batch on, without restarting the stream.
+    """
+    mapping = batch.sparkSession.read.parquet(mapping_path)
+    return route_changes(batch, mapping).drop("destination", "keys")
+
+
 def run_apply_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str, buckets: int = 64,
-                     max_files_per_trigger: int = 1, available_now: bool = True, fmt: str = "parquet", **apply_kw):
+                     max_files_per_trigger: int = 1, available_now: bool = True, fmt: str = "parquet",
+                     mapping_path: str | None = None, **apply_kw):
     """Start the apply stream; with ``available_now`` it processes what is
-    there in micro-batches and stops.  Returns the streaming query."""
+    there in micro-batches and stops.  With ``mapping_path`` only mapped
+    sources are applied.  Returns the streaming query."""
     def fold(batch: DataFrame, batch_id: int) -> None:
+        if mapping_path is not None:
+            batch = route_batch(batch, mapping_path)
         merge_batch(batch.sparkSession, batch, batch_id, state_root, buckets, **apply_kw)
 
     w = change_stream(spark, source_dir, fmt, max_files_per_trigger).writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
