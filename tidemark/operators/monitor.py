@@ -20,7 +20,8 @@ DAY_OF_MINUTES = 1440
 def batch_metrics(spark: SparkSession, changes: DataFrame, interval_seconds: int = 60, block_size: int = DAY_OF_MINUTES) -> DataFrame:
     """``(batch_id, batch_start, batch_end, n_rows, last_ts, last_exec_time, last_busy)``
     over the grid of batches spanning the log (empty batches included)."""
-    secs = F.unix_seconds(F.col("exec_time").cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    secs = F.timestamp_diff("SECOND", epoch, F.col("exec_time"))  # NTZ arithmetic: no session time zone involved
     bounds = changes.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
         return spark.createDataFrame([], "batch_id long, batch_start timestamp_ntz, batch_end timestamp_ntz, n_rows long, "
@@ -33,8 +34,8 @@ def batch_metrics(spark: SparkSession, changes: DataFrame, interval_seconds: int
     grid = spark.range(0, n).withColumnRenamed("id", "batch_id")
     g = grid.join(per, "batch_id", "left").select(
         "batch_id",
-        F.timestamp_seconds(F.lit(t0) + F.col("batch_id") * interval_seconds).cast("timestamp_ntz").alias("batch_start"),
-        F.timestamp_seconds(F.lit(t0) + (F.col("batch_id") + 1) * interval_seconds).cast("timestamp_ntz").alias("batch_end"),
+        F.timestamp_add("SECOND", F.lit(t0) + F.col("batch_id") * interval_seconds, epoch).alias("batch_start"),
+        F.timestamp_add("SECOND", F.lit(t0) + (F.col("batch_id") + 1) * interval_seconds, epoch).alias("batch_end"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         "last_ts",
         F.when(F.col("n_rows") > 0, F.col("batch_id")).alias("busy_id"),
@@ -71,7 +72,7 @@ def lag_alerts(metrics: DataFrame, idle_threshold: int, threshold_seconds: int,
     time - last exec time.  A delay >= threshold while not idle is reported;
     ``alert`` is false inside the ignored hours (logged, not sent)."""
     s = with_sleeping(metrics, idle_threshold).where((F.col("batch_id") + 1) % F.lit(check_every) == 0)
-    delay_us = F.unix_micros(F.col("batch_end").cast("timestamp")) - F.unix_micros(F.col("last_exec_time").cast("timestamp"))
+    delay_us = F.timestamp_diff("MICROSECOND", F.col("last_exec_time"), F.col("batch_end"))
     hour = F.hour("batch_end")
     return s.where((delay_us >= F.lit(threshold_seconds * 1_000_000)) & (F.col("sleeping_batches") == 0)).select(
         "batch_id", F.col("batch_end").alias("check_time"), F.floor(delay_us / F.lit(1_000_000)).alias("delay_seconds"),
