@@ -27,21 +27,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.cells import is_written, written_value
 from tidemark.functions.keys import DEFAULT_CONNECTOR, row_key
 from tidemark.schema import IMAGE, SOURCE_WIPE_OPS
 
-CONTRIB = T.StructType(
-    [
-        T.StructField("tag", T.StringType()),
-        T.StructField("row_key", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("value", T.StringType()),
-    ]
-)
-
 STATE_KEY = ["source_key", "row_key"]
 REDUCED_KEY = ["source_key", "row_key", "tag", "name"]
 

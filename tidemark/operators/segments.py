@@ -22,11 +22,6 @@ def segment_id(ts: Column | str, granularity: str = DAILY) -> Column:
     return F.date_format(c, SEGMENT_FORMAT.get(granularity, SEGMENT_FORMAT[HOURLY]))
 
 
-def segment_start(ts: Column | str, granularity: str = DAILY) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc("day" if granularity == DAILY else "hour", c).cast("timestamp_ntz")
-
-
 def segment_counts(changes: DataFrame, granularity: str = DAILY) -> DataFrame:
     """Events per (source, segment, op)."""
     return changes.groupBy("source_key", segment_id("exec_time", granularity).alias("segment"), "op").agg(F.count(F.lit(1)).alias("n_events"))
