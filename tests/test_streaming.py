@@ -92,3 +92,35 @@ def test_forward_stream_writes_every_forwarded_change(spark):
     got = out.select(F.from_json("value", "seq long, op string").alias("v")).select("v.seq", "v.op")
     assert sorted(map(tuple, got.collect())) == sorted((r.seq, r.op) for r in df.join(expected.select("seq"), "seq").collect())
     assert {r.topic for r in out.select("topic").distinct().collect()} == {"inst"}
+
+
+def test_watermark_closes_segments_and_drops_late_events(spark):
+    import datetime
+
+    from tidemark.streaming.apply_stream import change_stream
+    from tidemark.streaming.segments_stream import run_closed_segment_counts
+
+    def rows(day, hour, n, seq0):
+        out = random_log(n, 5, seq0)
+        for i, r in enumerate(out):
+            r["op"] = "INSERT" if r["op"] not in ("INSERT", "UPDATE", "DELETE") else r["op"]
+            r["after"] = r["after"] or r["before"]
+            r["exec_time"] = datetime.datetime(2024, 1, day, hour) + datetime.timedelta(seconds=i)
+            r["seq"] = seq0 * 100000 + i
+        return out
+
+    run = scratch_path(spark, f"t-wm-{uuid.uuid4().hex}")
+    on_time = rows(2, 12, 30, 1)
+    later = rows(5, 12, 10, 2)
+    later2 = rows(5, 13, 5, 4)
+    # Day 2 again, arriving after a micro-batch whose watermark (day 5, 11:00)
+    # already closed day 2's window: Spark drops these rows as late.
+    late = rows(2, 8, 7, 3)
+    for part in (on_time, later, later2, late):
+        to_df(spark, part).coalesce(1).write.mode("append").parquet(f"{run}/in")
+    q = run_closed_segment_counts(change_stream(spark, f"{run}/in", max_files_per_trigger=1), f"{run}/out", f"{run}/ckpt")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{run}/out")
+    day2 = sum(r.n_events for r in got.where("segment = '20240102'").collect())
+    assert day2 == len(on_time)  # the late day-2 events were dropped, the segment emitted once
+    assert got.where("segment = '20240105'").count() == 0  # still open: watermark not past its end

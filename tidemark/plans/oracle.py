@@ -487,3 +487,11 @@ FROM orders_chg c JOIN d ON c.k = d.k
 WHERE d.version > coalesce(d.del_seq, -1)
 GROUP BY c.k
 """
+
+ORACLE["segment_close_stream"] = f"""
+WITH {EVENTS_CHG}
+SELECT 'app.users' AS source_key, strftime(exec_time, '%Y%m%d') AS segment, op, count(*) AS n_events
+FROM events_chg
+WHERE date_trunc('day', exec_time) + INTERVAL 1 DAY <= (SELECT max(exec_time) FROM events_chg) - INTERVAL 1 HOUR
+GROUP BY ALL
+"""

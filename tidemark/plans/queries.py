@@ -32,6 +32,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 from tidemark.streaming import apply_stream as STR
 from tidemark.streaming import forward as FWD
+from tidemark.streaming import segments_stream as SEGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -459,3 +460,19 @@ def apply_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = FX.orders_changelog(spark, sf_dir).unionByName(FX.orders_schema_events(spark, sf_dir))
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_status", "o_state", "o_totalprice", "o_orderdate", "o_orderpriority"]
     return A.to_columns(SA.apply_with_schema(log), cols, extra=["row_key", "version"])
+
+
+STREAM_LATENESS = "1 hour"
+
+
+@query
+def segment_close_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily segments of the users log closed by the event-time watermark in a
+    file stream (files land in time order, one per six days, one file per
+    micro-batch); each closed segment's counts are emitted once (T1, T8)."""
+    run = scratch_path(spark, f"segment-close-{uuid.uuid4().hex}")
+    FX.write_in_time_order(FX.events_changelog(spark, sf_dir), f"{run}/input")
+    q = SEGS.run_closed_segment_counts(STR.change_stream(spark, f"{run}/input", max_files_per_trigger=1), f"{run}/out", f"{run}/checkpoint",
+                                       lateness=STREAM_LATENESS)
+    q.awaitTermination()
+    return spark.read.schema("source_key string, segment string, op string, n_events long").parquet(f"{run}/out")

@@ -294,3 +294,20 @@ def orders_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("t").cast("timestamp_ntz").alias("exec_time"), F.lit("ALTER").alias("op"), F.col("e.ddl").alias("ddl"),
         F.col("e.seq").alias("seq"), _empty().alias("before"), _empty().alias("after"),
     )
+
+
+def write_in_time_order(df: DataFrame, path: str, chunk_days: int = 6) -> None:
+    """Write a stand-in log as one file per ``chunk_days`` of event time, in
+    time order, the way a live feed lands files (one write per chunk)."""
+    lo, hi = df.agg(F.min("exec_time"), F.max("exec_time")).first()
+    if lo is None:
+        return
+    import datetime
+
+    start = datetime.datetime(lo.year, lo.month, lo.day)
+    step = datetime.timedelta(days=chunk_days)
+    while start <= hi:
+        end = start + step
+        part = df.where((F.col("exec_time") >= F.lit(start).cast("timestamp_ntz")) & (F.col("exec_time") < F.lit(end).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("append").parquet(path)
+        start = end
