@@ -495,3 +495,9 @@ FROM events_chg
 WHERE date_trunc('day', exec_time) + INTERVAL 1 DAY <= (SELECT max(exec_time) FROM events_chg) - INTERVAL 1 HOUR
 GROUP BY ALL
 """
+
+ORACLE["rollup_stream"] = _ABSENT_INSERTS + """
+SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus, count(*) AS "count",
+       CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS o_totalprice_accumulation
+FROM ins GROUP BY o_orderstatus
+"""

@@ -32,6 +32,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 from tidemark.streaming import apply_stream as STR
 from tidemark.streaming import forward as FWD
+from tidemark.streaming import rollup_stream as RST
 from tidemark.streaming import segments_stream as SEGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -476,3 +477,16 @@ def segment_close_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        lateness=STREAM_LATENESS)
     q.awaitTermination()
     return spark.read.schema("source_key string, segment string, op string, n_events long").parquet(f"{run}/out")
+
+
+@query
+def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUM and COUNT of orders per status maintained by a file stream: each
+    micro-batch adds the inserts that hit absent rows, judged against the
+    apply state before the batch, then folds the batch into the state (G3, G4)."""
+    run = scratch_path(spark, f"rollup-stream-{uuid.uuid4().hex}")
+    FX.write_in_seq_order(FX.orders_changelog(spark, sf_dir), f"{run}/input")
+    q = RST.run_rollup_stream(spark, f"{run}/input", f"{run}/state", f"{run}/rollup", f"{run}/checkpoint",
+                              ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1, buckets=16)
+    q.awaitTermination()
+    return RST.current_rollup(spark, f"{run}/rollup", ["o_orderstatus"], ["o_totalprice"], "rollup.orders")

@@ -2,8 +2,9 @@
 
 ``readStream`` of change-log files -> ``foreachBatch(merge_batch)``; the
 stream checkpoint replaces the reference's ack, and the state store's
-manifest makes every micro-batch idempotent, so delivery is effectively
-exactly-once even though batches may be replayed.
+commit marker (one delta folder per batch id, skipped when already there)
+makes every micro-batch idempotent, so delivery is effectively exactly-once
+even though batches may be replayed.
 """
 
 from __future__ import annotations
