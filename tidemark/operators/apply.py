@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cells import is_written, written_value
 from tidemark.functions.keys import DEFAULT_CONNECTOR, row_key
+from tidemark.operators.joins import join_small
 from tidemark.schema import IMAGE, SOURCE_WIPE_OPS
 
 STATE_KEY = ["source_key", "row_key"]
@@ -124,8 +125,8 @@ def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame
 
     Source-wide wipes ``(source_key, wipe_seq)`` come from ``source_wipes`` or,
     when not given, from the reduced ``wipe`` records (a stored state).  They
-    are joined per ``source_key``: one row per source, so adaptive execution
-    broadcasts the side once its measured size is small.
+    hold one row per source and are joined through ``join_small``: counted,
+    then broadcast, so the reduced records are never shuffled by source.
     """
     rows = reduced.where(F.col("tag") != "wipe")
     if wipes is None:
@@ -134,7 +135,7 @@ def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame
     per_key = Window.partitionBy(*STATE_KEY)
     floor = F.greatest(F.coalesce(F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key), low), F.coalesce("wipe_seq", low))
     ranked = (
-        rows.join(wipes, "source_key", "left")
+        join_small(rows, wipes, "source_key", "left")
         .withColumns({"_floor": floor, "version": F.max(F.when(F.col("tag") == "live", F.col("seq"))).over(per_key)})
         .where((F.col("version") > F.col("_floor")) & ((F.col("tag") == "live") | ((F.col("tag") == "cell") & (F.col("seq") > F.col("_floor")))))
     )

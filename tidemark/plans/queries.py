@@ -485,7 +485,7 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     micro-batch adds the inserts that hit absent rows, judged against the
     apply state before the batch, then folds the batch into the state (G3, G4)."""
     run = scratch_path(spark, f"rollup-stream-{uuid.uuid4().hex}")
-    FX.write_in_seq_order(FX.orders_changelog(spark, sf_dir), f"{run}/input")
+    FX.write_in_seq_order(FX.orders_changelog(spark, sf_dir), f"{run}/input", chunks=3)
     q = RST.run_rollup_stream(spark, f"{run}/input", f"{run}/state", f"{run}/rollup", f"{run}/checkpoint",
                               ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1, buckets=16)
     q.awaitTermination()
