@@ -62,3 +62,23 @@ def test_key_change_deletes_old_key_unless_kept(spark):
     df = to_df(spark, rows)
     assert set(state_as_dict(A.apply_changes(df))) == {("s.t", "2+s.t")}
     assert set(state_as_dict(A.apply_changes(df, keep_old_key=True))) == {("s.t", "1+s.t"), ("s.t", "2+s.t")}
+
+
+def test_logical_keys_from_mapping_override_key_flags(spark):
+    from helpers import cell
+
+    from tidemark.operators.mapping import route_changes
+
+    rows = [
+        dict(source_key="s.t", database="s", table="t", exec_time=None, op="INSERT", ddl=None, seq=1, before=None,
+             after=[cell("id", "7", key=True), cell("Region", "eu"), cell("v", "x")]),
+        dict(source_key="s.t", database="s", table="t", exec_time=None, op="INSERT", ddl=None, seq=2, before=None,
+             after=[cell("id", "7", key=True), cell("Region", "us"), cell("v", "y")]),
+    ]
+    mapping = spark.createDataFrame([("s.t", "dest", ["region", "id"])], "source_key string, destination string, keys array<string>")
+    routed = route_changes(to_df(spark, rows), mapping)
+    got = state_as_dict(A.apply_changes(routed, keys_col="keys"))
+    # logical key (id, region) in name order: values "7", "eu" -> reversed "ue+7"
+    assert got == {("s.t", "ue+7+s.t"): {"id": "7", "region": "eu", "v": "x"}, ("s.t", "su+7+s.t"): {"id": "7", "region": "us", "v": "y"}}
+    # with the key flags only, both inserts hit the same row
+    assert set(state_as_dict(A.apply_changes(to_df(spark, rows)))) == {("s.t", "7+s.t")}
