@@ -147,3 +147,29 @@ def test_rollup_stream_equals_batch_rollups_and_survives_replay(spark):
     sums = {r["a"]: r["c_accumulation"] for r in R.rollup_sum_stream(df, ["a"], ["c"], "d").collect()}
     counts = {r["a"]: r["count"] for r in R.rollup_count_stream(df, ["a"], "d").collect()}
     assert got == {(a, counts[a], sums[a]) for a in counts}
+
+
+def test_stream_folds_column_events_like_the_batch_apply(spark):
+    import random as _random
+
+    from helpers import cell
+
+    from tidemark.operators.schema_apply import apply_with_schema
+
+    rnd = _random.Random(8)
+    rows, seq = [], 0
+    for step in range(90):
+        seq += 10
+        k = rnd.randrange(6)
+        op = rnd.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"])
+        img = [cell("id", str(k), key=True), cell("a", f"a{step}"), cell("p", f"p{step}")]
+        before, after = (img, None) if op == "DELETE" else (None, img)
+        rows.append(dict(source_key="db.t", database="db", table="t", exec_time=None, op=op, ddl=None, seq=seq, before=before, after=after))
+    for s, text in [(305, "alter table t change a b int"), (605, "alter table t change b c int"), (805, "alter table t drop column p")]:
+        rows.append(dict(source_key="db.t", database="db", table="t", exec_time=None, op="ALTER", ddl=text, seq=s, before=None, after=None))
+    rows.sort(key=lambda r: r["seq"])
+    root = scratch_path(spark, f"t-colstream-{uuid.uuid4().hex}")
+    chunks = [rows[i:i + 25] for i in range(0, len(rows), 25)]
+    for i, part in enumerate(chunks):
+        merge_batch(spark, to_df(spark, part), i, root, buckets=4, compact_every=3)
+    assert state_as_dict(current_state(spark, root)) == state_as_dict(apply_with_schema(to_df(spark, rows)))

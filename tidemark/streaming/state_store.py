@@ -13,6 +13,15 @@ plus deltas and reduced again when read:
   Compaction also drops cells that sit below their row's newest delete: the
   delete marker stays, so a late cell older than it is still suppressed.
 
+Column events (DROP / rename of a column) of a batch are written first to
+``<root>/events/batch=<id>/`` (only for batches that carry DDL rows).  A
+batch's cells are remapped with all events known then, before its
+reduction, so cells on both sides of a rename stay apart; every read remaps
+all records again with all stored events, which covers rename chains and
+events arriving after their cells (changes of one source are expected in
+``seq`` order).  Whether any event exists is a directory listing, so a
+stream without schema changes pays nothing for this.
+
 A batch counts as committed when its directory holds the ``_SUCCESS`` marker
 that Spark's job commit writes last.  A committed batch id is skipped on
 replay, and a half-written one is overwritten, so replays after executor or
@@ -73,7 +82,27 @@ def layout(spark: SparkSession, root: str) -> tuple[int | None, list[int]]:
     return base, deltas
 
 
-def read_records(spark: SparkSession, root: str) -> DataFrame:
+EVENTS = "source_key string, name string, seq long, dropped boolean, new_name string"
+
+
+def stored_events(spark: SparkSession, root: str) -> DataFrame | None:
+    """All committed column events, or None when there are none (listing only)."""
+    ids = _committed(spark, _join(root, "events"), "batch=")
+    if not ids:
+        return None
+    return spark.read.schema(EVENTS).parquet(*[_join(root, "events", f"batch={i}") for i in ids]).distinct()
+
+
+def _remap(records: DataFrame, events: DataFrame | None) -> DataFrame:
+    """Cells moved or dropped by the column events after them."""
+    if events is None:
+        return records
+    from tidemark.operators.schema_apply import column_fates, remap_cells
+
+    return remap_cells(records, column_fates(events))
+
+
+def read_records(spark: SparkSession, root: str, reduce: bool = True) -> DataFrame:
     """Reduced records of the current state (base + deltas, reduced again)."""
     base, deltas = layout(spark, root)
     parts = []
@@ -84,7 +113,9 @@ def read_records(spark: SparkSession, root: str) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], REDUCED)
     recs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return recs if (base is None and len(deltas) == 1) or (base is not None and not deltas) else A.reduce_contributions(recs)
+    if not reduce or (base is None and len(deltas) == 1) or (base is not None and not deltas):
+        return recs
+    return A.reduce_contributions(recs)
 
 
 def merge_batch(spark: SparkSession, changes: DataFrame, batch_id: int, root: str, buckets: int = 64,
@@ -93,9 +124,15 @@ def merge_batch(spark: SparkSession, changes: DataFrame, batch_id: int, root: st
     base, deltas = layout(spark, root)
     if (base is not None and batch_id <= base) or batch_id in deltas:
         return
+    from tidemark.operators.ddl import DDL_OPS
+    from tidemark.operators.schema_apply import column_events
+
+    if changes.where(F.col("op").isin(*DDL_OPS) & F.col("ddl").isNotNull()).limit(1).count() > 0:
+        column_events(changes).write.mode("overwrite").parquet(_join(root, "events", f"batch={batch_id}"))
     keyed = A.with_row_keys(changes, apply_kw.get("keys_col"), apply_kw.get("connector", "+"), apply_kw.get("reverse", True))
-    red = A.reduce_contributions(A.contributions(keyed, apply_kw.get("keep_old_key", False), apply_kw.get("clean", True)))
-    red.write.mode("overwrite").parquet(_join(root, "delta", f"batch={batch_id}"))
+    contrib = A.contributions(keyed, apply_kw.get("keep_old_key", False), apply_kw.get("clean", True))
+    recs = _remap(contrib, stored_events(spark, root))
+    A.reduce_contributions(recs).write.mode("overwrite").parquet(_join(root, "delta", f"batch={batch_id}"))
     if len(deltas) + 1 >= compact_every:
         compact(spark, root, buckets)
 
@@ -106,7 +143,7 @@ def compact(spark: SparkSession, root: str, buckets: int = 64) -> int | None:
     if not deltas:
         return base
     top = deltas[-1]
-    recs = read_records(spark, root)
+    recs = A.reduce_contributions(_remap(read_records(spark, root, reduce=False), stored_events(spark, root)))
     per_key = Window.partitionBy(*A.STATE_KEY)
     floor = F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key)
     kept = recs.withColumn("_floor", floor).where((F.col("tag") != "cell") | F.col("_floor").isNull() | (F.col("seq") > F.col("_floor"))).drop("_floor")
@@ -120,4 +157,7 @@ def compact(spark: SparkSession, root: str, buckets: int = 64) -> int | None:
 
 def current_state(spark: SparkSession, root: str) -> DataFrame:
     """Materialized state ``(source_key, row_key, cells, version)``."""
-    return A.materialize(read_records(spark, root))
+    events = stored_events(spark, root)
+    if events is None:
+        return A.materialize(read_records(spark, root))
+    return A.materialize(A.reduce_contributions(_remap(read_records(spark, root, reduce=False), events)))
