@@ -35,17 +35,18 @@ def local_session(app: str = "tidemark", cores: str = "*", extra: dict | None =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and must be shared
-    storage; it is only read here.  When it is unset (local tests) a fresh
-    scratch folder is created and registered.
+    On a cluster the deployment sets the folder, which must be shared
+    storage; without it this raises.  Only a local session (tests) gets a
+    scratch folder of its own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
