@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, lines
+from tidemark.llm import chat, lines, neardup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +34,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format}
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
 
 _TEXTS = "select coalesce(doc_id, 9223372036854775807) as id, doc_id, coalesce(text, '') as text, row_number() over () as r from documents"
 
@@ -58,4 +62,15 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
   sum(escaped + 8 + 1 + 8)::bigint as formatted_chars
 from e group by conv_id""",
+    "op9_minhash_near_dedup": f"""
+with recursive d as ({_TEXTS}),
+w as (select id, r, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from d),
+s as (select id, r, list_distinct(case when len(ws) > 1 then list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) else ws end) as s from w),
+p as (select id, r, len(s) as n, unnest(s) as x from s),
+e as (select a.id as a, b.id as b from p a join p b on a.x = b.x and a.r <> b.r and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
+  group by a.id, b.id, a.r, b.r, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(id, x) as (select id, id from s union select reach.id, e.b from reach join e on reach.x = e.a),
+c as (select id, min(x) as c from reach group by id)
+select nullif(s.id, 9223372036854775807) as doc_id, len(s.s) as n_shingles, nullif(c.c, 9223372036854775807) as component_id, s.id = c.c as kept
+from s join c on s.id = c.id""",
 }
