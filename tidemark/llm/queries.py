@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, lines, neardup
+from tidemark.llm import chat, lines, neardup, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -38,11 +43,22 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
-QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
+QUERIES = {"op5_substring_dedup": op5_substring_dedup, "op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
 
 _TEXTS = "select coalesce(doc_id, 9223372036854775807) as id, doc_id, coalesce(text, '') as text, row_number() over () as r from documents"
 
 ORACLE = {
+    "op5_substring_dedup": f"""
+with d as ({_TEXTS}),
+w as (select id, doc_id, r, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from d),
+s as (select id, r, unnest(range(len(ws) - 19)) as s, ws from w where len(ws) >= 20),
+k as (select id, r, s, array_to_string(ws[s + 1:s + 20], ' ') as k from s),
+f as (select k, min({{'id': id, 's': s}}) as f from k group by k),
+g as (select distinct r, unnest(range(s, s + 20)) as pos from k join f on k.k = f.k where (k.id, k.s) > (f.f.id, f.f.s)),
+u as (select r, unnest(range(len(ws))) as pos, unnest(ws) as word from w),
+j as (select u.r, u.pos, word, g.r is not null as gone from u left join g on u.r = g.r and u.pos = g.pos),
+a as (select r, count(*) as n, count(*) filter (gone) as n_gone, string_agg(word, ' ' order by pos) filter (not gone) as kept from j group by r)
+select doc_id, coalesce(n, 0) as n_words, coalesce(n_gone, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join a on w.r = a.r""",
     "op7_line_dedup": f"""
 with d as ({_TEXTS}),
 s as (select r, id, string_split(text, chr(10)) as ls from d),
