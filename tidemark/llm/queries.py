@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, lines, neardup, substrings
+from tidemark.llm import chat, lines, neardup, packing, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -43,7 +47,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
-QUERIES = {"op5_substring_dedup": op5_substring_dedup, "op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
+QUERIES = {"op5_substring_dedup": op5_substring_dedup, "op6_best_fit_packing": op6_best_fit_packing, "op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
 
 _TEXTS = "select coalesce(doc_id, 9223372036854775807) as id, doc_id, coalesce(text, '') as text, row_number() over () as r from documents"
 
