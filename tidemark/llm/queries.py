@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, lines, neardup, packing, substrings
+from tidemark.llm import chat, langid, lines, neardup, packing, substrings, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op2_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -47,11 +59,40 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
-QUERIES = {"op5_substring_dedup": op5_substring_dedup, "op6_best_fit_packing": op6_best_fit_packing, "op7_line_dedup": op7_line_dedup, "op8_chat_format": op8_chat_format, "op9_minhash_near_dedup": op9_minhash_near_dedup}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op2_block_matrix_neighbours": op2_block_matrix_neighbours,
+    "op3_language_id": op3_language_id,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_chat_format": op8_chat_format,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
+}
+
 
 _TEXTS = "select coalesce(doc_id, 9223372036854775807) as id, doc_id, coalesce(text, '') as text, row_number() over () as r from documents"
 
+_VECTORS = "v as (select vec_id, embedding::double[] as v from embeddings where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)"
+
 ORACLE = {
+    "op1_exact_top_k": f"""
+with {_VECTORS},
+i as (select vec_id, list_transform(v, lambda x: floor(256 * x)) as v from v),
+p as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score from i q join i c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op2_block_matrix_neighbours": f"""
+with {_VECTORS},
+n as (select * from v where len(list_filter(v, lambda x: x <> 0)) > 0),
+p as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) as score from n q join n c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 20""",
     "op5_substring_dedup": f"""
 with d as ({_TEXTS}),
 w as (select id, doc_id, r, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from d),

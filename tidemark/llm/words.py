@@ -6,6 +6,7 @@ a longer character, so the cut can be made on bytes.  A null text has no words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -62,6 +63,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def chunks(batch: pa.RecordBatch, column: str = "_text", max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most so many bytes of text, or one row."""
+    size = np.diff(text_bytes(batch.column(column))[1])
+    total = np.concatenate([[0], np.cumsum(size)])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(total, total[at] + max_bytes, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def split(column: pa.Array, lower: bool = False) -> Words:
     """The words of every row of a string column."""
     data, at = text_bytes(column)
