@@ -38,6 +38,8 @@ WINDOW, ANCHOR = 20, 4
 HOT = 20_000
 DEPTHS = (7, 13, WINDOW)  #: prefix lengths at which branches are split and single leaves dropped
 CHUNK_WORDS = 1_000_000  #: words of one tree
+HELD_RUNS = 300_000  #: runs that a task combines at a time
+_STEP = 0x9FB21C651E98DF25
 RUN = "_id long, _fp long, s0 int, s1 int, key long, n int"
 
 
@@ -78,39 +80,43 @@ def anchored_runs(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of every document.  n is 0 for spans that repeat an earlier run of this batch, merged."""
-    for big in batches:
-        order = pa.RecordBatch.from_arrays([pa.array(np.argsort(big.column("_id").to_numpy(), kind="stable"))], names=["i"])
-        big = big.take(order.column(0))
-        for at in range(0, big.num_rows, 2048):
-            b = big.slice(at, 2048)
-            w = W.split(b.column("_text"))
-            h = W.word_hashes(w)
-            s0, s1, anchor = anchored_runs(h, w.first)
-            if not len(s0):
-                continue
-            doc = w.doc[s0]
-            ident, fp = b.column("_id").to_numpy()[doc], b.column("_fp").to_numpy()[doc]
-            # the run's whole content as two hashes
-            total = np.zeros(len(h) + 1, np.uint64)
-            up = W.powers(np.uint64(0x9FB21C651E98DF25), len(h) + 1)
-            down = W.powers(np.uint64(pow(0x9FB21C651E98DF25, -1, 2**64)), len(h) + 1)
-            np.cumsum(h * up[: len(h)], out=total[1:])
-            content = W.mix((total[s1 + WINDOW] - total[s0]) * down[s0] + (s1 - s0).astype(np.uint64))
-            start = s0 - w.first[doc]
-            by = np.lexsort((fp, start, ident, content))
-            same = np.r_[False, (content[by][1:] == content[by][:-1]) & (h[anchor[by[1:]]] == h[anchor[by[:-1]]])]
-            lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
-            earlier = np.zeros(len(by), bool)
-            earlier[by] = same & ((ident[by] != ident[lead]) | (start[by] != start[lead]))
-            again = np.zeros(len(by), bool)  # the same row once more
-            again[by[1:]] = same[1:] & (ident[by[1:]] == ident[by[:-1]]) & (start[by[1:]] == start[by[:-1]]) & (fp[by[1:]] == fp[by[:-1]])
-            again &= ~earlier
-            fresh = ~earlier & ~again
-            stop = s1 - w.first[doc]
-            key = W.runs(h, ANCHOR)[anchor].view(np.int64)
-            yield _batch(RUN, ident[fresh], fp[fresh], start[fresh].astype(np.int32), stop[fresh].astype(np.int32), key[fresh], np.ones(fresh.sum(), np.int32))
-            yield _spans(ident[earlier], fp[earlier], doc[earlier], start[earlier], stop[earlier])
+    """Runs of every document.  n is 0 for spans that repeat an earlier run seen by this task, merged."""
+    held: list[tuple] = []
+    for b in (c for big in batches for c in W.chunks(big)):
+        w = W.split(b.column("_text"))
+        h = W.word_hashes(w)
+        s0, s1, anchor = anchored_runs(h, w.first)
+        if not len(s0):
+            continue
+        doc = w.doc[s0]
+        # the run's whole content as one hash, its anchor as another
+        up, down = (W.powers(np.uint64(x), len(h) + 1) for x in (_STEP, pow(_STEP, -1, 2**64)))
+        total = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * up[: len(h)], out=total[1:])
+        content = W.mix((total[s1 + WINDOW] - total[s0]) * down[s0] + (s1 - s0).astype(np.uint64))
+        at = w.first[doc]
+        held.append((b.column("_id").to_numpy()[doc], b.column("_fp").to_numpy()[doc], (s0 - at).astype(np.int32), (s1 - at).astype(np.int32), W.runs(h, ANCHOR)[anchor].view(np.int64), content))
+        if sum(len(x[0]) for x in held) > HELD_RUNS:
+            yield from _combined(held)
+            held = []
+    if held:
+        yield from _combined(held)
+
+
+def _combined(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Equal runs as their earliest one and the spans of the others."""
+    ident, fp, s0, s1, key, content = (np.concatenate(x) for x in zip(*held, strict=True))
+    by = np.lexsort((fp, s0, ident, key, content))
+    same = np.r_[False, (content[by][1:] == content[by][:-1]) & (key[by][1:] == key[by][:-1])]
+    lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))]
+    earlier = np.zeros(len(by), bool)
+    earlier[by] = same & ((ident[by] != ident[lead]) | (s0[by] != s0[lead]))
+    again = np.zeros(len(by), bool)  # the same row once more
+    again[by[1:]] = same[1:] & (ident[by[1:]] == ident[by[:-1]]) & (s0[by[1:]] == s0[by[:-1]]) & (fp[by[1:]] == fp[by[:-1]])
+    fresh = ~earlier & ~again
+    yield _batch(RUN, *(x[fresh] for x in (ident, fp, s0, s1, key)), np.ones(fresh.sum(), np.int32))
+    doc = np.unique(np.stack([ident, fp]), axis=1, return_inverse=True)[1].ravel() if earlier.any() else ident
+    yield _spans(ident[earlier], fp[earlier], doc[earlier], s0[earlier], s1[earlier])
 
 
 def _spans(ident, fp, doc, start, stop) -> pa.RecordBatch:
@@ -143,8 +149,7 @@ CONTENT = "_id long, _fp long, s0 int, s1 int, part long, level int, words binar
 def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of each run, dealt by prefix.  level 0: one round, 1: split prefix, 2: a span that goes."""
     for big in batches:
-        for at in range(0, big.num_rows, 1024):
-            b = big.slice(at, 1024)
+        for b in W.chunks(big):
             w = W.split(b.column("_text"))
             h = W.word_hashes(w)
             runs = b.column("runs")
@@ -255,8 +260,7 @@ def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
-        for at in range(0, big.num_rows, 512):
-            b = big.slice(at, 512)
+        for b in W.chunks(big):
             texts, n_words, n_gone = [], [], []
             for text, spans in zip(b.column("_text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist(), strict=True):
                 ws = text.split()  # bytes split at the six blanks and nothing else
