@@ -24,7 +24,7 @@ from tidemark.llm.common import cut
 
 TOKENIZER = "word_bpe_49k.json"
 SIZE, GROUP, LOOSE = 2048, 16_000, 16
-CACHE_WORDS = 500_000  #: words whose ids a worker remembers
+CACHE_WORDS = 250_000  #: words whose ids a worker remembers, and as many that it has not met since
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -39,10 +39,15 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
+        if word in self.older:
+            self[word] = self.older[word]
+            return self[word]
         lower = word.lower()
         if word.isascii() and word.isalpha():  # plain letters are one piece and need no normalising
             ids = self[lower] if lower != word else _bytes([t.id for t in self.tokenizer.model.tokenize(word.decode())])
