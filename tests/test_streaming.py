@@ -131,9 +131,9 @@ def test_rollup_stream_equals_batch_rollups_and_survives_replay(spark):
     from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch
 
     rows = sorted(random_log(300, 12, 41), key=lambda r: r["seq"])
-    rows = [r for r in rows if r["op"] != "TRUNCATE"]
+    assert any(r["op"] == "TRUNCATE" for r in rows)
     for r in rows:
-        img = r["after"] or r["before"]
+        img = r["after"] or r["before"] or []
         for c in img:
             if c["name"] == "c":
                 c.update(value=str(len(c["value"] or "")) if not c["is_null"] else None)

@@ -9,17 +9,10 @@ from tidemark.functions.cells import image_to_map
 from tidemark.operators import apply as A
 from tidemark.schema import IGNORED_OPS, IMAGE, ROW_OPS, SCHEMA_OPS
 
-AUDIT_WIDTH = 100
-
-
-def shorten(v: Column, width: int = AUDIT_WIDTH) -> Column:
-    """Values longer than ``width`` characters cut to ``width`` + '...'."""
-    return F.when(F.length(v) > width, F.concat(F.substring(v, 1, width), F.lit("..."))).otherwise(v)
-
-
-def column_audit(changes: DataFrame, width: int = AUDIT_WIDTH) -> DataFrame:
+def column_audit(changes: DataFrame) -> DataFrame:
     """One row per changed column: UPDATE -> updated columns with before and
-    after value; INSERT -> after value only; DELETE -> before value only."""
+    after value; INSERT -> after value only; DELETE -> before value only.
+    Values are whole, whatever their length."""
     op = F.col("op")
     before = F.coalesce("before", F.array().cast(IMAGE))
     after = F.coalesce("after", F.array().cast(IMAGE))
@@ -37,7 +30,7 @@ def column_audit(changes: DataFrame, width: int = AUDIT_WIDTH) -> DataFrame:
     items = F.when(op == "UPDATE", upd).when(op == "INSERT", ins).when(op == "DELETE", dele)
     return changes.select("source_key", "seq", "op", F.explode(items).alias("a")).select(
         "source_key", "seq", "op", F.col("a.column_name").alias("column_name"),
-        shorten(F.col("a.before_value"), width).alias("before_value"), shorten(F.col("a.after_value"), width).alias("after_value"),
+        F.col("a.before_value").alias("before_value"), F.col("a.after_value").alias("after_value"),
     )
 
 
@@ -64,7 +57,10 @@ def top_by_seq(df: DataFrame, group: list[str], n: int, salts: int = 16) -> Data
 
 def cell_versions(changes: DataFrame, n: int = 1, keys_col: str | None = None) -> DataFrame:
     """The last ``n`` versions of every cell of every live row, newest = 1;
-    versions older than the row's newest delete are gone with the row."""
+    versions older than the row's newest delete are gone with the row.
+
+    Cells are ranked first; a delete cuts a cell's versions off from below, so
+    only the at most ``n`` newest of each cell meet their row's markers."""
     contrib = A.contributions(A.with_row_keys(changes, keys_col))
     rows = (
         contrib.where(F.col("tag").isin("del", "live"))
@@ -72,8 +68,8 @@ def cell_versions(changes: DataFrame, n: int = 1, keys_col: str | None = None) -
         .agg(F.max(F.when(F.col("tag") == "del", F.col("seq"))).alias("del_seq"), F.max(F.when(F.col("tag") == "live", F.col("seq"))).alias("live_seq"))
         .where(F.col("live_seq") > F.coalesce("del_seq", F.lit(-(2**63))))
     )
-    cells = contrib.where(F.col("tag") == "cell").join(rows, A.STATE_KEY).where(F.col("seq") > F.coalesce("del_seq", F.lit(-(2**63))))
-    return top_by_seq(cells.select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_KEY, "name"], n)
+    newest = top_by_seq(contrib.where(F.col("tag") == "cell").select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_KEY, "name"], n)
+    return newest.join(rows, A.STATE_KEY).where(F.col("seq") > F.coalesce("del_seq", F.lit(-(2**63)))).drop("del_seq", "live_seq")
 
 
 def op_class(op: Column) -> Column:

@@ -37,12 +37,12 @@ def page_bounds(df: DataFrame, column: str) -> tuple:
 
 
 def paged(df: DataFrame, column: str, page_size: int) -> DataFrame:
-    """Rows with ``page = floor((c - min) / size)``; nothing when ``max <= 0`` or
-    ``min < 0`` (the reference's guard).  Pages are ``[min + i*size, min + (i+1)*size)``."""
+    """Every row with ``page = floor((c - min) / size)``; pages are
+    ``[min + i*size, min + (i+1)*size)``, wherever ``min`` lies.  Rows with a
+    null key are a page of their own, whose number and bounds are null."""
     lo, hi = page_bounds(df, column)
     return (
-        df.where((hi > 0) & (lo >= 0))
-        .withColumn("page", F.floor((F.col(column) - lo) / F.lit(page_size)).cast("long"))
+        df.withColumn("page", F.floor((F.col(column) - lo) / F.lit(page_size)).cast("long"))
         .withColumn("page_lo", lo + F.col("page") * page_size)
         .withColumn("page_hi", lo + (F.col("page") + 1) * page_size)
         .withColumn("n_pages", F.ceil((hi - lo + 1) / F.lit(page_size)).cast("long"))

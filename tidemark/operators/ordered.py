@@ -12,8 +12,7 @@ one task; a single source (or row key) may hold a third of a change log.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCKS = 256
@@ -22,16 +21,20 @@ DEFAULT_BLOCKS = 256
 def _block_bounds(df: DataFrame, order: str, blocks: int) -> list[float]:
     probs = [i / blocks for i in range(1, blocks)]
     qs = df.select(F.col(order).cast("double").alias("o")).approxQuantile("o", probs, 1.0 / (4 * blocks))
-    inner = sorted({q for q in qs if q is not None})
-    return [float("-inf"), *inner, float("inf")]
+    return sorted({q for q in qs if q is not None})
+
+
+def _block_of(value: Column, bounds: list[float], first: int = 0) -> Column:
+    """The number of bounds at or below a value, as a tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(value < bounds[mid], _block_of(value, bounds[:mid], first)).otherwise(_block_of(value, bounds[mid + 1 :], first + mid + 1))
 
 
 def with_block(df: DataFrame, order: str, blocks: int = DEFAULT_BLOCKS) -> DataFrame:
     """Add ``_blk``: index of the quantile block of ``order``."""
-    bounds = _block_bounds(df, order, blocks)
-    b = Bucketizer(splits=bounds, inputCol="_o", outputCol="_blkd", handleInvalid="keep")
-    out = b.transform(df.withColumn("_o", F.col(order).cast("double")))
-    return out.withColumn("_blk", F.col("_blkd").cast("int")).drop("_o", "_blkd")
+    return df.withColumn("_blk", _block_of(F.col(order).cast("double"), _block_bounds(df, order, blocks)))
 
 
 def previous_row(df: DataFrame, by: list[str], order: str, cols: list[str], prefix: str = "prev_", blocks: int = DEFAULT_BLOCKS) -> DataFrame:

@@ -7,15 +7,28 @@ to build the roll-up row key, in batch and in stream form alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.keys import DEFAULT_CONNECTOR, row_key_from_columns
 from tidemark.operators import apply as A
 from tidemark.operators.ordered import previous_row
+from tidemark.schema import SOURCE_WIPE_OPS
 
+# Names of the roll-up columns.
 SUM_SUFFIX = "_accumulation"
 COUNT_COLUMN = "count"
+# Texts and floating-point columns are added up as exact decimals of this type.
+SUMMED_AS = "decimal(28,10)"
+
+
+def summable(df: DataFrame, column: str) -> Column:
+    """The column as it is added up: whole numbers and decimals as they are,
+    anything else as ``SUMMED_AS``, so fractions stay and order does not matter."""
+    kind = df.schema[column].dataType
+    exact = isinstance(kind, (T.IntegralType, T.DecimalType))
+    return F.col(column) if exact else F.col(column).cast(SUMMED_AS)
 
 
 def _keyed(df: DataFrame, groups: list[str], dest: str, connector: str, reverse: bool) -> DataFrame:
@@ -24,8 +37,8 @@ def _keyed(df: DataFrame, groups: list[str], dest: str, connector: str, reverse:
 
 
 def rollup_sum(df: DataFrame, groups: list[str], columns: list[str], dest: str, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> DataFrame:
-    """``<col>_accumulation`` = SUM of each column as BIGINT per group."""
-    agg = df.groupBy(*groups).agg(*[F.sum(F.col(c).cast("long")).alias(c + SUM_SUFFIX) for c in columns])
+    """``<col>_accumulation`` = exact SUM of each column per group (``summable``)."""
+    agg = df.groupBy(*groups).agg(*[F.sum(summable(df, c)).alias(c + SUM_SUFFIX) for c in columns])
     return _keyed(agg, groups, dest, connector, reverse)
 
 
@@ -39,23 +52,40 @@ def rollup_paged(df: DataFrame, page_col: str, page_size: int, groups: list[str]
     """Page-wise partial sums added up: ``groupBy(page, g)`` then ``groupBy(g)``."""
     lo = df.select(F.min(page_col)).scalar()
     paged = df.withColumn("_page", F.floor((F.col(page_col) - lo) / F.lit(page_size)))
-    parts = paged.groupBy("_page", *groups).agg(*[F.sum(F.col(c).cast("long")).alias(c) for c in columns])
+    parts = paged.groupBy("_page", *groups).agg(*[F.sum(summable(df, c)).cast(SUMMED_AS).alias(c) for c in columns])
     return rollup_sum(parts, groups, columns, dest, **kw)
 
 
 def absent_inserts(changes: DataFrame, fields: list[str], keys_col: str | None = None, blocks: int = 256) -> DataFrame:
-    """INSERT events that hit an absent row: the row has no earlier event, or
-    its previous event (by ``seq``) was a DELETE.  Returns
+    """INSERT events that hit an absent row: the row has no earlier event, its
+    previous event (by ``seq``) was a DELETE or an UPDATE that gave the row
+    another key, or its source was truncated or dropped since.  Returns
     ``(source_key, row_key, seq, *fields)`` with the inserted (written) values
     of ``fields``; only these columns travel through the ordering shuffle."""
+    prev = previous_row(row_events(changes, fields, keys_col), ["source_key", "row_key"], "seq", ["op"], blocks=blocks)
+    hits = prev.where(F.col("op") == "INSERT")
+    since = F.get(F.filter("wipes", lambda w: (w < F.col("seq")) & (w > F.col("prev_seq"))), 0)
+    absent = F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE") | since.isNotNull()
+    return hits.join(wipe_times(changes), "source_key", "left").where(absent).select("source_key", "row_key", "seq", *fields)
+
+
+def row_events(changes: DataFrame, fields: list[str], keys_col: str | None = None) -> DataFrame:
+    """``(source_key, row_key, seq, op, *fields)``: one event per row key that a
+    change touches; an UPDATE that changes the key deletes the old one."""
     from tidemark.functions.cells import image_to_map
 
-    keyed = A.with_row_keys(changes, keys_col).where(F.col("row_key").isNotNull() & F.col("op").isin("INSERT", "UPDATE", "DELETE"))
+    keyed = A.with_row_keys(changes, keys_col).where(F.col("op").isin("INSERT", "UPDATE", "DELETE"))
     cells = F.when(F.col("op") == "INSERT", image_to_map(F.col("after"), F.col("op")))
-    slim = keyed.select("source_key", "row_key", "seq", "op", *[cells[f.lower()].alias(f) for f in fields])
-    prev = previous_row(slim, ["source_key", "row_key"], "seq", ["op"], blocks=blocks)
-    hit = (F.col("op") == "INSERT") & (F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE"))
-    return prev.where(hit).select("source_key", "row_key", "seq", *fields)
+    old = F.when(F.col("old_row_key") != F.col("row_key"), F.struct(F.col("old_row_key").alias("row_key"), F.lit("DELETE").alias("op")))
+    touched = F.explode(F.array_compact(F.array(F.struct("row_key", "op"), old))).alias("e")
+    slim = keyed.select("source_key", "seq", *[cells[f.lower()].alias(f) for f in fields], touched)
+    return slim.where(F.col("e.row_key").isNotNull()).select("source_key", F.col("e.row_key").alias("row_key"), "seq", F.col("e.op").alias("op"), *fields)
+
+
+def wipe_times(changes: DataFrame) -> DataFrame:
+    """``(source_key, wipes)``: when each source was truncated or dropped (schema events, few per source)."""
+    wiped = changes.where(F.col("op").isin(*SOURCE_WIPE_OPS))
+    return wiped.groupBy("source_key").agg(F.sort_array(F.collect_set("seq")).alias("wipes"))
 
 
 def rollup_sum_stream(changes: DataFrame, groups: list[str], columns: list[str], dest: str, **kw) -> DataFrame:

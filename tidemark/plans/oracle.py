@@ -69,11 +69,16 @@ FROM s GROUP BY segment
 
 _LI_SUM = """
 SELECT reverse(coalesce(l_linestatus, '') || '+' || coalesce(l_returnflag, '')) || '+rollup.lineitem' AS row_key,
-       l_linestatus, l_returnflag, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS l_quantity_accumulation
+       l_linestatus, l_returnflag, sum(CAST(l_quantity AS DECIMAL(28,10))) AS l_quantity_accumulation
 FROM lineitem GROUP BY l_linestatus, l_returnflag
 """
 ORACLE["rollup_sum"] = _LI_SUM
 ORACLE["rollup_paged"] = _LI_SUM
+ORACLE["rollup_sum_decimal"] = """
+SELECT reverse(CAST(l_suppkey AS VARCHAR)) || '+rollup.lineitem' AS row_key, l_suppkey,
+       sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS l_extendedprice_accumulation, sum(l_linenumber)::BIGINT AS l_linenumber_accumulation
+FROM lineitem GROUP BY l_suppkey
+"""
 
 ORACLE["rollup_count"] = """
 SELECT reverse(CAST(l_suppkey AS VARCHAR)) || '+count.lineitem' AS row_key, l_suppkey, count(*) AS "count"
@@ -88,7 +93,7 @@ ins AS (SELECT * FROM l WHERE op = 'INSERT' AND (prev_op IS NULL OR prev_op = 'D
 
 ORACLE["rollup_sum_stream"] = _ABSENT_INSERTS + """
 SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus,
-       CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS o_totalprice_accumulation
+       sum(CAST(o_totalprice AS DECIMAL(28,10))) AS o_totalprice_accumulation
 FROM ins GROUP BY o_orderstatus
 """
 
@@ -115,7 +120,16 @@ FROM part
 
 ORACLE["paged_scan"] = """
 WITH b AS (SELECT coalesce(min(o_orderkey), 0) AS lo, coalesce(max(o_orderkey), 0) AS hi FROM orders),
-p AS (SELECT CAST(floor((o_orderkey - lo) / 1000) AS BIGINT) AS page, lo, hi FROM orders, b WHERE hi > 0 AND lo >= 0)
+p AS (SELECT CAST(floor((o_orderkey - lo) / 1000) AS BIGINT) AS page, lo, hi FROM orders, b)
+SELECT page, lo + page * 1000 AS page_lo, lo + (page + 1) * 1000 AS page_hi,
+       CAST(ceil((hi - lo + 1) / 1000) AS BIGINT) AS n_pages, count(*) AS n_rows
+FROM p GROUP BY ALL
+"""
+
+ORACLE["paged_scan_signed"] = """
+WITH o AS (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey - 5000 END AS k FROM orders),
+b AS (SELECT min(k) AS lo, max(k) AS hi FROM o),
+p AS (SELECT CAST(floor((k - lo) / 1000) AS BIGINT) AS page, lo, hi FROM o, b)
 SELECT page, lo + page * 1000 AS page_lo, lo + (page + 1) * 1000 AS page_hi,
        CAST(ceil((hi - lo + 1) / 1000) AS BIGINT) AS n_pages, count(*) AS n_rows
 FROM p GROUP BY ALL
@@ -172,10 +186,26 @@ FROM wanted w LEFT JOIN m ON w.source_key = m.source_key
 
 ORACLE["decode_changes"] = f"""
 WITH {EVENTS_CHG}
-SELECT 'app.users' AS source_key, seq * 1024 AS seq, op, {EVENTS_ROW_KEY.format(k='k')} AS row_key, 4 AS n_cells
+SELECT 'app.users' AS source_key, seq * 65536 AS seq, op, {EVENTS_ROW_KEY.format(k='k')} AS row_key, 4 AS n_cells
 FROM events_chg
 """
 
+ORACLE["decode_multirow"] = """
+WITH e AS (SELECT *, event_id // 8000 AS block FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type, block ORDER BY event_id) - 1 AS pos,
+             min(event_id) OVER (PARTITION BY event_type, block) AS first_id, min(ts) OVER (PARTITION BY event_type, block) AS first_ts FROM e)
+SELECT 'app.users' AS source_key, (first_id * 8 + list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type)) * 65536 + pos AS seq, 'INSERT' AS op,
+       date_trunc('millisecond', first_ts) AS exec_time, CAST(event_id AS VARCHAR) AS event_id, event_type, props
+FROM r
+"""
+
+ORACLE["decode_rejects"] = """
+SELECT CASE event_id % 3 WHEN 0 THEN '{"entry_type": ' || event_id WHEN 1 THEN '{"offset": ' || event_id || '}'
+            ELSE '{"entry_type": "ROWDATA", "offset": ' || event_id || '}' END AS value,
+       CASE event_id % 3 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'no entry type' ELSE 'no event type' END AS reason
+FROM events WHERE event_id % 50 = 7
+"""
+
 ORACLE["subscription_filter"] = f"""
 WITH {ORDERS_CHG}
 SELECT 'shop.orders' AS source_key, op, count(*) AS n_events FROM orders_chg GROUP BY op
@@ -228,10 +258,6 @@ ORACLE["substring_index_fn"] = _substring_index("/") + "\nUNION ALL" + _substrin
 # ---- per-change views --------------------------------------------------------
 
 
-def _short(x: str) -> str:
-    return f"CASE WHEN length({x}) > 100 THEN substr({x}, 1, 100) || '...' ELSE {x} END"
-
-
 ORACLE["column_audit"] = f"""
 WITH c AS (SELECT *, 2 * (conv_id * 1000 + turn) AS s FROM conversations),
 a AS (
@@ -241,7 +267,7 @@ a AS (
   UNION ALL SELECT s, 'INSERT', 'text', NULL, text FROM c
   UNION ALL SELECT s + 1, 'UPDATE', 'text', text, text || ' (edited)' FROM c WHERE role = 'assistant'
 )
-SELECT 'chat.conversations' AS source_key, seq, op, column_name, {_short('b')} AS before_value, {_short('af')} AS after_value FROM a
+SELECT 'chat.conversations' AS source_key, seq, op, column_name, b AS before_value, af AS after_value FROM a
 """
 
 ORACLE["cell_versions"] = f"""
@@ -498,6 +524,6 @@ GROUP BY ALL
 
 ORACLE["rollup_stream"] = _ABSENT_INSERTS + """
 SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus, count(*) AS "count",
-       CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS o_totalprice_accumulation
+       sum(CAST(o_totalprice AS DECIMAL(28,10))) AS o_totalprice_accumulation
 FROM ins GROUP BY o_orderstatus
 """

@@ -98,6 +98,13 @@ def rollup_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.rollup_sum(li, ["l_returnflag", "l_linestatus"], ["l_quantity"], "rollup.lineitem")
 
 
+@query
+def rollup_sum_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUM roll-up of prices with fractions and of a whole-number column per supplier (G1)."""
+    li = table(spark, sf_dir, "lineitem")
+    return R.rollup_sum(li, ["l_suppkey"], ["l_extendedprice", "l_linenumber"], "rollup.lineitem")
+
+
 @query
 def rollup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COUNT roll-up of lineitem per supplier."""
@@ -163,6 +170,13 @@ def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.page_summary(table(spark, sf_dir, "orders"), "o_orderkey", 1000)
 
 
+@query
+def paged_scan_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a key that begins below zero and is null in some rows."""
+    o = table(spark, sf_dir, "orders")
+    return L.page_summary(o.select(F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey") - 5000).alias("k")), "k", 1000)
+
+
 @query
 def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer shards and the renamed supplier table as one keyed frame."""
@@ -215,6 +229,21 @@ def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.select("source_key", "seq", "op", "row_key", F.size(F.coalesce("after", "before")).alias("n_cells"))
 
 
+@query
+def decode_multirow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of many rows decoded with their values and times."""
+    ch = DEC.decode_changes(FX.multirow_entries(spark, sf_dir))
+    cells = F.map_from_entries(F.transform("after", lambda c: F.struct(c["name"], c["value"])))
+    return ch.select("source_key", "seq", "op", "exec_time", *[cells[c].alias(c) for c in ("event_id", "event_type", "props")])
+
+
+@query
+def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a feed that are no entries, with the reason."""
+    feed = DEC.encode_entries(FX.events_changelog(spark, sf_dir)).unionByName(FX.broken_lines(spark, sf_dir))
+    return DEC.decode_rejects(feed)
+
+
 @query
 def subscription_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of tables matching the subscription pattern, counted per op."""
@@ -294,7 +323,7 @@ def substring_index_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column-level audit of conversation changes, long values shortened."""
+    """Column-level audit of conversation changes, whole values."""
     return AU.column_audit(FX.conversations_changelog(spark, sf_dir))
 
 

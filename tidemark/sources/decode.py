@@ -31,17 +31,23 @@ ENTRY = T.StructType(
 
 # Transaction marker entry types, dropped before decoding.
 TRANSACTION_MARKERS = ("TRANSACTIONBEGIN", "TRANSACTIONEND")
-# seq = ((log_file << OFFSET_BITS) + offset) << ROW_BITS + row index
-OFFSET_BITS, ROW_BITS = 36, 10
+# seq = ((log_file << OFFSET_BITS) + offset) << ROW_BITS + row index: 32 768 log files of 4 GiB, 65 536 rows an entry
+FILE_BITS, OFFSET_BITS, ROW_BITS = 15, 32, 16
 
 
 def fold_seq(log_file: Column, offset: Column, row: Column) -> Column:
-    return F.shiftleft(F.shiftleft(log_file, OFFSET_BITS) + offset, ROW_BITS) + row
+    """One BIGINT in the order of (log file, offset, row); a value that does not
+    fit raises, as a folded seq would silently collide with another."""
+    fits = log_file.between(0, 2**FILE_BITS - 1) & offset.between(0, 2**OFFSET_BITS - 1) & row.between(0, 2**ROW_BITS - 1)
+    place = F.concat_ws(", ", log_file, offset, row)
+    return F.when(fits, F.shiftleft(F.shiftleft(log_file, OFFSET_BITS) + offset, ROW_BITS) + row).otherwise(
+        F.raise_error(F.concat(F.lit("log file, offset or row index out of range: "), place)).cast("long"))
 
 
 def decode_changes(lines: DataFrame, value_col: str = "value", source_prefix: str = "") -> DataFrame:
-    """JSON entries -> change-log rows (one per row of every data entry)."""
-    e = lines.select(F.from_json(F.col(value_col), ENTRY).alias("e")).select("e.*")
+    """JSON entries -> change-log rows (one per row of every data entry).
+    Lines that cannot be decoded are in ``decode_rejects``."""
+    e = lines.select(F.from_json(F.col(value_col), ENTRY).alias("e"), reject_reason(value_col).alias("reason")).where("reason is null").select("e.*")
     data = e.where(~F.col("entry_type").isin(*TRANSACTION_MARKERS))
     rows = data.select("*", F.posexplode_outer("rows").alias("_pos", "_row"))
     return rows.select(
@@ -57,6 +63,25 @@ def decode_changes(lines: DataFrame, value_col: str = "value", source_prefix: st
     ).select(*CHANGELOG_COLUMNS)
 
 
+def reject_reason(value_col: str = "value") -> Column:
+    """Why a line is no entry; null for entries and transaction markers."""
+    e = F.from_json(F.col(value_col), ENTRY)
+    marker = F.coalesce(e["entry_type"].isin(*TRANSACTION_MARKERS), F.lit(False))
+    parsed = F.try_parse_json(F.col(value_col)).isNotNull()
+    return (
+        F.when(~parsed | F.col(value_col).isNull(), "not JSON")
+        .when(e["entry_type"].isNull(), "no entry type")
+        .when(~marker & e["event_type"].isNull(), "no event type")
+        .when(~marker & e["offset"].isNull(), "no offset")
+    )
+
+
+def decode_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """``(value, reason)`` of the lines that ``decode_changes`` leaves out,
+    transaction markers aside."""
+    return lines.select(F.col(value_col).alias("value"), reject_reason(value_col).alias("reason")).where("reason is not null")
+
+
 def encode_entries(changes: DataFrame, log_file: int = 0) -> DataFrame:
     """Change rows -> JSON entries with transaction markers (for tests and
     stand-in feeds); ``offset`` = the change's ``seq``."""

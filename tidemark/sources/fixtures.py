@@ -323,3 +323,29 @@ def write_in_seq_order(df: DataFrame, path: str, chunks: int = 5) -> None:
     for i in range(chunks):
         a, b = lo + i * width, lo + (i + 1) * width
         df.where((F.col("seq") >= a) & (F.col("seq") < b)).coalesce(1).write.mode("append").parquet(path)
+
+
+def multirow_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON entries that carry many rows each: the events of one type and 8000
+    consecutive ids are one INSERT entry, rows in id order."""
+    e = table(spark, sf_dir, "events").withColumn("block", F.expr("event_id div 8000"))
+    after = image(cell("event_id", F.col("event_id"), key=True), cell("event_type", F.col("event_type")), cell("props", F.col("props")))
+    rows = e.groupBy("event_type", "block").agg(
+        F.min("event_id").alias("at"), F.min("ts").alias("ts"),
+        F.sort_array(F.collect_list(F.struct("event_id", _empty().alias("before"), after.alias("after")))).alias("r"))
+    kinds = F.array(*[F.lit(x) for x in ("click", "error", "purchase", "signup", "view")])
+    return rows.select(F.to_json(F.struct(
+        F.lit("ROWDATA").alias("entry_type"), F.lit("INSERT").alias("event_type"), F.lit("app").alias("database"), F.lit("users").alias("table"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("execute_time"), F.lit(0).cast("long").alias("log_file"),
+        (F.col("at") * 8 + F.array_position(kinds, F.col("event_type"))).alias("offset"), F.lit(None).cast("string").alias("ddl"),
+        F.transform("r", lambda x: F.struct(x["before"].alias("before"), x["after"].alias("after"))).alias("rows"))).alias("value"))
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are cut off, have no entry type, or no event type."""
+    e = table(spark, sf_dir, "events").where("event_id % 50 = 7")
+    i = F.col("event_id").cast("string")
+    text = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"entry_type": '), i))
+            .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"offset": '), i, F.lit("}")))
+            .otherwise(F.concat(F.lit('{"entry_type": "ROWDATA", "offset": '), i, F.lit("}"))))
+    return e.select(text.alias("value"))

@@ -3,7 +3,8 @@
 Per micro-batch, before the batch is folded into the apply state:
 
 1. the batch's INSERTs that hit an absent row are found: a row is absent if
-   its previous event (inside the batch, in ``seq`` order) is a DELETE or
+   its previous event (inside the batch, in ``seq`` order) is a DELETE or an
+   UPDATE to another key, or its source was truncated or dropped since, or
    there is none and the state has no live row for it (the state's newest
    live/delete markers of the batch's keys stand in for the earlier events);
 2. their partial SUM / COUNT per group is appended as a delta
@@ -22,21 +23,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cells import image_to_map
 from tidemark.functions.keys import row_key_from_columns
-from tidemark.operators import apply as A
 from tidemark.operators.ordered import previous_row
+from tidemark.operators.rollup import row_events, summable, wipe_times
 from tidemark.schema import CHANGELOG
 from tidemark.streaming.state_store import _committed, _join, merge_batch, read_records
 
 
 def absent_inserts_against_state(spark: SparkSession, batch: DataFrame, state_root: str, fields: list[str]) -> DataFrame:
     """Batch INSERTs that hit a row absent from the state and from earlier batch events."""
-    keyed = A.with_row_keys(batch).where(F.col("row_key").isNotNull() & F.col("op").isin("INSERT", "UPDATE", "DELETE"))
-    cells = F.when(F.col("op") == "INSERT", image_to_map(F.col("after"), F.col("op")))
-    slim = keyed.select("source_key", "row_key", "seq", "op", *[cells[f.lower()].alias(f) for f in fields])
+    slim = row_events(batch, fields)
     keys = slim.select("source_key", "row_key").distinct()
-    marks = read_records(spark, state_root).where(F.col("tag").isin("live", "del")).join(keys, ["source_key", "row_key"], "left_semi")
+    state = read_records(spark, state_root)
+    marks = state.where(F.col("tag").isin("live", "del")).join(keys, ["source_key", "row_key"], "left_semi")
     last = marks.groupBy("source_key", "row_key").agg(F.max(F.struct("seq", "tag")).alias("m")).select(
         "source_key", "row_key", F.col("m.seq").alias("seq"),
         F.when(F.col("m.tag") == "live", F.lit("UPDATE")).otherwise(F.lit("DELETE")).alias("op"),
@@ -44,8 +43,12 @@ def absent_inserts_against_state(spark: SparkSession, batch: DataFrame, state_ro
     )
     prev = previous_row(slim.unionByName(last.withColumn("_from_state", F.lit(True)), allowMissingColumns=True),
                         ["source_key", "row_key"], "seq", ["op"])
-    hit = (F.col("op") == "INSERT") & F.col("_from_state").isNull() & (F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE"))
-    return prev.where(hit).select("source_key", "row_key", "seq", *fields)
+    hits = prev.where((F.col("op") == "INSERT") & F.col("_from_state").isNull())
+    wipes = wipe_times(batch).unionByName(state.where("tag = 'wipe'").groupBy("source_key").agg(F.collect_set("seq").alias("wipes")))
+    wipes = wipes.groupBy("source_key").agg(F.flatten(F.collect_list("wipes")).alias("wipes"))
+    since = F.get(F.filter("wipes", lambda w: (w < F.col("seq")) & (w > F.col("prev_seq"))), 0)
+    absent = F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE") | since.isNotNull()
+    return hits.join(wipes, "source_key", "left").where(absent).select("source_key", "row_key", "seq", *fields)
 
 
 def fold_rollup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str, rollup_root: str,
@@ -53,7 +56,7 @@ def fold_rollup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, stat
     """Roll-up delta of one micro-batch, then the batch into the apply state."""
     if batch_id not in _committed(spark, _join(rollup_root, "delta"), "batch="):
         ins = absent_inserts_against_state(spark, batch, state_root, list(dict.fromkeys([*groups, *columns])))
-        part = ins.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[F.sum(F.col(c).cast("long")).alias(c) for c in columns])
+        part = ins.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[F.sum(summable(ins, c)).alias(c) for c in columns])
         part.write.mode("overwrite").parquet(_join(rollup_root, "delta", f"batch={batch_id}"))
     merge_batch(spark, batch, batch_id, state_root, buckets)
 
@@ -73,9 +76,9 @@ def current_rollup(spark: SparkSession, rollup_root: str, groups: list[str], col
     """Roll-up table: deltas added up, keyed like the batch roll-ups."""
     done = _committed(spark, _join(rollup_root, "delta"), "batch=")
     g = sorted(groups, key=str.lower)
-    schema = ", ".join([*(f"{x} string" for x in g), "count long", *(f"{c} long" for c in columns)])
+    schema = ", ".join([*(f"{x} string" for x in g), "count long", *(f"{c} decimal(38,10)" for c in columns)])
     if not done:
         return spark.createDataFrame([], schema)
     deltas = spark.read.schema(schema).parquet(*[_join(rollup_root, "delta", f"batch={d}") for d in done])
-    agg = deltas.groupBy(*g).agg(F.sum("count").cast("long").alias("count"), *[F.sum(c).cast("long").alias(c + sum_suffix) for c in columns])
+    agg = deltas.groupBy(*g).agg(F.sum("count").cast("long").alias("count"), *[F.sum(c).alias(c + sum_suffix) for c in columns])
     return agg.select(row_key_from_columns(g, F.lit(dest)).alias("row_key"), *g, "count", *[c + sum_suffix for c in columns])
