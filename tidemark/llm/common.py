@@ -19,10 +19,20 @@ def id_of(key: str) -> Column:
     return F.when(F.col(key) != NULL_ID, F.col(key))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns ``_id``, ``_text`` (null: empty) and ``_fp``.  Rows of one id and one text share ``(_id, _fp)``."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """Columns ``_id``, ``_text`` (null: empty) and ``_fp``.  Rows of one id and one text share ``(_id, _fp)``.
+
+    With ``carry`` the other columns come along in a struct ``_row``, so that no name can clash.
+    """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(key_of(id_col).alias("_id"), text.alias("_text")).withColumn("_fp", F.xxhash64("_text"))
+    other = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_row")] if carry else []
+    return docs.select(key_of(id_col).alias("_id"), text.alias("_text"), *other).withColumn("_fp", F.xxhash64("_text"))
+
+
+def uncarried(df: DataFrame, columns: list[str], text_col: str, text: str, size_col: str = "n_chars") -> DataFrame:
+    """The columns of documents again from ``_row``, with a new text and, if they have one, its size in characters."""
+    new = {text_col: F.col(text), size_col: F.char_length(text).cast("long")}
+    return df.select(*[(new[c] if c in new else F.col("_row")[c]).alias(c) for c in columns])
 
 
 def cut(df: DataFrame) -> DataFrame:

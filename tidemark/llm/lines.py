@@ -44,9 +44,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return words.groupBy("_id", "_fp").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("keep"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, n_lines, n_dropped, keep)``: every document with the kept lines, joined by a line feed."""
-    whole = keyed(docs, id_col, text_col).withColumn("lines", F.split("_text", "\n")).drop("_text")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``(doc_id, text, n_lines, n_dropped, keep)``: every document with the kept lines, joined by a line feed.
+
+    With ``carry`` a struct ``_row`` has its other columns.
+    """
+    whole = keyed(docs, id_col, text_col, carry).withColumn("lines", F.split("_text", "\n")).drop("_text")
     both = whole.join(bitmaps.hint("shuffle_hash"), ["_id", "_fp"], "left")
     by_word = F.map_from_entries("keep")
     dense = F.transform(F.expr("sequence(0, (size(lines) - 1) div 64)"), lambda w: F.coalesce(by_word[w.cast("int")], F.lit(-1).cast("long")))
@@ -59,9 +62,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         "keep",
+        *["_row"] * carry,
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, carry: bool = False) -> DataFrame:
     """Every document with the lines that it keeps; see the module for the defined cases."""
-    return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_chars), id_col, text_col)
+    return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_chars), id_col, text_col, carry)

@@ -259,6 +259,7 @@ def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the words of their spans; other columns as they are."""
     for big in batches:
         for b in W.chunks(big):
             texts, n_words, n_gone = [], [], []
@@ -270,16 +271,24 @@ def without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 n_words.append(len(ws))
                 n_gone.append(int(gone.sum()))
                 texts.append(b" ".join([ws[i] for i in np.flatnonzero(~gone)] if n_gone[-1] else ws).decode())
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64())], names=["_id", "text", "n_words", "n_removed"])
+            more = [c for c in b.schema.names if c == "_row"]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_id"), b.column("_text"), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), *(b.column(c) for c in more)],
+                names=["_id", "_text", "text", "n_words", "n_removed", *more],
+            )
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, n_words, n_removed`` of every row, ``text`` being the kept words joined by one space."""
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``doc_id, text, n_words, n_removed`` of every row, ``text`` being the kept words joined by one space.
+
+    With ``carry``, ``_text`` is the text as it was and a struct ``_row`` has the row's other columns.
+    """
     spark = docs.sparkSession
     texts = keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col, carry)
     n_bytes = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     width = parts(spark, n_bytes, 32_000_000)
-    placed = texts.repartition(width, "_id", "_fp")
+    placed = rows.repartition(width, "_id", "_fp")
 
     twins = texts.select("_id", "_fp", F.xxhash64(F.lit(1), "_text").alias("_fp2"))
     firsts = twins.groupBy("_fp", "_fp2").agg(F.min("_id").alias("first"))
@@ -291,5 +300,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     content = placed.join(by_doc.hint("shuffle_hash"), ["_id", "_fp"]).select("_id", "_fp", "_text", "runs").mapInArrow(contents, CONTENT)
     gone = content.repartition(width, "part").mapInArrow(trees, REPEAT).repartition(width, "part").mapInArrow(second_round, "_id long, _fp long, s0 int, s1 int")
     spans = gone.groupBy("_id", "_fp").agg(F.collect_list(F.struct("s0", "s1")).alias("spans"))
-    out = placed.join(spans.hint("shuffle_hash"), ["_id", "_fp"], "left").select("_id", "_text", "spans").mapInArrow(without_spans, "_id long, text string, n_words long, n_removed long")
-    return out.select(id_of("_id").alias("doc_id"), "text", "n_words", "n_removed")
+    more = [f"_row {rows.schema['_row'].dataType.simpleString()}"] if carry else []
+    schema = ", ".join(["_id long, _text string, text string, n_words long, n_removed long", *more])
+    out = placed.join(spans.hint("shuffle_hash"), ["_id", "_fp"], "left").select("_id", "_text", "spans", *["_row"] * carry).mapInArrow(without_spans, schema)
+    return out.select(id_of("_id").alias("doc_id"), "text", "n_words", "n_removed", *["_text", "_row"] * carry)
