@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, langid, lines, neardup, packing, substrings, toxicity, vectors
+from tidemark.llm import chat, langid, lines, neardup, packing, pieces, substrings, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and what decoding them gives back."""
+    back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -67,6 +73,7 @@ QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_block_matrix_neighbours": op2_block_matrix_neighbours,
     "op3_language_id": op3_language_id,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_line_dedup": op7_line_dedup,
