@@ -11,8 +11,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check import digest, duck  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from tidemark.plans.oracle import ORACLE as CORE_SQL  # noqa: E402
+from tidemark.plans.queries import QUERIES as CORE  # noqa: E402
+
+QUERIES = CORE
+ORACLE = CORE_SQL
 
 
 @pytest.fixture(scope="module")
