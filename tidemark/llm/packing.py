@@ -12,6 +12,7 @@ null; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -24,10 +25,16 @@ from tidemark.llm.common import cut
 
 TOKENIZER = "word_bpe_49k.json"
 SIZE, GROUP, LOOSE = 2048, 16_000, 16
-CACHE_WORDS = 250_000  #: words whose ids a worker remembers, and as many that it has not met since
+CACHE_WORDS = 400_000  #: words whose ids a worker remembers, and as many that it has not met since
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# The letters that stand for bytes in a byte-level vocabulary: printable Latin-1 for itself, the others from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class WordIds(dict):
     """The ids of a word as little-endian unsigned 32-bit bytes, found when first asked for.
 
@@ -48,13 +55,16 @@ class WordIds(dict):
         if word in self.older:
             self[word] = self.older[word]
             return self[word]
-        lower = word.lower()
-        if word.isascii() and word.isalpha():  # plain letters are one piece and need no normalising
-            ids = self[lower] if lower != word else _bytes([t.id for t in self.tokenizer.model.tokenize(word.decode())])
-        elif word.isascii() and word[:-1].isalpha() and word[-1:] in (b",", b"."):  # letters and marks are separate pieces
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            ids = _bytes(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        text = word.decode()
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            ids = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        elif plain[2]:  # letters and marks are separate pieces
+            ids = self[plain[1].encode()] + self[plain[2].encode()]
+        elif text != (lower := text.lower()):
+            ids = self[lower.encode()]
+        else:  # lower-case letters of Latin-1 are one piece that normalising leaves as it is
+            ids = _bytes([t.id for t in self.tokenizer.model.tokenize(text if word.isascii() else word.decode("latin-1").translate(_BYTE_LETTERS))])
         self[word] = ids
         return ids
 
