@@ -13,10 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The patterns of the classification (lower-cased input).
-COMMENT = " ?comment ?=? ?'[^']*'"
-CLAUSE = "(?:[^,(']|\\([^)]*\\)|'[^']*')+"
+QUOTED = "'[^']*'|\"[^\"]*\""
+COMMENT = f" ?comment ?=? ?(?:{QUOTED})"
+INNER = f"(?:[^()'\"]|{QUOTED}|\\((?:[^()'\"]|{QUOTED})*\\))*"  # of parentheses, with one level of others in it
+CLAUSE = f"(?:[^,('\"]|\\({INNER}\\)|{QUOTED})+"
+COLUMN_LIST = "^add (?:column )?\\((.*)\\)$"
 TARGET = "^(?:alter|truncate|drop|create|rename) table (?:if (?:not )?exists )?([^ ]+)"
-ALTER_BODY = "^alter table [^ ]+ (.*)$"
+ALTER_BODY = "^alter table [^ ]+ ?(.*)$"
 RENAME_BODY = "^rename table (.*)$"
 KEY_LIST = "primary key ?\\(([^)]*)\\)"
 
@@ -25,7 +28,7 @@ STATEMENT_KINDS = [
     ("truncate", "^truncate (table )?[^ ]+"),
     ("drop_table", "^drop table "),
     ("rename_tables", "^rename table "),
-    ("alter", "^alter table [^ ]+ "),
+    ("alter", "^alter table [^ ]+( |$)"),
     ("create", "^create table "),
 ]
 
@@ -35,11 +38,12 @@ CLAUSE_KINDS = [
     ("rename_table", "^rename (to |as )?[^ ]+$"),
     ("add_key", "^add (constraint [^ ]+ )?primary key"),
     ("drop_key", "^drop primary key"),
-    ("noop", "^drop (foreign key|index|key) "),
+    ("noop", "^(add|drop|reorganize|truncate|coalesce|exchange|analyze|check|optimize|rebuild|repair|discard|import|remove) partition(ing)?( |$)"),
+    ("noop", "^drop (foreign key|index|key|constraint|check) "),
     ("drop_column", "^drop (column )?[^ ]+"),
     ("change_column", "^change (column )?[^ ]+ [^ ]+"),
     ("modify_column", "^modify "),
-    ("noop", "^add (index|unique|key|fulltext|spatial|foreign|constraint) "),
+    ("noop", "^add (index|unique|key|fulltext|spatial|foreign|constraint|check)( |\\()"),
     ("add_column", "^add "),
     ("noop", "^(auto_increment|engine|default|charset|character set|collate|comment|partition|convert|row_format|algorithm|lock|force|order by)"),
 ]
@@ -66,8 +70,18 @@ def statement_kind(norm: Column) -> Column:
 def clauses(norm: Column, kind: Column) -> Column:
     """Sub-change texts of a statement (ALTER clauses, RENAME TABLE pairs)."""
     body = F.when(kind == "alter", F.regexp_extract(norm, ALTER_BODY, 1)).when(kind == "rename_tables", F.regexp_extract(norm, RENAME_BODY, 1))
-    parts = F.filter(F.transform(F.regexp_extract_all(body, F.lit(CLAUSE), 0), lambda x: F.trim(x)), lambda x: x != "")
-    return F.when(body.isNull(), F.array(norm)).otherwise(parts)
+    parts = F.flatten(F.transform(_cut(body), lambda x: F.when(x.rlike(COLUMN_LIST), _added(x)).otherwise(F.array(x))))
+    # nothing is left of an ALTER that only sets the table's comment
+    return F.when(body.isNull(), F.array(norm)).when(F.size(parts) == 0, F.array(F.lit("comment"))).otherwise(parts)
+
+
+def _cut(text: Column) -> Column:
+    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(CLAUSE), 0), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _added(clause: Column) -> Column:
+    """One ADD clause for each column of a list in parentheses."""
+    return F.transform(_cut(F.regexp_extract(clause, COLUMN_LIST, 1)), lambda x: F.concat(F.lit("add column "), x))
 
 
 def clause_kind(stmt_kind: Column, clause: Column) -> Column:

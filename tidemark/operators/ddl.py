@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ddl as D
@@ -22,34 +22,47 @@ EFFECT = {
 }
 
 
+def _statements(ddl_log: DataFrame) -> DataFrame:
+    """``(source_key, seq, norm, stmt_kind, parts, kinds)`` of every DDL event: its clauses and what they are."""
+    if "op" in ddl_log.columns:
+        ddl_log = ddl_log.where(F.col("op").isin(*DDL_OPS))
+    s = ddl_log.where(F.col("ddl").isNotNull()).select("source_key", "seq", _once(norm=D.normalise(F.col("ddl"))))
+    s = s.select("source_key", "seq", "x.norm", _once(stmt_kind=D.statement_kind(F.col("x.norm"))))
+    s = s.select("source_key", "seq", "norm", "x.stmt_kind", _once(parts=D.clauses(F.col("norm"), F.col("x.stmt_kind"))))
+    s = s.select("source_key", "seq", "norm", "stmt_kind", "x.parts", _once(kinds=F.transform("x.parts", lambda c: D.clause_kind(F.col("stmt_kind"), c))))
+    return s.select("source_key", "seq", "norm", "stmt_kind", "parts", "x.kinds")
+
+
+def _once(**columns: Column) -> Column:
+    """Columns in a struct ``x`` that the optimizer does not copy into every use of theirs."""
+    return F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("x")
+
+
 def ddl_changelog(ddl_log: DataFrame) -> DataFrame:
     """One row per sub-change of every DDL event ``(source_key, seq, ddl)``:
     ``clause_no`` (1-based), ``kind``, ``old_name``, ``new_name``, ``key_list``
     and ``effect``.  A statement that drops the primary key and adds one
     re-keys the source; dropping it alone stops following the source; adding
-    one alone changes nothing.  A change column keeping its name is a no-op."""
-    norm = D.normalise(F.col("ddl"))
-    if "op" in ddl_log.columns:
-        ddl_log = ddl_log.where(F.col("op").isin(*DDL_OPS))
-    s = ddl_log.where(F.col("ddl").isNotNull()).select("source_key", "seq", norm.alias("norm"))
-    s = s.withColumn("stmt_kind", D.statement_kind(F.col("norm"))).withColumn(
-        "target", F.regexp_extract("norm", D.TARGET, 1)
-    )
-    x = s.select("source_key", "seq", "stmt_kind", "target", F.posexplode(D.clauses(F.col("norm"), F.col("stmt_kind"))).alias("pos", "clause"))
-    kind = D.clause_kind(F.col("stmt_kind"), F.col("clause"))
-    x = x.withColumn("kind", kind)
+    one alone changes nothing.  A change column keeping its name is a no-op.
+    What a statement holds is known before its clauses are exploded, so
+    nothing is shuffled."""
+    s = _statements(ddl_log)
+    x = s.select(
+        "source_key", "seq", "stmt_kind",
+        F.regexp_extract("norm", D.TARGET, 1).alias("target"),
+        F.array_contains("kinds", "add_key").alias("has_add"),
+        F.array_contains("kinds", "drop_key").alias("has_drop"),
+        F.posexplode(F.arrays_zip("parts", "kinds")).alias("pos", "c"),
+    ).withColumn("clause", F.col("c.parts")).withColumn("kind", F.col("c.kinds"))
     old, new = D.clause_names(F.col("stmt_kind"), F.col("kind"), F.col("clause"), F.col("target"))
-    x = x.withColumn("old_name", old).withColumn("new_name", new)
-    x = x.withColumn("kind", F.when((F.col("kind") == "change_column") & (F.col("old_name") == F.col("new_name")), "noop").otherwise(F.col("kind")))
-    stmt = Window.partitionBy("source_key", "seq")
-    has_add = F.max((F.col("kind") == "add_key").cast("int")).over(stmt) == 1
-    has_drop = F.max((F.col("kind") == "drop_key").cast("int")).over(stmt) == 1
+    kind = F.when((F.col("kind") == "change_column") & (old == new), "noop").otherwise(F.col("kind"))
+    x = x.select("source_key", "seq", "pos", "clause", "has_add", "has_drop", _once(kind=kind, old_name=old, new_name=new)).select("*", "x.*").drop("x")
     effect = F.lit(None).cast("string")
     for k, e in EFFECT.items():
         effect = F.when(F.col("kind") == k, F.lit(e)).otherwise(effect)
     effect = (
-        F.when(F.col("kind").isin("add_key", "drop_key") & has_add & has_drop, "rekey")
-        .when((F.col("kind") == "drop_key") & ~has_add, "stop")
+        F.when(F.col("kind").isin("add_key", "drop_key") & F.col("has_add") & F.col("has_drop"), "rekey")
+        .when((F.col("kind") == "drop_key") & ~F.col("has_add"), "stop")
         .when(F.col("kind") == "unknown", "error")
         .otherwise(F.coalesce(effect, F.lit("none")))
     )
@@ -62,6 +75,4 @@ def ddl_changelog(ddl_log: DataFrame) -> DataFrame:
 def schema_notices(ddl_log: DataFrame) -> DataFrame:
     """Notice rows ``(source_key, seq, ddl)`` for statements whose every
     sub-change was understood (the reference alerts after success)."""
-    parsed = ddl_changelog(ddl_log)
-    ok = parsed.groupBy("source_key", "seq").agg(F.max((F.col("effect") == "error").cast("int")).alias("bad")).where("bad = 0")
-    return ddl_log.select("source_key", "seq", D.normalise(F.col("ddl")).alias("ddl")).join(ok.drop("bad"), ["source_key", "seq"], "left_semi")
+    return _statements(ddl_log).where(~F.array_contains("kinds", "unknown")).select("source_key", "seq", F.col("norm").alias("ddl"))

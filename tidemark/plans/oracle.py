@@ -353,90 +353,48 @@ WHERE (batch_id + 1) % 15 = 0 AND epoch_us(batch_end) - epoch_us(last_exec_time)
 
 # ---- schema events -----------------------------------------------------------
 
-from tidemark.functions import ddl as _D  # noqa: E402  (pattern constants are fixed values)
-
-
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _first(x: str, table: list[tuple[str, str]], default: str) -> str:
-    arms = " ".join(f"WHEN regexp_matches({x}, {_q(p)}) THEN '{k}'" for k, p in table)
-    return f"CASE {arms} ELSE '{default}' END"
-
+# What each statement form means, written out by form number (t = p_partkey % 22): nothing here parses a statement.
+# Per form: the normalised text, then its clauses as (kind, old name, new name, key list, effect).  tbl, nm and sz
+# stand for the table, the name made from the part and its size.
+_DDL_FORMS = {
+    0: ("'alter table ' || tbl || ' add column ' || nm || ' varchar(64)'", [("add_column", "nm", None, None, "none")]),
+    1: ("'alter table ' || tbl || ' drop column ' || nm", [("drop_column", "nm", None, None, "drop_column")]),
+    2: ("'alter table ' || tbl || ' change ' || nm || ' ' || nm || '_v2 decimal(10,2) default ''1,5'''", [("change_column", "nm", "nm || '_v2'", None, "rename_column")]),
+    3: ("'alter table ' || tbl || ' change column ' || nm || ' ' || nm || ' bigint'", [("noop", "nm", "nm", None, "none")]),
+    4: ("'alter table ' || tbl || ' drop primary key, add primary key (id, ' || nm || ')'", [("drop_key", None, None, None, "rekey"), ("add_key", None, None, "'id,' || nm", "rekey")]),
+    5: ("'alter table ' || tbl || ' drop primary key'", [("drop_key", None, None, None, "stop")]),
+    6: ("'alter table ' || tbl || ' add primary key (id)'", [("add_key", None, None, "'id'", "none")]),
+    7: ("'rename table ' || tbl || ' to ' || nm || '_t, ' || nm || '_x to ' || nm || '_y'", [("rename_table", "tbl", "nm || '_t'", None, "rename_source"), ("rename_table", "nm || '_x'", "nm || '_y'", None, "rename_source")]),
+    8: ("'alter table ' || tbl || ' rename to ' || nm || '_t'", [("rename_table", "tbl", "nm || '_t'", None, "rename_source")]),
+    9: ("'alter table ' || tbl || ' drop foreign key fk_' || sz", [("noop", None, None, None, "none")]),
+    10: ("'truncate table ' || tbl", [("truncate", "tbl", None, None, "wipe")]),
+    11: ("'alter table ' || tbl || ' auto_increment=' || sz", [("noop", None, None, None, "none")]),
+    13: ("'alter table ' || tbl || ' drop partition p' || sz", [("noop", None, None, None, "none")]),
+    14: ("'alter table ' || tbl || ' drop constraint ck_' || sz || ', drop check ck_' || nm", [("noop", None, None, None, "none")] * 2),
+    15: ("'alter table ' || tbl || ' add column (' || nm || ' decimal(8,3) default \"1,5\", ' || nm || '_b int)'", [("add_column", "nm", None, None, "none"), ("add_column", "nm || '_b'", None, None, "none")]),
+    16: ("'alter table ' || tbl || ' add column ' || nm || ' varchar(9) default \"a,b\", drop column ' || nm || '_old'", [("add_column", "nm", None, None, "none"), ("drop_column", "nm || '_old'", None, None, "drop_column")]),
+    17: ("'alter table ' || tbl", [("noop", None, None, None, "none")]),
+    18: ("'drop table if exists ' || tbl", [("drop_table", "tbl", None, None, "wipe")]),
+    19: ("'alter table ' || tbl || ' drop column partition, add partition (partition p' || sz || ' values less than (' || sz || '))'", [("drop_column", "'partition'", None, None, "drop_column"), ("noop", None, None, None, "none")]),
+    20: ("'alter table ' || tbl || ' frobnicate ' || nm", [("unknown", None, None, None, "error")]),
+    21: ("'create table ' || tbl || ' (id int, primary key (id))'", [("create", "tbl", None, None, "refresh_mapping")]),
+}
 
 _DDL_FIXTURE = """
 p AS (
   SELECT p_partkey AS seq, regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g') AS nm,
-         'parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1) AS tbl, CAST(p_size AS VARCHAR) AS sz, p_partkey % 13 AS t
+         'parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1) AS tbl, CAST(p_size AS VARCHAR) AS sz, p_partkey % 22 AS t
   FROM part),
-d AS (
-  SELECT 'shop.' || tbl AS source_key, seq,
-    CASE t
-      WHEN 0 THEN 'ALTER TABLE `' || tbl || '` ADD COLUMN `' || nm || '` varchar(64) COMMENT ''size, ' || sz || ''''
-      WHEN 1 THEN 'alter table ' || tbl || ' drop column ' || nm
-      WHEN 2 THEN 'alter table ' || tbl || chr(10) || ' change ' || nm || ' ' || nm || '_v2 decimal(10,2) default ''1,5'''
-      WHEN 3 THEN 'alter table ' || tbl || ' change column ' || nm || ' ' || nm || ' bigint'
-      WHEN 4 THEN 'ALTER TABLE ' || tbl || chr(10) || '  DROP PRIMARY KEY,' || chr(10) || '  ADD PRIMARY KEY (`id`, `' || nm || '`)'
-      WHEN 5 THEN 'alter table ' || tbl || ' drop primary key'
-      WHEN 6 THEN 'alter table ' || tbl || ' add primary key (id)'
-      WHEN 7 THEN 'rename table ' || tbl || ' to ' || nm || '_t, ' || nm || '_x to ' || nm || '_y'
-      WHEN 8 THEN 'alter table ' || tbl || ' rename to ' || nm || '_t'
-      WHEN 9 THEN 'alter table ' || tbl || ' drop foreign key fk_' || sz
-      WHEN 10 THEN 'truncate table ' || tbl
-      WHEN 11 THEN 'alter table ' || tbl || ' auto_increment=' || sz
-      ELSE 'flush tables' END AS ddl,
-    CASE t WHEN 7 THEN 'RENAME' WHEN 10 THEN 'TRUNCATE' WHEN 12 THEN 'QUERY' ELSE 'ALTER' END AS op
-  FROM p)"""
-
-_CHANGE = "^change (?:column )?([^ ]+) ([^ ]+)"
-_PAIR = "^([^ ]+) to ([^ ]+)$"
-
-ORACLE["ddl_changelog"] = f"""
-WITH {_DDL_FIXTURE},
-n AS (
-  SELECT source_key, seq,
-         trim(regexp_replace(trim(regexp_replace(replace(lower(ddl), '`', ''), '\\s+', ' ', 'g')), {_q(_D.COMMENT)}, '', 'g')) AS norm
-  FROM d WHERE op IN ('ALTER', 'CREATE', 'RENAME', 'TRUNCATE', 'ERASE') AND ddl IS NOT NULL),
-s AS (SELECT *, {_first('norm', _D.STATEMENT_KINDS, 'unknown')} AS stmt_kind, regexp_extract(norm, {_q(_D.TARGET)}, 1) AS target FROM n),
-b AS (SELECT *, CASE stmt_kind
-                  WHEN 'alter' THEN list_filter(list_transform(regexp_extract_all(regexp_extract(norm, {_q(_D.ALTER_BODY)}, 1), {_q(_D.CLAUSE)}, 0), lambda x: trim(x)), lambda x: x <> '')
-                  WHEN 'rename_tables' THEN list_filter(list_transform(regexp_extract_all(regexp_extract(norm, {_q(_D.RENAME_BODY)}, 1), {_q(_D.CLAUSE)}, 0), lambda x: trim(x)), lambda x: x <> '')
-                  ELSE [norm] END AS cl FROM s),
-c AS (SELECT source_key, seq, stmt_kind, target, unnest(cl) AS clause, generate_subscripts(cl, 1) AS clause_no FROM b),
-k AS (SELECT *, CASE WHEN stmt_kind = 'alter' THEN {_first('clause', _D.CLAUSE_KINDS, 'unknown')}
-                     WHEN stmt_kind = 'rename_tables' THEN CASE WHEN regexp_matches(clause, '^[^ ]+ to [^ ]+$') THEN 'rename_table' ELSE 'unknown' END
-                     ELSE stmt_kind END AS kind0 FROM c),
-nm AS (SELECT *,
-  CASE WHEN stmt_kind = 'rename_tables' THEN regexp_extract(clause, {_q(_PAIR)}, 1)
-       WHEN kind0 = 'rename_table' THEN target
-       WHEN kind0 = 'rename_column' THEN regexp_extract(clause, '^rename column ([^ ]+) to', 1)
-       WHEN kind0 = 'drop_column' THEN regexp_extract(clause, '^drop (?:column )?([^ ]+)', 1)
-       WHEN kind0 = 'change_column' THEN regexp_extract(clause, {_q(_CHANGE)}, 1)
-       WHEN kind0 = 'modify_column' THEN regexp_extract(clause, '^modify (?:column )?([^ ]+)', 1)
-       WHEN kind0 = 'add_column' THEN regexp_extract(clause, '^add (?:column )?([^ ]+)', 1)
-       WHEN kind0 IN ('truncate', 'drop_table', 'create') THEN target END AS old_name,
-  CASE WHEN stmt_kind = 'rename_tables' THEN regexp_extract(clause, {_q(_PAIR)}, 2)
-       WHEN kind0 = 'rename_table' THEN regexp_extract(clause, '^rename (?:to |as )?([^ ]+)$', 1)
-       WHEN kind0 = 'rename_column' THEN regexp_extract(clause, 'to ([^ ]+)$', 1)
-       WHEN kind0 = 'change_column' THEN regexp_extract(clause, {_q(_CHANGE)}, 2) END AS new_name
-  FROM k),
-f AS (SELECT *, CASE WHEN kind0 = 'change_column' AND old_name = new_name THEN 'noop' ELSE kind0 END AS kind FROM nm),
-w AS (SELECT *, max(CAST(kind = 'add_key' AS INTEGER)) OVER (PARTITION BY source_key, seq) = 1 AS has_add,
-                max(CAST(kind = 'drop_key' AS INTEGER)) OVER (PARTITION BY source_key, seq) = 1 AS has_drop FROM f)
-SELECT source_key, seq, clause_no, kind, old_name, new_name,
-  CASE WHEN kind = 'add_key' THEN array_to_string(list_transform(string_split(regexp_extract(clause, {_q(_D.KEY_LIST)}, 1), ','), lambda x: trim(x)), ',') END AS key_list,
-  CASE WHEN kind IN ('add_key', 'drop_key') AND has_add AND has_drop THEN 'rekey'
-       WHEN kind = 'drop_key' AND NOT has_add THEN 'stop'
-       WHEN kind = 'unknown' THEN 'error'
-       WHEN kind = 'rename_table' THEN 'rename_source'
-       WHEN kind IN ('rename_column', 'change_column') THEN 'rename_column'
-       WHEN kind = 'drop_column' THEN 'drop_column'
-       WHEN kind IN ('truncate', 'drop_table') THEN 'wipe'
-       WHEN kind = 'create' THEN 'refresh_mapping'
-       ELSE 'none' END AS effect
-FROM w
-"""
+d AS (SELECT 'shop.' || tbl AS source_key,
+             CASE t WHEN 7 THEN 'RENAME' WHEN 10 THEN 'TRUNCATE' WHEN 12 THEN 'QUERY' WHEN 18 THEN 'ERASE' WHEN 21 THEN 'CREATE' ELSE 'ALTER' END AS op FROM p)"""
+
+ORACLE["ddl_changelog"] = f"WITH {_DDL_FIXTURE}" + "\nUNION ALL".join(
+    f"""
+SELECT 'shop.' || tbl AS source_key, seq, CAST({no} AS BIGINT) AS clause_no, '{kind}' AS kind, CAST({old or 'NULL'} AS VARCHAR) AS old_name,
+       CAST({new or 'NULL'} AS VARCHAR) AS new_name, CAST({keys or 'NULL'} AS VARCHAR) AS key_list, '{effect}' AS effect FROM p WHERE t = {t}"""
+    for t, (_, rows) in _DDL_FORMS.items()
+    for no, (kind, old, new, keys, effect) in enumerate(rows, 1)
+)
 
 ORACLE["op_summary"] = f"""
 WITH {ORDERS_CHG}, {EVENTS_CHG}, {_DDL_FIXTURE},
@@ -481,12 +439,11 @@ WITH {EVENTS_CHG},
 SELECT * FROM events_chg_state
 """
 
-_DDL_WITH, _DDL_SELECT = ORACLE["ddl_changelog"].split("SELECT source_key, seq, clause_no", 1)
-ORACLE["schema_notices"] = _DDL_WITH + ", e AS (SELECT source_key, seq, clause_no" + _DDL_SELECT + """)
-SELECT n.source_key, n.seq, n.norm AS ddl FROM n
-WHERE EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq)
-  AND NOT EXISTS (SELECT 1 FROM e WHERE e.source_key = n.source_key AND e.seq = n.seq AND e.effect = 'error')
-"""
+ORACLE["schema_notices"] = f"WITH {_DDL_FIXTURE}" + "\nUNION ALL".join(
+    f"\nSELECT 'shop.' || tbl AS source_key, seq, {norm} AS ddl FROM p WHERE t = {t}"
+    for t, (norm, rows) in _DDL_FORMS.items()
+    if all(r[-1] != "error" for r in rows)
+)
 
 _T = "(SELECT CAST(floor(max(o_orderkey) {op}) AS BIGINT) * 10 + 5 FROM orders)"
 _T1, _T2, _T3 = _T.format(op="/ 3"), _T.format(op="/ 2"), _T.format(op="* 2 / 3")

@@ -208,14 +208,15 @@ def party_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def ddl_changelog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema events derived from ``part`` rows: one DDL statement per part,
     on table ``parts_<brand number>``, naming a column after the part name.
-    The statement form cycles through thirteen templates by ``p_partkey``
-    (add/drop/change column, key changes, renames, truncate, options, and a
-    QUERY event that carries no schema change)."""
+    The statement form cycles through 22 templates by ``p_partkey``
+    (add/drop/change column, key changes, renames, truncate, drop table,
+    partitions, constraints, column lists, quotes, options, a statement that is
+    not understood, and a QUERY event that carries no schema change)."""
     p = table(spark, sf_dir, "part")
     nm = F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "_")
     tbl = F.concat(F.lit("parts_"), F.regexp_extract(F.lower("p_brand"), "([0-9]+)", 1))
     sz = F.col("p_size").cast("string")
-    t = F.col("p_partkey") % 13
+    t = F.col("p_partkey") % 22
     nl = F.lit("\n")
     forms = [
         F.concat(F.lit("ALTER TABLE `"), tbl, F.lit("` ADD COLUMN `"), nm, F.lit("` varchar(64) COMMENT 'size, "), sz, F.lit("'")),
@@ -231,11 +232,20 @@ def ddl_changelog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("truncate table "), tbl),
         F.concat(F.lit("alter table "), tbl, F.lit(" auto_increment="), sz),
         F.lit("flush tables"),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop partition p"), sz),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop constraint ck_"), sz, F.lit(", drop check ck_"), nm),
+        F.concat(F.lit("alter table "), tbl, F.lit(" add column ("), nm, F.lit(" decimal(8,3) default \"1,5\", "), nm, F.lit("_b int)")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" add column "), nm, F.lit(" varchar(9) default \"a,b\", drop column "), nm, F.lit("_old")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" comment='parts, sold'")),
+        F.concat(F.lit("drop table if exists `"), tbl, F.lit("`")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop column `partition`, add partition (partition p"), sz, F.lit(" values less than ("), sz, F.lit("))")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" frobnicate "), nm),
+        F.concat(F.lit("create table "), tbl, F.lit(" (id int, primary key (id))")),
     ]
     ddl = None
     for i, f in enumerate(forms):
         ddl = F.when(t == i, f) if ddl is None else ddl.when(t == i, f)
-    op = F.when(t == 7, "RENAME").when(t == 10, "TRUNCATE").when(t == 12, "QUERY").otherwise("ALTER")
+    op = F.when(t == 7, "RENAME").when(t == 10, "TRUNCATE").when(t == 12, "QUERY").when(t == 18, "ERASE").when(t == 21, "CREATE").otherwise("ALTER")
     return p.select(
         F.concat(F.lit("shop."), tbl).alias("source_key"),
         F.lit("shop").alias("database"),
