@@ -14,7 +14,7 @@ component of links is one group.
    already joined by confirmed links, and a group's pairs are not spelled out.
 
 A pair at the very threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, 5e-9; the sketch loses one
-with about 1e-9 (MARGIN is six standard deviations of the estimate).
+with about 3e-7 (MARGIN is five standard deviations of the estimate).
 
 Defined cases: a null or blank text has an empty set and no links; with fewer words than a shingle the whole
 sequence is the only shingle; a null id counts as one id above all others (shown as null); every row is returned,
@@ -36,7 +36,7 @@ from tidemark.llm.common import NULL_ID, components, cut, id_of, keyed, parts
 
 BANDS, ROWS, BITS = 48, 5, 1024
 SAMPLES = BANDS * ROWS
-MARGIN = 0.16
+MARGIN = 0.13
 BLOCK = 2048
 _rng = np.random.default_rng(9)
 _XOR = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32)
@@ -150,23 +150,25 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, p
 
 
 def across(limit: int):
-    """Pairs of different components in one block of one bucket whose sketches are close enough."""
+    """Pairs of different components whose sketches are close enough, each from the first bucket that has both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = list(batches)
         if not rows:
             return
         t = pa.Table.from_batches(rows).combine_chunks()
-        key, x, y, node, comp = (t.column(c).to_numpy() for c in ("key", "x", "y", "node", "comp"))
-        sketch = t.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        key, x, y, own, node, comp = (t.column(c).to_numpy() for c in ("key", "x", "y", "own", "node", "comp"))
+        sketch, bands = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("sketch", "bands"))
         order = np.lexsort((node, y, x, key))
         edge = np.flatnonzero(np.r_[True, (np.diff(key[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0), True])
         out = []
         for a, b in zip(edge[:-1], edge[1:], strict=True):
             g = order[a:b]
             for i in range(len(g) - 1):
-                near = g[i + 1 :][comp[g[i + 1 :]] != comp[g[i]]]
-                near = near[np.bitwise_count(sketch[near] ^ sketch[g[i]]).sum(1) <= limit]
+                me, near = g[i], g[i + 1 :]
+                near = near[(comp[near] != comp[me]) & ((x[me] == y[me]) | (own[near] != own[me]))]
+                near = near[np.bitwise_count(sketch[near] ^ sketch[me]).sum(1) <= limit]
+                near = near[bands[me, (bands[near] == bands[me]).argmax(1)] == key[me]]
                 out += [(node[g[i]], node[j]) for j in near]
         got = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["a", "b"])
@@ -202,11 +204,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = mixed.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket))
     mixed = mixed.where("lo != hi").withColumn("blocks", F.ceil(F.count("*").over(bucket) / BLOCK).cast("int"))
     mixed = mixed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    mixed = mixed.select("key", "node", "comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    mixed = mixed.select("key", "node", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     mixed = cut(mixed.distinct())
     n = mixed.count()
     if n:
-        dealt = mixed.join(sketches, "node").repartition(parts(spark, n, 100_000), "key", "x", "y")
+        dealt = mixed.join(one.select("node", "sketch", "bands").dropDuplicates(["node"]), "node").repartition(parts(spark, n, 100_000), "key", "x", "y")
         more = cut(dealt.mapInArrow(across(limit), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             links = cut(links.union(_confirmed(more, classes, texts, words, percent)))
