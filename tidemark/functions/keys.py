@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,16 +17,19 @@ def source_key(database: Column | str, table: Column | str, prefix: str = "") ->
     return F.concat(F.lit(prefix), db, F.lit("."), tb)
 
 
+def _in_key(keys: Column | None) -> Callable[[Column], Column]:
+    if keys is None:
+        return lambda c: F.coalesce(c["is_key"], F.lit(False))
+    return lambda c: F.coalesce(F.array_contains(keys, F.lower(c["name"])), c["is_key"], F.lit(False))
+
+
 def key_values(image: Column, keys: Column | None = None) -> Column:
     """Values of the key columns of ``image``, ordered by column name.
 
-    ``keys`` (ARRAY<STRING>) names the logical key; when absent the
-    ``is_key`` flags of the image decide.  A null value becomes ''.
+    ``keys`` (ARRAY<STRING>) names the logical key; when absent, or null in a
+    row, the ``is_key`` flags of the image decide.  A null value becomes ''.
     """
-    if keys is None:
-        picked = F.filter(image, lambda c: F.coalesce(c["is_key"], F.lit(False)))
-    else:
-        picked = F.filter(image, lambda c: F.array_contains(keys, F.lower(c["name"])))
+    picked = F.filter(image, _in_key(keys))
     ordered = F.array_sort(
         F.transform(picked, lambda c: F.struct(F.lower(c["name"]).alias("name"), c["value"].alias("value")))
     )
@@ -50,9 +55,7 @@ def row_key_from_columns(cols: list[str], src: Column, connector: str = DEFAULT_
 
 
 def has_key(image: Column, keys: Column | None = None) -> Column:
-    if keys is None:
-        return F.exists(image, lambda c: F.coalesce(c["is_key"], F.lit(False)))
-    return F.exists(image, lambda c: F.array_contains(keys, F.lower(c["name"])))
+    return F.exists(image, _in_key(keys))
 
 
 def row_key(image: Column, src: Column, keys: Column | None = None, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:

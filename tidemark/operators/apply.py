@@ -145,6 +145,24 @@ def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame
     )
 
 
+def records_of_state(state: DataFrame, seq: int | Column) -> DataFrame:
+    """Reduced records of loaded state rows, as if every row had been inserted at ``seq``."""
+    at = F.lit(seq).cast("long") if isinstance(seq, int) else seq
+    rows = state.select("source_key", "row_key", at.alias("seq"), F.explode(F.concat(
+        F.array(F.struct(F.lit("live").alias("tag"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))),
+        F.transform(F.map_entries("cells"), lambda e: F.struct(F.lit("cell").alias("tag"), F.lower(e["key"]).alias("name"), e["value"].alias("value"))),
+    )).alias("r"))
+    return rows.select("source_key", "row_key", "r.tag", "r.name", "seq", "r.value")
+
+
+def apply_on(records: DataFrame, changes: DataFrame, keys_col: str | None = None, connector: str = DEFAULT_CONNECTOR, reverse: bool = True,
+             keep_old_key: bool = False, clean: bool = True) -> DataFrame:
+    """State after ``changes`` on top of records, e.g. of an initial load: cells that an UPDATE leaves alone keep
+    their loaded value, and deletes and truncations of loaded rows take effect."""
+    keyed = with_row_keys(changes, keys_col, connector, reverse)
+    return materialize(reduce_contributions(records.unionByName(contributions(keyed, keep_old_key, clean))))
+
+
 def apply_changes(
     changes: DataFrame,
     keys_col: str | None = None,

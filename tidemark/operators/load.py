@@ -29,6 +29,19 @@ def initial_load(df: DataFrame, source: str, keys: list[str], fields: list[str]
     return A.state_from_rows(rows, source, keys, {c: F.col(c).cast("string") for c in wanted}, connector, reverse, clean)
 
 
+def load_records(df: DataFrame, source: str, keys: list[str], fields: list[str] | None = None, seq: int | Column = 0, **kw) -> DataFrame:
+    """An initial load as reduced records at ``seq``, for ``apply.apply_on``: the hand-over to the change log."""
+    return A.records_of_state(initial_load(df, source, keys, fields, **kw), seq)
+
+
+def reload_records(df: DataFrame, source: str, keys: list[str], seq: Column, fields: list[str] | None = None, **kw) -> DataFrame:
+    """A reload as records: everything the source held up to ``seq`` goes, the rows are there from ``seq`` + 1 on."""
+    wipe = df.sparkSession.range(1).select(
+        F.lit(source).alias("source_key"), F.lit("").alias("row_key"), F.lit("wipe").alias("tag"),
+        F.lit(None).cast("string").alias("name"), seq.cast("long").alias("seq"), F.lit(None).cast("string").alias("value"))
+    return load_records(df, source, keys, fields, seq.cast("long") + 1, **kw).unionByName(wipe)
+
+
 def page_bounds(df: DataFrame, column: str) -> tuple:
     """``coalesce(min, 0)`` and ``coalesce(max, 0)`` as scalar subqueries."""
     lo = df.select(F.coalesce(F.min(column), F.lit(0))).scalar()

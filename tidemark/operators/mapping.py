@@ -6,27 +6,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import apply as A
 from tidemark.operators.joins import join_small
 
 
 def mapping_state(mapping_log: DataFrame, destinations: DataFrame | None = None) -> DataFrame:
     """Current mapping from a log of ``(seq, op, source_key, new_source_key,
     destination, keys, at)`` with ops add / remove / rename, newest wins per
-    source key.  A rename removes the old key and adds the new one.  With
+    source key.  A rename moves what the old key maps to, destination and keys,
+    to the new key; renaming a source that is not mapped changes nothing.  With
     ``destinations`` (column ``destination``), only mappings to existing
-    destinations are kept (left-semi join)."""
-    op = F.col("op")
-    items = F.array(
-        F.struct(F.col("source_key").alias("sk"), F.when(op == "add", "add").otherwise("remove").alias("act")),
-        F.when(op == "rename", F.struct(F.col("new_source_key").alias("sk"), F.lit("add").alias("act"))),
-    )
-    ev = mapping_log.select("seq", "destination", "keys", "at", F.explode(F.array_compact(items)).alias("e"))
-    newest = ev.groupBy(F.col("e.sk").alias("source_key")).agg(
-        F.max(F.struct("seq", F.col("e.act").alias("act"), "destination", "keys", "at")).alias("m")
-    )
-    live = newest.where(F.col("m.act") == "add").select(
-        "source_key", F.col("m.destination").alias("destination"), F.col("m.keys").alias("keys"), F.col("m.at").alias("registered_at")
-    )
+    destinations are kept (left-semi join).
+
+    Sources that no rename names need one aggregate.  The events of the others,
+    configuration as they are, are folded in order of ``seq``.
+    """
+    renames = mapping_log.where(F.col("op") == "rename")
+    named = renames.select(F.explode(F.array("source_key", "new_source_key")).alias("source_key")).distinct()
+    plain = mapping_log.join(named, "source_key", "left_anti").groupBy("source_key").agg(F.max(F.struct("seq", "op", "destination", "keys", "at")).alias("m"))
+    live = plain.where(F.col("m.op") == "add").select("source_key", "m.destination", "m.keys", F.col("m.at").alias("registered_at"))
+    events = mapping_log.join(named, "source_key", "left_semi").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "op", "source_key", "new_source_key", "destination", "keys", "at"))).alias("events"))
+    kind = f"map<string,struct<destination:string,keys:array<string>,registered_at:{mapping_log.schema['at'].dataType.simpleString()}>>"
+    fold = f"""aggregate(events, cast(map() as {kind}), (m, e) -> case
+        when e.op = 'add' then map_concat(map_filter(m, (k, v) -> k <> e.source_key), map(e.source_key, struct(e.destination as destination, e.keys as keys, e.at as registered_at)))
+        when e.op = 'remove' then map_filter(m, (k, v) -> k <> e.source_key)
+        when map_contains_key(m, e.source_key) then map_concat(map_filter(m, (k, v) -> k <> e.source_key and k <> e.new_source_key),
+            map(e.new_source_key, struct(m[e.source_key].destination as destination, m[e.source_key].keys as keys, e.at as registered_at)))
+        else m end)"""
+    moved = events.select(F.explode(F.expr(fold)).alias("source_key", "v")).select("source_key", "v.destination", "v.keys", "v.registered_at")
+    live = live.unionByName(moved)
     if destinations is not None:
         live = join_small(live, destinations.select("destination").distinct(), "destination", "left_semi")
     return live
@@ -37,6 +46,15 @@ def route_changes(changes: DataFrame, mapping: DataFrame) -> DataFrame:
     return join_small(changes, mapping.select("source_key", "destination", "keys"), "source_key", "inner")
 
 
+def apply_routed(changes: DataFrame, mapping: DataFrame, **kw) -> DataFrame:
+    """State of every destination: changes of mapped sources, keyed by their
+    mapping's logical keys (the images' key columns where it names none), applied
+    and tagged with ``destination``.  Sources that share a destination stay apart
+    by their source key in the row keys."""
+    state = A.apply_changes(route_changes(changes, mapping), keys_col="keys", **kw)
+    return join_small(state, mapping.select("source_key", "destination"), "source_key", "inner")
+
+
 def forward_filter(changes: DataFrame, mapping: DataFrame, now: str) -> DataFrame:
     """Changes newer than their source's registration time; an unmapped
     source counts as registered ``now``, so nothing older passes."""

@@ -484,3 +484,53 @@ SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus, cou
        sum(CAST(o_totalprice AS DECIMAL(28,10))) AS o_totalprice_accumulation
 FROM ins GROUP BY o_orderstatus
 """
+
+# ---- load, reload, routing and the rest ----------------------------------------
+
+_LOADED = ORDERS_CHG.replace("o_orderkey * 10 AS seq", "0 AS seq")
+
+ORACLE["load_then_apply"] = f"""
+WITH {_LOADED},
+{closed_form('orders_chg', ORDERS_COLS, ORDERS_ROW_KEY)}
+SELECT * FROM orders_chg_state
+"""
+
+ORACLE["reload_source"] = f"""
+WITH {ORDERS_CHG},
+tr AS (SELECT CAST(floor(max(o_orderkey) / 2) AS BIGINT) * 10 + 5 AS t FROM orders),
+reloaded AS (
+  SELECT * REPLACE (t + 1 AS seq) FROM orders_chg, tr WHERE seq % 10 = 0
+  UNION ALL SELECT * FROM orders_chg, tr WHERE seq > t),
+{closed_form('reloaded', ORDERS_COLS, ORDERS_ROW_KEY)}
+SELECT * FROM reloaded_state
+"""
+
+ORACLE["apply_routed"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG},
+by_customer AS (SELECT * REPLACE (CAST(o_custkey AS BIGINT) AS k) FROM orders_chg),
+{closed_form('by_customer', ORDERS_COLS, ORDERS_ROW_KEY)},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
+SELECT 'people_dest' AS destination, 'shop.orders' AS source_key, * FROM by_customer_state
+UNION ALL BY NAME
+SELECT 'people_dest' AS destination, 'app.users' AS source_key, * FROM events_chg_state
+"""
+
+ORACLE["range_layout_check"] = "SELECT count(DISTINCT o_orderkey) AS n_rows, true AS apart, true AS at_most_11 FROM orders"
+
+ORACLE["source_keys"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_DDL_FIXTURE},
+k AS (SELECT 'shop.orders' AS source_key FROM orders_chg UNION ALL SELECT 'app.users' FROM events_chg UNION ALL SELECT source_key FROM d
+      UNION ALL SELECT 'chat.conversations' FROM conversations
+      UNION ALL SELECT 'chat.conversations' FROM conversations WHERE role = 'assistant')
+SELECT 'db1:3306/' || source_key AS full_key, source_key, count(*) AS n_events FROM k GROUP BY source_key
+"""
+
+ORACLE["segment_counts_hourly"] = ORACLE["segment_counts"].replace("'%Y%m%d'", "'%Y%m%d%H'")
+
+ORACLE["reset_signal"] = ORACLE["segment_ready"].rstrip().replace("FROM s GROUP BY segment", "FROM s WHERE segment <> '20240110' GROUP BY segment")
+
+ORACLE["forward_fields"] = f"""
+WITH {EVENTS_CHG}
+SELECT 'instance_1' AS topic, 'app' AS database, 'users' AS "table", exec_time, op, seq, CASE WHEN op <> 'DELETE' THEN event_type END AS event_type
+FROM events_chg WHERE exec_time > TIMESTAMP '2024-01-10 00:00:00'
+"""

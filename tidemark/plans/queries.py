@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
@@ -73,6 +73,20 @@ def increment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.to_columns(inc, FX.EVENTS_COLUMNS + [STATUS_COLUMN], extra=["segment", "row_key"])
 
 
+@query
+def segment_counts_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per source, hourly segment and op."""
+    return SG.segment_counts(_both_logs(spark, sf_dir), SG.HOURLY)
+
+
+@query
+def reset_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The barrier after one segment's signals were taken back."""
+    ev = table(spark, sf_dir, "events")
+    signals = ev.select(SG.segment_id("ts").alias("segment"), F.col("event_type").alias("instance"), F.col("ts").alias("ready_at"))
+    return SG.segment_ready(SG.reset_signal(signals, "20240110"), instances=5)
+
+
 SNAPSHOT_BOUNDARY = "2024-01-15 00:00:00"
 
 
@@ -214,6 +228,55 @@ def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.load_plan(wanted, mapping_frame(spark))
 
 
+def _orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(*[v.alias(c) for c, v in FX.orders_values().items()])
+
+
+@query
+def load_then_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded from their table, then the changes after the load applied on top."""
+    loaded = L.load_records(_orders_rows(spark, sf_dir), FX.ORDERS_SOURCE, ["o_orderkey"])
+    later = FX.orders_changelog(spark, sf_dir).where("seq % 10 <> 0")
+    return A.to_columns(A.apply_on(loaded, later), FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def reload_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders reloaded in the middle of their change log: older changes go, newer ones apply."""
+    rows = _orders_rows(spark, sf_dir)
+    at = table(spark, sf_dir, "orders").select(F.floor(F.max("o_orderkey") / 2) * 10 + 5).scalar()
+    state = A.apply_on(L.reload_records(rows, FX.ORDERS_SOURCE, ["o_orderkey"], at), FX.orders_changelog(spark, sf_dir))
+    return A.to_columns(state, FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+# Both sources go to one destination; orders are keyed by customer, not by their physical key.
+ROUTES = [("shop.orders", "people_dest", ["o_custkey"]), ("app.users", "people_dest", None)]
+
+
+@query
+def apply_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of a destination shared by two sources, one under a logical key."""
+    mapping = spark.createDataFrame(ROUTES, "source_key string, destination string, keys array<string>")
+    state = M.apply_routed(_three_logs(spark, sf_dir), mapping)
+    return A.to_columns(state, FX.ORDERS_COLUMNS + FX.EVENTS_COLUMNS, extra=["destination", "source_key", "row_key", "version"])
+
+
+@query
+def range_layout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of range_layout: all rows in them, none overlapping (K6)."""
+    r = range_layout(spark, sf_dir)
+    before = F.lag("end_key").over(Window.orderBy("start_key"))
+    r = r.withColumn("apart", F.coalesce(before < F.col("start_key"), F.lit(True)) & (F.col("start_key") <= F.col("end_key")))
+    return r.agg(F.sum("n_rows").cast("long").alias("n_rows"), F.min("apart").alias("apart"), (F.count("*") <= 11).alias("at_most_11"))
+
+
+@query
+def source_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source keys from database and table behind a host prefix, per table of a log (K1)."""
+    log = _three_logs(spark, sf_dir).unionByName(FX.ddl_changelog_fixture(spark, sf_dir))
+    return log.groupBy(K.source_key("database", "table", "db1:3306/").alias("full_key"), "source_key").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 @query
 def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders state laid out in 11 contiguous row-key ranges (K6)."""
@@ -287,7 +350,8 @@ def mapping_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapping after a mapping log, kept only for existing destinations (M1, M2).
 
     The log registers every source seen in the change logs at its first
-    event; configured rows then rename app.users and remove the supplier shard.
+    event; configured rows then rename app.users twice, rename a source that is
+    not mapped, and remove the supplier shard.
     """
     logs = _three_logs(spark, sf_dir)
     cfg = mapping_frame(spark)
@@ -299,8 +363,10 @@ def mapping_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long").alias("seq"), F.lit("add").alias("op"), "source_key", F.lit(None).cast("string").alias("new_source_key"),
         "destination", "keys", F.col("registered_at").alias("at"))
     edits = spark.createDataFrame(
-        [(2**62, "rename", "app.users", "app.members", "users_dest", ["user_id"], "2024-02-01 00:00:00"),
-         (2**62 + 1, "remove", "shop_b.supplier", None, None, None, "2024-02-01 00:00:00")],
+        [(2**62, "rename", "app.users", "app.people", None, None, "2024-01-31 00:00:00"),
+         (2**62 + 1, "rename", "app.people", "app.members", None, None, "2024-02-01 00:00:00"),
+         (2**62 + 2, "rename", "app.nobody", "app.users", None, None, "2024-02-01 00:00:00"),
+         (2**62 + 3, "remove", "shop_b.supplier", None, None, None, "2024-02-01 00:00:00")],
         "seq long, op string, source_key string, new_source_key string, destination string, keys array<string>, at string",
     ).withColumn("at", F.col("at").cast("timestamp_ntz"))
     log = adds.unionByName(shard_adds).unionByName(edits)
@@ -477,6 +543,15 @@ def forward_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FWD.forward_json(_three_logs(spark, sf_dir), mapping_frame(spark), FORWARD_NOW, "instance_1")
 
 
+@query
+def forward_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forwarded JSON entries read back."""
+    v = "database string, table string, exec_time string, op string, seq long, after array<struct<name:string,value:string>>"
+    f = forward_json(spark, sf_dir).where("source_key = 'app.users'").select("topic", F.from_json("value", v).alias("v"))
+    cells = F.map_from_entries(F.transform(F.coalesce("v.after", F.array().cast("array<struct<name:string,value:string>>")), lambda c: F.struct(c["name"], c["value"])))
+    return f.select("topic", "v.database", "v.table", F.col("v.exec_time").cast("timestamp_ntz").alias("exec_time"), "v.op", "v.seq", cells["event_type"].alias("event_type"))
+
+
 @query
 def schema_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notice rows (source, normalised DDL) for fully understood schema events."""
