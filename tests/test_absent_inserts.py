@@ -6,7 +6,7 @@ from helpers import cell, to_df
 
 from tidemark.operators import rollup as R
 from tidemark.session import scratch_path
-from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch
+from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch, start_rollup
 
 
 def _row(op, seq, key=None, old=None):
@@ -29,8 +29,9 @@ def _counts(spark, rows):
     got = [batch, float(R.rollup_sum_stream(df, ["g"], ["v"], "d").first()["v_accumulation"])]
     for width in (1, 2):  # rows a micro-batch
         run = scratch_path(spark, f"t-absent-{uuid.uuid4().hex}")
+        start_rollup(spark, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
         for i in range(0, len(rows), width):
-            fold_rollup_batch(spark, to_df(spark, rows[i:i + width]), i, f"{run}/state", f"{run}/rollup", ["g"], ["v"], buckets=2)
+            fold_rollup_batch(spark, to_df(spark, rows[i:i + width]), i, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
         r = current_rollup(spark, f"{run}/rollup", ["g"], ["v"], "d").first()
         got += [r["count"], float(r["v_accumulation"])]
     return got
@@ -46,5 +47,6 @@ def test_empty_and_schema_only_logs(spark):
     empty = to_df(spark, [])
     assert R.rollup_count_stream(empty, ["g"], "d").collect() == []
     run = scratch_path(spark, f"t-absent-{uuid.uuid4().hex}")
-    fold_rollup_batch(spark, to_df(spark, [_row("TRUNCATE", 1)]), 0, f"{run}/state", f"{run}/rollup", ["g"], ["v"], buckets=2)
+    start_rollup(spark, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
+    fold_rollup_batch(spark, to_df(spark, [_row("TRUNCATE", 1)]), 0, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
     assert current_rollup(spark, f"{run}/rollup", ["g"], ["v"], "d").collect() == []

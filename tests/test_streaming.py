@@ -8,7 +8,7 @@ from helpers import random_log, state_as_dict, to_df
 from tidemark.operators import apply as A
 from tidemark.session import scratch_path
 from tidemark.streaming.apply_stream import apply_stream_once
-from tidemark.streaming.state_store import current_state, merge_batch
+from tidemark.streaming.records import current_state, start, write_batch
 
 
 @pytest.mark.parametrize("files,per_trigger", [(1, 1), (10, 3)])
@@ -17,41 +17,57 @@ def test_stream_equals_batch(spark, files, per_trigger):
     df = to_df(spark, rows)
     run = scratch_path(spark, f"t-stream-{uuid.uuid4().hex}")
     df.repartition(files).write.parquet(f"{run}/in")
-    got = apply_stream_once(spark, f"{run}/in", f"{run}/state", f"{run}/ckpt", buckets=4, max_files_per_trigger=per_trigger)
+    got = apply_stream_once(spark, f"{run}/in", f"{run}/state", f"{run}/ckpt", max_files_per_trigger=per_trigger)
     assert state_as_dict(got) == state_as_dict(A.apply_changes(df))
 
 
+def _state(spark, name):
+    root = scratch_path(spark, f"t-{name}-{uuid.uuid4().hex}")
+    start(spark, root, "r")
+    return root
+
+
 def test_replayed_and_reordered_batches(spark):
     rows = random_log(400, 20, 9)
     df = to_df(spark, rows)
-    root = scratch_path(spark, f"t-state-{uuid.uuid4().hex}")
+    root = _state(spark, "state")
     parts = [to_df(spark, rows[i::3]) for i in range(3)]
-    merge_batch(spark, parts[2], 0, root, buckets=4)
-    merge_batch(spark, parts[0], 1, root, buckets=4)
-    merge_batch(spark, parts[0], 1, root, buckets=4)  # replayed id: skipped
-    merge_batch(spark, parts[1], 2, root, buckets=4)
-    merge_batch(spark, parts[1], 3, root, buckets=4)  # same data under a new id: idempotent
+    for i, part in ((0, 2), (1, 0), (1, 0), (2, 1), (3, 1)):  # a replay, and the same data under a new id
+        write_batch(parts[part], i, root, "r")
     assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
 
 
-def test_compaction_keeps_result_and_drops_dead_cells(spark):
-    from tidemark.streaming.state_store import compact, layout, read_records
+def test_a_second_stream_adds_to_the_same_state(spark):
+    rows = random_log(300, 20, 21)
+    run = scratch_path(spark, f"t-two-{uuid.uuid4().hex}")
+    for i in range(2):  # batch ids begin at 0 in both
+        to_df(spark, rows[i::2]).write.parquet(f"{run}/in{i}")
+        got = apply_stream_once(spark, f"{run}/in{i}", f"{run}/state", f"{run}/ckpt{i}")
+    assert state_as_dict(got) == state_as_dict(A.apply_changes(to_df(spark, rows)))
 
-    rows = random_log(400, 15, 21)
-    df = to_df(spark, rows)
-    root = scratch_path(spark, f"t-compact-{uuid.uuid4().hex}")
-    parts = [to_df(spark, rows[i::4]) for i in range(4)]
-    for i, p in enumerate(parts):
-        merge_batch(spark, p, i, root, buckets=4, compact_every=2)
-    base, deltas = layout(spark, root)
-    assert base == 3 and deltas == []
-    assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
-    # a late batch with an old delete still applies after compaction
-    merge_batch(spark, to_df(spark, rows[:50]), 4, root, buckets=4, compact_every=10)
-    assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(df))
-    assert compact(spark, root, 4) == 4
-    recs = read_records(spark, root)
-    assert recs.count() <= A.reduce_contributions(A.contributions(A.with_row_keys(df))).count()
+
+def test_column_names_that_are_used_again(spark):
+    from helpers import cell
+
+    def row(seq, **values):
+        return dict(source_key="db.t", database="db", table="t", exec_time=None, op="INSERT" if values else "ALTER", ddl=None, seq=seq, before=None,
+                    after=[cell("id", "1", key=True), *(cell(k, v) for k, v in values.items())] if values else None)
+
+    def ddl(seq, text):
+        return {**row(seq), "ddl": f"alter table t {text}"}
+
+    cases = [
+        ([row(1, a="x", b="y"), ddl(2, "drop column b"), ddl(3, "change a b int")], {"b": "x"}),
+        ([row(1, a="x", b="y"), ddl(2, "change a c int"), ddl(3, "change b a int"), ddl(4, "change c b int")], {"a": "y", "b": "x"}),
+        ([row(1, a="x"), ddl(2, "change a b int"), row(3, a="new"), ddl(4, "drop column b")], {"a": "new"}),
+    ]
+    for rows, want in cases:
+        for width in (1, 2, 9):
+            root = _state(spark, "names")
+            for i in range(0, len(rows), width):
+                write_batch(to_df(spark, rows[i:i + width]), i, root, "r")
+            (got,) = current_state(spark, root).collect()
+            assert got.cells == {"id": "1", **want}
 
 
 def test_stream_routes_through_mapping_reread_per_batch(spark):
@@ -63,7 +79,7 @@ def test_stream_routes_through_mapping_reread_per_batch(spark):
     df.repartition(4).write.parquet(f"{run}/in")
     mapping = spark.createDataFrame([("db.t", "dest_t", ["id"])], "source_key string, destination string, keys array<string>")
     mapping.write.parquet(f"{run}/mapping")
-    q = run_apply_stream(spark, f"{run}/in", f"{run}/state", f"{run}/ckpt", buckets=4, max_files_per_trigger=2, mapping_path=f"{run}/mapping")
+    q = run_apply_stream(spark, f"{run}/in", f"{run}/state", f"{run}/ckpt", max_files_per_trigger=2, mapping_path=f"{run}/mapping")
     q.awaitTermination()
     got = state_as_dict(current_state(spark, f"{run}/state"))
     assert got == state_as_dict(A.apply_changes(df.where("source_key = 'db.t'")))
@@ -128,7 +144,7 @@ def test_watermark_closes_segments_and_drops_late_events(spark):
 
 def test_rollup_stream_equals_batch_rollups_and_survives_replay(spark):
     from tidemark.operators import rollup as R
-    from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch
+    from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch, start_rollup
 
     rows = sorted(random_log(300, 12, 41), key=lambda r: r["seq"])
     assert any(r["op"] == "TRUNCATE" for r in rows)
@@ -140,9 +156,10 @@ def test_rollup_stream_equals_batch_rollups_and_survives_replay(spark):
     df = to_df(spark, rows)
     run = scratch_path(spark, f"t-rollup-{uuid.uuid4().hex}")
     parts = [rows[:100], rows[100:200], rows[200:]]
+    start_rollup(spark, f"{run}/state", f"{run}/rollup", "r", ["a"], ["c"])
     for i, p in enumerate(parts):
-        fold_rollup_batch(spark, to_df(spark, p), i, f"{run}/state", f"{run}/rollup", ["a"], ["c"], buckets=4)
-    fold_rollup_batch(spark, to_df(spark, parts[1]), 1, f"{run}/state", f"{run}/rollup", ["a"], ["c"], buckets=4)  # replay
+        for _ in range(2 if i == 1 else 1):  # one is replayed
+            fold_rollup_batch(spark, to_df(spark, p), i, f"{run}/state", f"{run}/rollup", "r", ["a"], ["c"])
     got = {(r["a"], r["count"], r["c_accumulation"]) for r in current_rollup(spark, f"{run}/rollup", ["a"], ["c"], "d").collect()}
     sums = {r["a"]: r["c_accumulation"] for r in R.rollup_sum_stream(df, ["a"], ["c"], "d").collect()}
     counts = {r["a"]: r["count"] for r in R.rollup_count_stream(df, ["a"], "d").collect()}
@@ -170,6 +187,7 @@ def test_stream_folds_column_events_like_the_batch_apply(spark):
     rows.sort(key=lambda r: r["seq"])
     root = scratch_path(spark, f"t-colstream-{uuid.uuid4().hex}")
     chunks = [rows[i:i + 25] for i in range(0, len(rows), 25)]
+    start(spark, root, "r")
     for i, part in enumerate(chunks):
-        merge_batch(spark, to_df(spark, part), i, root, buckets=4, compact_every=3)
+        write_batch(to_df(spark, part), i, root, "r")
     assert state_as_dict(current_state(spark, root)) == state_as_dict(apply_with_schema(to_df(spark, rows)))

@@ -534,3 +534,6 @@ WITH {EVENTS_CHG}
 SELECT 'instance_1' AS topic, 'app' AS database, 'users' AS "table", exec_time, op, seq, CASE WHEN op <> 'DELETE' THEN event_type END AS event_type
 FROM events_chg WHERE exec_time > TIMESTAMP '2024-01-10 00:00:00'
 """
+
+ORACLE["stream_schema_events"] = ORACLE["apply_schema_events"]
+ORACLE["stream_routed"] = ORACLE["apply_routed"]

@@ -529,11 +529,11 @@ def resolve_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """users state from a file stream of the change log: 8 files of shuffled
-    rows, 2 files per micro-batch appended as deltas, compacted every 3 (S5, A5)."""
+    rows, 2 files per micro-batch (S5, A5)."""
     run = scratch_path(spark, f"stream-apply-{uuid.uuid4().hex}")
     src, state, ckpt = f"{run}/input", f"{run}/state", f"{run}/checkpoint"
     FX.events_changelog(spark, sf_dir).repartition(8).write.parquet(src)
-    st = STR.apply_stream_once(spark, src, state, ckpt, buckets=16, max_files_per_trigger=2, compact_every=3)
+    st = STR.apply_stream_once(spark, src, state, ckpt, max_files_per_trigger=2)
     return A.to_columns(st, FX.EVENTS_COLUMNS, extra=["row_key", "version"])
 
 
@@ -552,6 +552,31 @@ def forward_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("topic", "v.database", "v.table", F.col("v.exec_time").cast("timestamp_ntz").alias("exec_time"), "v.op", "v.seq", cells["event_type"].alias("event_type"))
 
 
+@query
+def stream_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of apply_schema_events from a stream: a rename chain and a
+    column drop arrive between row changes, one file of seq-ordered changes a
+    micro-batch (D3, D4, A5)."""
+    run = scratch_path(spark, f"stream-schema-{uuid.uuid4().hex}")
+    log = FX.orders_changelog(spark, sf_dir).unionByName(FX.orders_schema_events(spark, sf_dir))
+    FX.write_in_seq_order(log, f"{run}/input", chunks=4)
+    st = STR.apply_stream_once(spark, f"{run}/input", f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=1)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_status", "o_state", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return A.to_columns(st, cols, extra=["row_key", "version"])
+
+
+@query
+def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """apply_routed from a stream that reads the mapping anew for each micro-batch."""
+    run = scratch_path(spark, f"stream-routed-{uuid.uuid4().hex}")
+    mapping = spark.createDataFrame(ROUTES, "source_key string, destination string, keys array<string>")
+    mapping.write.parquet(f"{run}/mapping")
+    _three_logs(spark, sf_dir).repartition(4).write.parquet(f"{run}/input")
+    STR.apply_stream_once(spark, f"{run}/input", f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=2, mapping_path=f"{run}/mapping")
+    state = STR.states_by_destination(spark, f"{run}/state", mapping)
+    return A.to_columns(state, FX.ORDERS_COLUMNS + FX.EVENTS_COLUMNS, extra=["destination", "source_key", "row_key", "version"])
+
+
 @query
 def schema_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notice rows (source, normalised DDL) for fully understood schema events."""
@@ -591,6 +616,6 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = scratch_path(spark, f"rollup-stream-{uuid.uuid4().hex}")
     FX.write_in_seq_order(FX.orders_changelog(spark, sf_dir), f"{run}/input", chunks=3)
     q = RST.run_rollup_stream(spark, f"{run}/input", f"{run}/state", f"{run}/rollup", f"{run}/checkpoint",
-                              ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1, buckets=16)
+                              ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1)
     q.awaitTermination()
     return RST.current_rollup(spark, f"{run}/rollup", ["o_orderstatus"], ["o_totalprice"], "rollup.orders")

@@ -1,19 +1,19 @@
 """Continuous change apply with Structured Streaming.
 
-``readStream`` of change-log files -> ``foreachBatch(merge_batch)``; the
-stream checkpoint replaces the reference's ack, and the state store's
-commit marker (one delta folder per batch id, skipped when already there)
-makes every micro-batch idempotent, so delivery is effectively exactly-once
-even though batches may be replayed.
+``readStream`` of change-log files -> ``foreachBatch(write_batch)``; the
+stream checkpoint replaces the reference's ack.  A replayed batch overwrites
+its own folder, and records are reduced when read, so delivery is effectively
+exactly-once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.joins import join_small
 from tidemark.operators.mapping import route_changes
 from tidemark.schema import CHANGELOG
-from tidemark.streaming.state_store import current_state, merge_batch
+from tidemark.streaming.records import current_state, run_of, start, write_batch
 
 
 def change_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
@@ -29,19 +29,23 @@ def route_batch(batch: DataFrame, mapping_path: str) -> DataFrame:
     from the next batch on, without restarting the stream.
     """
     mapping = batch.sparkSession.read.parquet(mapping_path)
-    return route_changes(batch, mapping).drop("destination", "keys")
+    return route_changes(batch, mapping).drop("destination")
 
 
-def run_apply_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str, buckets: int = 64,
+def run_apply_stream(spark: SparkSession, source_dir: str, state_root: str, checkpoint: str,
                      max_files_per_trigger: int = 1, available_now: bool = True, fmt: str = "parquet",
                      mapping_path: str | None = None, **apply_kw):
     """Start the apply stream; with ``available_now`` it processes what is
     there in micro-batches and stops.  With ``mapping_path`` only mapped
-    sources are applied.  Returns the streaming query."""
+    sources are applied, under their logical keys.  Returns the streaming query."""
+    run = run_of(checkpoint)
+    start(spark, state_root, run)
+    kw = {"keys_col": "keys", **apply_kw} if mapping_path is not None else apply_kw
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         if mapping_path is not None:
             batch = route_batch(batch, mapping_path)
-        merge_batch(batch.sparkSession, batch, batch_id, state_root, buckets, **apply_kw)
+        write_batch(batch, batch_id, state_root, run, **kw)
 
     w = change_stream(spark, source_dir, fmt, max_files_per_trigger).writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
@@ -55,3 +59,8 @@ def apply_stream_once(spark: SparkSession, source_dir: str, state_root: str, che
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return current_state(spark, state_root)
+
+
+def states_by_destination(spark: SparkSession, state_root: str, mapping: DataFrame) -> DataFrame:
+    """The stream's state with the destination that each source is mapped to."""
+    return join_small(current_state(spark, state_root), mapping.select("source_key", "destination"), "source_key", "inner")

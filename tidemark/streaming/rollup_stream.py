@@ -7,34 +7,34 @@ Per micro-batch, before the batch is folded into the apply state:
    UPDATE to another key, or its source was truncated or dropped since, or
    there is none and the state has no live row for it (the state's newest
    live/delete markers of the batch's keys stand in for the earlier events);
-2. their partial SUM / COUNT per group is appended as a delta
-   ``<root>/delta/batch=<id>``;
-3. the batch is then folded into the apply state (``merge_batch``).
-
-Both writes are idempotent by batch id, and the roll-up delta is written
-first, so a replay after a failure between them recomputes nothing twice.
-The current roll-up is the sum of the deltas (sums and counts are
-associative).  Changes of one row key are expected in ``seq`` order across
-micro-batches, as a change stream delivers them.
+2. their partial SUM / COUNT per group is written as a delta
+   ``<root>/run=<run>/batch=<id>``;
+3. the batch's records are then added to the apply records (``write_batch``).
+
+Both writes overwrite what a failed attempt left, and a replay looks only at
+the records of earlier batches, so it writes the same again.  The current
+roll-up is the sum of the deltas (sums and counts are associative).  Changes
+of one row key are expected in ``seq`` order across micro-batches, as a change
+stream delivers them.  A batch looks its own keys up in the records (semi-join);
+the scan of the records' keys and markers grows with them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import row_key_from_columns
 from tidemark.operators.ordered import previous_row
 from tidemark.operators.rollup import row_events, summable, wipe_times
 from tidemark.schema import CHANGELOG
-from tidemark.streaming.state_store import _committed, _join, merge_batch, read_records
+from tidemark.streaming.records import read_records, run_of, start, write_batch
 
 
-def absent_inserts_against_state(spark: SparkSession, batch: DataFrame, state_root: str, fields: list[str]) -> DataFrame:
-    """Batch INSERTs that hit a row absent from the state and from earlier batch events."""
+def absent_inserts_against_state(state: DataFrame, batch: DataFrame, fields: list[str]) -> DataFrame:
+    """Batch INSERTs that hit a row absent from the state's records and from earlier batch events."""
     slim = row_events(batch, fields)
     keys = slim.select("source_key", "row_key").distinct()
-    state = read_records(spark, state_root)
     marks = state.where(F.col("tag").isin("live", "del")).join(keys, ["source_key", "row_key"], "left_semi")
     last = marks.groupBy("source_key", "row_key").agg(F.max(F.struct("seq", "tag")).alias("m")).select(
         "source_key", "row_key", F.col("m.seq").alias("seq"),
@@ -51,34 +51,52 @@ def absent_inserts_against_state(spark: SparkSession, batch: DataFrame, state_ro
     return hits.join(wipes, "source_key", "left").where(absent).select("source_key", "row_key", "seq", *fields)
 
 
-def fold_rollup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str, rollup_root: str,
-                      groups: list[str], columns: list[str], buckets: int = 64) -> None:
-    """Roll-up delta of one micro-batch, then the batch into the apply state."""
-    if batch_id not in _committed(spark, _join(rollup_root, "delta"), "batch="):
-        ins = absent_inserts_against_state(spark, batch, state_root, list(dict.fromkeys([*groups, *columns])))
-        part = ins.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[F.sum(summable(ins, c)).alias(c) for c in columns])
-        part.write.mode("overwrite").parquet(_join(rollup_root, "delta", f"batch={batch_id}"))
-    merge_batch(spark, batch, batch_id, state_root, buckets)
+def fold_rollup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str, rollup_root: str, run: str,
+                      groups: list[str], columns: list[str]) -> None:
+    """Roll-up delta of one micro-batch, then the batch into the apply records.
+
+    A replayed batch must not see its own records, so the roll-up looks only
+    at those of its run's earlier batches and of other runs.
+    """
+    earlier = read_records(spark, state_root).where(~_of_this_or_later(run, batch_id))
+    ins = absent_inserts_against_state(earlier, batch, list(dict.fromkeys([*groups, *columns])))
+    part = ins.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[F.sum(summable(ins, c)).cast("decimal(38,10)").alias(c) for c in columns])
+    part.write.mode("overwrite").parquet(f"{rollup_root}/run={run}/batch={batch_id}")
+    write_batch(batch, batch_id, state_root, run)
+
+
+def _of_this_or_later(run: str, batch_id: int) -> Column:
+    number = F.regexp_extract(F.input_file_name(), f"/run={run}/batch=(-?[0-9]+)/", 1)
+    return (number != "") & (number.try_cast("long") >= batch_id)
 
 
 def run_rollup_stream(spark: SparkSession, source_dir: str, state_root: str, rollup_root: str, checkpoint: str,
-                      groups: list[str], columns: list[str], max_files_per_trigger: int = 1, buckets: int = 64):
+                      groups: list[str], columns: list[str], max_files_per_trigger: int = 1):
     """Start the stream (available-now trigger); returns the streaming query."""
+    run = run_of(checkpoint)
+    start_rollup(spark, state_root, rollup_root, run, groups, columns)
+
     def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_rollup_batch(batch.sparkSession, batch, batch_id, state_root, rollup_root, groups, columns, buckets)
+        fold_rollup_batch(batch.sparkSession, batch, batch_id, state_root, rollup_root, run, groups, columns)
 
     src = spark.readStream.schema(CHANGELOG).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
     return src.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _delta_schema(groups: list[str], columns: list[str]) -> str:
+    return ", ".join([*(f"{x} string" for x in sorted(groups, key=str.lower)), "count long", *(f"{c} decimal(38,10)" for c in columns)])
+
+
+def start_rollup(spark: SparkSession, state_root: str, rollup_root: str, run: str, groups: list[str], columns: list[str]) -> None:
+    """Make both roots readable before the first batch."""
+    start(spark, state_root, run)
+    spark.createDataFrame([], _delta_schema(groups, columns)).write.mode("overwrite").parquet(f"{rollup_root}/run={run}/batch=-1")
+
+
 def current_rollup(spark: SparkSession, rollup_root: str, groups: list[str], columns: list[str], dest: str,
                    sum_suffix: str = "_accumulation") -> DataFrame:
     """Roll-up table: deltas added up, keyed like the batch roll-ups."""
-    done = _committed(spark, _join(rollup_root, "delta"), "batch=")
     g = sorted(groups, key=str.lower)
-    schema = ", ".join([*(f"{x} string" for x in g), "count long", *(f"{c} decimal(38,10)" for c in columns)])
-    if not done:
-        return spark.createDataFrame([], schema)
-    deltas = spark.read.schema(schema).parquet(*[_join(rollup_root, "delta", f"batch={d}") for d in done])
+    deltas = spark.read.schema(_delta_schema(groups, columns)).option("recursiveFileLookup", "true").parquet(rollup_root)
     agg = deltas.groupBy(*g).agg(F.sum("count").cast("long").alias("count"), *[F.sum(c).alias(c + sum_suffix) for c in columns])
     return agg.select(row_key_from_columns(g, F.lit(dest)).alias("row_key"), *g, "count", *[c + sum_suffix for c in columns])
