@@ -44,4 +44,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_but_sink_and_layout_has_an_oracle():
     assert set(QUERIES) - set(ORACLE) == {"range_layout", "forward_json"}
-    assert len(QUERIES) >= 59
+    assert len(QUERIES) >= 63

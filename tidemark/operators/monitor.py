@@ -12,11 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import running_max
+from tidemark.operators.ordered import previous_row, running_max
 
 DAY_OF_MINUTES = 1440
 
 
+def idle_gaps(changes: DataFrame, seconds: int) -> DataFrame:
+    """Where a source was silent for at least ``seconds``: each event, in ``seq``
+    order, that comes so long after the one before it.  No grid of batches is
+    made, so a far-off time stamp costs nothing."""
+    prev = previous_row(changes.select("source_key", "seq", "exec_time"), ["source_key"], "seq", ["exec_time"])
+    gap = F.timestamp_diff("SECOND", F.col("prev_exec_time"), F.col("exec_time"))
+    return prev.withColumn("idle_seconds", gap).where(F.col("idle_seconds") >= seconds).select("source_key", "seq", F.col("prev_exec_time").alias("idle_since"), "exec_time", "idle_seconds")
+
+
 def batch_metrics(spark: SparkSession, changes: DataFrame, interval_seconds: int = 60, block_size: int = DAY_OF_MINUTES) -> DataFrame:
     """``(batch_id, batch_start, batch_end, n_rows, last_ts, last_exec_time, last_busy)``
     over the grid of batches spanning the log (empty batches included)."""

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import apply as A
 from tidemark.operators.ddl import DDL_OPS, ddl_changelog
+from tidemark.functions.keys import DEFAULT_CONNECTOR
 from tidemark.operators.joins import join_small
+from tidemark.operators.schema_events import rekey
+from tidemark.schema import SOURCE_WIPE_OPS
 
 
 def column_events(changes: DataFrame) -> DataFrame:
@@ -74,8 +77,63 @@ def remap_cells(contrib: DataFrame, fates: DataFrame) -> DataFrame:
 
 
 def apply_with_schema(changes: DataFrame, keys_col: str | None = None, **kw) -> DataFrame:
-    """Current state after a log holding row changes and schema events."""
+    """Current state after a log holding row changes and schema events, columns
+    and truncations only (``apply_log`` has them all)."""
     keyed = A.with_row_keys(changes.where(F.col("op").isin("INSERT", "UPDATE", "DELETE")), keys_col)
     contrib = A.contributions(keyed, kw.get("keep_old_key", False), kw.get("clean", True))
     fates = column_fates(column_events(changes))
     return A.materialize(A.reduce_contributions(remap_cells(contrib, fates)), A.source_wipes(changes))
+
+
+def _sources(ddl: DataFrame) -> DataFrame:
+    """Column events of one pretended table whose columns are the sources."""
+    database = F.substring_index("source_key", ".", 1)
+
+    def full(name: str):
+        return F.when(F.col(name).contains("."), F.col(name)).otherwise(F.concat(database, F.lit("."), F.col(name)))
+
+    return ddl.where("effect = 'rename_source'").select(
+        F.lit("").alias("source_key"), full("old_name").alias("name"), "seq", F.lit(False).alias("dropped"), full("new_name").alias("new_name"))
+
+
+def _moved(records: DataFrame, fates: DataFrame) -> DataFrame:
+    """Records under the source that theirs was renamed to after them; row keys end with the source."""
+    table = fates.groupBy(F.col("name").alias("source_key")).agg(F.sort_array(F.collect_list(F.struct("seq", "final_name"))).alias("fates"))
+    j = join_small(records, table, "source_key", "left")
+    to = F.coalesce(F.get(F.filter("fates", lambda e: e["seq"] > F.col("seq")), 0)["final_name"], F.col("source_key"))
+    key = F.expr("left(row_key, char_length(row_key) - char_length(source_key))")
+    return j.withColumn("to", to).select(
+        F.col("to").alias("source_key"),
+        F.when(F.col("row_key") == "", "").otherwise(F.concat(key, F.col("to"))).alias("row_key"),
+        *[c for c in records.columns if c not in ("source_key", "row_key")])
+
+
+def apply_log(changes: DataFrame, keys_col: str | None = None, connector: str = DEFAULT_CONNECTOR, reverse: bool = True, **kw) -> DataFrame:
+    """Current state after a log of row changes and all schema events, in ``seq`` order.
+
+    * Columns dropped or renamed: as in ``apply_with_schema``.
+    * RENAME TABLE: what came before it moves to the new source, row keys too.
+    * A key dropped without another: the source's rows go, and its later changes
+      are not followed.
+    * A key change: the rows as of then get new row keys from their cells (of rows
+      that meet under one key the newest cells stay); later changes go on from
+      there.  Each key change, a schema event, is a pass over its source's records;
+      only these few events are fetched.
+    """
+    ddl = ddl_changelog(changes.where(F.col("op").isin(*DDL_OPS)))
+    keyed = A.with_row_keys(changes.where(F.col("op").isin("INSERT", "UPDATE", "DELETE", *SOURCE_WIPE_OPS)), keys_col, connector, reverse)
+    records = remap_cells(A.contributions(keyed, kw.get("keep_old_key", False), kw.get("clean", True)), column_fates(column_events(changes)))
+    renames = column_fates(_sources(ddl))
+    records = _moved(records, renames)
+
+    events = ddl.where("effect in ('stop', 'rekey')").select("source_key", F.lit("").alias("row_key"), "seq", "effect", "key_list")
+    events = _moved(events, renames)
+    stops = events.where("effect = 'stop'").groupBy("source_key").agg(F.min("seq").alias("stopped"))
+    records = join_small(records, stops, "source_key", "left").where("stopped is null").drop("stopped")
+    for e in events.where("effect = 'rekey' and key_list is not null").orderBy("seq").collect():
+        before = (F.col("source_key") == e["source_key"]) & (F.col("seq") <= e["seq"])
+        state = A.materialize(A.reduce_contributions(records.where(before)))
+        state = rekey(state, e["source_key"], e["key_list"].split(","), connector, reverse)
+        columns = records.columns
+        records = records.where(~before).unionByName(A.records_of_state(state, F.col("version")).select(*columns))
+    return A.materialize(A.reduce_contributions(records))

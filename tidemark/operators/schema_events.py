@@ -30,15 +30,15 @@ def drop_column(state: DataFrame, source: str, column: str) -> DataFrame:
 
 
 def rename_column(state: DataFrame, source: str, old: str, new: str) -> DataFrame:
-    """Move a cell to a new (lower-cased) name; same name = no-op."""
+    """Move a cell to a new (lower-cased) name, in place of a cell that has it;
+    same name = no-op."""
     o, n = old.lower(), new.lower()
     if o == n:
         return state
-    moved = F.map_concat(
-        F.map_filter("cells", lambda k, v: (k != F.lit(o)) & (k != F.lit(n))),
-        F.map_filter(F.transform_keys("cells", lambda k, v: F.when(k == F.lit(o), F.lit(n)).otherwise(k)), lambda k, v: k == F.lit(n)),
-    )
-    return _on_source(state, source, moved)
+    has = F.map_contains_key("cells", o)
+    rest = F.filter(F.map_entries("cells"), lambda e: (e["key"] != o) & (~has | (e["key"] != n)))
+    moved = F.transform(F.filter(F.map_entries("cells"), lambda e: e["key"] == o), lambda e: F.struct(F.lit(n).alias("key"), e["value"].alias("value")))
+    return _on_source(state, source, F.map_from_entries(F.concat(rest, moved)))
 
 
 def rekey(state: DataFrame, source: str, keys: list[str], connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> DataFrame:

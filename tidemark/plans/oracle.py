@@ -537,3 +537,35 @@ FROM events_chg WHERE exec_time > TIMESTAMP '2024-01-10 00:00:00'
 
 ORACLE["stream_schema_events"] = ORACLE["apply_schema_events"]
 ORACLE["stream_routed"] = ORACLE["apply_routed"]
+
+_AT = "mid AS (SELECT CAST(floor(max(o_orderkey) / 2) AS BIGINT) * 10 + 5 AS t FROM orders)"
+
+ORACLE["apply_rename_source"] = f"""
+WITH {ORDERS_CHG},
+{closed_form('orders_chg', ORDERS_COLS, "reverse(CAST({k} AS VARCHAR)) || '+shop.orders_new'")}
+SELECT 'shop.orders_new' AS source_key, * FROM orders_chg_state
+"""
+
+ORACLE["apply_rekey"] = f"""
+WITH {ORDERS_CHG}, {_AT},
+early AS (SELECT orders_chg.* FROM orders_chg, mid WHERE seq <= t),
+{closed_form('early', ORDERS_COLS, ORDERS_ROW_KEY)},
+late AS (
+  SELECT CAST(o_custkey AS BIGINT) AS k, 'INSERT' AS op, version AS seq, NULL::TIMESTAMP AS exec_time, {', '.join(ORDERS_COLS)} FROM early_state
+  UNION ALL
+  SELECT CAST(o_custkey AS BIGINT), op, seq, exec_time, {', '.join(ORDERS_COLS)} FROM orders_chg, mid WHERE seq > t),
+{closed_form('late', ORDERS_COLS, ORDERS_ROW_KEY)}
+SELECT * FROM late_state
+"""
+
+ORACLE["apply_stop"] = f"""
+WITH {EVENTS_CHG},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
+SELECT 'app.users' AS source_key, * FROM events_chg_state
+"""
+
+ORACLE["idle_gaps"] = """
+WITH l AS (SELECT event_id AS seq, ts AS exec_time, lag(ts) OVER (ORDER BY event_id) AS idle_since FROM events)
+SELECT 'app.users' AS source_key, seq, idle_since, exec_time, (epoch_us(exec_time) - epoch_us(idle_since)) // 1000000 AS idle_seconds
+FROM l WHERE epoch_us(exec_time) - epoch_us(idle_since) >= 600 * 1000000
+"""

@@ -592,6 +592,35 @@ def apply_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.to_columns(SA.apply_with_schema(log), cols, extra=["row_key", "version"])
 
 
+@query
+def apply_rename_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state when a RENAME TABLE sits in the middle of the log: earlier
+    rows move, later changes come under the new name (D5, K5)."""
+    log = FX.orders_after(spark, sf_dir, source="shop.orders_new").unionByName(FX.orders_ddl(spark, sf_dir, "rename table orders to orders_new", "RENAME"))
+    return A.to_columns(SA.apply_log(log), FX.ORDERS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def apply_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state when the key changes to the customer in the middle of the log."""
+    event = FX.orders_ddl(spark, sf_dir, "alter table orders drop primary key, add primary key (o_custkey)")
+    log = FX.orders_after(spark, sf_dir, key="o_custkey").unionByName(event)
+    return A.to_columns(SA.apply_log(log), FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def apply_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of both sources when orders lose their key in the middle of the log."""
+    log = _both_logs(spark, sf_dir).unionByName(FX.orders_ddl(spark, sf_dir, "alter table orders drop primary key"))
+    return A.to_columns(SA.apply_log(log), FX.EVENTS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def idle_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silences of at least ten minutes between a source's real events (O2)."""
+    return MON.idle_gaps(FX.stored(FX.events_changelog(spark, sf_dir), "events"), 600)
+
+
 STREAM_LATENESS = "1 hour"
 
 

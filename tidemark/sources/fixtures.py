@@ -359,3 +359,21 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"offset": '), i, F.lit("}")))
             .otherwise(F.concat(F.lit('{"entry_type": "ROWDATA", "offset": '), i, F.lit("}"))))
     return e.select(text.alias("value"))
+
+
+def orders_ddl(spark: SparkSession, sf_dir: str, ddl: str, op: str = "ALTER") -> DataFrame:
+    """One schema event of ``shop.orders`` at the place of ``orders_truncate_event``."""
+    return orders_truncate_event(spark, sf_dir).withColumn("op", F.lit(op)).withColumn("ddl", F.lit(ddl))
+
+
+def orders_after(spark: SparkSession, sf_dir: str, source: str = ORDERS_SOURCE, key: str = "o_orderkey") -> DataFrame:
+    """The orders change log with the changes after that place under another
+    source, or with another column flagged as their key."""
+    at = table(spark, sf_dir, "orders").select(F.floor(F.max("o_orderkey") / 2) * 10 + 5).scalar()
+    late = F.col("seq") > at
+
+    def keyed(image_col: str) -> Column:
+        return F.when(late, F.transform(image_col, lambda c: c.withField("is_key", c["name"] == key))).otherwise(F.col(image_col))
+
+    log = orders_changelog(spark, sf_dir).withColumn("before", keyed("before")).withColumn("after", keyed("after"))
+    return log.withColumn("source_key", F.when(late, source).otherwise(F.col("source_key"))).withColumn("table", F.substring_index("source_key", ".", -1))
