@@ -55,8 +55,8 @@ def test_unigram_models_against_all_segmentations():
     for word in ["▁theres", "▁in", "▁andre", "▁x你y", "▁▁▁to"]:
         best = {0: (0.0, [])}
         for end in range(1, len(word) + 1):  # plain dynamic programme for one word
-            options = [(best[a][0] + m.scores[word[a:end]], [*best[a][1], word[a:end]]) for a in range(end) if word[a:end] in m.scores]
-            if word[end - 1] not in m.scores:
+            options = [(best[a][0] + m.scores[m.ids[word[a:end]]], [*best[a][1], word[a:end]]) for a in range(end) if word[a:end] in m.ids]
+            if word[end - 1] not in m.ids:
                 options.append((best[end - 1][0] + m.lost, [*best[end - 1][1], word[end - 1]]))
             best[end] = max(options)
         assert list(m.walk([word])) == [(word, best[len(word)][1])]
@@ -75,4 +75,6 @@ def test_table(spark, library):
     rows = awkward(7)
     out = P.decode(P.encode(frame(spark, rows))).collect()
     assert sorted(((r.doc_id, r.decoded, r.n_ids) for r in out), key=repr) == sorted(((i, t or "", len(library.encode(t or ""))) for i, t in rows), key=repr)
+    both = P.round_trip(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.decoded, r.n_ids, r.ids_crc32) for r in both), key=repr) == sorted(((r.doc_id, r.decoded, r.n_ids, r.ids_crc32) for r in out), key=repr)
     assert P.encode(frame(spark, [])).collect() == []

@@ -33,7 +33,7 @@ from tidemark.llm import words as W
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CACHE_WORDS, CACHE_PAIRS = 250_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 450_000, 400_000
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -48,53 +48,85 @@ class Model:
         plain = {p.piece: i for i, p in enumerate(m.pieces) if p.type in (kinds.NORMAL, kinds.UNUSED)}
         if any(p.type == kinds.USER_DEFINED for p in m.pieces) or any(MARK in p.lstrip(MARK) for p in plain) or m.normalizer_spec.precompiled_charsmap or m.normalizer_spec.remove_extra_whitespaces:
             raise ValueError("this model normalises texts or has pieces that go across marks")
-        self.ids, self.scores = plain, {p: m.pieces[i].score for p, i in plain.items()}
-        self.longest = max(map(len, plain), default=1)
-        self.lengths: dict[str, list[int]] = {}  # of the pieces with these last characters, longest first
-        for p in sorted(plain, key=len, reverse=True):
-            lengths = self.lengths.setdefault(p[-3:], [])
-            if len(p) not in lengths:
-                lengths.append(len(p))
+        self.ids, self.pieces, self.scores = plain, [p.piece for p in m.pieces], [p.score for p in m.pieces]
+        self.size = [len(p.piece) for p in m.pieces] + [1]  # the last one is for a character without a piece, -1
+        self.tails: dict = {}  # a trie of the pieces from their ends; "" leads to the piece
+        for p, i in plain.items():
+            node = self.tails
+            for character in reversed(p):
+                node = node.setdefault(character, {})
+            node[""] = i
         self.unigram = m.trainer_spec.model_type == m.trainer_spec.UNIGRAM
         self.prefix = MARK if m.normalizer_spec.add_dummy_prefix else ""
         self.byte_ids = [i for i, p in enumerate(m.pieces) if p.type == kinds.BYTE]
         self.unknown = next((i for i, p in enumerate(m.pieces) if p.type == kinds.UNKNOWN), 0)
-        self.lost = min(self.scores.values(), default=0.0) - 10  # the score of a character without a piece
+        self.lost = min((m.pieces[i].score for i in plain.values()), default=0.0) - 10  # the score of a character without a piece
         self.bytes_of = [p.piece.replace(MARK, " ").encode() if p.type in (kinds.NORMAL, kinds.UNUSED) else b"" for p in m.pieces]
         for value, i in enumerate(self.byte_ids):
             self.bytes_of[i] = bytes([value])
         m.normalizer_spec.add_dummy_prefix = False
         self.merges = sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left << 32 | right
+        self.packed = {p: np.array([i], "<u4").tobytes() for p, i in plain.items()}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # what the worker knew before, until it is met again
 
-    def _stable(self, left: str, right: str) -> bool:
-        """Whether the merges of both texts' joined characters end in just these two pieces (left may be empty)."""
-        got = self.pairs.get((left, right))
-        if got is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            got = self.merges.encode(left + right, out_type=str) == ([left, right] if left else [right])
-            self.pairs[left, right] = got
+    def _stable(self, left: int, right: int) -> bool:
+        """Whether the merges of both pieces' joined characters end in just these two; left is negative where none
+        is or the character before has no piece, which no merge reaches across."""
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        want = [self.pieces[left], self.pieces[right]] if left >= 0 else [self.pieces[right]]
+        got = self.merges.encode("".join(want), out_type=str) == want
+        self.pairs[left << 32 | right] = got
         return got
 
-    def _merged_last(self, word: str, end: int, last: list[str]) -> str:
-        """The last piece of the merge result of ``word[:end]``; ``last`` has those of the shorter prefixes."""
-        for tail in (3, 2, 1):
-            for n in self.lengths.get(word[end - tail : end], ()) if tail <= end else ():
-                piece = word[end - n : end]
-                if n <= end and piece in self.ids:
-                    before = last[end - n]
-                    if before and before not in self.ids:  # no merge reaches across a character without a piece
-                        before = ""
-                    if self._stable(before, piece):
-                        return piece
-        return word[end - 1]
+    def _ending(self, word: str, end: int) -> list[int]:
+        """The pieces that end at a place of a word, shortest first."""
+        node, found = self.tails, []
+        for i in range(end - 1, -1, -1):
+            node = node.get(word[i])
+            if node is None:
+                break
+            if "" in node:
+                found.append(node[""])
+        return found
+
+    def _merged(self, word: str, start: int, last: list[int]) -> None:
+        """Appends the last piece of the merge result of each prefix of ``word`` longer than ``start``."""
+        tails, size, pairs = self.tails, self.size, self.pairs
+        for end in range(start + 1, len(word) + 1):
+            node, found = tails, []
+            for i in range(end - 1, -1, -1):  # as in _ending
+                node = node.get(word[i])
+                if node is None:
+                    break
+                if "" in node:
+                    found.append(node[""])
+            while found:
+                piece = found.pop()
+                before = last[end - size[piece]]
+                stable = pairs.get(before << 32 | piece)
+                if stable or stable is None and self._stable(before, piece):
+                    last.append(piece)
+                    break
+            else:
+                last.append(-1)
+
+    def _best(self, word: str, start: int, last: list[int], best: list[float]) -> None:
+        """Appends the best score and last piece of each prefix of ``word`` longer than ``start``."""
+        for end in range(start + 1, len(word) + 1):
+            pieces = self._ending(word, end)
+            options = [(best[end - self.size[p]] + self.scores[p], p) for p in pieces]
+            if not pieces or self.size[pieces[0]] > 1:
+                options.append((best[end - 1] + self.lost, -1))
+            top = max(options)
+            best.append(top[0])
+            last.append(top[1])
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
-        """Each word of a sorted list with its pieces."""
-        last, best, before = [""], [0.0], ""
+        """Each word of a sorted list with its pieces; a prefix shared with the word before is not computed again."""
+        last, best, before = [-1], [0.0], ""
         for word in words:
             shared = 0
             for a, b in zip(before, word, strict=False):
@@ -102,22 +134,14 @@ class Model:
                     break
                 shared += 1
             del last[shared + 1 :], best[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                if self.unigram:
-                    top = (best[end - 1] + self.lost, word[end - 1])
-                    for n in range(1, min(self.longest, end) + 1):
-                        piece = word[end - n : end]
-                        score = self.scores.get(piece)
-                        if score is not None and (best[end - n] + score > top[0] or n == 1):
-                            top = (best[end - n] + score, piece)
-                    best.append(top[0])
-                    last.append(top[1])
-                else:
-                    last.append(self._merged_last(word, end, last))
+            if self.unigram:
+                self._best(word, shared, last, best)
+            else:
+                self._merged(word, shared, last)
             pieces, end = [], len(word)
             while end:
-                pieces.append(last[end])
-                end -= len(last[end])
+                pieces.append(word[end - self.size[last[end]] : end])
+                end -= len(pieces[-1])
             yield word, pieces[::-1]
             before = word
 
@@ -130,15 +154,14 @@ class Model:
         new = met.difference(self.known)
         self.known.update((w, self.older[w]) for w in new if w in self.older)
         for word, pieces in self.walk(sorted(new.difference(self.known))):
-            ids: list[int] = []
-            for p in pieces:
-                if p in self.ids:
-                    ids.append(self.ids[p])
-                else:
-                    ids += [self.byte_ids[x] for x in p.encode()] if len(self.byte_ids) == 256 else [self.unknown]
-            self.known[word] = np.array(ids, "<u4").tobytes()
+            self.known[word] = b"".join([self.packed.get(p) or self._spelled(p) for p in pieces])
         return [b"".join(map(self.known.__getitem__, ws)) for ws in marked]
 
+    def _spelled(self, character: str) -> bytes:
+        """The ids of a character without a piece."""
+        ids = [self.byte_ids[x] for x in character.encode()] if len(self.byte_ids) == 256 else [self.unknown]
+        return np.array(ids, "<u4").tobytes()
+
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return (text[1:] if self.prefix and text[:1] == b" " else text).decode("utf-8", "replace")
@@ -180,13 +203,32 @@ def _decode(file: str) -> Callable:
     return run
 
 
+def _both(file: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(file)
+        for b in (c for big in batches for c in W.chunks(big, max_bytes=4_000_000)):
+            ids = m.encode(b.column("_text").to_pylist())
+            columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(zlib.crc32, ids), pa.int64()), pa.array(map(m.decode, ids), pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], names=["doc_id", "n_ids", "ids_crc32", "decoded"])
+
+    return run
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", file: str = MODEL) -> DataFrame:
+    """``doc_id, n_ids, ids_crc32, decoded`` of every row: ``encode`` and ``decode`` in one pass, ids not sent."""
+    return _rows(docs, id_col, text_col).mapInArrow(_both(file), "doc_id long, n_ids long, ids_crc32 long, decoded string")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", file: str = MODEL) -> DataFrame:
     """``doc_id, text, ids, n_ids, ids_crc32`` of every row; ``ids`` are little-endian unsigned 32-bit bytes.
 
     ``file`` is one of the public tokenizers' models or a path that executors can open.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    return rows.mapInArrow(_encode(file), "doc_id long, text string, ids binary, n_ids long, ids_crc32 long")
+    return _rows(docs, id_col, text_col).mapInArrow(_encode(file), "doc_id long, text string, ids binary, n_ids long, ids_crc32 long")
 
 
 def decode(encoded: DataFrame, file: str = MODEL) -> DataFrame:
