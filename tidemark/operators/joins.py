@@ -12,10 +12,10 @@ BROADCAST_MAX_ROWS = 200_000
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` with a table expected to be small.
 
-    The small side is counted first (a cheap job over a config-sized table);
+    The small side is counted first, up to ``max_rows`` + 1 rows;
     it is broadcast only when it holds at most ``max_rows`` rows, otherwise
     the planner's shuffle join (with adaptive skew handling) is used.
     """
-    n = small.count()
+    n = small.limit(max_rows + 1).count()
     side = F.broadcast(small) if n <= max_rows else small
     return big.join(side, on, how)

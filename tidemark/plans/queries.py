@@ -63,7 +63,8 @@ def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def segment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events opening a new daily segment per source (T2, with re-triggers)."""
-    return SG.segment_changes(FX.stored(_both_logs(spark, sf_dir), "both"), SG.DAILY)
+    log = _both_logs(spark, sf_dir).select("source_key", "seq", "exec_time")
+    return SG.segment_changes(FX.stored(log, "both"), SG.DAILY)
 
 
 @query
@@ -463,7 +464,7 @@ IGNORED_HOURS = [0, 1, 2, 3, 4]
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MON.batch_metrics(spark, FX.stored(FX.events_changelog(spark, sf_dir), "events"), BATCH_SECONDS)
+    return MON.batch_metrics(spark, FX.stored(FX.events_changelog(spark, sf_dir).select("exec_time"), "events"), BATCH_SECONDS)
 
 
 @query
@@ -618,7 +619,7 @@ def apply_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def idle_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silences of at least ten minutes between a source's real events (O2)."""
-    return MON.idle_gaps(FX.stored(FX.events_changelog(spark, sf_dir), "events"), 600)
+    return MON.idle_gaps(FX.stored(FX.events_changelog(spark, sf_dir).select("source_key", "seq", "exec_time"), "events"), 600)
 
 
 STREAM_LATENESS = "1 hour"
