@@ -114,7 +114,7 @@ def test_watermark_closes_segments_and_drops_late_events(spark):
     import datetime
 
     from tidemark.streaming.apply_stream import change_stream
-    from tidemark.streaming.segments_stream import run_closed_segment_counts
+    from tidemark.streaming.segments_stream import late_events, run_closed_segment_counts
 
     def rows(day, hour, n, seq0):
         out = random_log(n, 5, seq0)
@@ -139,6 +139,7 @@ def test_watermark_closes_segments_and_drops_late_events(spark):
     got = spark.read.parquet(f"{run}/out")
     day2 = sum(r.n_events for r in got.where("segment = '20240102'").collect())
     assert day2 == len(on_time)  # the late day-2 events were dropped, the segment emitted once
+    assert late_events(q) > 0  # and counted
     assert got.where("segment = '20240105'").count() == 0  # still open: watermark not past its end
 
 

@@ -45,6 +45,12 @@ def increment_table(changes: DataFrame, granularity: str = DAILY, keys_col: str
     before-image) and ``final_status``: the mark of the newest INSERT/DELETE,
     else UPDATED (an UPDATE marks only a row not yet in the segment's table).
     """
+    return increments_of(increment_records(changes, granularity, keys_col, clean))
+
+
+def increment_records(changes: DataFrame, granularity: str = DAILY, keys_col: str | None = None, clean: bool = True) -> DataFrame:
+    """Newest value per ``(segment, source_key, row_key, name)`` with its ``seq``;
+    unions of such records, of parts of a log in any order, are records again."""
     keyed = A.with_row_keys(changes, keys_col).where(F.col("row_key").isNotNull())
     op = F.col("op")
     img = F.when(op == "DELETE", F.coalesce("before", F.array().cast(IMAGE))).otherwise(F.coalesce("after", F.array().cast(IMAGE)))
@@ -61,6 +67,12 @@ def increment_table(changes: DataFrame, granularity: str = DAILY, keys_col: str
         .groupBy("segment", "source_key", "row_key", F.col("c.name").alias("name"))
         .agg(F.max(F.struct("seq", F.col("c.value").alias("value"))).alias("m"))
     )
+    return rows.select("segment", "source_key", "row_key", "name", "m.seq", "m.value")
+
+
+def increments_of(records: DataFrame) -> DataFrame:
+    """Increment tables of (unions of) increment records."""
+    rows = records.groupBy("segment", "source_key", "row_key", "name").agg(F.max(F.struct("seq", "value")).alias("m"))
     return rows.groupBy("segment", "source_key", "row_key").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("name").alias("key"), F.col("m.value").alias("value")))).alias("cells")
     ).withColumn("cells", F.map_concat(F.map_filter("cells", lambda k, v: k != STATUS_COLUMN),

@@ -569,3 +569,5 @@ WITH l AS (SELECT event_id AS seq, ts AS exec_time, lag(ts) OVER (ORDER BY event
 SELECT 'app.users' AS source_key, seq, idle_since, exec_time, (epoch_us(exec_time) - epoch_us(idle_since)) // 1000000 AS idle_seconds
 FROM l WHERE epoch_us(exec_time) - epoch_us(idle_since) >= 600 * 1000000
 """
+
+ORACLE["increment_stream"] = ORACLE["increment_table"]

@@ -638,6 +638,16 @@ def segment_close_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("source_key string, segment string, op string, n_events long").parquet(f"{run}/out")
 
 
+@query
+def increment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily increment tables of app.users kept by a file stream of shuffled rows."""
+    run = scratch_path(spark, f"increment-stream-{uuid.uuid4().hex}")
+    FX.events_changelog(spark, sf_dir).repartition(4).write.parquet(f"{run}/input")
+    q = SEGS.run_increment_stream(STR.change_stream(spark, f"{run}/input", max_files_per_trigger=2), f"{run}/out", f"{run}/checkpoint")
+    q.awaitTermination()
+    return A.to_columns(SEGS.current_increments(spark, f"{run}/out"), FX.EVENTS_COLUMNS + [STATUS_COLUMN], extra=["segment", "row_key"])
+
+
 @query
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SUM and COUNT of orders per status maintained by a file stream: each

@@ -9,11 +9,11 @@ mode, so each segment is emitted exactly once, when it closes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.segments import DAILY, segment_id
-
+from tidemark.operators.segments import DAILY, increment_records, increments_of, segment_id
+from tidemark.streaming.records import run_of
 
 _EPOCH = "1970-01-01 00:00:00"
 
@@ -45,3 +45,31 @@ def run_closed_segment_counts(stream: DataFrame, path: str, checkpoint: str, lat
          .option("path", path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def late_events(query) -> int:
+    """Rows that the watermark has kept out so far, from the query's progress
+    reports (Spark keeps the latest of them)."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+
+
+_INCREMENTS = "segment string, source_key string, row_key string, name string, seq long, value string"
+
+
+def run_increment_stream(stream: DataFrame, root: str, checkpoint: str, granularity: str = DAILY, available_now: bool = True, **kw):
+    """Keep the increment tables of a stream: each micro-batch writes its own
+    increment records, a replay the same ones again (see ``records``)."""
+    spark, run = stream.sparkSession, run_of(checkpoint)
+    spark.createDataFrame([], _INCREMENTS).write.mode("overwrite").parquet(f"{root}/run={run}/batch=-1")
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        increment_records(batch, granularity, **kw).write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch_id}")
+
+    w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+def current_increments(spark: SparkSession, root: str) -> DataFrame:
+    """Increment tables as of now, open segments included."""
+    return increments_of(spark.read.schema(_INCREMENTS).option("recursiveFileLookup", "true").parquet(root))
