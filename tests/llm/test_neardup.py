@@ -50,7 +50,7 @@ def test_sketches_estimate_high_similarities():
             both = int(2 * 450 * share / (1 + share))
             a, b = x[:450], np.concatenate([x[:both], x[450 : 900 - both]])
             s = N.odd_sketches(np.stack([N.samples(a), N.samples(b)]))
-            out.append(int(np.bitwise_count(s[0] ^ s[1]).sum()))
+            out.append(int(np.bitwise_count((s[0] ^ s[1]).view(np.uint64)).sum()))
     assert max(close) <= N.most_different(80) < min(far)
 
 

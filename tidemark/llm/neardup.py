@@ -167,7 +167,8 @@ def across(limit: int):
             for i in range(len(g) - 1):
                 me, near = g[i], g[i + 1 :]
                 near = near[(comp[near] != comp[me]) & ((x[me] == y[me]) | (own[near] != own[me]))]
-                near = near[np.bitwise_count(sketch[near] ^ sketch[me]).sum(1) <= limit]
+                # as unsigned values: of a signed one, bitwise_count counts the bits of its magnitude
+                near = near[np.bitwise_count((sketch[near] ^ sketch[me]).view(np.uint64)).sum(1) <= limit]
                 near = near[bands[me, (bands[near] == bands[me]).argmax(1)] == key[me]]
                 out += [(node[g[i]], node[j]) for j in near]
         got = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
