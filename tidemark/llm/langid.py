@@ -24,7 +24,7 @@ from tidemark.llm import words as W
 
 HIDDEN, SEGMENT = 16, 24
 STEPS, BATCH, RATE = 400, 384, 0.02
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 PER_LANG, SAMPLE_CHARS = 400, 1500
 EDGE = 32  #: the blank read before and after a word
 
@@ -171,10 +171,11 @@ _labels: dict = {}
 
 def predict(net: Network, names: list[str], stamp: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.remember("langid", _labels.clear)
         if stamp not in _labels:
             _labels.clear()
             _labels[stamp] = WordLabels(net, len(names))
-        for b in (c for big in batches for c in W.chunks(big, max_bytes=8_000_000)):
+        for b in (c for big in batches for c in W.chunks(big)):
             w = segments(W.split(b.column("_text")))
             total = np.zeros((b.num_rows + 1, len(names)))
             if len(w.start):

@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
+from tidemark.llm.words import remember
 
 TOKENIZER = "word_bpe_49k.json"
 SIZE, GROUP, LOOSE = 2048, 16_000, 16
-CACHE_WORDS = 400_000  #: words whose ids a worker remembers, and as many that it has not met since
+CACHE_WORDS = 300_000  #: words whose ids a worker remembers, and as many that it has not met since
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -86,6 +87,7 @@ def cut_pieces(tokenizer: str, size: int, end_id: int, with_ids: bool) -> Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
+        remember("packing", _word_ids.clear)
         ids_of = word_ids(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
         end = _bytes([end_id])
         for b in batches:

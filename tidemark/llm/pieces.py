@@ -185,6 +185,7 @@ def model(file: str) -> Model:
 
 def _encode(file: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.remember("pieces", _models.clear)
         m = model(file)
         for b in (c for big in batches for c in W.chunks(big, max_bytes=4_000_000)):
             ids = m.encode(b.column("_text").to_pylist())
@@ -205,6 +206,7 @@ def _decode(file: str) -> Callable:
 
 def _both(file: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.remember("pieces", _models.clear)
         m = model(file)
         for b in (c for big in batches for c in W.chunks(big, max_bytes=4_000_000)):
             ids = m.encode(b.column("_text").to_pylist())

@@ -6,7 +6,7 @@ a longer character, so the cut can be made on bytes.  A null text has no words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +20,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_POWERS = [np.zeros(0, np.uint64)] * 2  #: powers of both, as long as the longest batch so far
+BLOCK = 1 << 20  #: bytes hashed at a time, unless one word has more
 _BYTE_CODE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
 
@@ -50,6 +50,18 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_POWERS = powers(_BASE, BLOCK + 1), powers(_BASE_INVERSE, BLOCK + 1)
+_owner: list[tuple[str, Callable[[], None]]] = []
+
+
+def remember(owner: str, forget: Callable[[], None]) -> None:
+    """A worker keeps what one operator remembers between its tasks: that of the operator before is dropped."""
+    if _owner and _owner[0][0] != owner:
+        _owner.pop()[1]()
+    if not _owner:
+        _owner.append((owner, forget))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and n + 1 offsets; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -95,16 +107,21 @@ def split(column: pa.Array, lower: bool = False) -> Words:
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, from differences of one running polynomial over all bytes."""
-    if not len(w.start):
-        return np.zeros(0, np.uint64)
-    size = len(w.data)
-    if len(_POWERS[0]) < size + 1:
-        _POWERS[:] = powers(_BASE, size + 1), powers(_BASE_INVERSE, size + 1)
-    total = np.zeros(size + 1, np.uint64)
-    np.multiply(_BYTE_CODE[w.data], _POWERS[0][:size], out=total[1:])
-    np.cumsum(total, out=total)
-    return mix((total[w.end] - total[w.start]) * _POWERS[1][w.start] + (w.end - w.start).astype(np.uint64) * _M)
+    """A 64-bit hash of each word's bytes, from differences of a running polynomial over blocks of whole words."""
+    n = len(w.start)
+    out = np.zeros(n, np.uint64)
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(w.end, w.start[at] + BLOCK, "right")))
+        low, size = w.start[at], int(w.end[to - 1] - w.start[at])
+        up, down = (_POWERS if size <= BLOCK else (powers(_BASE, size + 1), powers(_BASE_INVERSE, size + 1)))
+        total = np.zeros(size + 1, np.uint64)
+        np.multiply(_BYTE_CODE[w.data[low : low + size]], up[:size], out=total[1:])
+        np.cumsum(total, out=total)
+        start, end = w.start[at:to] - low, w.end[at:to] - low
+        out[at:to] = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _M)
+        at = to
+    return out
 
 
 def runs(h: np.ndarray, k: int, base: np.uint64 = _M) -> np.ndarray:
