@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, lines, neardup, packing, substrings
-from tidemark.llm.common import NULL_ID, cut, uncarried
+from tidemark.llm.common import NULL_ID, cut, on_workers, uncarried
 
 MIN_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in a recognised language.  Rows that share an id stay or go together."""
+    on_workers(spark)
     found = langid.languages(docs)
     gone = found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SCORE))
     gone = gone.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct()
@@ -62,6 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    on_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ from tidemark.session import ensure_checkpoint_dir
 NULL_ID = 2**63 - 1
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the session's machines have it at the same place as the driver
+    but not on their path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in path:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*path, root])
+
+
 def key_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("long"), F.lit(NULL_ID))
 
