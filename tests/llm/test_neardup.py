@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import awkward, frame, near_brute, rows_of, same
 
 from tidemark.llm import neardup as N
+from tidemark.llm import words as W
 from tidemark.llm.common import components
 
 
@@ -54,18 +56,44 @@ def test_sketches_estimate_high_similarities():
     assert max(close) <= N.most_different(80) < min(far)
 
 
-def test_across_compares_what_stars_left():
-    import pyarrow as pa
-
-    sketch = np.zeros((4, N.BITS // 64), np.int64)
-    sketch[3] = -1
-    bands = np.tile(np.arange(N.BANDS), (4, 1))
-    t = pa.record_batch([pa.array([0] * 4), pa.array([0] * 4), pa.array([0] * 4), pa.array([0] * 4), pa.array([1, 2, 3, 4]), pa.array([1, 1, 3, 4]), N._lists(sketch), N._lists(bands)], names=["key", "x", "y", "own", "node", "comp", "sketch", "bands"])
-    (out,) = N.across(10)(iter([t]))
-    assert list(zip(*(c.to_pylist() for c in out.columns), strict=True)) == [(1, 3), (2, 3)]
-    later = t.set_column(0, "key", pa.array([1] * 4))  # the same classes in a later bucket: nothing new
-    (out,) = N.across(10)(iter([later]))
-    assert out.num_rows == 0
+def blocks_of(rows):
+    """Rows (key, x, y, role, node, comp, set) as ``across`` gets them."""
+    sets = [np.unique(np.array(r[6], np.uint64)) for r in rows]
+    low = np.stack([N.samples(W.mix(s)) for s in sets])
+    columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(6)]
+    return pa.record_batch([*columns, N._lists(N.odd_sketches(low)), N._lists(N.band_keys(low)), pa.array([s.view(np.int64) for s in sets])], names=["key", "x", "y", "role", "node", "comp", "sketch", "bands", "shingles"]), N.band_keys(low)
+
+
+def test_across_confirms_what_stars_left():
+    base = list(range(100))
+    sets = [base, [*base[:95], 900], [*base[:60], *range(500, 540)], [*base[:96], 901]]
+    for x, y, roles in ((0, 0, (0, 1, 1, 1)), (0, -1, (0, 0, 0, 0))):
+        _, bands = blocks_of([(0, x, y, roles[i], i, i, s) for i, s in enumerate(sets)])
+        found = set()
+        for b in range(N.BANDS):
+            for key in set(bands[:, b].tolist()):
+                rows = [(key, x, y, roles[i], i, [0, 1, 2, 1][i], s) for i, s in enumerate(sets) if bands[i, b] == key]
+                if any(r[3] == 0 for r in rows):
+                    (out,) = N.across(N.most_different(80), 80)(iter([blocks_of(rows)[0]]))
+                    found |= set(zip(*(c.to_pylist() for c in out.columns), strict=True))
+        assert found and {tuple(sorted((0 if p == 0 else 1 for p in f))) for f in found} == {(0, 1)} and all(2 not in f for f in found)
+
+
+def test_blocks_bring_every_cross_pair_together_once(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 3)
+    comps = [1] * 10 + [2] * 4 + [3] * 4 + [4]
+    mixed = spark.createDataFrame([(7, i, c) for i, c in enumerate(comps)], "key long, node long, comp long")
+    cells: dict = {}
+    for r in N._blocks(mixed).collect():
+        cells.setdefault((r.x, r.y), ([], []))[r.role].append(r.node)
+    met: dict = {}
+    for (x, y), (left, right) in cells.items():
+        pairs = [(a, b) for a in left for b in right] if y >= 0 or -y - 1 != x else [(a, b) for a in left for b in left if a < b]
+        for a, b in pairs:
+            k = (min(a, b), max(a, b))
+            met[k] = met.get(k, 0) + 1
+    want = {(a, b) for a in range(len(comps)) for b in range(a + 1, len(comps)) if comps[a] != 1 or comps[b] != 1}
+    assert set(met) == want and set(met.values()) == {1}
 
 
 def test_components_of_a_long_chain(spark):

@@ -10,8 +10,8 @@ component of links is one group.
    count of two sketches' XOR estimates the similarity; only pairs far below the threshold go.
 3. The others are confirmed on the full sets, recomputed from the whole texts.
 4. Confirmed links give components.  Where a bucket still holds several, its classes are compared across components
-   by sketch, in blocks, and what passes is confirmed as well.  So no pair of one bucket is left out unless it is
-   already joined by confirmed links, and a group's pairs are not spelled out.
+   in blocks that carry the full sets: by sketch, and what passes on the sets.  So no pair of one bucket is left out
+   unless it is already joined by confirmed links, and only links leave a task, not a group's pairs.
 
 A pair at the very threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, 5e-9; the sketch loses one
 with about 3e-7 (MARGIN is five standard deviations of the estimate).
@@ -37,7 +37,7 @@ from tidemark.llm.common import NULL_ID, components, cut, id_of, keyed, parts
 BANDS, ROWS, BITS = 48, 5, 1024
 SAMPLES = BANDS * ROWS
 MARGIN = 0.13
-BLOCK = 2048
+BLOCK, BLOCK_ROWS = 512, 2000  #: classes of a block on either side, and about so many rows of blocks a task
 _rng = np.random.default_rng(9)
 _XOR = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32)
 _MUL = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32) | np.uint32(1)
@@ -149,34 +149,78 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, p
     return full.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(confirm(k, percent), "a long, b long")
 
 
-def across(limit: int):
-    """Pairs of different components whose sketches are close enough, each from the first bucket that has both."""
+def sets_of(k: int):
+    """The full sets of nodes, from the texts of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = list(batches)
+        for b in (c for big in batches for c in W.chunks(big)):
+            node = b.column("node").to_pylist()
+            got = [(n, s) for n, s in zip(node, shingle_sets(b.column("_text"), k), strict=True) if len(s) and node_of(s) == n]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([s.view(np.int64) for _, s in got], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return run
+
+
+def across(limit: int, percent: int):
+    """Links between components in one block of one bucket: role 0 against role 1, or within itself if that lacks.
+
+    A pair is compared in the first bucket that has both; one link to another component is enough.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
         if not rows:
             return
         t = pa.Table.from_batches(rows).combine_chunks()
-        key, x, y, own, node, comp = (t.column(c).to_numpy() for c in ("key", "x", "y", "own", "node", "comp"))
+        key, x, y, role, node, comp = (t.column(c).to_numpy() for c in ("key", "x", "y", "role", "node", "comp"))
+        # as unsigned values: of a signed one, bitwise_count counts the bits of its magnitude
         sketch, bands = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("sketch", "bands"))
-        order = np.lexsort((node, y, x, key))
-        edge = np.flatnonzero(np.r_[True, (np.diff(key[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0), True])
-        out = []
+        sketch = sketch.view(np.uint64)
+        sets = t.column("shingles").combine_chunks()
+        first, shingles = np.asarray(sets.offsets), sets.flatten().to_numpy().view(np.uint64)
+        order = np.lexsort((node, role, y, x, key))
+        edge = np.flatnonzero(np.r_[True, np.any([np.diff(c[order]) != 0 for c in (key, x, y)], axis=0), True])
+        out = set()
         for a, b in zip(edge[:-1], edge[1:], strict=True):
-            g = order[a:b]
-            for i in range(len(g) - 1):
-                me, near = g[i], g[i + 1 :]
-                near = near[(comp[near] != comp[me]) & ((x[me] == y[me]) | (own[near] != own[me]))]
-                # as unsigned values: of a signed one, bitwise_count counts the bits of its magnitude
-                near = near[np.bitwise_count((sketch[near] ^ sketch[me]).view(np.uint64)).sum(1) <= limit]
+            left, right = order[a:b][role[order[a:b]] == 0], order[a:b][role[order[a:b]] == 1]
+            for i, me in enumerate(left):
+                near = right if y[me] >= 0 or -y[me] - 1 != x[me] else left[i + 1 :]
+                near = near[comp[near] != comp[me]]
+                near = near[np.bitwise_count(sketch[near] ^ sketch[me]).sum(1) <= limit]
                 near = near[bands[me, (bands[near] == bands[me]).argmax(1)] == key[me]]
-                out += [(node[g[i]], node[j]) for j in near]
-        got = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["a", "b"])
+                own, joined = shingles[first[me] : first[me + 1]], set()
+                for j in near:
+                    if comp[j] not in joined:
+                        other = shingles[first[j] : first[j + 1]]
+                        both = len(np.intersect1d(own, other, assume_unique=True))
+                        if 100 * both >= percent * (len(own) + len(other) - both):
+                            joined.add(comp[j])
+                            out.add((int(node[me]), int(node[j])))
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(2)], names=["a", "b"])
 
     return run
 
 
+def _blocks(mixed: DataFrame) -> DataFrame:
+    """The classes of buckets of several components, dealt to blocks ``(key, x, y)`` with their role.
+
+    Nothing is compared inside a bucket's largest component.  The other classes (block x) meet the largest
+    component's blocks (y from 0) and each other's (y below 0), so a row is sent once for each block of the others.
+    """
+    bucket = Window.partitionBy("key")
+    m = mixed.withColumn("size", F.count("*").over(Window.partitionBy("key", "comp")))
+    m = m.withColumn("top", F.max(F.struct("size", "comp")).over(bucket)).withColumn("all", F.count("*").over(bucket))
+    m = m.withColumn("tops", F.ceil(F.col("top.size") / BLOCK).cast("int")).withColumn("rest", F.ceil((F.col("all") - F.col("top.size")) / BLOCK).cast("int"))
+    m = m.where("rest > 0").withColumn("minor", F.expr("comp <> top.comp"))
+    m = m.withColumn("i", F.expr("cast(pmod(xxhash64(node), if(minor, rest, tops)) as int)"))
+    places = F.expr("""if(minor,
+        concat(transform(sequence(0, tops - 1), j -> struct(i as x, j as y, 0 as role)),
+               transform(sequence(i, rest - 1), j -> struct(i as x, -j - 1 as y, 0 as role)),
+               if(i > 0, transform(sequence(0, greatest(i - 1, 0)), j -> struct(j as x, -i - 1 as y, 1 as role)), array())),
+        transform(sequence(0, rest - 1), j -> struct(j as x, i as y, 1 as role)))""")
+    return m.select("key", "node", "comp", F.explode(places).alias("p")).select("key", "node", "comp", "p.*")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row; see the module for the method and defined cases."""
     texts = keyed(docs, id_col, text_col).select("_id", "_text")
@@ -202,17 +246,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(links, "a", "b")
 
     mixed = held.where("node != hub").distinct().join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = mixed.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket))
-    mixed = mixed.where("lo != hi").withColumn("blocks", F.ceil(F.count("*").over(bucket) / BLOCK).cast("int"))
-    mixed = mixed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    mixed = mixed.select("key", "node", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    mixed = cut(mixed.distinct())
+    mixed = mixed.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket)).where("lo != hi")
+    mixed = cut(_blocks(mixed))
     n = mixed.count()
     if n:
-        dealt = mixed.join(one.select("node", "sketch", "bands").dropDuplicates(["node"]), "node").repartition(parts(spark, n, 100_000), "key", "x", "y")
-        more = cut(dealt.mapInArrow(across(limit), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"))
+        need = mixed.select("node").distinct()
+        sets = need.join(classes, "node").join(texts, "_id").select("node", "_text").mapInArrow(sets_of(words), "node long, shingles array<long>")
+        described = need.join(one.select("node", "sketch", "bands").dropDuplicates(["node"]), "node").join(sets.dropDuplicates(["node"]), "node")
+        dealt = mixed.join(described, "node").repartition(parts(spark, n, BLOCK_ROWS), "key", "x", "y")
+        more = cut(dealt.mapInArrow(across(limit, percent), "a long, b long").distinct())
         if not more.isEmpty():
-            links = cut(links.union(_confirmed(more, classes, texts, words, percent)))
+            links = cut(links.union(more))
             label = components(links, "a", "b")
 
     group = classes.join(label, "node", "left").select("node", "_id", F.coalesce("component", "node").alias("component"))
