@@ -37,8 +37,8 @@ from tidemark.llm.common import id_of, keyed, parts
 WINDOW, ANCHOR = 20, 4
 HOT = 20_000
 DEPTHS = (7, 13, WINDOW)  #: prefix lengths at which branches are split and single leaves dropped
-CHUNK_WORDS = 1_000_000  #: words of one tree
-HELD_RUNS = 300_000  #: runs that a task combines at a time
+CHUNK_WORDS = 500_000  #: words of one tree
+HELD_RUNS = 200_000  #: runs that a task combines at a time
 _STEP = 0x9FB21C651E98DF25
 RUN = "_id long, _fp long, s0 int, s1 int, key long, n int"
 
