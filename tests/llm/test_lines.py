@@ -30,3 +30,11 @@ def test_no_python_in_the_plan(spark):
     out = lines.dedup_lines(frame(spark, awkward()))
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_only_blanks_are_trimmed(spark):
+    rows = [(1, "most of the time of"), (2, "most of the time o"), (3, "funny proof"), (4, "unny proo"), (5, "f23456789f"), (6, "f23456789f")]
+    rows += [(7, "a page that ends\x0c\n\x0cbegins a page"), (8, "a page that ends\nbegins a page\x0c"), (9, "\x0c234567890"), (10, "\x0c234567890")]
+    got = rows_of(lines.dedup_lines(frame(spark, rows)), "doc_id", "text", "n_lines", "n_dropped")
+    same(got, lines_brute(rows))
+    assert {i for i, _, _, dropped in got if dropped} == {6, 8}

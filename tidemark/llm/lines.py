@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, id_of, keyed
 
+#: Blanks at the ends of a line are not part of its key; from Python, as SQL literals know no form feed.
+TRIMMED = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A hash with more than 1/HEAVY_SHARE of all lines is spread over SALTS sort groups; at most HEAVY_SHARE hashes are.
 HEAVY_SHARE, SALTS = 200, 64
@@ -23,7 +25,7 @@ HEAVY_SHARE, SALTS = 200, 64
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
     """``(_id, _fp, pos, hash)`` of each line whose key has at least ``min_chars`` code points."""
     lines = keyed(docs, id_col, text_col).select("_id", "_fp", F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
-    key = F.translate(F.expr(r"btrim(line, ' \t\n\u000b\f\r')"), UPPER, LOWER)
+    key = F.translate(F.btrim("line", F.lit(TRIMMED)), UPPER, LOWER)
     return lines.withColumn("line", key).where(F.char_length("line") >= min_chars).select("_id", "_fp", "pos", F.unhex(F.md5(F.col("line").cast("binary"))).alias("hash"))
 
 
