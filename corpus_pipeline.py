@@ -3,13 +3,14 @@
 1. language_id drops documents without a letter and those whose best language has a mean byte probability below
    ``MIN_SCORE``, little above what guessing among four languages gives.
 2. line_dedup takes repeated lines out.
-3. near_dedup keeps the document with the smallest id of each group of near-duplicates (five words, similarity 0.8).
+3. near_dedup keeps one row of each group of near-duplicates (five words, similarity 0.8), of its smallest id.
 4. substring_dedup takes repeated passages of 20 words or more out; a document without any keeps its text as it is,
    of the others the kept words are joined by one space.
 5. packing tokenizes the documents and packs them into sequences.
 
 All but the last return the columns of documents, ``n_chars`` counted anew where texts change.  Null texts go in the
-first stage; a document whose text becomes empty later stays, and is packed as its end id.
+first stage; a document whose text becomes empty later stays, and is packed as its end id.  Rows are judged by their
+own texts where they share an id or have none.
 """
 
 from __future__ import annotations
@@ -18,18 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, lines, neardup, packing, substrings
-from tidemark.llm.common import NULL_ID, cut, on_workers, uncarried
+from tidemark.llm.common import KEY, cut, on_workers, uncarried, with_key
 
 MIN_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a recognised language.  Rows that share an id stay or go together."""
+    """The documents in a recognised language, each row judged by its own text."""
     on_workers(spark)
-    found = langid.languages(docs)
-    gone = found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SCORE))
-    gone = gone.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct()
-    return docs.join(gone, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("_gone"), "left_anti")
+    found = langid.languages(docs, carry=True)
+    gone = found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SCORE)).select(*KEY).distinct()
+    return with_key(docs).join(gone, KEY, "left_anti").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,3 +65,32 @@ def test_stages_and_run(spark):
     assert [n for n, _ in P.STAGES] == ["language_id", "line_dedup", "near_dedup", "substring_dedup", "best_fit_packing"]
     out = P.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 100
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "aa", f"s{n}", None if t is None else len(t), "", "", n, "", "", 0) for n, (i, t) in enumerate(rows)], DOCS)
+
+
+def test_language_id_judges_rows_of_one_id_by_their_own_texts(spark):
+    rows = [(1, "words in a text"), (1, "12 + 34"), (None, "a clean text of no id"), (None, "56"), (None, None), (None, ""), (None, "another clean text"), (2, "a third text")]
+    docs = documents(spark, rows)
+    kept = STAGES["language_id"](spark, docs, "")
+    check_columns(docs, kept)
+    assert by_id(kept.collect()) == sorted([(i, t) for i, t in rows if t and "t" in t], key=repr)
+
+
+def test_near_dedup_keeps_one_row_of_each_group_whatever_the_ids(spark):
+    words = [" ".join(f"{g}{n}" for n in range(60)) for g in "abcdefg"]
+    rows = [(1, words[0]), (None, words[0]), (None, words[1]), (3, words[2]), (3, words[0] + " z"), (3, words[3])]  # only the copies of row 0 go
+    rows += [(None, words[4]), (None, words[4]), (None, words[4].upper()), (7, words[5]), (7, words[5]), (7, words[5] + " z"), (8, words[5])]  # one of each
+    rows += [(None, None), (None, " \n"), (None, " \n"), (9, ""), (9, ""), (None, words[6])]  # no words, no group
+    docs = documents(spark, rows)
+    out = STAGES["near_dedup"](spark, docs, "")
+    check_columns(docs, out)
+    kept = out.collect()
+    assert len({r._row for r in kept}) == len(kept)
+    group = lambda t: (t or "").lower().removesuffix(" z")
+    assert by_id(r for r in kept if r.text and r.text.strip() and group(r.text) not in words[4:6]) == sorted([(1, words[0]), (None, words[1]), (3, words[2]), (3, words[3]), (None, words[6])], key=repr)
+    assert [(r.doc_id, group(r.text)) for r in kept if group(r.text) in words[4:6]].count((None, words[4])) == 1
+    assert [r.doc_id for r in kept if group(r.text) == words[5]] == [7]
+    assert [r.doc_id for r in kept if not (r.text or "").strip()].count(None) == 3 and len(kept) == 12

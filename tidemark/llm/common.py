@@ -40,6 +40,20 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> D
     return docs.select(key_of(id_col).alias("_id"), text.alias("_text"), *other).withColumn("_fp", F.xxhash64("_text"))
 
 
+#: The names that ``with_key`` gives to the id's stand-in and the hash of the text.
+KEY = ["_key_id", "_key_fp"]
+
+
+def fp_of(text: Column) -> Column:
+    """The ``_fp`` of a text."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(*KEY, row)``: rows of one id and one text share the key, ``row`` has all columns."""
+    return docs.select(key_of(id_col).alias(KEY[0]), fp_of(F.col(f"`{text_col}`")).alias(KEY[1]), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def uncarried(df: DataFrame, columns: list[str], text_col: str, text: str, size_col: str = "n_chars") -> DataFrame:
     """The columns of documents again from ``_row``, with a new text and, if they have one, its size in characters."""
     new = {text_col: F.col(text), size_col: F.char_length(text).cast("long")}

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
+from tidemark.llm.common import KEY, fp_of, key_of
 
 HIDDEN, SEGMENT = 16, 24
 STEPS, BATCH, RATE = 400, 384, 0.02
@@ -184,7 +185,7 @@ def predict(net: Network, names: list[str], stamp: int):
             size = np.concatenate([[0], np.cumsum(w.end - w.start)])[w.first]
             mean = np.diff(total, axis=0) / np.diff(size).clip(1)[:, None] if len(w.start) else total[1:]
             best = mean.argmax(1)
-            yield pa.RecordBatch.from_arrays([b.column("_row_id"), pa.array([names[i] for i in best], pa.string()), pa.array(mean[np.arange(len(best)), best].clip(0, 1)), b.column("_letter")], names=["doc_id", "lang_pred", "score", "letter"])
+            yield pa.RecordBatch.from_arrays([b.column("_row_id"), pa.array([names[i] for i in best], pa.string()), pa.array(mean[np.arange(len(best)), best].clip(0, 1)), b.column("_letter"), *b.columns[3:]], names=["doc_id", "lang_pred", "score", "letter", *b.schema.names[3:]])
 
     return run
 
@@ -209,24 +210,25 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang:
     return [r.t for r in rows], [r.l for r in rows]
 
 
-def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, sample_chars: int = SAMPLE_CHARS, carry: bool = False) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row.
 
     Only rows with a language whose crc32(id as text) mod 4 is not 2 are learned from; ``held_out`` marks that
-    remainder.
+    remainder.  With ``carry`` the row's ``KEY`` comes along.
     """
     texts, langs = sample(docs, id_col, text_col, lang_col, per_lang, sample_chars)
-    text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_row_id"), text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    text, key = F.col(f"`{text_col}`").cast("string"), KEY * carry
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_row_id"), text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letter"), *[x.alias(k) for x, k in zip((key_of(id_col), fp_of(text)), key)])
     if texts:
         net, names = train(texts, langs)
         stamp = hash(tuple(float(x.sum()) for x in net.p.values()))
-        out = rows.mapInArrow(predict(net, names, stamp), "doc_id long, lang_pred string, score double, letter boolean")
+        out = rows.mapInArrow(predict(net, names, stamp), ", ".join(["doc_id long, lang_pred string, score double, letter boolean", *[f"{k} long" for k in key]]))
     else:
-        out = rows.select(F.col("_row_id").alias("doc_id"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("letter"))
+        out = rows.select(F.col("_row_id").alias("doc_id"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("letter"), *key)
     return out.select(
         "doc_id",
         F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         F.when(F.col("letter"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
         F.when(F.col("letter"), F.col("score")).otherwise(0.0).alias("score"),
+        *key,
     )

@@ -17,8 +17,9 @@ A pair at the very threshold shares no band with probability (1 - 0.8 ** ROWS) *
 with about 3e-7 (MARGIN is five standard deviations of the estimate).
 
 Defined cases: a null or blank text has an empty set and no links; with fewer words than a shingle the whole
-sequence is the only shingle; a null id counts as one id above all others (shown as null); every row is returned,
-and rows that share an id share its ``kept``; extra columns are ignored.
+sequence is the only shingle; a null id counts as one id above all others (shown as null); every row is returned
+and judged by its own text, so rows that share an id may be of several groups, and ``kept`` marks all rows of a
+group that have its smallest id; extra columns are ignored.  ``deduped`` leaves one row of each group.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import NULL_ID, components, cut, id_of, keyed, parts
+from tidemark.llm.common import KEY, components, cut, id_of, keyed, parts, with_key
 
 BANDS, ROWS, BITS = 48, 5, 1024
 SAMPLES = BANDS * ROWS
 MARGIN = 0.13
+BLANKS = " \t\n\x0b\x0c\r"  #: a text of nothing else has no words
 BLOCK, BLOCK_ROWS = 512, 2000  #: classes of a block on either side, and about so many rows of blocks a task
 _rng = np.random.default_rng(9)
 _XOR = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32)
@@ -99,8 +101,8 @@ def describe(k: int):
                 sets = shingle_sets(b.column("_text"), k)
                 low = np.stack([samples(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("_id"), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(band_keys(low)), _lists(odd_sketches(low))],
-                    names=["_id", "node", "n", "bands", "sketch"],
+                    [b.column("_id"), b.column("_fp"), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(band_keys(low)), _lists(odd_sketches(low))],
+                    names=["_id", "_fp", "node", "n", "bands", "sketch"],
                 )
 
     return run
@@ -145,7 +147,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, p
     rest = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("b").alias("node"))
     own = groups.select("a", F.explode(F.expr("sequence(0, n - 1)")).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("node"))
     need = rest.union(own).join(classes, "node")
-    full = need.join(texts, "_id").select("a", "salt", "kind", "node", "_text")
+    full = need.join(texts, ["_id", "_fp"]).select("a", "salt", "kind", "node", "_text")
     return full.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(confirm(k, percent), "a long, b long")
 
 
@@ -221,13 +223,20 @@ def _blocks(mixed: DataFrame) -> DataFrame:
     return m.select("key", "node", "comp", F.explode(places).alias("p")).select("key", "node", "comp", "p.*")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row; see the module for the method and defined cases."""
-    texts = keyed(docs, id_col, text_col).select("_id", "_text")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, bool]:
+    """``_id, _fp, n, low`` of every row, and whether some id has a text that is not blank more than once.
+
+    ``low`` is the smallest ``(_id, _fp)`` of the row's group, null for an empty set.
+    """
+    texts = keyed(docs, id_col, text_col).select("_id", "_fp", "_text")
     spark = docs.sparkSession
-    seen = cut(texts.mapInArrow(describe(words), "_id long, node long, n long, bands array<long>, sketch array<long>"))
-    classes = seen.where("node is not null").groupBy("node").agg(F.min("_id").alias("_id"))
-    one = seen.where("node is not null").join(classes, ["node", "_id"])
+    seen = cut(texts.mapInArrow(describe(words), "_id long, _fp long, node long, n long, bands array<long>, sketch array<long>"))
+    filled = seen.where("node is not null")
+    again = (filled.groupBy("_id", "_fp").count().agg(F.max("count")).first()[0] or 0) > 1
+    if again:
+        filled, texts = filled.dropDuplicates(["_id", "_fp"]), texts.dropDuplicates(["_id", "_fp"])
+    classes = filled.groupBy("node").agg(F.min(F.struct("_id", "_fp")).alias("first")).select("node", "first.*")
+    one = filled.join(classes, ["node", "_id", "_fp"])
     sketches = one.select("node", "sketch")
     limit = most_different(percent)
 
@@ -251,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = mixed.count()
     if n:
         need = mixed.select("node").distinct()
-        sets = need.join(classes, "node").join(texts, "_id").select("node", "_text").mapInArrow(sets_of(words), "node long, shingles array<long>")
+        sets = need.join(classes, "node").join(texts, ["_id", "_fp"]).select("node", "_text").mapInArrow(sets_of(words), "node long, shingles array<long>")
         described = need.join(one.select("node", "sketch", "bands").dropDuplicates(["node"]), "node").join(sets.dropDuplicates(["node"]), "node")
         dealt = mixed.join(described, "node").repartition(parts(spark, n, BLOCK_ROWS), "key", "x", "y")
         more = cut(dealt.mapInArrow(across(limit, percent), "a long, b long").distinct())
@@ -259,16 +268,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = cut(links.union(more))
             label = components(links, "a", "b")
 
-    group = classes.join(label, "node", "left").select("node", "_id", F.coalesce("component", "node").alias("component"))
-    least = group.groupBy("component").agg(F.min("_id").alias("low"))
+    group = classes.join(label, "node", "left").select("node", "_id", "_fp", F.coalesce("component", "node").alias("component"))
+    least = group.groupBy("component").agg(F.min(F.struct("_id", "_fp")).alias("low"))
     by_node = group.join(least, "component").select("node", "low")
-    out = seen.select("_id", "node", "n").join(by_node, "node", "left").withColumn("low", F.coalesce("low", "_id"))
+    return seen.select("_id", "_fp", "node", "n").join(by_node, "node", "left").select("_id", "_fp", "n", "low"), again
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row; see the module for the method and defined cases."""
+    out = _grouped(docs, id_col, text_col, words, percent)[0].withColumn("low", F.coalesce("low._id", "_id"))
     return out.select(id_of("_id").alias("doc_id"), F.col("n").alias("n_shingles"), id_of("low").alias("component_id"), (F.col("_id") == F.col("low")).alias("kept"))
 
 
 def deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those whose group has a smaller id, with their own columns."""
-    gone = near_duplicates(docs, id_col, text_col, words, percent).where(~F.col("kept"))
-    gone = gone.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct()
-    here = F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID))
-    return docs.join(gone, here == F.col("_gone"), "left_anti")
+    """One row of each group, with its own columns, and every row with an empty set.
+
+    That row has the group's smallest id, and of several texts under that id the one with the smallest hash; of rows
+    that are equal in both, the smallest in their columns stays.
+    """
+    judged, again = _grouped(docs, id_col, text_col, words, percent)
+    gone = judged.where("low is not null and (_id <> low._id or _fp <> low._fp)").select(F.col("_id").alias(KEY[0]), F.col("_fp").alias(KEY[1])).distinct()
+    rows = with_key(docs, id_col, text_col)
+    if not again:
+        return rows.join(gone, KEY, "left_anti").select("row.*")
+    text = F.col("row")[text_col].cast("string")
+    blank = F.coalesce(F.btrim(text, F.lit(BLANKS)) == "", F.lit(True))
+    ordered = F.struct(*[F.col("row")[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    single = rows.where(~blank).groupBy(*KEY).agg(F.min_by("row", ordered).alias("row"))
+    return rows.where(blank).select("row.*").union(single.join(gone, KEY, "left_anti").select("row.*"))
