@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages, each one operator of ``tidemark.llm`` over all that the stage before kept.
 
-1. language_id drops documents without a letter and those whose best language has a mean byte probability below
-   ``MIN_SCORE``, little above what guessing among four languages gives.
+1. language_id drops documents without a letter and those whose best language has a mean byte probability of less
+   than ``MIN_SCORE``, with L > 4 languages less than a ``MIN_LIFT`` of the way from 1/L (guessing) to 1.
 2. line_dedup takes repeated lines out.
 3. near_dedup keeps one row of each group of near-duplicates (five words, similarity 0.8), of its smallest id.
 4. substring_dedup takes repeated passages of 20 words or more out; a document without any keeps its text as it is,
@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 from tidemark.llm import langid, lines, neardup, packing, substrings
 from tidemark.llm.common import KEY, cut, on_workers, uncarried, with_key
 
-MIN_SCORE = 0.3
+MIN_SCORE, MIN_LIFT = 0.3, 1 / 15  #: the same with four languages
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in a recognised language, each row judged by its own text."""
     on_workers(spark)
     found = langid.languages(docs, carry=True)
-    gone = found.where((F.col("lang_pred") == "und") | (F.col("score") < MIN_SCORE)).select(*KEY).distinct()
+    guess = 1 / F.col("n_langs")
+    low = F.col("score") < F.when(F.col("n_langs") > 4, guess + (1 - guess) * MIN_LIFT).otherwise(MIN_SCORE)
+    gone = found.where((F.col("lang_pred") == "und") | low).select(*KEY).distinct()
     return with_key(docs).join(gone, KEY, "left_anti").select("row.*")
 
 

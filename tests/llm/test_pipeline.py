@@ -1,5 +1,7 @@
 """Each stage against a brute-force version on what the stage before kept."""
 
+import random
+
 import corpus_pipeline as P
 from cases import DOCS, awkward, lines_brute, near_brute, substrings_brute
 
@@ -94,3 +96,18 @@ def test_near_dedup_keeps_one_row_of_each_group_whatever_the_ids(spark):
     assert [(r.doc_id, group(r.text)) for r in kept if group(r.text) in words[4:6]].count((None, words[4])) == 1
     assert [r.doc_id for r in kept if group(r.text) == words[5]] == [7]
     assert [r.doc_id for r in kept if not (r.text or "").strip()].count(None) == 3 and len(kept) == 12
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, t, lang, "s", len(t), "", "", 0, "", "", 0) for i, (t, lang) in enumerate(rows)], DOCS)
+
+
+def test_clean_texts_of_many_related_languages_stay(spark):
+    r = random.Random(5)
+    # 20 languages that share most words: clean texts score low
+    shared = ["".join(r.choices("aeioulmnrst", k=5)) for _ in range(200)]
+    rows = [(" ".join(r.choices(shared, k=44) + [f"{c}{c}{c}{c}{c}"] * 6), c) for c in "bcdfghjkpqvwxyzBCDFG" for _ in range(20)]
+    docs = labelled(spark, rows)
+    scores = P.langid.languages(docs).collect()
+    assert min(x.score for x in scores) < 0.3
+    assert STAGES["language_id"](spark, docs, "").count() == len(rows)

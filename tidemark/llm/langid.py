@@ -214,7 +214,7 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """``doc_id, held_out, lang_pred, score`` of every row.
 
     Only rows with a language whose crc32(id as text) mod 4 is not 2 are learned from; ``held_out`` marks that
-    remainder.  With ``carry`` the row's ``KEY`` comes along.
+    remainder.  With ``carry`` the row's ``KEY`` and ``n_langs``, the number of learned languages, come along.
     """
     texts, langs = sample(docs, id_col, text_col, lang_col, per_lang, sample_chars)
     text, key = F.col(f"`{text_col}`").cast("string"), KEY * carry
@@ -231,4 +231,5 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         F.when(F.col("letter"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
         F.when(F.col("letter"), F.col("score")).otherwise(0.0).alias("score"),
         *key,
+        *[F.lit(len(set(langs))).alias("n_langs")] * carry,
     )
