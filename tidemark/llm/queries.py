@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, langid, lines, neardup, packing, pieces, substrings, toxicity, vectors
+from tidemark.llm import chat, interactions, langid, lines, neardup, packing, pieces, resample, substrings, toxicity, vectors
 from tidemark.llm.common import on_workers
 
 
@@ -71,6 +71,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_block_matrix_neighbours": op2_block_matrix_neighbours,
@@ -82,6 +91,8 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 
@@ -143,4 +154,44 @@ reach(id, x) as (select id, id from s union select reach.id, e.b from reach join
 c as (select id, min(x) as c from reach group by id)
 select nullif(s.id, 9223372036854775807) as doc_id, len(s.s) as n_shingles, nullif(c.c, 9223372036854775807) as component_id, s.id = c.c as kept
 from s join c on s.id = c.id""",
+    "op12_filter_interactions": f"""
+with d as ({_TEXTS}),
+s as (select r, coalesce(source, '') as part from (select source, row_number() over () as r from documents)),
+w as (select *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from d),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+m as (select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+     regexp_matches(text, '[#$%&*|]'), id > min(id) over (partition by text)] as fails
+  from w join s on w.r = s.r left join l on w.doc_id = l.doc_id),
+x as (select * from (values ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)) v(letter, i)),
+o as (select [a.i, b.i, c.i, d.i, e.i] as ord, a.letter || b.letter || c.letter || d.letter || e.letter as filter_order
+  from x a, x b, x c, x d, x e where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+g as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from m group by part, fails),
+t as (select part, fails, n, good, toxic, filter_order, ord, unnest(range(1, 6))::int as step from g, o),
+f as (select *, ord[step] as i, fails[ord[step]] as fail, list_bool_or(list_transform(ord[1:step], lambda j: fails[j])) as out_by,
+    coalesce(list_bool_or(list_transform(ord[1:step - 1], lambda j: fails[j])), false) as out_before, list_sum(list_transform(fails, lambda b: b::int)) as n_fails from t),
+a as (select part, filter_order, step, i, coalesce(sum(n) filter (not out_by), 0)::bigint as kept, coalesce(sum(n) filter (fail and not out_before), 0)::bigint as removed,
+    coalesce(sum(n) filter (fail and out_before), 0)::bigint as redundant, coalesce(sum(n) filter (fail and n_fails = 1), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (fail and not out_before), 0)::bigint as good_lost, coalesce(sum(toxic) filter (fail and not out_before), 0)::bigint as toxic_lost
+  from f group by part, filter_order, step, i)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) over (partition by part, i)::bigint as shapley from a""",
+    "op13_importance_resampling": f"""
+with d as ({_TEXTS}),
+b as (select 'd' as kind, r, doc_id, id, text from d union all select 'b', row_number() over (), null, null, coalesce(text, '') from benchmark),
+w as (select kind, r, doc_id, id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as ws from b),
+s as (select kind, r, unnest(ws) as f from w
+  union all select kind, r, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) from w
+  union all select kind, r, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) from w),
+bits as (select list(list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) order by b) as crc from (select unnest(range(256)) as b)),
+u as (select f, hex(f) as h from (select distinct f from s)),
+k as (select f, xor(list_reduce(range(len(h) // 2), lambda c, i: xor(c >> 8, crc[1 + (xor(c, ('0x' || h[2 * i + 1:2 * i + 2])::bigint) & 255)]), 4294967295::bigint), 4294967295) % 10000 as bucket from u, bits),
+c as (select bucket, count(*) filter (kind = 'd') as s, count(*) filter (kind = 'b') as t from s join k on s.f = k.f group by bucket),
+n as (select sum(s) as s, sum(t) as t from c),
+g as (select bucket, floor(1000 * ln((c.t + 1)::double * (n.s + 10000) / ((c.s + 1)::double * (n.t + 10000))))::bigint as gain from c, n),
+v as (select r, count(*) as n, sum(gain)::bigint as weight from s join k on s.f = k.f join g on k.bucket = g.bucket where kind = 'd' group by r),
+e as (select w.doc_id, w.id, len(ws) as n_words, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+    (('0x' || substr(sha256('42:' || coalesce(w.doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296 as u from w left join v on w.r = v.r where kind = 'd'),
+z as (select *, weight + floor(-1000 * ln(-ln(u)))::bigint as score from e),
+q as (select *, case when n_words >= 20 then row_number() over (partition by n_words >= 20 order by score desc, id, n_features desc) end as place from z)
+select doc_id, n_features, weight, score, case when place <= 5 * (select count(*) from q where n_words >= 20) // 100 then place end as rank from q""",
 }
