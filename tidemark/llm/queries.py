@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, interactions, langid, lines, neardup, packing, pieces, resample, substrings, toxicity, vectors
+from tidemark.llm import chat, interactions, langid, lines, neardup, packing, pieces, pii, resample, substrings, toxicity, vectors
 from tidemark.llm.common import on_workers
 
 
@@ -71,6 +71,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    listed = "array_join(transform({}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
+    base = "filter(found, x -> x.base)"
+    return found.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(found, x -> x.base and x.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(F.expr(listed.format(base)), 256).alias("base_sha256"),
+        F.expr(listed.format("found")).alias("spans"),
+    )
+
+
 def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -91,6 +103,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_pii": op11_pii,
     "op12_filter_interactions": op12_filter_interactions,
     "op13_importance_resampling": op13_importance_resampling,
 }
