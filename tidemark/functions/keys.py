@@ -20,7 +20,8 @@ def source_key(database: Column | str, table: Column | str, prefix: str = "") ->
 def _in_key(keys: Column | None) -> Callable[[Column], Column]:
     if keys is None:
         return lambda c: F.coalesce(c["is_key"], F.lit(False))
-    return lambda c: F.coalesce(F.array_contains(keys, F.lower(c["name"])), c["is_key"], F.lit(False))
+    lowered = F.transform(keys, lambda k: F.lower(k))
+    return lambda c: F.coalesce(F.array_contains(lowered, F.lower(c["name"])), c["is_key"], F.lit(False))
 
 
 def key_values(image: Column, keys: Column | None = None) -> Column:
@@ -36,15 +37,15 @@ def key_values(image: Column, keys: Column | None = None) -> Column:
     return F.transform(ordered, lambda c: F.coalesce(c["value"], F.lit("")))
 
 
-def row_key_from_values(values: Column, src: Column, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:
-    """Row key = join(values) (optionally reversed as one string) + connector + source key.
-
-    Reversing spreads sequential ids over the key space.
-    """
+def joined_key(values: Column, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:
+    """join(values), optionally reversed as one string, which spreads sequential ids over the key space."""
     joined = F.array_join(values, connector)
-    if reverse:
-        joined = F.reverse(joined)
-    return F.concat(joined, F.lit(connector), src)
+    return F.reverse(joined) if reverse else joined
+
+
+def row_key_from_values(values: Column, src: Column, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:
+    """Row key = ``joined_key`` + connector + source key."""
+    return F.concat(joined_key(values, connector, reverse), F.lit(connector), src)
 
 
 def row_key_from_columns(cols: list[str], src: Column, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> Column:

@@ -120,17 +120,21 @@ def source_wipes(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("op").isin(*SOURCE_WIPE_OPS)).groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
 
 
+def wipes_of(records: DataFrame) -> DataFrame:
+    """As ``source_wipes``, from stored records; ask them, not a reduction of them, so that only wipes are read."""
+    return records.where("tag = 'wipe'").groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
+
+
 def materialize(reduced: DataFrame, wipes: DataFrame | None = None) -> DataFrame:
     """State rows ``(source_key, row_key, cells MAP, version)`` from reduced records.
 
-    Source-wide wipes ``(source_key, wipe_seq)`` come from ``source_wipes`` or,
-    when not given, from the reduced ``wipe`` records (a stored state).  They
-    hold one row per source and are joined through ``join_small``: counted,
-    then broadcast, so the reduced records are never shuffled by source.
+    Source-wide wipes ``(source_key, wipe_seq)`` come from ``source_wipes``,
+    ``wipes_of`` or, when not given, from the reduced ``wipe`` records.  They
+    hold one row per source and are joined through ``join_small``, so the
+    reduced records are never shuffled by source.
     """
     rows = reduced.where(F.col("tag") != "wipe")
-    if wipes is None:
-        wipes = reduced.where(F.col("tag") == "wipe").groupBy("source_key").agg(F.max("seq").alias("wipe_seq"))
+    wipes = wipes_of(reduced) if wipes is None else wipes
     low = F.lit(-(2**63))
     per_key = Window.partitionBy(*STATE_KEY)
     floor = F.greatest(F.coalesce(F.max(F.when(F.col("tag") == "del", F.col("seq"))).over(per_key), low), F.coalesce("wipe_seq", low))
@@ -160,7 +164,8 @@ def apply_on(records: DataFrame, changes: DataFrame, keys_col: str | None = None
     """State after ``changes`` on top of records, e.g. of an initial load: cells that an UPDATE leaves alone keep
     their loaded value, and deletes and truncations of loaded rows take effect."""
     keyed = with_row_keys(changes, keys_col, connector, reverse)
-    return materialize(reduce_contributions(records.unionByName(contributions(keyed, keep_old_key, clean))))
+    wipes = wipes_of(records).unionByName(source_wipes(changes)).groupBy("source_key").agg(F.max("wipe_seq").alias("wipe_seq"))
+    return materialize(reduce_contributions(records.unionByName(contributions(keyed, keep_old_key, clean))), wipes)
 
 
 def apply_changes(

@@ -1,21 +1,24 @@
-"""Joins against configuration-sized tables (mappings, rules, source lists)."""
+"""Joins against configuration-sized tables (mappings, rules, source lists, schema events)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count broadcast on the strength of a counted size.
-BROADCAST_MAX_ROWS = 200_000
+# What is broadcast at most, on the strength of its fetched rows.
+BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` with a table expected to be small.
 
-    The small side is counted first, up to ``max_rows`` + 1 rows;
-    it is broadcast only when it holds at most ``max_rows`` rows, otherwise
-    the planner's shuffle join (with adaptive skew handling) is used.
+    The small side is computed once, up to ``max_rows`` + 1 rows.  If that is
+    all of it and it fits ``BROADCAST_MAX_BYTES``, those very rows are broadcast;
+    otherwise the planner's join over the whole side (with adaptive skew
+    handling) is used.
     """
-    n = small.limit(max_rows + 1).count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows and rows.nbytes <= BROADCAST_MAX_BYTES:
+        small = F.broadcast(big.sparkSession.createDataFrame(rows, small.schema))
+    return big.join(small, on, how)

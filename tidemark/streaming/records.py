@@ -9,28 +9,30 @@ state holds, and a reader reduces all of them.
   a replay after a failure writes the same records again.  ``run`` stands for
   the stream's checkpoint, so a new checkpoint or a second stream on the same
   root, whose batch ids begin at 0 again, writes folders of its own.
-* Cells keep the name and ``seq`` they were written with; column events are
-  records too (tag ``event``).  Names are mapped once, when the state is read,
-  with all events known then.  Inside a batch, cells on both sides of an event
-  on their column are reduced apart.
+* Records keep the source, row key, column name and ``seq`` they were written
+  with; schema events are records too (tag ``event``): columns and sources
+  renamed, columns dropped, keys changed, sources stopped.  They are folded when
+  the state is read (``schema_apply.fold_events``), with all events known then.
+  Inside a batch, records on both sides of an event that touches their column or
+  source are reduced apart.  Changes of one source are expected in ``seq`` order
+  across batches around its schema events, as a change stream delivers them.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import apply as A
+from tidemark.operators import schema_apply as SA
 from tidemark.operators.ddl import DDL_OPS
 from tidemark.operators.joins import join_small
-from tidemark.operators.schema_apply import column_events, column_fates, remap_cells
+from tidemark.session import ensure_checkpoint_dir
 
 RECORDS = "source_key string, row_key string, tag string, name string, seq long, value string"
 _COLUMNS = [c.split()[0] for c in RECORDS.split(", ")]
-_EVENT = "dropped boolean, new_name string"
-
 
 def run_of(checkpoint: str) -> str:
     """A folder name for the stream with this checkpoint."""
@@ -48,13 +50,23 @@ def batch_records(changes: DataFrame, **apply_kw) -> DataFrame:
     contrib = A.contributions(keyed, apply_kw.get("keep_old_key", False), apply_kw.get("clean", True))
     if changes.where(F.col("op").isin(*DDL_OPS) & F.col("ddl").isNotNull()).isEmpty():
         return A.reduce_contributions(contrib).select(*_COLUMNS)
-    events = column_events(changes)
-    times = events.groupBy("source_key", "name").agg(F.collect_set("seq").alias("times"))
-    epoch = F.size(F.filter("times", lambda t: t < F.col("seq")))
-    cells = join_small(contrib, times, ["source_key", "name"], "left").withColumn("epoch", F.when(F.col("times").isNotNull(), epoch).otherwise(0))
-    newest = cells.groupBy(*A.REDUCED_KEY, "epoch").agg(F.max(F.struct("seq", "value")).alias("m"))
+    ensure_checkpoint_dir(changes.sparkSession)
+    events = SA.schema_events(changes).checkpoint()
+    columns = SA.column_events_of(events).select("source_key", "name", "seq")
+    sources = SA.source_renames(events).select(F.explode(F.array("old", "new")).alias("source_key"), "at.seq")
+    sources = sources.union(events.where(F.col("effect").isin("rekey", "stop")).select("source_key", "seq"))
+    of_column = columns.groupBy("source_key", "name").agg(F.collect_set("seq").alias("column_times"))
+    of_source = sources.groupBy("source_key").agg(F.collect_set("seq").alias("source_times"))
+
+    def before(times: str) -> Column:
+        return F.coalesce(F.size(F.filter(times, lambda t: t < F.col("seq"))), F.lit(0))
+
+    placed = join_small(join_small(contrib, of_column, ["source_key", "name"], "left"), of_source, "source_key", "left")
+    placed = placed.withColumn("epoch", F.struct(before("column_times").alias("c"), before("source_times").alias("s")))
+    newest = placed.groupBy(*A.REDUCED_KEY, "epoch").agg(F.max(F.struct("seq", "value")).alias("m"))
     rows = newest.select(*A.REDUCED_KEY, F.col("m.seq").alias("seq"), F.col("m.value").alias("value"))
-    note = events.select("source_key", F.lit("").alias("row_key"), F.lit("event").alias("tag"), "name", "seq", F.to_json(F.struct("dropped", "new_name")).alias("value"))
+    told = F.to_json(F.struct(*[c for c in SA.EVENT_COLUMNS if c not in ("source_key", "seq")]))
+    note = events.select("source_key", F.lit("").alias("row_key"), F.lit("event").alias("tag"), F.lit(None).cast("string").alias("name"), "seq", told.alias("value"))
     return rows.select(*_COLUMNS).unionByName(note)
 
 
@@ -67,11 +79,9 @@ def read_records(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RECORDS).option("recursiveFileLookup", "true").parquet(root)
 
 
-def current_state(spark: SparkSession, root: str) -> DataFrame:
-    """Materialized state ``(source_key, row_key, cells, version)``."""
+def current_state(spark: SparkSession, root: str, connector: str = "+", reverse: bool = True) -> DataFrame:
+    """Materialized state ``(source_key, row_key, cells, version)``, schema events folded in."""
     records = read_records(spark, root)
-    events = records.where("tag = 'event'").select("source_key", "name", "seq", F.from_json("value", _EVENT).alias("e")).select("source_key", "name", "seq", "e.*").distinct()
-    records = records.where("tag <> 'event'")
-    if not events.isEmpty():
-        records = remap_cells(records, column_fates(events))
-    return A.materialize(A.reduce_contributions(records))
+    events = records.where("tag = 'event'").select("source_key", "seq", F.from_json("value", SA.EVENT).alias("e")).select("source_key", "seq", "e.*").distinct()
+    wipes = records.where("tag = 'wipe'").select("source_key", "seq")
+    return SA.fold_events(records.where("tag <> 'event'"), events, wipes, connector, reverse)
