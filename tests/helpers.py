@@ -78,3 +78,84 @@ def sequential_fold(rows, connector="+", reverse=True):
 
 def state_as_dict(df):
     return {(r["source_key"], r["row_key"]): dict(r["cells"]) for r in df.collect()}
+
+
+def schema_log(r, n=70):
+    """Row changes of tables whose names, keys and columns change, one of which loses its key."""
+    keys = {"a": "id", "b": "id", "c": "id"}
+    columns = {t: ["id", "k", "v"] for t in keys}
+    rows, seq = [], 0
+
+    def add(table, op, ddl=None, image=None):
+        before, after = (image, None) if op == "DELETE" else (None, image)
+        rows.append(dict(source_key=f"db.{table}", database="db", table=table, exec_time=None, op=op, ddl=ddl, seq=seq, before=before, after=after))
+
+    for step in range(n):
+        seq += r.randint(1, 9)
+        t = r.choice(sorted(keys))
+        if step % 9 == 8:
+            kind = ["swap", "rekey", "column", "move", "drop", "rekey", "stop"][step // 9 % 7]
+            other = next(x for x in sorted(keys) if x != t)
+            if kind == "swap":
+                add(t, "RENAME", f"rename table {t} to tmp, {other} to {t}, tmp to {other}")
+                keys[t], keys[other], columns[t], columns[other] = keys[other], keys[t], columns[other], columns[t]
+            elif kind == "rekey":
+                keys[t] = "k" if keys[t] == "id" else "id"
+                add(t, "ALTER", f"alter table {t} drop primary key, add primary key using btree ({keys[t]}(10))")
+            elif kind == "column":
+                new = f"v{step}"
+                add(t, "ALTER", f"alter table {t} change {columns[t][2]} {new} text;")
+                columns[t][2] = new
+            elif kind == "move":
+                add(t, "ALTER", f"alter table {t} rename to t{step}")
+                keys[f"t{step}"], columns[f"t{step}"] = keys.pop(t), columns.pop(t)
+            elif kind == "drop":
+                add(t, "ERASE", f"drop table {t}")
+                seq += 1
+                add(other, "RENAME", f"rename table {other} to {t}")
+                keys[t], columns[t] = keys.pop(other), columns.pop(other)
+            else:
+                add(t, "ALTER", f"alter table {t} drop primary key")
+                del keys[t], columns[t]
+            continue
+        cells = [cell(c, str(r.randrange(4)) if c in ("id", "k") else f"x{step}", key=(c == keys[t])) for c in columns[t]]
+        add(t, r.choice(["INSERT", "INSERT", "UPDATE", "DELETE"]), image=cells)
+    return rows
+
+
+def fold_schema_log(rows):
+    """The log of ``schema_log`` one event at a time."""
+    tables, stopped = {}, set()
+    for ch in rows:
+        t, words = ch["table"], (ch["ddl"] or "").rstrip(";").split()
+        if ch["op"] in ("INSERT", "UPDATE", "DELETE"):
+            image = ch["after"] or ch["before"]
+            key = next(c["value"] for c in image if c["is_key"])
+            if ch["op"] == "DELETE":
+                tables.get(t, {}).pop(key, None)
+            elif t not in stopped:
+                row = tables.setdefault(t, {}).setdefault(key, ({}, 0))
+                tables[t][key] = ({**row[0], **{c["name"]: c["value"] for c in image}}, ch["seq"])
+        elif ch["op"] == "RENAME":
+            for pair in ch["ddl"][len("rename table "):].split(", "):
+                old, _, new = pair.split()
+                tables[new] = tables.pop(old, {})
+                stopped = {new if s == old else s for s in stopped}
+        elif ch["op"] == "ERASE":
+            tables.pop(t, None)
+        elif "rename" in words:
+            tables[words[-1]] = tables.pop(t, {})
+        elif "change" in words:
+            old, new = words[4:6]
+            tables[t] = {k: ({(new if c == old else c): v for c, v in row.items()}, at) for k, (row, at) in tables.get(t, {}).items()}
+        elif "add" in words:
+            name = words[-1].strip("()").split("(")[0]
+            made = {}
+            for row, at in sorted(tables.get(t, {}).values(), key=lambda x: x[1]):
+                k = row.get(name, "")
+                made[k] = ({**made.get(k, ({}, 0))[0], **row}, at)
+            tables[t] = made
+        else:
+            tables.pop(t, None)
+            stopped.add(t)
+    return {(f"db.{t}", f"{k[::-1]}+db.{t}"): row for t, held in tables.items() if t not in stopped for k, (row, _) in held.items()}

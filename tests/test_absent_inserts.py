@@ -6,7 +6,7 @@ from helpers import cell, to_df
 
 from tidemark.operators import rollup as R
 from tidemark.session import scratch_path
-from tidemark.streaming.rollup_stream import current_rollup, fold_rollup_batch, start_rollup
+from tidemark.streaming.rollup_stream import current_rollup, run_rollup_stream
 
 
 def _row(op, seq, key=None, old=None):
@@ -28,15 +28,19 @@ def _counts(spark, rows):
     batch = R.rollup_count_stream(df, ["g"], "d").first()["count"]
     got = [batch, float(R.rollup_sum_stream(df, ["g"], ["v"], "d").first()["v_accumulation"])]
     for width in (1, 2):  # rows a micro-batch
-        run = scratch_path(spark, f"t-absent-{uuid.uuid4().hex}")
-        start_rollup(spark, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
-        for i in range(0, len(rows), width):
-            fold_rollup_batch(spark, to_df(spark, rows[i:i + width]), i, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
-        r = current_rollup(spark, f"{run}/rollup", ["g"], ["v"], "d").first()
+        r = _streamed(spark, [rows[i:i + width] for i in range(0, len(rows), width)]).first()
         got += [r["count"], float(r["v_accumulation"])]
     return got
 
 
+def _streamed(spark, parts):
+    run = scratch_path(spark, f"t-absent-{uuid.uuid4().hex}")
+    for part in parts:
+        to_df(spark, part).coalesce(1).write.mode("append").parquet(f"{run}/in")
+    run_rollup_stream(spark, f"{run}/in", f"{run}/rollup", f"{run}/ckpt", ["g"], ["v"]).awaitTermination()
+    return current_rollup(spark, f"{run}/rollup", ["g"], ["v"], "d")
+
+
 def test_truncate_drop_and_key_change(spark):
     assert _counts(spark, TRUNCATED) == [3, 2.7, 3, 2.7, 3, 2.7]
     assert _counts(spark, REKEYED) == [2, 1.8, 2, 1.8, 2, 1.8]
@@ -46,7 +50,4 @@ def test_truncate_drop_and_key_change(spark):
 def test_empty_and_schema_only_logs(spark):
     empty = to_df(spark, [])
     assert R.rollup_count_stream(empty, ["g"], "d").collect() == []
-    run = scratch_path(spark, f"t-absent-{uuid.uuid4().hex}")
-    start_rollup(spark, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
-    fold_rollup_batch(spark, to_df(spark, [_row("TRUNCATE", 1)]), 0, f"{run}/state", f"{run}/rollup", "r", ["g"], ["v"])
-    assert current_rollup(spark, f"{run}/rollup", ["g"], ["v"], "d").collect() == []
+    assert _streamed(spark, [[_row("TRUNCATE", 1)]]).collect() == []

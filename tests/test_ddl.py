@@ -34,6 +34,13 @@ FORMS = [
     ("create table stock (sku int, primary key (sku))", [("create", "stock", None, None, "refresh_mapping")]),
     ("grant select on stock to clerk", [("unknown", None, None, None, "error")]),
     ("alter table stock shuffle rows", [("unknown", None, None, None, "error")]),
+    ("alter table stock drop column if exists qty", [("drop_column", "qty", None, None, "drop_column")]),
+    ("alter table if exists stock add column if not exists a int, modify column if exists b text", [("add_column", "a", None, None, "none"), ("modify_column", "b", None, None, "none")]),
+    ("alter table stock add note text comment 'it\\'s, drop column b', drop c ;", [("add_column", "note", None, None, "none"), ("drop_column", "c", None, None, "drop_column")]),
+    ("/* one */ -- two\n# three\nalter table stock drop column a;", [("drop_column", "a", None, None, "drop_column")]),
+    ("alter table stock drop primary key, add primary key using btree (a(10), `b` desc)", [("drop_key", None, None, None, "rekey"), ("add_key", None, None, "a,b", "rekey")]),
+    ("alter table stock add constraint pk primary key using hash (a)", [("add_key", None, None, "a", "none")]),
+    ("rename table a to tmp, b to a, tmp to b;", [("rename_table", "a", "tmp", None, "rename_source"), ("rename_table", "b", "a", None, "rename_source"), ("rename_table", "tmp", "b", None, "rename_source")]),
 ]
 
 

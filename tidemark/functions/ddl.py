@@ -1,7 +1,7 @@
 """DDL text -> classified sub-changes, with column expressions only.
 
-Steps: normalise (lower case, back-quotes removed, blanks collapsed, column
-comments stripped); classify the statement; cut an ALTER body into clauses
+Steps: normalise (lower case, back-quotes removed, blanks collapsed, leading
+comments, closing semicolons and column comments stripped); classify the statement; cut an ALTER body into clauses
 with a pattern that keeps commas inside parentheses and quotes (so
 ``decimal(10,2)``, ``primary key (a,b)`` and ``default '1,5'`` stay whole);
 classify every clause and extract the names it touches.
@@ -13,35 +13,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The patterns of the classification (lower-cased input).
-QUOTED = "'[^']*'|\"[^\"]*\""
+QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+REMARKS = r"^(?:\s+|/\*(?!!)(?s:.*?)\*/|--[ \t][^\n]*(?:\n|$)|#[^\n]*(?:\n|$))+"
+IF_EXISTS = "(?:if (?:not )?exists )?"
 COMMENT = f" ?comment ?=? ?(?:{QUOTED})"
 INNER = f"(?:[^()'\"]|{QUOTED}|\\((?:[^()'\"]|{QUOTED})*\\))*"  # of parentheses, with one level of others in it
 CLAUSE = f"(?:[^,('\"]|\\({INNER}\\)|{QUOTED})+"
 COLUMN_LIST = "^add (?:column )?\\((.*)\\)$"
-TARGET = "^(?:alter|truncate|drop|create|rename) table (?:if (?:not )?exists )?([^ ]+)"
-ALTER_BODY = "^alter table [^ ]+ ?(.*)$"
-RENAME_BODY = "^rename table (.*)$"
-KEY_LIST = "primary key ?\\(([^)]*)\\)"
+TARGET = f"^(?:alter|truncate|drop|create|rename) table {IF_EXISTS}([^ ]+)"
+ALTER_BODY = f"^alter table {IF_EXISTS}[^ ]+ ?(.*)$"
+RENAME_BODY = f"^rename table {IF_EXISTS}(.*)$"
+KEY_LIST = r"primary key ?(?:using [a-z]+ ?)?\(((?:[^()]|\([^()]*\))*)\)"
+KEY_PART = r" ?\([^()]*\)| (?:asc|desc)$"  # of a key column: the prefix it is cut to, its direction
 
 # (kind, pattern) in order: the first match wins.
 STATEMENT_KINDS = [
     ("truncate", "^truncate (table )?[^ ]+"),
     ("drop_table", "^drop table "),
     ("rename_tables", "^rename table "),
-    ("alter", "^alter table [^ ]+( |$)"),
+    ("alter", f"^alter table {IF_EXISTS}[^ ]+( |$)"),
     ("create", "^create table "),
 ]
 
 CLAUSE_KINDS = [
-    ("rename_column", "^rename column [^ ]+ to [^ ]+"),
+    ("rename_column", f"^rename column {IF_EXISTS}[^ ]+ to [^ ]+"),
     ("noop", "^rename (index|key) "),
     ("rename_table", "^rename (to |as )?[^ ]+$"),
     ("add_key", "^add (constraint [^ ]+ )?primary key"),
     ("drop_key", "^drop primary key"),
     ("noop", "^(add|drop|reorganize|truncate|coalesce|exchange|analyze|check|optimize|rebuild|repair|discard|import|remove) partition(ing)?( |$)"),
     ("noop", "^drop (foreign key|index|key|constraint|check) "),
-    ("drop_column", "^drop (column )?[^ ]+"),
-    ("change_column", "^change (column )?[^ ]+ [^ ]+"),
+    ("drop_column", f"^drop (column )?{IF_EXISTS}[^ ]+"),
+    ("change_column", f"^change (column )?{IF_EXISTS}[^ ]+ [^ ]+"),
     ("modify_column", "^modify "),
     ("noop", "^add (index|unique|key|fulltext|spatial|foreign|constraint|check)( |\\()"),
     ("add_column", "^add "),
@@ -50,9 +53,9 @@ CLAUSE_KINDS = [
 
 
 def normalise(ddl: Column) -> Column:
-    s = F.lower(ddl)
+    s = F.regexp_replace(F.lower(ddl), REMARKS, "")
     s = F.regexp_replace(s, "`", "")
-    s = F.trim(F.regexp_replace(s, "\\s+", " "))
+    s = F.regexp_replace(F.regexp_replace(s, "\\s+", " "), "[ ;]+$", "")
     return F.trim(F.regexp_replace(s, COMMENT, ""))
 
 
@@ -95,15 +98,15 @@ def clause_kind(stmt_kind: Column, clause: Column) -> Column:
 def clause_names(stmt_kind: Column, kind: Column, clause: Column, target: Column) -> tuple[Column, Column]:
     """``(old_name, new_name)`` a clause touches (table or column names)."""
     pair = "^([^ ]+) to ([^ ]+)$"
-    change = "^change (?:column )?([^ ]+) ([^ ]+)"
+    change = f"^change (?:column )?{IF_EXISTS}([^ ]+) ([^ ]+)"
     old = (
         F.when(stmt_kind == "rename_tables", F.regexp_extract(clause, pair, 1))
         .when(kind == "rename_table", target)
-        .when(kind == "rename_column", F.regexp_extract(clause, "^rename column ([^ ]+) to", 1))
-        .when(kind == "drop_column", F.regexp_extract(clause, "^drop (?:column )?([^ ]+)", 1))
+        .when(kind == "rename_column", F.regexp_extract(clause, f"^rename column {IF_EXISTS}([^ ]+) to", 1))
+        .when(kind == "drop_column", F.regexp_extract(clause, f"^drop (?:column )?{IF_EXISTS}([^ ]+)", 1))
         .when(kind == "change_column", F.regexp_extract(clause, change, 1))
-        .when(kind.isin("modify_column"), F.regexp_extract(clause, "^modify (?:column )?([^ ]+)", 1))
-        .when(kind.isin("add_column"), F.regexp_extract(clause, "^add (?:column )?([^ ]+)", 1))
+        .when(kind.isin("modify_column"), F.regexp_extract(clause, f"^modify (?:column )?{IF_EXISTS}([^ ]+)", 1))
+        .when(kind.isin("add_column"), F.regexp_extract(clause, f"^add (?:column )?{IF_EXISTS}([^ ]+)", 1))
         .when(kind.isin("truncate", "drop_table", "create"), target)
     )
     new = (
@@ -116,6 +119,7 @@ def clause_names(stmt_kind: Column, kind: Column, clause: Column, target: Column
 
 
 def key_list(clause: Column) -> Column:
-    """Key columns of an ADD PRIMARY KEY clause, comma-joined, blanks trimmed."""
+    """Key columns of an ADD PRIMARY KEY clause, comma-joined, without prefix lengths; null if it names none."""
     raw = F.regexp_extract(clause, KEY_LIST, 1)
-    return F.array_join(F.transform(F.split(raw, ","), lambda x: F.trim(x)), ",")
+    names = F.transform(F.split(F.regexp_replace(raw, "\\([^()]*\\)", ""), ","), lambda x: F.trim(F.regexp_replace(F.trim(x), KEY_PART, "")))
+    return F.nullif(F.array_join(F.filter(names, lambda x: x != ""), ","), F.lit(""))

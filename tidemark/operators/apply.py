@@ -67,8 +67,8 @@ def _marker(tag: str) -> Column:
     )
 
 
-def contributions(keyed: DataFrame, keep_old_key: bool = False, clean: bool = True) -> DataFrame:
-    """Explode keyed changes into ``(source_key, row_key, tag, name, seq, value)``.
+def contributions(keyed: DataFrame, keep_old_key: bool = False, clean: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """Explode keyed changes into ``(source_key, row_key, tag, name, seq, value)`` and the columns to ``carry``.
 
     tags: ``live`` (an INSERT/UPDATE touched the row), ``del`` (a DELETE, or
     the old key of a key-changing UPDATE unless ``keep_old_key``), ``cell``
@@ -89,7 +89,8 @@ def contributions(keyed: DataFrame, keep_old_key: bool = False, clean: bool = Tr
         old = F.col("old_row_key")
         markers.append(F.when((op == "UPDATE") & old.isNotNull() & (old != rk), _marker("oldkey")))
     items = F.concat(F.when(iu, _image("after")).otherwise(F.array().cast(IMAGE)), F.array(*markers))
-    x = keyed.select("source_key", "seq", "op", "row_key", "old_row_key", F.explode(items).alias("c")).where(F.col("c").isNotNull())
+    carry = carry or []
+    x = keyed.select("source_key", "seq", "op", "row_key", "old_row_key", *carry, F.explode(items).alias("c")).where(F.col("c").isNotNull())
     c = F.col("c")
     marker = c["name"].isNull()
     kind = c["value"]
@@ -102,6 +103,7 @@ def contributions(keyed: DataFrame, keep_old_key: bool = False, clean: bool = Tr
         F.when(~marker, F.lower(c["name"])).alias("name"),
         "seq",
         F.when(~marker, written_value(c, clean)).alias("value"),
+        *carry,
     ).where(F.col("row_key").isNotNull())
 
 

@@ -19,16 +19,31 @@ from tidemark.schema import SOURCE_WIPE_OPS
 # Names of the roll-up columns.
 SUM_SUFFIX = "_accumulation"
 COUNT_COLUMN = "count"
-# Texts and floating-point columns are added up as exact decimals of this type.
-SUMMED_AS = "decimal(28,10)"
-
-
-def summable(df: DataFrame, column: str) -> Column:
-    """The column as it is added up: whole numbers and decimals as they are,
-    anything else as ``SUMMED_AS``, so fractions stay and order does not matter."""
-    kind = df.schema[column].dataType
-    exact = isinstance(kind, (T.IntegralType, T.DecimalType))
-    return F.col(column) if exact else F.col(column).cast(SUMMED_AS)
+# Texts and floating-point columns are added up as exact decimals of this type, unless the caller names another.
+SUM_TYPE = "decimal(38,18)"
+# Whole doubles up to this size are added up as BIGINT: 2 ** 43 of them cannot overflow.
+_SMALL = float(1 << 20)
+
+
+def summed(df: DataFrame, column: str, sum_as: str = SUM_TYPE) -> Column:
+    """The exact sum of a column, whatever the order: whole numbers and decimals in
+    their own type, anything else as ``sum_as``.  A value that this type cannot hold
+    exactly ends the job with its name; ``sum_as="double"`` adds up approximately."""
+    x, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.sum(x)
+    if sum_as == "double":
+        return F.sum(x.cast("double"))
+    as_typed, number = x.cast(sum_as), x.cast("double")
+    misfit = F.raise_error(F.concat(F.lit(f"{column}: "), x.cast("string"), F.lit(f" does not fit {sum_as}; name another type to add up as")))
+    exact = as_typed.cast("double") == number
+    if isinstance(kind, T.StringType):
+        scale = int(sum_as.rstrip(")").split(",")[1]) if "," in sum_as else 0
+        return F.sum(F.when(x.isNull() | F.trim(x).rlike(f"^[+-]?[0-9]*([.][0-9]{{0,{scale}}}0*)?$") | exact, as_typed).otherwise(misfit.cast(sum_as)))
+    small = (F.abs(number) <= _SMALL) & (number == F.floor(number))
+    whole = F.sum(F.when(small, number.cast("bigint")))
+    rest = F.sum(F.when(~small, F.when(exact, as_typed).otherwise(misfit.cast(sum_as))))
+    return F.coalesce(whole.cast(sum_as) + F.coalesce(rest, F.lit(0).cast(sum_as)), rest).cast(sum_as)
 
 
 def _keyed(df: DataFrame, groups: list[str], dest: str, connector: str, reverse: bool) -> DataFrame:
@@ -36,9 +51,9 @@ def _keyed(df: DataFrame, groups: list[str], dest: str, connector: str, reverse:
     return df.withColumn("row_key", row_key_from_columns(g, F.lit(dest), connector, reverse)).select("row_key", *g, *[c for c in df.columns if c not in g])
 
 
-def rollup_sum(df: DataFrame, groups: list[str], columns: list[str], dest: str, connector: str = DEFAULT_CONNECTOR, reverse: bool = True) -> DataFrame:
-    """``<col>_accumulation`` = exact SUM of each column per group (``summable``)."""
-    agg = df.groupBy(*groups).agg(*[F.sum(summable(df, c)).alias(c + SUM_SUFFIX) for c in columns])
+def rollup_sum(df: DataFrame, groups: list[str], columns: list[str], dest: str, connector: str = DEFAULT_CONNECTOR, reverse: bool = True, sum_as: str = SUM_TYPE) -> DataFrame:
+    """``<col>_accumulation`` = exact SUM of each column per group (``summed``)."""
+    agg = df.groupBy(*groups).agg(*[summed(df, c, sum_as).alias(c + SUM_SUFFIX) for c in columns])
     return _keyed(agg, groups, dest, connector, reverse)
 
 
@@ -52,7 +67,7 @@ def rollup_paged(df: DataFrame, page_col: str, page_size: int, groups: list[str]
     """Page-wise partial sums added up: ``groupBy(page, g)`` then ``groupBy(g)``."""
     lo = df.select(F.min(page_col)).scalar()
     paged = df.withColumn("_page", F.floor((F.col(page_col) - lo) / F.lit(page_size)))
-    parts = paged.groupBy("_page", *groups).agg(*[F.sum(summable(df, c)).cast(SUMMED_AS).alias(c) for c in columns])
+    parts = paged.groupBy("_page", *groups).agg(*[summed(df, c, kw.get("sum_as", SUM_TYPE)).alias(c) for c in columns])
     return rollup_sum(parts, groups, columns, dest, **kw)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import DEFAULT_CONNECTOR, joined_key
 from tidemark.operators import apply as A
 from tidemark.operators.ddl import DDL_OPS, ddl_changelog
-from tidemark.operators.joins import join_small
+from tidemark.operators.joins import fetched, join_small
 from tidemark.schema import SOURCE_WIPE_OPS
 from tidemark.session import ensure_checkpoint_dir, scratch_path
 
@@ -196,7 +196,9 @@ def fold_events(records: DataFrame, events: DataFrame, wipes: DataFrame, connect
     event that touches them were reduced apart.  ``events``: ``EVENT_COLUMNS``; ``wipes``: ``(source_key, seq)``.
     """
     ensure_checkpoint_dir(records.sparkSession)
-    events = events.select(*EVENT_COLUMNS).checkpoint()
+    events = events.select(*EVENT_COLUMNS)
+    few = fetched(events)
+    events = events.checkpoint() if few is None else few
     effects = {r["effect"] for r in events.select("effect").distinct().collect()}  # at most five
     if not effects:
         return A.materialize(A.reduce_contributions(records), wipes.groupBy("source_key").agg(F.max("seq").alias("wipe_seq")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.sources.fixtures import BROKEN
 from tidemark.plans.oracle_parts import (
     EVENTS_CHG,
     EVENTS_COLS,
@@ -69,14 +70,14 @@ FROM s GROUP BY segment
 
 _LI_SUM = """
 SELECT reverse(coalesce(l_linestatus, '') || '+' || coalesce(l_returnflag, '')) || '+rollup.lineitem' AS row_key,
-       l_linestatus, l_returnflag, sum(CAST(l_quantity AS DECIMAL(28,10))) AS l_quantity_accumulation
+       l_linestatus, l_returnflag, sum(CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(38,18))) AS l_quantity_accumulation
 FROM lineitem GROUP BY l_linestatus, l_returnflag
 """
 ORACLE["rollup_sum"] = _LI_SUM
 ORACLE["rollup_paged"] = _LI_SUM
 ORACLE["rollup_sum_decimal"] = """
 SELECT reverse(CAST(l_suppkey AS VARCHAR)) || '+rollup.lineitem' AS row_key, l_suppkey,
-       sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS l_extendedprice_accumulation, sum(l_linenumber)::BIGINT AS l_linenumber_accumulation
+       sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,18))) AS l_extendedprice_accumulation, sum(l_linenumber)::BIGINT AS l_linenumber_accumulation
 FROM lineitem GROUP BY l_suppkey
 """
 
@@ -93,7 +94,7 @@ ins AS (SELECT * FROM l WHERE op = 'INSERT' AND (prev_op IS NULL OR prev_op = 'D
 
 ORACLE["rollup_sum_stream"] = _ABSENT_INSERTS + """
 SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus,
-       sum(CAST(o_totalprice AS DECIMAL(28,10))) AS o_totalprice_accumulation
+       sum(CAST(o_totalprice AS DECIMAL(38,18))) AS o_totalprice_accumulation
 FROM ins GROUP BY o_orderstatus
 """
 
@@ -199,11 +200,11 @@ SELECT 'app.users' AS source_key, (first_id * 8 + list_position(['click', 'error
 FROM r
 """
 
-ORACLE["decode_rejects"] = """
-SELECT CASE event_id % 3 WHEN 0 THEN '{"entry_type": ' || event_id WHEN 1 THEN '{"offset": ' || event_id || '}'
-            ELSE '{"entry_type": "ROWDATA", "offset": ' || event_id || '}' END AS value,
-       CASE event_id % 3 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'no entry type' ELSE 'no event type' END AS reason
-FROM events WHERE event_id % 50 = 7
+_BROKEN = ", ".join("('" + text + "', '" + reason + "')" for text, reason in BROKEN)
+ORACLE["decode_rejects"] = f"""
+WITH b AS (SELECT row_number() OVER () - 1 AS i, form, reason FROM (VALUES {_BROKEN}) v(form, reason))
+SELECT replace(form, '@', CAST(event_id AS VARCHAR)) AS value, reason
+FROM events JOIN b ON (event_id // 50) % {len(BROKEN)} = i WHERE event_id % 50 = 7
 """
 
 ORACLE["subscription_filter"] = f"""
@@ -353,7 +354,7 @@ WHERE (batch_id + 1) % 15 = 0 AND epoch_us(batch_end) - epoch_us(last_exec_time)
 
 # ---- schema events -----------------------------------------------------------
 
-# What each statement form means, written out by form number (t = p_partkey % 22): nothing here parses a statement.
+# What each statement form means, written out by form number (t = p_partkey % 30): nothing here parses a statement.
 # Per form: the normalised text, then its clauses as (kind, old name, new name, key list, effect).  tbl, nm and sz
 # stand for the table, the name made from the part and its size.
 _DDL_FORMS = {
@@ -378,15 +379,23 @@ _DDL_FORMS = {
     19: ("'alter table ' || tbl || ' drop column partition, add partition (partition p' || sz || ' values less than (' || sz || '))'", [("drop_column", "'partition'", None, None, "drop_column"), ("noop", None, None, None, "none")]),
     20: ("'alter table ' || tbl || ' frobnicate ' || nm", [("unknown", None, None, None, "error")]),
     21: ("'create table ' || tbl || ' (id int, primary key (id))'", [("create", "tbl", None, None, "refresh_mapping")]),
+    22: ("'alter table if exists ' || tbl || ' drop column if exists ' || nm", [("drop_column", "nm", None, None, "drop_column")]),
+    23: ("'alter table ' || tbl || ' drop ' || nm", [("drop_column", "nm", None, None, "drop_column")]),
+    24: ("'alter table ' || tbl || ' add column ' || nm || ' text'", [("add_column", "nm", None, None, "none")]),
+    25: ("'alter table ' || tbl || ' drop primary key, add primary key using btree (id, ' || nm || '(10) desc)'", [("drop_key", None, None, None, "rekey"), ("add_key", None, None, "'id,' || nm", "rekey")]),
+    26: ("'rename table ' || tbl || ' to ' || nm || '_tmp, ' || nm || '_b to ' || tbl || ', ' || nm || '_tmp to ' || nm || '_b'", [("rename_table", "tbl", "nm || '_tmp'", None, "rename_source"), ("rename_table", "nm || '_b'", "tbl", None, "rename_source"), ("rename_table", "nm || '_tmp'", "nm || '_b'", None, "rename_source")]),
+    27: ("'alter table ' || tbl || ' add column if not exists ' || nm || ' char(9) default ''a\\'',b'''", [("add_column", "nm", None, None, "none")]),
+    28: ("'alter table ' || tbl || ' drop index if exists i_' || sz || ', drop column ' || nm || '_old'", [("noop", None, None, None, "none"), ("drop_column", "nm || '_old'", None, None, "drop_column")]),
+    29: ("'alter table ' || tbl || ' change column if exists ' || nm || ' ' || nm || '_v3 int'", [("change_column", "nm", "nm || '_v3'", None, "rename_column")]),
 }
 
 _DDL_FIXTURE = """
 p AS (
   SELECT p_partkey AS seq, regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g') AS nm,
-         'parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1) AS tbl, CAST(p_size AS VARCHAR) AS sz, p_partkey % 22 AS t
+         'parts_' || regexp_extract(lower(p_brand), '([0-9]+)', 1) AS tbl, CAST(p_size AS VARCHAR) AS sz, p_partkey % 30 AS t
   FROM part),
 d AS (SELECT 'shop.' || tbl AS source_key,
-             CASE t WHEN 7 THEN 'RENAME' WHEN 10 THEN 'TRUNCATE' WHEN 12 THEN 'QUERY' WHEN 18 THEN 'ERASE' WHEN 21 THEN 'CREATE' ELSE 'ALTER' END AS op FROM p)"""
+             CASE t WHEN 7 THEN 'RENAME' WHEN 26 THEN 'RENAME' WHEN 10 THEN 'TRUNCATE' WHEN 12 THEN 'QUERY' WHEN 18 THEN 'ERASE' WHEN 21 THEN 'CREATE' ELSE 'ALTER' END AS op FROM p)"""
 
 ORACLE["ddl_changelog"] = f"WITH {_DDL_FIXTURE}" + "\nUNION ALL".join(
     f"""
@@ -481,7 +490,7 @@ GROUP BY ALL
 
 ORACLE["rollup_stream"] = _ABSENT_INSERTS + """
 SELECT reverse(o_orderstatus) || '+rollup.orders' AS row_key, o_orderstatus, count(*) AS "count",
-       sum(CAST(o_totalprice AS DECIMAL(28,10))) AS o_totalprice_accumulation
+       sum(CAST(o_totalprice AS DECIMAL(38,18))) AS o_totalprice_accumulation
 FROM ins GROUP BY o_orderstatus
 """
 
@@ -571,3 +580,66 @@ FROM l WHERE epoch_us(exec_time) - epoch_us(idle_since) >= 600 * 1000000
 """
 
 ORACLE["increment_stream"] = ORACLE["increment_table"]
+
+ORACLE["stream_rename_source"] = ORACLE["apply_rename_source"]
+ORACLE["stream_rekey"] = ORACLE["apply_rekey"]
+ORACLE["stream_stop"] = ORACLE["apply_stop"]
+
+# A dropped table keeps nothing from before, as a truncated one.
+ORACLE["apply_erase"] = ORACLE["truncate_source"]
+
+_KEYS_OF = ["reverse(o_orderkey)", "reverse(o_custkey)", "reverse(o_custkey || '+' || o_orderdate)", "reverse(o_orderkey)"]
+
+
+def _generation(g: int, before: str) -> str:
+    """The state after generation ``g``: rows carried over, under its keys, and its changes."""
+    cols = ", ".join(ORDERS_COLS)
+    key = f"{_KEYS_OF[g]} || '+' || src"
+    carried = f"""SELECT {key} AS k, 'INSERT' AS op, version AS seq, {cols} FROM (SELECT *, substr(row_key, strpos(row_key, '+shop.') + 1) AS src FROM {before}) UNION ALL""" if before else ""
+    return f"""
+log{g} AS ({carried} SELECT {key} AS k, op, seq, {cols} FROM dealt WHERE gen = {g}),
+{closed_form(f'log{g}', ORDERS_COLS, '{k}', name=f'state{g}')}"""
+
+
+ORACLE["apply_rekeys"] = f"""
+WITH {ORDERS_CHG},
+t AS (SELECT max(o_orderkey) AS m FROM orders),
+dealt AS (
+  SELECT c.*, 'shop.orders_' || lpad(CAST(CAST(o_custkey AS BIGINT) % 20 AS VARCHAR), 2, '0') AS src,
+         CAST(seq > floor(m / 4) * 10 + 5 AS INTEGER) + CAST(seq > floor(m * 2 / 4) * 10 + 5 AS INTEGER)
+         + CAST(CAST(o_custkey AS BIGINT) % 2 = 0 AND seq > floor(m * 3 / 4) * 10 + 5 AS INTEGER) AS gen
+  FROM orders_chg c, t),
+{_generation(0, '')},{_generation(1, 'state0')},{_generation(2, 'state1')},
+odd AS (SELECT * FROM state2 WHERE CAST(right(row_key, 2) AS INTEGER) % 2 = 1),
+even AS (SELECT * FROM state2 WHERE CAST(right(row_key, 2) AS INTEGER) % 2 = 0),{_generation(3, 'even')}
+SELECT substr(row_key, strpos(row_key, '+shop.') + 1) AS source_key, * FROM (SELECT * FROM odd UNION ALL SELECT * FROM state3)
+"""
+
+ORACLE["apply_swap"] = f"""
+WITH {ORDERS_CHG}, {_AT},
+dealt AS (SELECT c.* EXCLUDE (k), reverse(c.o_orderkey) || CASE WHEN CAST(c.o_custkey AS BIGINT) % 2 = 0 THEN '+shop.odd' ELSE '+shop.even' END AS k FROM orders_chg c),
+{closed_form('dealt', ORDERS_COLS, '{k}')}
+SELECT substr(row_key, strpos(row_key, '+') + 1) AS source_key, * FROM dealt_state
+"""
+
+ORACLE["stream_snapshots"] = f"""
+WITH {EVENTS_CHG},
+days AS (SELECT DISTINCT date_trunc('day', exec_time) AS day FROM events_chg),
+seen AS (SELECT strftime(day, '%Y%m%d') || '|' || c.k AS k, op, seq, {', '.join(EVENTS_COLS)} FROM events_chg c JOIN days ON exec_time < day),
+{closed_form('seen', EVENTS_COLS, "{k}", name='st')}
+SELECT split_part(row_key, '|', 1) AS segment, reverse(split_part(row_key, '|', 2)) || '+app.users' AS row_key, version, {', '.join(EVENTS_COLS)} FROM st
+"""
+
+# File n of input i holds BARRIER_DAYS[i] days; the watermark after micro-batch n is that of the input least far.
+ORACLE["barrier_stream"] = f"""
+WITH {EVENTS_CHG},
+t AS (SELECT i, days, c.exec_time, c.seq FROM (VALUES (0, 6), (1, 10), (2, 15)) v(i, days) JOIN events_chg c ON c.seq % 3 = i),
+lo AS (SELECT i, date_trunc('day', min(exec_time)) AS d0 FROM t GROUP BY i),
+f AS (SELECT t.i, dense_rank() OVER (PARTITION BY t.i ORDER BY date_diff('day', d0, exec_time) // days) - 1 AS n, max(exec_time) AS top
+      FROM t JOIN lo ON t.i = lo.i GROUP BY t.i, date_diff('day', d0, exec_time) // days),
+b AS (SELECT DISTINCT n FROM f),
+w AS (SELECT n, min(top) - INTERVAL 1 HOUR AS mark FROM (SELECT b.n, f.i, max(top) AS top FROM b JOIN f ON f.n <= b.n GROUP BY b.n, f.i) GROUP BY n),
+s AS (SELECT date_trunc('day', exec_time) AS day, count(DISTINCT i) AS n_inputs, count(*) AS n_events, min_by(i, exec_time) AS elected FROM t GROUP BY 1)
+SELECT strftime(day, '%Y%m%d') AS segment, n_inputs, n_events, elected, min(n) + 1 AS closed_in
+FROM s JOIN w ON mark >= day + INTERVAL 1 DAY GROUP BY ALL
+"""

@@ -616,6 +616,66 @@ def apply_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.to_columns(SA.apply_log(log), FX.EVENTS_COLUMNS, extra=["source_key", "row_key", "version"])
 
 
+@query
+def apply_rekeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of 20 sources with 50 key changes between their rows."""
+    state = SA.apply_log(FX.stored(FX.orders_keys_changelog(spark, sf_dir), "keys"))
+    return A.to_columns(state, FX.ORDERS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def apply_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources that change names in one statement, through the name of a dropped one."""
+    state = SA.apply_log(FX.swapped_sources_log(spark, sf_dir))
+    return A.to_columns(state, FX.ORDERS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def apply_erase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders state when the table is dropped in the middle of the log."""
+    log = FX.orders_changelog(spark, sf_dir).unionByName(FX.orders_ddl(spark, sf_dir, "drop table orders", "ERASE"))
+    return A.to_columns(SA.apply_log(log), FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+def _streamed(spark: SparkSession, log: DataFrame, name: str, chunks: int = 3) -> DataFrame:
+    """The state of a log that lands in ``chunks`` consecutive parts, one a micro-batch."""
+    run = scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex}")
+    FX.write_in_seq_order(log, f"{run}/input", chunks=chunks)
+    return STR.apply_stream_once(spark, f"{run}/input", f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=1)
+
+
+@query
+def stream_rename_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of apply_rename_source from a stream."""
+    log = FX.orders_after(spark, sf_dir, source="shop.orders_new").unionByName(FX.orders_ddl(spark, sf_dir, "rename table orders to orders_new", "RENAME"))
+    return A.to_columns(_streamed(spark, log, "rename"), FX.ORDERS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def stream_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of apply_rekey from a stream."""
+    event = FX.orders_ddl(spark, sf_dir, "alter table orders drop primary key, add primary key (o_custkey)")
+    log = FX.orders_after(spark, sf_dir, key="o_custkey").unionByName(event)
+    return A.to_columns(_streamed(spark, log, "rekey"), FX.ORDERS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def stream_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of apply_stop from a stream."""
+    log = _both_logs(spark, sf_dir).unionByName(FX.orders_ddl(spark, sf_dir, "alter table orders drop primary key"))
+    return A.to_columns(_streamed(spark, log, "stop"), FX.EVENTS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of app.users that a stream writes when its changes open a day, one for each day but the first."""
+    run = scratch_path(spark, f"stream-snapshots-{uuid.uuid4().hex}")
+    FX.write_in_time_order(FX.events_changelog(spark, sf_dir), f"{run}/input", chunk_days=8)
+    q = STR.run_apply_stream(spark, f"{run}/input", f"{run}/state", f"{run}/checkpoint", snapshots=f"{run}/snapshots")
+    q.awaitTermination()
+    return A.to_columns(STR.read_snapshots(spark, f"{run}/snapshots"), FX.EVENTS_COLUMNS, extra=["segment", "row_key", "version"])
+
+
 @query
 def idle_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silences of at least ten minutes between a source's real events (O2)."""
@@ -638,6 +698,24 @@ def segment_close_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("source_key string, segment string, op string, n_events long").parquet(f"{run}/out")
 
 
+BARRIER_DAYS = [6, 10, 15]  # of events that one file of each input holds
+
+
+@query
+def barrier_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily segments of three inputs that arrive at different speeds: a segment closes for all of them in the
+    micro-batch after the slowest one has passed its end (T8, T9)."""
+    run = scratch_path(spark, f"barrier-{uuid.uuid4().hex}")
+    log = FX.events_changelog(spark, sf_dir)
+    streams = []
+    for i, days in enumerate(BARRIER_DAYS):
+        FX.write_in_time_order(log.where(F.pmod("seq", F.lit(3)) == i), f"{run}/input{i}", chunk_days=days)
+        streams.append(STR.change_stream(spark, f"{run}/input{i}", max_files_per_trigger=1))
+    q = SEGS.run_barrier(streams, f"{run}/out", f"{run}/checkpoint", lateness=STREAM_LATENESS)
+    q.awaitTermination()
+    return SEGS.closed_segments(spark, f"{run}/out")
+
+
 @query
 def increment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily increment tables of app.users kept by a file stream of shuffled rows."""
@@ -651,11 +729,10 @@ def increment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SUM and COUNT of orders per status maintained by a file stream: each
-    micro-batch adds the inserts that hit absent rows, judged against the
-    apply state before the batch, then folds the batch into the state (G3, G4)."""
+    micro-batch adds the inserts that hit absent rows, judged against the last
+    event of their rows in the stream's state (G3, G4, S8)."""
     run = scratch_path(spark, f"rollup-stream-{uuid.uuid4().hex}")
     FX.write_in_seq_order(FX.orders_changelog(spark, sf_dir), f"{run}/input", chunks=3)
-    q = RST.run_rollup_stream(spark, f"{run}/input", f"{run}/state", f"{run}/rollup", f"{run}/checkpoint",
-                              ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1)
+    q = RST.run_rollup_stream(spark, f"{run}/input", f"{run}/rollup", f"{run}/checkpoint", ["o_orderstatus"], ["o_totalprice"], max_files_per_trigger=1)
     q.awaitTermination()
     return RST.current_rollup(spark, f"{run}/rollup", ["o_orderstatus"], ["o_totalprice"], "rollup.orders")

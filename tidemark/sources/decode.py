@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import CHANGELOG_COLUMNS, IMAGE
+from tidemark.schema import CHANGELOG_COLUMNS, IMAGE, ROW_OPS
 
 ENTRY = T.StructType(
     [
@@ -64,15 +64,35 @@ def decode_changes(lines: DataFrame, value_col: str = "value", source_prefix: st
 
 
 def reject_reason(value_col: str = "value") -> Column:
-    """Why a line is no entry; null for entries and transaction markers."""
-    e = F.from_json(F.col(value_col), ENTRY)
+    """Why a line is no entry; null for entries and transaction markers.
+
+    An entry that would decode to a change without a source, an image or a place
+    in the order is none: fields of another type than theirs are told from
+    missing ones by their raw text."""
+    line = F.col(value_col)
+    e = F.from_json(line, ENTRY)
     marker = F.coalesce(e["entry_type"].isin(*TRANSACTION_MARKERS), F.lit(False))
-    parsed = F.try_parse_json(F.col(value_col)).isNotNull()
+    parsed = F.try_parse_json(line).isNotNull()
+    of_rows = F.upper(e["event_type"]).isin(*ROW_OPS)
+
+    def mistyped(field: str) -> Column:
+        return e[field].isNull() & F.get_json_object(line, f"$.{field}").isNotNull()
+
+    no_image = F.exists(F.coalesce(e["rows"], F.array().cast(ENTRY["rows"].dataType)), lambda r: r.isNull() | (r["before"].isNull() & r["after"].isNull()))
+    place = F.coalesce(e["log_file"], F.lit(0)).between(0, 2**FILE_BITS - 1) & e["offset"].between(0, 2**OFFSET_BITS - 1)
+    place = place & (F.coalesce(F.size(e["rows"]), F.lit(0)) <= 2**ROW_BITS)
     return (
-        F.when(~parsed | F.col(value_col).isNull(), "not JSON")
+        F.when(~parsed | line.isNull(), "not JSON")
         .when(e["entry_type"].isNull(), "no entry type")
         .when(~marker & e["event_type"].isNull(), "no event type")
+        .when(~marker & (mistyped("offset") | mistyped("log_file") | mistyped("execute_time")), "a number is none")
         .when(~marker & e["offset"].isNull(), "no offset")
+        .when(~marker & (F.coalesce(e["database"], F.lit("")) == ""), "no database")
+        .when(~marker & (F.coalesce(e["table"], F.lit("")) == "") & of_rows, "no table")
+        .when(~marker & mistyped("rows"), "rows are no list of images")
+        .when(~marker & of_rows & (F.coalesce(F.size(e["rows"]), F.lit(0)) <= 0), "no rows")
+        .when(~marker & of_rows & no_image, "a row without images")
+        .when(~marker & ~place, "out of range")
     )
 
 

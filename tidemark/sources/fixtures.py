@@ -208,15 +208,15 @@ def party_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def ddl_changelog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema events derived from ``part`` rows: one DDL statement per part,
     on table ``parts_<brand number>``, naming a column after the part name.
-    The statement form cycles through 22 templates by ``p_partkey``
+    The statement form cycles through 30 templates by ``p_partkey``
     (add/drop/change column, key changes, renames, truncate, drop table,
-    partitions, constraints, column lists, quotes, options, a statement that is
-    not understood, and a QUERY event that carries no schema change)."""
+    partitions, constraints, column lists, quotes, escapes, remarks, options, a
+    statement that is not understood, and a QUERY event without schema change)."""
     p = table(spark, sf_dir, "part")
     nm = F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "_")
     tbl = F.concat(F.lit("parts_"), F.regexp_extract(F.lower("p_brand"), "([0-9]+)", 1))
     sz = F.col("p_size").cast("string")
-    t = F.col("p_partkey") % 22
+    t = F.col("p_partkey") % 30
     nl = F.lit("\n")
     forms = [
         F.concat(F.lit("ALTER TABLE `"), tbl, F.lit("` ADD COLUMN `"), nm, F.lit("` varchar(64) COMMENT 'size, "), sz, F.lit("'")),
@@ -241,11 +241,19 @@ def ddl_changelog_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("alter table "), tbl, F.lit(" drop column `partition`, add partition (partition p"), sz, F.lit(" values less than ("), sz, F.lit("))")),
         F.concat(F.lit("alter table "), tbl, F.lit(" frobnicate "), nm),
         F.concat(F.lit("create table "), tbl, F.lit(" (id int, primary key (id))")),
+        F.concat(F.lit("alter table if exists "), tbl, F.lit(" drop column if exists "), nm, F.lit(";")),
+        F.concat(F.lit("/* by hand;\n drop column x */ ALTER TABLE "), tbl, F.lit(" DROP "), nm, F.lit(" ;\n")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" add column "), nm, F.lit(" text comment 'it\\'s, drop column b'")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop primary key, add primary key using btree (id, `"), nm, F.lit("`(10) desc)")),
+        F.concat(F.lit("rename table "), tbl, F.lit(" to "), nm, F.lit("_tmp, "), nm, F.lit("_b to "), tbl, F.lit(", "), nm, F.lit("_tmp to "), nm, F.lit("_b")),
+        F.concat(F.lit("-- later\n# again\nalter table "), tbl, F.lit(" add column if not exists "), nm, F.lit(" char(9) default 'a\\',b'")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" drop index if exists i_"), sz, F.lit(", drop column "), nm, F.lit("_old")),
+        F.concat(F.lit("alter table "), tbl, F.lit(" change column if exists "), nm, F.lit(" "), nm, F.lit("_v3 int")),
     ]
     ddl = None
     for i, f in enumerate(forms):
         ddl = F.when(t == i, f) if ddl is None else ddl.when(t == i, f)
-    op = F.when(t == 7, "RENAME").when(t == 10, "TRUNCATE").when(t == 12, "QUERY").when(t == 18, "ERASE").when(t == 21, "CREATE").otherwise("ALTER")
+    op = F.when(t.isin(7, 26), "RENAME").when(t == 10, "TRUNCATE").when(t == 12, "QUERY").when(t == 18, "ERASE").when(t == 21, "CREATE").otherwise("ALTER")
     return p.select(
         F.concat(F.lit("shop."), tbl).alias("source_key"),
         F.lit("shop").alias("database"),
@@ -306,33 +314,33 @@ def orders_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_in_time_order(df: DataFrame, path: str, chunk_days: int = 6) -> None:
-    """Write a stand-in log as one file per ``chunk_days`` of event time, in
-    time order, the way a live feed lands files (one write per chunk)."""
-    lo, hi = df.agg(F.min("exec_time"), F.max("exec_time")).first()
-    if lo is None:
-        return
-    import datetime
+def _land(df: DataFrame, chunk: Column, path: str, files: int) -> int:
+    """Write a stand-in log once, then land its chunks one after another, each as
+    ``files`` files of a distributed write, the way a live feed lands them; returns their number."""
+    import uuid
+
+    from tidemark.session import scratch_path
+
+    spark = df.sparkSession
+    staged = scratch_path(spark, f"staged/{uuid.uuid4().hex}")
+    df.withColumn("_chunk", chunk).repartition("_chunk", F.pmod(F.xxhash64("seq"), F.lit(files))).write.partitionBy("_chunk").parquet(staged)
+    chunks = sorted(r["_chunk"] for r in spark.read.parquet(staged).select("_chunk").distinct().collect())
+    for c in chunks:
+        spark.read.schema(df.schema).parquet(f"{staged}/_chunk={c}").repartition(files).write.mode("append").parquet(path)
+    return len(chunks)
+
 
-    start = datetime.datetime(lo.year, lo.month, lo.day)
-    step = datetime.timedelta(days=chunk_days)
-    while start <= hi:
-        end = start + step
-        part = df.where((F.col("exec_time") >= F.lit(start).cast("timestamp_ntz")) & (F.col("exec_time") < F.lit(end).cast("timestamp_ntz")))
-        part.coalesce(1).write.mode("append").parquet(path)
-        start = end
+def write_in_time_order(df: DataFrame, path: str, chunk_days: int = 6, files: int = 1) -> int:
+    """Land a stand-in log in chunks of ``chunk_days`` of event time, in time order."""
+    day = F.date_diff(F.col("exec_time"), df.select(F.to_date(F.min("exec_time"))).scalar())
+    return _land(df, F.floor(day / F.lit(chunk_days)).cast("int"), path, files)
 
 
-def write_in_seq_order(df: DataFrame, path: str, chunks: int = 5) -> None:
-    """Write a stand-in log as ``chunks`` files of consecutive ``seq`` ranges,
-    in ``seq`` order, the way a change stream lands them."""
-    lo, hi = df.agg(F.min("seq"), F.max("seq")).first()
-    if lo is None:
-        return
-    width = (hi - lo) // chunks + 1
-    for i in range(chunks):
-        a, b = lo + i * width, lo + (i + 1) * width
-        df.where((F.col("seq") >= a) & (F.col("seq") < b)).coalesce(1).write.mode("append").parquet(path)
+def write_in_seq_order(df: DataFrame, path: str, chunks: int = 5, files: int = 1) -> int:
+    """Land a stand-in log in ``chunks`` consecutive ``seq`` ranges, in ``seq`` order."""
+    lo, hi = (df.select(f("seq")).scalar() for f in (F.min, F.max))
+    width = F.floor((hi - lo) / F.lit(chunks)) + 1
+    return _land(df, F.floor((F.col("seq") - lo) / width).cast("int"), path, files)
 
 
 def multirow_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,14 +359,26 @@ def multirow_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("r", lambda x: F.struct(x["before"].alias("before"), x["after"].alias("after"))).alias("rows"))).alias("value"))
 
 
+BROKEN = [
+    ('{"entry_type": @', "not JSON"),
+    ('{"offset": @}', "no entry type"),
+    ('{"entry_type": "ROWDATA", "offset": @}', "no event type"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "database": "app", "table": "users", "offset": @, "rows": "oops"}', "rows are no list of images"),
+    ('{"entry_type": "ROWDATA", "event_type": "DELETE", "database": "app", "table": "users", "offset": @, "rows": []}', "no rows"),
+    ('{"entry_type": "ROWDATA", "event_type": "UPDATE", "database": "app", "table": "users", "offset": @, "rows": [{"other": 1}]}', "a row without images"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "table": "users", "offset": @, "rows": [{"after": []}]}', "no database"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "database": "app", "offset": @, "rows": [{"after": []}]}', "no table"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "database": "app", "table": "users", "log_file": 99999, "offset": @, "rows": [{"after": []}]}', "out of range"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "database": "app", "table": "users", "offset": "x@", "rows": [{"after": []}]}', "a number is none"),
+    ('{"entry_type": "ROWDATA", "event_type": "INSERT", "database": "app", "table": "users", "rows": [{"before": [@]}]}', "no offset"),
+]
+
+
 def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that are cut off, have no entry type, or no event type."""
+    """Lines that are no entries, in turn of ``BROKEN``, with an event id for the ``@``."""
     e = table(spark, sf_dir, "events").where("event_id % 50 = 7")
-    i = F.col("event_id").cast("string")
-    text = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"entry_type": '), i))
-            .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"offset": '), i, F.lit("}")))
-            .otherwise(F.concat(F.lit('{"entry_type": "ROWDATA", "offset": '), i, F.lit("}"))))
-    return e.select(text.alias("value"))
+    form = F.element_at(F.array(*[F.lit(b) for b, _ in BROKEN]), F.expr(f"cast((event_id div 50) % {len(BROKEN)} + 1 as int)"))
+    return e.select(F.replace(form, F.lit("@"), F.col("event_id").cast("string")).alias("value"))
 
 
 def orders_ddl(spark: SparkSession, sf_dir: str, ddl: str, op: str = "ALTER") -> DataFrame:
@@ -377,3 +397,49 @@ def orders_after(spark: SparkSession, sf_dir: str, source: str = ORDERS_SOURCE,
 
     log = orders_changelog(spark, sf_dir).withColumn("before", keyed("before")).withColumn("after", keyed("after"))
     return log.withColumn("source_key", F.when(late, source).otherwise(F.col("source_key"))).withColumn("table", F.substring_index("source_key", ".", -1))
+
+
+# Key columns of each generation of a source of ``orders_keys_changelog``.
+GENERATION_KEYS = [["o_orderkey"], ["o_custkey"], ["o_custkey", "o_orderdate"], ["o_orderkey"]]
+
+
+def orders_keys_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders change log dealt to 20 sources ``shop.orders_00`` to ``_19`` by customer, with 50 key changes:
+    every source changes its key at a quarter and a half of the log, even ones at three quarters too.  Changes
+    after a key change carry its columns as key flags."""
+    source = F.concat(F.lit("shop.orders_"), F.lpad(F.pmod(F.col("o_custkey"), F.lit(20)).cast("string"), 2, "0"))
+    top = table(spark, sf_dir, "orders").select(F.max("o_orderkey")).scalar()
+    times = [(F.floor(top * i / 4) * 10 + 5).cast("long") for i in (1, 2, 3)]
+    log = orders_changelog(spark, sf_dir)
+    customer = F.filter(F.coalesce("after", "before"), lambda c: c["name"] == "o_custkey")[0]["value"]
+    log = log.withColumn("o_custkey", customer.cast("long")).withColumn("source_key", source)
+    even = F.pmod("o_custkey", F.lit(2)) == 0
+    generation = (F.col("seq") > times[0]).cast("int") + (F.col("seq") > times[1]).cast("int") + (even & (F.col("seq") > times[2])).cast("int")
+    keys = F.element_at(F.array(*[F.array(*map(F.lit, k)) for k in GENERATION_KEYS]), generation + 1)
+    flagged = {c: F.transform(c, lambda x: x.withField("is_key", F.array_contains("keys", x["name"]))) for c in ("before", "after")}
+    log = log.withColumn("keys", keys).withColumns(flagged).withColumn("table", F.substring_index("source_key", ".", -1))
+    events = spark.range(20).select(F.col("id").alias("o_custkey"), F.explode(F.array(*[F.struct(t.alias("seq"), F.lit(i + 1).alias("i")) for i, t in enumerate(times)])).alias("e"))
+    events = events.where("e.i < 3 or o_custkey % 2 = 0").withColumn("source_key", source)
+    named = F.element_at(F.array(*[F.lit(", ".join(k)) for k in GENERATION_KEYS]), F.col("e.i") + 1)
+    events = events.select(
+        "source_key", F.lit("shop").alias("database"), F.substring_index("source_key", ".", -1).alias("table"),
+        F.lit("1995-01-01").cast("timestamp_ntz").alias("exec_time"), F.lit("ALTER").alias("op"),
+        F.concat(F.lit("alter table "), F.substring_index("source_key", ".", -1), F.lit(" drop primary key, add primary key ("), named, F.lit(")")).alias("ddl"),
+        F.col("e.seq").alias("seq"), _empty().alias("before"), _empty().alias("after"))
+    return log.select(*CHANGELOG_COLUMNS).unionByName(events)
+
+
+def swapped_sources_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of even and odd customers as two sources whose names are swapped by one RENAME statement in the
+    middle of the log; one of the names had belonged to a table that was dropped before."""
+    at = orders_truncate_event(spark, sf_dir)
+    top = at.select(F.max("seq")).scalar()
+    customer = F.filter(F.coalesce("after", "before"), lambda c: c["name"] == "o_custkey")[0]["value"].cast("long")
+    log = orders_changelog(spark, sf_dir)
+    first = F.pmod(customer, F.lit(2)) == 0
+    late = F.col("seq") > top
+    name = F.when(first != late, "shop.even").otherwise("shop.odd")
+    log = log.withColumn("source_key", name).withColumn("table", F.substring_index("source_key", ".", -1))
+    event = at.withColumn("op", F.lit("RENAME")).withColumn("ddl", F.lit("rename table even to tmp, odd to even, tmp to odd")).withColumn("source_key", F.lit("shop.even"))
+    gone = at.withColumn("source_key", F.lit("shop.tmp")).withColumn("op", F.lit("ERASE")).withColumn("ddl", F.lit("drop table tmp")).withColumn("seq", F.col("seq") - 1)
+    return log.unionByName(event).unionByName(gone)

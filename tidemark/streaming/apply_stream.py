@@ -2,8 +2,9 @@
 
 ``readStream`` of change-log files -> ``foreachBatch(write_batch)``; the
 stream checkpoint replaces the reference's ack.  A replayed batch overwrites
-its own folder, and records are reduced when read, so delivery is effectively
-exactly-once.
+its own folders, and records are reduced when read, so delivery is effectively
+exactly-once.  With ``snapshots`` the batch whose changes open a time segment
+also writes the state as of that segment's start.
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ def run_apply_stream(spark: SparkSession, source_dir: str, state_root: str, chec
                      mapping_path: str | None = None, **apply_kw):
     """Start the apply stream; with ``available_now`` it processes what is
     there in micro-batches and stops.  With ``mapping_path`` only mapped
-    sources are applied, under their logical keys.  Returns the streaming query."""
+    sources are applied, under their logical keys.  ``apply_kw`` may name a
+    ``granularity`` of segments and a folder for ``snapshots`` (see
+    ``records.write_batch``).  Returns the streaming query."""
     run = run_of(checkpoint)
     start(spark, state_root, run)
     kw = {"keys_col": "keys", **apply_kw} if mapping_path is not None else apply_kw
@@ -61,6 +64,11 @@ def apply_stream_once(spark: SparkSession, source_dir: str, state_root: str, che
     return current_state(spark, state_root)
 
 
+def read_snapshots(spark: SparkSession, snapshots: str) -> DataFrame:
+    """All snapshots of a stream: ``(segment, source_key, row_key, cells, version)``."""
+    return spark.read.schema("source_key string, row_key string, cells map<string,string>, version long, segment string").parquet(snapshots)
+
+
 def states_by_destination(spark: SparkSession, state_root: str, mapping: DataFrame) -> DataFrame:
     """The stream's state with the destination that each source is mapped to."""
     return join_small(current_state(spark, state_root), mapping.select("source_key", "destination"), "source_key", "inner")

@@ -1,102 +1,120 @@
 """Insert-if-absent roll-ups maintained by a stream.
 
-Per micro-batch, before the batch is folded into the apply state:
-
-1. the batch's INSERTs that hit an absent row are found: a row is absent if
-   its previous event (inside the batch, in ``seq`` order) is a DELETE or an
-   UPDATE to another key, or its source was truncated or dropped since, or
-   there is none and the state has no live row for it (the state's newest
-   live/delete markers of the batch's keys stand in for the earlier events);
-2. their partial SUM / COUNT per group is written as a delta
-   ``<root>/run=<run>/batch=<id>``;
-3. the batch's records are then added to the apply records (``write_batch``).
-
-Both writes overwrite what a failed attempt left, and a replay looks only at
-the records of earlier batches, so it writes the same again.  The current
-roll-up is the sum of the deltas (sums and counts are associative).  Changes
-of one row key are expected in ``seq`` order across micro-batches, as a change
-stream delivers them.  A batch looks its own keys up in the records (semi-join);
-the scan of the records' keys and markers grows with them.
+Whether an INSERT hits an absent row depends on the row's previous event, which
+may be in any earlier micro-batch.  Spark's stateful operator keeps the last
+event of every row key (its ``seq`` and kind), so a micro-batch looks up its own
+keys only and reads no records of earlier batches:
+
+1. every event that touches a row key meets the key's last event, from the state
+   or from the same batch (in ``seq`` order); INSERTs come out with it;
+2. a row is absent if that event was a DELETE or an UPDATE to another key, or
+   its source was truncated or dropped since, or there was none and the row is
+   not among the ``loaded`` ones;
+3. the partial SUM / COUNT per group of the batch's absent inserts is written as
+   a delta ``<root>/delta/run=<run>/batch=<id>``, its truncations beside it.
+
+The state is the stream's own, in its checkpoint: a replay starts from the same
+version and overwrites the same folders.  The current roll-up is the sum of the
+deltas (sums and counts are associative).  Changes of one row key are expected in
+``seq`` order across micro-batches, as a change stream delivers them.  A hot
+row key's events of one batch meet in one task, as Arrow batches in turn.  At
+scale, set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import row_key_from_columns
-from tidemark.operators.ordered import previous_row
-from tidemark.operators.rollup import row_events, summable, wipe_times
-from tidemark.schema import CHANGELOG
-from tidemark.streaming.records import read_records, run_of, start, write_batch
-
-
-def absent_inserts_against_state(state: DataFrame, batch: DataFrame, fields: list[str]) -> DataFrame:
-    """Batch INSERTs that hit a row absent from the state's records and from earlier batch events."""
-    slim = row_events(batch, fields)
-    keys = slim.select("source_key", "row_key").distinct()
-    marks = state.where(F.col("tag").isin("live", "del")).join(keys, ["source_key", "row_key"], "left_semi")
-    last = marks.groupBy("source_key", "row_key").agg(F.max(F.struct("seq", "tag")).alias("m")).select(
-        "source_key", "row_key", F.col("m.seq").alias("seq"),
-        F.when(F.col("m.tag") == "live", F.lit("UPDATE")).otherwise(F.lit("DELETE")).alias("op"),
-        *[F.lit(None).cast("string").alias(f) for f in fields],
-    )
-    prev = previous_row(slim.unionByName(last.withColumn("_from_state", F.lit(True)), allowMissingColumns=True),
-                        ["source_key", "row_key"], "seq", ["op"])
-    hits = prev.where((F.col("op") == "INSERT") & F.col("_from_state").isNull())
-    wipes = wipe_times(batch).unionByName(state.where("tag = 'wipe'").groupBy("source_key").agg(F.collect_set("seq").alias("wipes")))
-    wipes = wipes.groupBy("source_key").agg(F.flatten(F.collect_list("wipes")).alias("wipes"))
+from tidemark.operators.joins import join_small
+from tidemark.operators.rollup import SUM_TYPE, row_events, summed
+from tidemark.schema import CHANGELOG, ROW_OPS, SOURCE_WIPE_OPS
+from tidemark.streaming.records import run_of
+
+
+_FIRST = -(2**63)  # stands for the place of an event that there was not
+
+
+def _meet_last(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """INSERTs of one row key with the event before them; the state keeps the newest event.
+
+    Plain lists: a key has few events in a batch, and most of a frame's cost is making it."""
+    rows, columns = [], []
+    for part in parts:
+        columns = list(part.columns)
+        rows += zip(*(part[c].tolist() for c in columns), strict=True)
+    seq, op = columns.index("seq"), columns.index("op")
+    rows.sort(key=lambda r: r[seq])
+    last = state.get if state.exists else (_FIRST, "")
+    out = []
+    for r in rows:
+        if r[op] == "INSERT":
+            out.append((*r, *last))
+        last = (int(r[seq]), r[op])
+    state.update(last)
+    if out:
+        yield pd.DataFrame(out, columns=[*columns, "prev_seq", "prev_op"])
+
+
+def inserts_with_last(changes: DataFrame, fields: list[str], keys_col: str | None = None) -> DataFrame:
+    """Of a stream of changes: its INSERTs ``(source_key, row_key, seq, op, *fields, prev_seq, prev_op)`` and,
+    as rows without a row key, its truncations."""
+    slim = row_events(changes.where(F.col("op").isin(*ROW_OPS)), fields, keys_col)
+    schema = ", ".join(["source_key string, row_key string, seq long, op string", *(f"`{f}` string" for f in fields), "prev_seq long, prev_op string"])
+    met = slim.groupBy("source_key", "row_key").applyInPandasWithState(_meet_last, schema, "seq long, op string", "append", "NoTimeout")
+    wipes = changes.where(F.col("op").isin(*SOURCE_WIPE_OPS)).select("source_key", F.lit(None).cast("string").alias("row_key"), "seq", "op")
+    return met.unionByName(wipes, allowMissingColumns=True)
+
+
+def absent(inserts: DataFrame, wipes: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+    """The INSERTs whose row was absent.  ``wipes``: ``(source_key, seq)``; ``loaded``: ``(source_key, row_key)``."""
+    times = wipes.groupBy("source_key").agg(F.sort_array(F.collect_set("seq")).alias("wipes"))
     since = F.get(F.filter("wipes", lambda w: (w < F.col("seq")) & (w > F.col("prev_seq"))), 0)
-    absent = F.col("prev_op").isNull() | (F.col("prev_op") == "DELETE") | since.isNotNull()
-    return hits.join(wipes, "source_key", "left").where(absent).select("source_key", "row_key", "seq", *fields)
-
-
-def fold_rollup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_root: str, rollup_root: str, run: str,
-                      groups: list[str], columns: list[str]) -> None:
-    """Roll-up delta of one micro-batch, then the batch into the apply records.
-
-    A replayed batch must not see its own records, so the roll-up looks only
-    at those of its run's earlier batches and of other runs.
-    """
-    earlier = read_records(spark, state_root).where(~_of_this_or_later(run, batch_id))
-    ins = absent_inserts_against_state(earlier, batch, list(dict.fromkeys([*groups, *columns])))
-    part = ins.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[F.sum(summable(ins, c)).cast("decimal(38,10)").alias(c) for c in columns])
-    part.write.mode("overwrite").parquet(f"{rollup_root}/run={run}/batch={batch_id}")
-    write_batch(batch, batch_id, state_root, run)
-
-
-def _of_this_or_later(run: str, batch_id: int) -> Column:
-    number = F.regexp_extract(F.input_file_name(), f"/run={run}/batch=(-?[0-9]+)/", 1)
-    return (number != "") & (number.try_cast("long") >= batch_id)
-
-
-def run_rollup_stream(spark: SparkSession, source_dir: str, state_root: str, rollup_root: str, checkpoint: str,
-                      groups: list[str], columns: list[str], max_files_per_trigger: int = 1):
-    """Start the stream (available-now trigger); returns the streaming query."""
-    run = run_of(checkpoint)
-    start_rollup(spark, state_root, rollup_root, run, groups, columns)
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_rollup_batch(batch.sparkSession, batch, batch_id, state_root, rollup_root, run, groups, columns)
+    known = F.lit(False)
+    if loaded is not None:
+        inserts = inserts.join(loaded.select("source_key", "row_key").distinct().withColumn("_known", F.lit(True)), ["source_key", "row_key"], "left")
+        known = F.coalesce("_known", F.lit(False))
+    gone = ((F.col("prev_op") == "") & ~known) | (F.col("prev_op") == "DELETE") | since.isNotNull()
+    return join_small(inserts, times, "source_key", "left").where(gone)
+
+
+def run_rollup_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str, groups: list[str], columns: list[str],
+                      max_files_per_trigger: int = 1, loaded: DataFrame | None = None, available_now: bool = True):
+    """Start the stream; returns the streaming query."""
+    run, wiped = run_of(checkpoint), "source_key string, seq long"
+    spark.createDataFrame([], _delta_schema(groups, columns)).write.mode("overwrite").parquet(f"{root}/delta/run={run}/batch=-1")
+    spark.createDataFrame([], wiped).write.mode("overwrite").parquet(f"{root}/wipes/run={run}/batch=-1")
+
+    def fold(rows: DataFrame, batch_id: int) -> None:
+        at = f"run={run}/batch={batch_id}"
+        rows = rows.persist()  # both writes read it; the state is updated once
+        try:
+            rows.where("row_key is null").select("source_key", "seq").coalesce(1).write.mode("overwrite").parquet(f"{root}/wipes/{at}")
+            wipes = rows.sparkSession.read.schema(wiped).option("recursiveFileLookup", "true").parquet(f"{root}/wipes")  # schema events
+            hits = absent(rows.where("row_key is not null"), wipes, loaded)
+            part = hits.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), *[summed(hits, c).alias(c) for c in columns])
+            part.write.mode("overwrite").parquet(f"{root}/delta/{at}")
+        finally:
+            rows.unpersist()
 
     src = spark.readStream.schema(CHANGELOG).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
-    return src.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    out = inserts_with_last(src, list(dict.fromkeys([*groups, *columns])))
+    w = out.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")).start()
 
 
 def _delta_schema(groups: list[str], columns: list[str]) -> str:
-    return ", ".join([*(f"{x} string" for x in sorted(groups, key=str.lower)), "count long", *(f"{c} decimal(38,10)" for c in columns)])
-
-
-def start_rollup(spark: SparkSession, state_root: str, rollup_root: str, run: str, groups: list[str], columns: list[str]) -> None:
-    """Make both roots readable before the first batch."""
-    start(spark, state_root, run)
-    spark.createDataFrame([], _delta_schema(groups, columns)).write.mode("overwrite").parquet(f"{rollup_root}/run={run}/batch=-1")
+    return ", ".join([*(f"{x} string" for x in groups), "count long", *(f"{c} {SUM_TYPE}" for c in columns)])
 
 
-def current_rollup(spark: SparkSession, rollup_root: str, groups: list[str], columns: list[str], dest: str,
+def current_rollup(spark: SparkSession, root: str, groups: list[str], columns: list[str], dest: str,
                    sum_suffix: str = "_accumulation") -> DataFrame:
     """Roll-up table: deltas added up, keyed like the batch roll-ups."""
     g = sorted(groups, key=str.lower)
-    deltas = spark.read.schema(_delta_schema(groups, columns)).option("recursiveFileLookup", "true").parquet(rollup_root)
+    deltas = spark.read.schema(_delta_schema(groups, columns)).option("recursiveFileLookup", "true").parquet(f"{root}/delta")
     agg = deltas.groupBy(*g).agg(F.sum("count").cast("long").alias("count"), *[F.sum(c).alias(c + sum_suffix) for c in columns])
     return agg.select(row_key_from_columns(g, F.lit(dest)).alias("row_key"), *g, "count", *[c + sum_suffix for c in columns])

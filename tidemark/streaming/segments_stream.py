@@ -53,6 +53,47 @@ def late_events(query) -> int:
     return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
 
 
+def barrier_counts(streams: list[DataFrame], lateness: str = "1 hour", granularity: str = DAILY) -> DataFrame:
+    """``(segment, n_inputs, n_events, elected)`` over several live inputs, emitted when the slowest input's
+    watermark passes the segment's end.
+
+    Each input has a watermark of its own; united, the smallest of them holds (Spark's default policy for several
+    watermarks, ``spark.sql.streaming.multipleWatermarkPolicy`` = min), so a segment is ready once every input
+    has moved on.  ``elected`` is the input whose first event in the segment comes first (ties: the smallest).
+    """
+    width = "1 day" if granularity == DAILY else "1 hour"
+    united = None
+    for i, stream in enumerate(streams):
+        one = stream.select(event_time("exec_time").alias("_event_time"), F.lit(i).alias("input")).withWatermark("_event_time", lateness)
+        united = one if united is None else united.unionByName(one)
+    agg = united.groupBy(F.window("_event_time", width).alias("win")).agg(
+        F.approx_count_distinct("input").alias("n_inputs"), F.count(F.lit(1)).alias("n_events"), F.min(F.struct("_event_time", "input"))["input"].alias("elected"))
+    start_ntz = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("win.start")), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return agg.select(segment_id(start_ntz, granularity).alias("segment"), "n_inputs", "n_events", "elected")
+
+
+_CLOSED = "segment string, n_inputs long, n_events long, elected int"
+
+
+def run_barrier(streams: list[DataFrame], path: str, checkpoint: str, lateness: str = "1 hour", granularity: str = DAILY, available_now: bool = True):
+    """Write the segments that each micro-batch closes to ``<path>/closed_in=<batch>``; a replay overwrites its own."""
+    spark = streams[0].sparkSession
+    if spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min") != "min":
+        raise ValueError("a barrier needs spark.sql.streaming.multipleWatermarkPolicy = min")
+    spark.createDataFrame([], _CLOSED).write.mode("overwrite").parquet(f"{path}/closed_in=-1")
+
+    def close(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/closed_in={batch_id}")
+
+    w = barrier_counts(streams, lateness, granularity).writeStream.outputMode("append").foreachBatch(close).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+def closed_segments(spark: SparkSession, path: str) -> DataFrame:
+    """Closed segments with the micro-batch that closed them."""
+    return spark.read.schema(f"{_CLOSED}, closed_in long").parquet(path)
+
+
 _INCREMENTS = "segment string, source_key string, row_key string, name string, seq long, value string"
 
 
