@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def start(spark: SparkSession, root: str, run: str) -> None:
     """Make the root readable before the first batch."""
     for part, schema in (("log", _LOGGED), ("base", RECORDS), ("opened", "segment string, based boolean")):
         folder = "/covered=none" if part == "base" else ""
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{part}/run={run}/batch=-1{folder}")
+        spark.range(0).selectExpr(*[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in schema.split(", ")]).write.mode("overwrite").parquet(f"{root}/{part}/run={run}/batch=-1{folder}")
 
 
 def reduce_by_epoch(records: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:
@@ -105,10 +106,6 @@ def write_batch(changes: DataFrame, batch_id: int, root: str, run: str, granular
     spark = changes.sparkSession
     at = f"run={run}/batch={batch_id}"
 
-    def note(rows: list[tuple[str, bool]]) -> None:
-        spark.createDataFrame(rows, "segment string, based boolean").coalesce(1).write.mode("overwrite").parquet(f"{root}/opened/{at}")
-
-    note([])  # what an earlier attempt noted is void
     batch_records(changes, granularity, **apply_kw).write.mode("overwrite").parquet(f"{root}/log/{at}")
     log = spark.read.schema(_LOGGED).parquet(f"{root}/log/{at}").where(F.col("segment") != NO_SEGMENT)
     here = {r["segment"] for r in log.select("segment").distinct().collect()}  # days or hours
@@ -127,7 +124,8 @@ def write_batch(changes: DataFrame, batch_id: int, root: str, run: str, granular
         if snapshots:
             _state(spark.read.schema(RECORDS).parquet(f"{root}/base/{at}/covered={s}"), **key).write.mode("overwrite").parquet(f"{snapshots}/segment={s}")
     if opened:
-        note([(s, s in based) for s in opened])
+        noted = pa.table({"segment": opened, "based": [s in based for s in opened]})
+        spark.createDataFrame(noted).coalesce(1).write.mode("overwrite").parquet(f"{root}/opened/{at}")
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
