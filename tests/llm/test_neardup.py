@@ -56,27 +56,72 @@ def test_sketches_estimate_high_similarities():
     assert max(close) <= N.most_different(80) < min(far)
 
 
-def blocks_of(rows):
-    """Rows (key, x, y, role, node, comp, set) as ``across`` gets them."""
+def block_of(rows):
+    """Rows (key, x, y, role, node, comp, set) as ``forests`` and ``across`` get them."""
     sets = [np.unique(np.array(r[6], np.uint64)) for r in rows]
     low = np.stack([N.samples(W.mix(s)) for s in sets])
     columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(6)]
-    return pa.record_batch([*columns, N._lists(N.odd_sketches(low)), N._lists(N.band_keys(low)), pa.array([s.view(np.int64) for s in sets])], names=["key", "x", "y", "role", "node", "comp", "sketch", "bands", "shingles"]), N.band_keys(low)
-
-
-def test_across_confirms_what_stars_left():
-    base = list(range(100))
-    sets = [base, [*base[:95], 900], [*base[:60], *range(500, 540)], [*base[:96], 901]]
-    for x, y, roles in ((0, 0, (0, 1, 1, 1)), (0, -1, (0, 0, 0, 0))):
-        _, bands = blocks_of([(0, x, y, roles[i], i, i, s) for i, s in enumerate(sets)])
-        found = set()
-        for b in range(N.BANDS):
-            for key in set(bands[:, b].tolist()):
-                rows = [(key, x, y, roles[i], i, [0, 1, 2, 1][i], s) for i, s in enumerate(sets) if bands[i, b] == key]
-                if any(r[3] == 0 for r in rows):
-                    (out,) = N.across(N.most_different(80), 80)(iter([blocks_of(rows)[0]]))
-                    found |= set(zip(*(c.to_pylist() for c in out.columns), strict=True))
-        assert found and {tuple(sorted((0 if p == 0 else 1 for p in f))) for f in found} == {(0, 1)} and all(2 not in f for f in found)
+    return pa.record_batch([*columns, N._lists(N.odd_sketches(low)), pa.array([s.view(np.int64) for s in sets])], names=["key", "x", "y", "role", "node", "comp", "sketch", "shingles"])
+
+
+BASE = list(range(100))
+SETS = [BASE, [*BASE[:95], 900], [*BASE[:60], *range(500, 540)], [*BASE[:96], 901]]
+
+
+@pytest.mark.parametrize(("x", "y", "roles"), [(0, 0, (0, 1, 1, 1)), (0, -1, (0, 0, 0, 0))])
+def test_across_confirms_what_stars_left(x, y, roles):
+    rows = [(7, x, y, roles[i], i, [0, 1, 2, 1][i], s) for i, s in enumerate(SETS)]
+    (out,) = N.across(N.most_different(80), 80)(iter([block_of(rows)]))
+    found = {tuple(sorted(p)) for p in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+    assert found and found <= {(0, 1), (0, 3)}
+
+
+def test_forests_span_what_passes():
+    r = np.random.default_rng(5)
+    sets = [[*range(g * 1000, g * 1000 + 90), *r.integers(10**6, 10**9, 4).tolist()] for g in range(5) for _ in range(8)]
+    rows = [(key, 0, -1, 0, i, i, s) for key in (1, 2) for i, s in enumerate(sets) if i % 2 == key - 1 or i % 8 < 2]
+    (out,) = N.forests(N.most_different(80))(iter([block_of(rows)]))
+    passed = {n for n in out.column("node").to_pylist() if n is not None}
+    tree = {(a, b) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True) if a is not None}
+    assert passed == set(range(40)) and len(tree) < len(rows)
+    zone = list(range(40))
+    for _ in range(40):
+        for a, b in tree:
+            zone[a] = zone[b] = min(zone[a], zone[b])
+    assert zone == [i // 8 * 8 for i in range(40)]
+
+
+def test_one_large_group_at_the_threshold(spark, monkeypatch):
+    """Copies that are about as similar as a link takes: some links, many refuted pairs, several blocks."""
+    monkeypatch.setattr(N, "BLOCK", 64)
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        ws = list(base)
+        for _ in range(r.randint(3, 5)):
+            ws[r.randrange(len(ws))] = f"n{r.randrange(10**6)}"
+        rows.append((i, " ".join(ws)))
+    got = N.near_duplicates(frame(spark, rows), words=1)
+    same(rows_of(got, "doc_id", "n_shingles", "component_id", "kept"), near_brute(rows, 1))
+    got = N.near_duplicates(frame(spark, rows), words=2)
+    same(rows_of(got, "doc_id", "n_shingles", "component_id", "kept"), near_brute(rows, 2))
+
+
+def test_sql_judges_rows_of_one_id_apart(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.queries import ORACLE
+
+    x, y = "one two three four five", "six seven eight nine ten"
+    rows = [(1, x), (5, x), (5, y), (9, y), (None, y)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    sql = con.execute(ORACLE["op9_minhash_near_dedup"]).fetchall()
+    got = rows_of(N.near_duplicates(frame(spark, rows), words=2), "doc_id", "n_shingles", "component_id", "kept")
+    same(got, near_brute(rows, 2))
+    same(got, sql)
 
 
 def test_blocks_bring_every_cross_pair_together_once(spark, monkeypatch):

@@ -10,8 +10,11 @@ component of links is one group.
    count of two sketches' XOR estimates the similarity; only pairs far below the threshold go.
 3. The others are confirmed on the full sets, recomputed from the whole texts.
 4. Confirmed links give components.  Where a bucket still holds several, its classes are compared across components
-   in blocks that carry the full sets: by sketch, and what passes on the sets.  So no pair of one bucket is left out
-   unless it is already joined by confirmed links, and only links leave a task, not a group's pairs.
+   in blocks that carry sketches alone.  A block gives the classes that pass with another component, and a spanning
+   forest of the components that pass with each other, no more than it has rows; joined, the forests are zones.
+5. Inside a zone the classes that passed are compared across components in blocks that carry the full sets, each class
+   once for every block of its zone and not for every bucket, and what passes by sketch is confirmed there.  So no
+   pair of one bucket is left out unless confirmed links join it already, and only links leave a task.
 
 A pair at the very threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, 5e-9; the sketch loses one
 with about 3e-7 (MARGIN is five standard deviations of the estimate).
@@ -39,7 +42,8 @@ BANDS, ROWS, BITS = 48, 5, 1024
 SAMPLES = BANDS * ROWS
 MARGIN = 0.13
 BLANKS = " \t\n\x0b\x0c\r"  #: a text of nothing else has no words
-BLOCK, BLOCK_ROWS = 512, 2000  #: classes of a block on either side, and about so many rows of blocks a task
+BLOCK = 512  #: classes of a block on either side
+SKETCH_ROWS, BLOCK_ROWS = 50_000, 2000  #: about so many rows of blocks a task, with sketches alone and with full sets
 _rng = np.random.default_rng(9)
 _XOR = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32)
 _MUL = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32) | np.uint32(1)
@@ -163,33 +167,81 @@ def sets_of(k: int):
     return run
 
 
-def across(limit: int, percent: int):
-    """Links between components in one block of one bucket: role 0 against role 1, or within itself if that lacks.
+def _dealt(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table | None, Iterator[tuple[np.ndarray, list[np.ndarray]]]]:
+    """The rows of a task, and for each block ``(key, x, y)`` its left rows and those that each is compared with:
+    role 0 against role 1, or within itself if that lacks."""
+    rows = [b for b in batches if b.num_rows]
+    if not rows:
+        return None, iter(())
+    t = pa.Table.from_batches(rows).combine_chunks()
+    key, x, y, role, node = (t.column(c).to_numpy() for c in ("key", "x", "y", "role", "node"))
+    order = np.lexsort((node, role, y, x, key))
+    edge = np.flatnonzero(np.r_[True, np.any([np.diff(c[order]) != 0 for c in (key, x, y)], axis=0), True])
+
+    def blocks() -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            left, right = order[a:b][role[order[a:b]] == 0], order[a:b][role[order[a:b]] == 1]
+            own = len(left) and y[left[0]] < 0 and -y[left[0]] - 1 == x[left[0]]
+            yield left, [left[i + 1 :] if own else right for i in range(len(left))]
+
+    return t, blocks()
 
-    A pair is compared in the first bucket that has both; one link to another component is enough.
-    """
+
+def _sketches(t: pa.Table) -> np.ndarray:
+    """As unsigned values: of a signed one, bitwise_count counts the bits of its magnitude."""
+    return t.column("sketch").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1).view(np.uint64)
+
+
+def forests(limit: int):
+    """Of each block: its classes that pass by sketch with one of another component (``node``, no ``a``), and a
+    spanning forest ``(a, b)`` of the components that pass with each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
+        t, blocks = _dealt(batches)
+        if t is None:
             return
-        t = pa.Table.from_batches(rows).combine_chunks()
-        key, x, y, role, node, comp = (t.column(c).to_numpy() for c in ("key", "x", "y", "role", "node", "comp"))
-        # as unsigned values: of a signed one, bitwise_count counts the bits of its magnitude
-        sketch, bands = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("sketch", "bands"))
-        sketch = sketch.view(np.uint64)
+        node, comp, sketch = t.column("node").to_numpy(), t.column("comp").to_numpy(), _sketches(t)
+        passed, tree = set(), set()
+        for left, partners in blocks:
+            label = {}
+
+            def top(c: int) -> int:
+                while label.get(c, c) != c:
+                    c = label[c]
+                return c
+
+            for me, near in zip(left, partners, strict=True):
+                near = near[comp[near] != comp[me]]
+                near = near[np.bitwise_count(sketch[near] ^ sketch[me]).sum(1) <= limit]
+                if len(near):
+                    passed.add(int(node[me]))
+                    passed.update(node[near].tolist())
+                    mine = int(comp[me])
+                    for c in np.unique(comp[near]).tolist():
+                        if top(c) != top(mine):
+                            label[top(c)] = top(mine)
+                            tree.add((mine, c))
+        none = [None] * len(passed)
+        yield pa.RecordBatch.from_arrays([pa.array([*passed, *[None] * len(tree)], pa.int64()), *[pa.array([*none, *[e[i] for e in tree]], pa.int64()) for i in range(2)]], names=["node", "a", "b"])
+
+    return run
+
+
+def across(limit: int, percent: int):
+    """Links between components in one block of one zone; one link to another component is enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, blocks = _dealt(batches)
+        if t is None:
+            return
+        node, comp, sketch = t.column("node").to_numpy(), t.column("comp").to_numpy(), _sketches(t)
         sets = t.column("shingles").combine_chunks()
         first, shingles = np.asarray(sets.offsets), sets.flatten().to_numpy().view(np.uint64)
-        order = np.lexsort((node, role, y, x, key))
-        edge = np.flatnonzero(np.r_[True, np.any([np.diff(c[order]) != 0 for c in (key, x, y)], axis=0), True])
         out = set()
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            left, right = order[a:b][role[order[a:b]] == 0], order[a:b][role[order[a:b]] == 1]
-            for i, me in enumerate(left):
-                near = right if y[me] >= 0 or -y[me] - 1 != x[me] else left[i + 1 :]
+        for left, partners in blocks:
+            for me, near in zip(left, partners, strict=True):
                 near = near[comp[near] != comp[me]]
                 near = near[np.bitwise_count(sketch[near] ^ sketch[me]).sum(1) <= limit]
-                near = near[bands[me, (bands[near] == bands[me]).argmax(1)] == key[me]]
                 own, joined = shingles[first[me] : first[me + 1]], set()
                 for j in near:
                     if comp[j] not in joined:
@@ -204,9 +256,9 @@ def across(limit: int, percent: int):
 
 
 def _blocks(mixed: DataFrame) -> DataFrame:
-    """The classes of buckets of several components, dealt to blocks ``(key, x, y)`` with their role.
+    """The classes of keys (buckets or zones) of several components, dealt to blocks ``(key, x, y)`` with their role.
 
-    Nothing is compared inside a bucket's largest component.  The other classes (block x) meet the largest
+    Nothing is compared inside a key's largest component.  The other classes (block x) meet the largest
     component's blocks (y from 0) and each other's (y below 0), so a row is sent once for each block of the others.
     """
     bucket = Window.partitionBy("key")
@@ -259,10 +311,15 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     mixed = cut(_blocks(mixed))
     n = mixed.count()
     if n:
-        need = mixed.select("node").distinct()
+        near = mixed.join(sketches.dropDuplicates(["node"]), "node").repartition(parts(spark, n, SKETCH_ROWS), "key", "x", "y")
+        near = cut(near.mapInArrow(forests(limit), "node long, a long, b long").distinct())
+        passed = near.where("node is not null").select("node").join(label, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+        zones = components(near.where("node is null"), "a", "b").select(F.col("node").alias("comp"), F.col("component").alias("key"))
+        inside = cut(_blocks(passed.join(zones, "comp").select("key", "node", "comp")))
+        need = inside.select("node").distinct()
         sets = need.join(classes, "node").join(texts, ["_id", "_fp"]).select("node", "_text").mapInArrow(sets_of(words), "node long, shingles array<long>")
-        described = need.join(one.select("node", "sketch", "bands").dropDuplicates(["node"]), "node").join(sets.dropDuplicates(["node"]), "node")
-        dealt = mixed.join(described, "node").repartition(parts(spark, n, BLOCK_ROWS), "key", "x", "y")
+        described = sketches.join(sets, "node").dropDuplicates(["node"])
+        dealt = inside.join(described, "node").repartition(parts(spark, inside.count(), BLOCK_ROWS), "key", "x", "y")
         more = cut(dealt.mapInArrow(across(limit, percent), "a long, b long").distinct())
         if not more.isEmpty():
             links = cut(links.union(more))

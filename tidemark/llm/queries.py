@@ -161,12 +161,12 @@ with recursive d as ({_TEXTS}),
 w as (select id, r, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from d),
 s as (select id, r, list_distinct(case when len(ws) > 1 then list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) else ws end) as s from w),
 p as (select id, r, len(s) as n, unnest(s) as x from s),
-e as (select a.id as a, b.id as b from p a join p b on a.x = b.x and a.r <> b.r and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
-  group by a.id, b.id, a.r, b.r, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-reach(id, x) as (select id, id from s union select reach.id, e.b from reach join e on reach.x = e.a),
-c as (select id, min(x) as c from reach group by id)
+e as (select a.r as a, b.r as b from p a join p b on a.x = b.x and a.r <> b.r and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
+  group by a.r, b.r, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(r, x) as (select r, r from s union select reach.r, e.b from reach join e on reach.x = e.a),
+c as (select reach.r, min(s.id) as c from reach join s on reach.x = s.r group by reach.r)
 select nullif(s.id, 9223372036854775807) as doc_id, len(s.s) as n_shingles, nullif(c.c, 9223372036854775807) as component_id, s.id = c.c as kept
-from s join c on s.id = c.id""",
+from s join c on s.r = c.r""",
     "op12_filter_interactions": f"""
 with d as ({_TEXTS}),
 s as (select r, coalesce(source, '') as part from (select source, row_number() over () as r from documents)),
