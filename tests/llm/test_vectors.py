@@ -96,3 +96,9 @@ def test_quantisation_bounds_hold():
     near = (qa.astype(int) @ qb.T.astype(int)) * sa[:, None] * sb
     error = na[:, None] * eb + ea[:, None] * (nb + eb)
     assert (np.abs(a @ b.T - near) <= error + 1e-12).all()
+
+
+def test_top_k_leaves_out_what_doubles_cannot_score(spark):
+    rows = some(n=60) + [(2000, [1e200] * 9), (2050, [-1e18] + [0.0] * 8), (2051, [1e5] * 9)]
+    got = listed(V.exact_top_k(frame(spark, rows)))
+    assert got == brute([r for r in rows if r[0] not in (2000, 2050)], 5, 50, whole, True)

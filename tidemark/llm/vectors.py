@@ -1,8 +1,8 @@
 """Vector search: exact top-k by ball trees (integer vectors) and nearest neighbours by a block matrix join.
 
-Both take stated queries against all rows, in blocks: queries in blocks of ``QUERY_BLOCK``, candidates in shards of
-``SHARD`` rows; a task sees one of each, so its memory does not grow with the table.  A query's results from all
-shards are merged by rank.
+Both take stated queries against all rows, candidates in shards of ``SHARD`` rows.  Exact top-k holds one shard's tree
+in a task and streams queries past it; the block join sees a shard and a block of ``QUERY_BLOCK`` queries at a time.
+So memory does not grow with the table.  A query's results from all shards are merged by rank.
 
 Defined cases: a vector that is null, empty, or holds a null or non-finite component takes no part, nor does a row
 with a null id (nearest neighbours: nor a zero vector); shorter vectors count as padded with zeros; rows that share
@@ -14,7 +14,7 @@ columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -129,15 +129,32 @@ class BallTree:
         return best
 
 
-def _tree_search(k: int) -> Callable:
-    def run(q: pa.Table, c: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
-        if q.num_rows and c.num_rows:
-            a, b = _same_width(_matrix(q.column("v")), _matrix(c.column("v")))
-            ids, tree = c.column("vec_id").to_numpy(), BallTree(b)
-            for own, x, least in zip(q.column("vec_id").to_pylist(), a, q.column("least").to_pylist(), strict=True):
-                found += [(own, -i, s) for s, i, _ in tree.search(x, own, ids, k, -np.inf if least is None else least)]
-        return pa.table([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
+def _search_shards(k: int) -> Callable:
+    """Rows sorted by shard and role: a shard's candidates (role 0) become one tree, which its queries search in turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, parts, tree, ids = None, [], None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at, role = b.column("shard").to_numpy(), b.column("role").to_numpy()
+            edge = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (role[1:] != role[:-1]), True])
+            found: list[tuple[int, int, int]] = []
+            for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                piece = pa.Table.from_batches([b.slice(i, j - i)])
+                if at[i] != shard:
+                    shard, parts, tree = at[i], [], None
+                if role[i] == 0:
+                    parts.append(piece)
+                    continue
+                if tree is None and parts:
+                    c = pa.concat_tables(parts)
+                    tree, ids, parts = BallTree(_matrix(c.column("v"))), c.column("vec_id").to_numpy(), []
+                if tree is not None:
+                    a, _ = _same_width(_matrix(piece.column("v")), tree.v[:0])
+                    for own, x, least in zip(piece.column("vec_id").to_pylist(), a[:, : tree.v.shape[1]], piece.column("least").to_pylist(), strict=True):
+                        found += [(own, -n, s) for s, n, _ in tree.search(x, own, ids, k, -np.inf if least is None else least)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in range(3)], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -145,22 +162,33 @@ def _tree_search(k: int) -> Callable:
 def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k largest inner products of floor(scale * x), ties to smaller ids.
 
-    Queries are the rows whose id is divisible by ``every``.  Each first searches one shard; its kth score there is
-    what the searches of all other shards begin with.  Components must stay below 2**53 / scale, where doubles hold
-    whole numbers exactly, and so must scores.
+    Queries are the rows whose id is divisible by ``every``.  In rounds a query searches one shard, then one more, two
+    more, four more and so on; all searches of a round begin with its kth score over the rounds before.  A round sends
+    every candidate once, builds every shard's tree once, and queries follow it in a stream.
+
+    Vectors of floor(scale * x) whose squared norm is 2**53 or more take no part: below it doubles hold every score
+    exactly.
     """
-    rows = clean(vectors, id_col, vector_col).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+    rows = clean(vectors, id_col, vector_col).withColumn("v", F.transform("v", lambda x: F.floor(F.greatest(F.least(x, F.lit(1e15)), F.lit(-1e15)) * scale).cast("double")))
+    rows = rows.where(F.aggregate("v", F.lit(0.0), lambda n, x: n + x * x) < 2.0**53)
+    shards = max(1, -(-rows.count() // SHARD))
+    c = cut(rows.withColumn("shard", _dealt(rows, shards)))
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    q, c, shards = _blocks(queries, rows, queries.count(), rows.count())
-    home = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)).cast("int")
-
-    def search(part: DataFrame) -> DataFrame:
-        return part.groupBy("block", "shard").cogroup(c.groupBy("block", "shard")).applyInArrow(_tree_search(k), FOUND.format("long"))
-
-    near = cut(_ranked(search(_to_shards(q, shards, F.col("shard") == home).withColumn("least", F.lit(None).cast("long"))), k))
-    kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
-    far = search(_to_shards(q.join(kth, "vec_id", "left"), shards, F.col("shard") != home))
-    return _ranked(near.drop("rank").union(far), k).select("query_id", "rank", "vec_id", "score")
+    q = cut(queries.withColumn("home", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)).cast("int")))
+    none = F.lit(None).cast("long").alias("least")
+    held = c.select("shard", F.lit(0).alias("role"), "vec_id", "v", none)
+    best, done = None, 0
+    while done < shards:
+        to = min(shards, max(1, 2 * done))
+        asked = q.withColumn("least", F.lit(None).cast("long"))
+        if best is not None:
+            asked = q.join(best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least")), "vec_id", "left")
+        asked = asked.withColumn("shard", F.explode(F.transform(F.sequence(F.lit(done), F.lit(to - 1)), lambda i: F.pmod(F.col("home") + i, F.lit(shards)))))
+        dealt = held.union(asked.select("shard", F.lit(1).alias("role"), "vec_id", "v", "least"))
+        found = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "role").mapInArrow(_search_shards(k), FOUND.format("long"))
+        best = cut(_ranked(found if best is None else best.drop("rank").union(found), k))
+        done = to
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 # ---- nearest neighbours by a block matrix join ---------------------------------------------------------------
