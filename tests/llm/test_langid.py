@@ -104,7 +104,11 @@ def test_every_byte_is_labelled_and_the_cache_changes_nothing(monkeypatch):
             assert np.allclose(labels.of(w), plain, atol=1e-4)
 
 
-def test_sample_is_bounded(spark):
-    rows = frame(spark, documents(3000)).withColumn("text", F.repeat("text", 100))
-    texts, langs = G.sample(rows, "doc_id", "text", "lang", 20, 50)
-    assert 60 <= len(texts) <= 120 and max(map(len, texts)) <= 50 and set(langs) == set(SYLLABLES)
+def test_sample_counts_the_words_of_whole_texts(spark):
+    rows = frame(spark, documents(3000)).withColumn("text", F.concat(F.repeat("text", 100), F.lit(" atthevery end")))
+    few = G.sample(rows, "doc_id", "text", "lang", 20, 50)[1]
+    assert set(few) == set(SYLLABLES) and max(few.count(x) for x in set(few)) == 50
+    words, langs, counts = G.sample(rows, "doc_id", "text", "lang", 20, 5000)
+    seen = {(x, w): n for w, x, n in zip(words, langs, counts, strict=True)}
+    n_docs = [seen[x, "end"] for x in set(langs)]  # once a document, at its very end
+    assert all(10 <= n <= 60 for n in n_docs) and max(counts) >= 100

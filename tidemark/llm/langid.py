@@ -2,9 +2,10 @@
 
 Two gated recurrent layers read the bytes of a word, one in each direction; both states together label every byte
 with a distribution over the languages.  A document's probabilities are the mean over all its labelled bytes.  The
-network is trained in numpy by backpropagation through time on a bounded sample (``per_lang`` documents a language,
-``sample_chars`` characters of each); prediction reads whole texts.  A word's labels depend on the word alone, so a
-worker labels each distinct word once and remembers up to ``CACHE_WORDS`` of them.
+network is trained in numpy by backpropagation through time on a bounded sample of rows (about ``per_lang`` documents
+a language, whole texts, which Spark reduces to counts of words, the ``SAMPLE_WORDS`` commonest of each language);
+prediction reads whole texts.  A word's labels depend on the word alone, so a worker labels each distinct word once
+and remembers up to ``CACHE_WORDS`` of them: the recurrence is over words, not over the running text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, and so is everything if no row has a
 language; words over ``SEGMENT`` bytes are read in segments; rows with a null id are in no fold; every row is
@@ -17,16 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.common import KEY, fp_of, key_of
+from tidemark.llm.common import KEY, fp_of, key_of, on_workers
 
 HIDDEN, SEGMENT = 16, 24
 STEPS, BATCH, RATE = 400, 384, 0.02
 CACHE_WORDS = 500_000
-PER_LANG, SAMPLE_CHARS = 400, 1500
+PER_LANG, SAMPLE_WORDS = 400, 50_000
 EDGE = 32  #: the blank read before and after a word
 
 
@@ -109,16 +110,18 @@ def matrix(w: W.Words, which: np.ndarray, length: int) -> np.ndarray:
     return x
 
 
-def train(texts: list[str], langs: list[str]) -> tuple[Network, list[str]]:
-    """A network and its languages, from labelled texts; the same for the same rows in the same order."""
+def train(words: list[str], langs: list[str], counts: list[int]) -> tuple[Network, list[str]]:
+    """A network and its languages, from words with their language and count; the same for the same rows in the same
+    order.  Every language is drawn equally often."""
     names = sorted(set(langs))
     net = Network(len(names))
-    w = segments(W.split(pa.array(texts, pa.large_string())))
-    lang = np.array([names.index(x) for x in langs])[w.doc]
+    w = segments(W.split(pa.array(words, pa.large_string())))
+    lang = np.array([names.index(x) for x in langs], int)[w.doc]
     if not len(lang):
         return net, names
-    rarity = (1 / np.bincount(lang, minlength=len(names)).clip(1))[lang]
-    chance = rarity / rarity.sum()
+    n_seen = np.array(counts, float)[w.doc]
+    chance = n_seen / np.bincount(lang, n_seen, minlength=len(names))[lang]
+    chance /= chance.sum()
     by_length = [np.flatnonzero(w.end - w.start == n) for n in range(1, SEGMENT + 1)]
     share = np.array([chance[i].sum() for i in by_length])
     r, m, v = np.random.default_rng(33), {}, {}
@@ -194,33 +197,37 @@ def fold(id_col: str, modulus: int):
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, sample_chars: int) -> tuple[list[str], list[str]]:
-    """Texts and languages of at most ``2 * per_lang`` documents a language, ``sample_chars`` characters of each from
-    anywhere in the text, chosen by a hash of the id."""
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, sample_words: int) -> tuple[list[str], list[str], list[int]]:
+    """Words, their languages and counts, of the whole texts of about ``1.5 * per_lang`` documents a language, chosen
+    by a hash of the id; a language without words has one empty word."""
     lang, text = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")
     have = docs.where(lang.isNotNull() & text.isNotNull() & (fold(id_col, 4) != 2))
     counts = {r[0]: r[1] for r in have.groupBy(lang.alias("l")).count().collect()}  # one row a language
     if not counts:
-        return [], []
+        return [], [], []
     chance = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * per_lang / n))])
     order = F.xxhash64(F.lit(3), F.col(f"`{id_col}`"))
     chosen = have.where(F.pmod(order, F.lit(1_000_003)) / 1_000_003 < chance[lang])
-    spot = (F.pmod(F.xxhash64(F.lit(4), F.col(f"`{id_col}`")), F.greatest(F.char_length(text) - sample_chars, F.lit(0)) + 1) + 1).cast("int")
-    rows = chosen.select(order.alias("o"), lang.alias("l"), F.substr(text, spot, F.lit(sample_chars)).alias("t")).orderBy("o", "l", "t").limit(2 * per_lang * len(counts)).collect()
-    return [r.t for r in rows], [r.l for r in rows]
+    words = chosen.select(lang.alias("l"), F.explode(F.split(text, r"[\x20\x09-\x0D]+")).alias("w")).where("w <> ''").groupBy("l", "w").count()
+    best = Window.partitionBy("l").orderBy(F.desc("count"), "w")
+    rows = words.withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample_words).orderBy("l", "k").toArrow()
+    cells = [rows.column(c).to_pylist() for c in ("w", "l", "count")]
+    without = sorted(set(counts) - set(cells[1]))
+    return cells[0] + [""] * len(without), cells[1] + without, cells[2] + [1] * len(without)
 
 
-def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, sample_chars: int = SAMPLE_CHARS, carry: bool = False) -> DataFrame:
+def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, sample_words: int = SAMPLE_WORDS, carry: bool = False) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row.
 
     Only rows with a language whose crc32(id as text) mod 4 is not 2 are learned from; ``held_out`` marks that
     remainder.  With ``carry`` the row's ``KEY`` and ``n_langs``, the number of learned languages, come along.
     """
-    texts, langs = sample(docs, id_col, text_col, lang_col, per_lang, sample_chars)
+    on_workers(docs.sparkSession)
+    learned, langs, counts = sample(docs, id_col, text_col, lang_col, per_lang, sample_words)
     text, key = F.col(f"`{text_col}`").cast("string"), KEY * carry
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_row_id"), text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letter"), *[x.alias(k) for x, k in zip((key_of(id_col), fp_of(text)), key)])
-    if texts:
-        net, names = train(texts, langs)
+    if learned:
+        net, names = train(learned, langs, counts)
         stamp = hash(tuple(float(x.sum()) for x in net.p.values()))
         out = rows.mapInArrow(predict(net, names, stamp), ", ".join(["doc_id long, lang_pred string, score double, letter boolean", *[f"{k} long" for k in key]]))
     else:
