@@ -91,15 +91,17 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         F.struct(
             "_turn",
             "_role",
-            F.concat("_head", F.expr("array_join(transform(_seen, x -> x.out), '')"), F.lit(END)).alias("out"),
+            F.concat("_head", F.expr("array_join(transform(_seen, x -> x.out), '')")).alias("out"),
             F.when(F.col("_role") == learn, F.expr("transform(filter(_placed, p -> p.part.is_text), p -> struct(p.start as start, char_length(p.part.out) as length))")).alias("loss"),
             F.expr("transform(filter(_placed, p -> not p.part.is_text), p -> struct(p.start as start, p.part.kind as kind, p.part.ref as ref, p.part.tokens as tokens))").alias("media"),
         ).alias("t"),
     )
-    c = t.groupBy("_conv").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    # by turn and role, then by the content as it was before escaping
+    keyed = F.transform(F.collect_list("t"), lambda x: F.struct(x["_turn"].alias("turn"), x["_role"].alias("role"), unescape(x["out"]).alias("raw"), x.alias("t")))
+    c = t.groupBy("_conv").agg(F.transform(F.sort_array(keyed), lambda x: x["t"]).alias("ts"))
     return c.select(
         F.col("_conv").alias("conv_id"),
-        F.expr("array_join(transform(ts, t -> t.out), '')").alias("formatted"),
+        F.array_join(F.transform("ts", lambda x: F.concat(x["out"], F.lit(END))), "").alias("formatted"),
         F.expr("flatten(transform(ts, (t, k) -> transform(coalesce(t.loss, array()), s -> struct(k as turn, s.start as start, s.length as length))))").alias("loss"),
         F.expr("flatten(transform(ts, (t, k) -> transform(t.media, m -> struct(k as turn, m.start as start, m.kind as kind, m.ref as ref, m.tokens as tokens))))").alias("attachments"),
         F.expr("aggregate(flatten(transform(ts, t -> t.media)), 0L, (n, m) -> n + m.tokens)").alias("expanded_tokens"),
