@@ -85,3 +85,34 @@ def test_scores_do_not_depend_on_neighbours():
     weight = dict(zip(slots.tolist(), weights.tolist(), strict=True))
     plain = [0.1 + sum(weight.get(int(s), 0) for s in X.text_slots(t or "")) for t in texts]
     assert scored(texts) == pytest.approx([1 / (1 + np.exp(-x)) for x in plain], abs=1e-9)
+
+
+def test_long_documents_are_learned_whole(spark):
+    """Toxic words far behind the beginning of long texts are learned, and clean long texts stay clean."""
+    r = random.Random(6)
+    docs, labels = [], []
+    for i in range(160):
+        ws = r.choices(WORDS, k=9000)  # over 40 000 characters
+        if i % 2:
+            ws[8500:8500] = [r.choice(BAD) for _ in range(3)]
+        docs.append((i, " ".join(ws)))
+        labels.append((i, 1, i % 2, ""))
+    out = [x for x in run(spark, docs, labels) if x.held_out]
+    assert len(out) > 15 and all(x.predicted == x.doc_id % 2 for x in out)
+
+
+def test_weights_against_a_plain_fit():
+    """Log-count ratios and the gradient at the fitted point, from the definitions."""
+    r = np.random.default_rng(2)
+    toxic = [int(i % 3 == 0) for i in range(90)]
+    present = [np.flatnonzero(r.random(12) < np.where(np.arange(12) < 4, 0.2 + 0.5 * y, 0.4)) for y in toxic]
+    counts = np.array([[sum(s in p for p, y in zip(present, toxic, strict=True) if y == c) for s in range(12)] for c in (0, 1)], float)
+    size = np.array([60.0, 30.0])
+    slots, weights, bias = X.train(present, toxic, 1 / 3, np.arange(12), counts)
+    ratio = [np.log((counts[1][s] + 1) / 32 / ((counts[0][s] + 1) / 62)) for s in range(12)]
+    w = weights / ratio
+    p = [1 / (1 + np.exp(-(bias + sum(weights[s] for s in d)))) for d in present]
+    error = [(q - y) * (1 / 3 / 30 if y else 2 / 3 / 60) for q, y in zip(p, toxic, strict=True)]
+    slope = [sum(e * ratio[s] for e, d in zip(error, present, strict=True) if s in d) + X.RIDGE * w[s] for s in range(12)]
+    assert abs(sum(error)) < 2e-3 and np.abs(slope).max() < 2e-3
+    assert set(X.choose(np.tile(counts, 1), size)) == set(range(12))
