@@ -86,30 +86,6 @@ def test_stream_routes_through_mapping_reread_per_batch(spark):
     assert all(k[0] == "db.t" for k in got)
 
 
-def test_forward_stream_writes_every_forwarded_change(spark):
-    from pyspark.sql import functions as F
-
-    from tidemark.streaming.apply_stream import change_stream
-    from tidemark.streaming.forward import forward_json, write_forward_stream
-
-    rows = random_log(200, 10, 17, sources=("db.t", "db.u"))
-    for i, r in enumerate(rows):
-        r["exec_time"] = __import__("datetime").datetime(2024, 1, 1) + __import__("datetime").timedelta(minutes=i)
-    df = to_df(spark, rows)
-    run = scratch_path(spark, f"t-fwd-{uuid.uuid4().hex}")
-    df.repartition(3).write.parquet(f"{run}/in")
-    mapping = spark.createDataFrame([("db.t", "dest_t", None)], "source_key string, destination string, keys array<string>") \
-        .withColumn("registered_at", F.lit("2024-01-01 01:00:00").cast("timestamp_ntz"))
-    q = write_forward_stream(change_stream(spark, f"{run}/in", max_files_per_trigger=1), mapping, "2030-01-01 00:00:00", "inst", f"{run}/out", f"{run}/ckpt")
-    q.awaitTermination()
-    out = spark.read.json(f"{run}/out")
-    expected = forward_json(df, mapping, "2030-01-01 00:00:00", "inst")
-    assert out.count() == expected.count() > 0
-    got = out.select(F.from_json("value", "seq long, op string").alias("v")).select("v.seq", "v.op")
-    assert sorted(map(tuple, got.collect())) == sorted((r.seq, r.op) for r in df.join(expected.select("seq"), "seq").collect())
-    assert {r.topic for r in out.select("topic").distinct().collect()} == {"inst"}
-
-
 def test_watermark_closes_segments_and_drops_late_events(spark):
     import datetime
 

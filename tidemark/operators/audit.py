@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cells import image_to_map
 from tidemark.operators import apply as A
+from tidemark.operators.joins import join_small
 from tidemark.schema import IGNORED_OPS, IMAGE, ROW_OPS, SCHEMA_OPS
 
 def column_audit(changes: DataFrame) -> DataFrame:
@@ -41,35 +42,49 @@ def written_cells(changes: DataFrame, clean: bool = True) -> DataFrame:
     return iu.select("source_key", "seq", F.explode(m).alias("name", "value"))
 
 
-def top_by_seq(df: DataFrame, group: list[str], n: int, salts: int = 16) -> DataFrame:
+def top_by_seq(df: DataFrame, group: list[str], n: int) -> DataFrame:
     """The ``n`` newest rows (by ``seq``) per group, ranked 1..n as ``version``.
 
-    Salted two-stage ranking: first within ``(group, salt)``, then over the
-    at most ``salts * n`` candidates of a group, so a hot group is spread
-    over ``salts`` tasks.
+    Spark keeps at most ``n`` rows of a group in every task before the shuffle
+    (its window group limit), so no task holds a hot group's history.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(salts)))
-    w1 = Window.partitionBy(*group, "_salt").orderBy(F.col("seq").desc())
-    cand = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n).drop("_r", "_salt")
-    w2 = Window.partitionBy(*group).orderBy(F.col("seq").desc())
-    return cand.withColumn("version", F.row_number().over(w2).cast("long")).where(F.col("version") <= n)
+    newest = Window.partitionBy(*group).orderBy(F.col("seq").desc())
+    return df.withColumn("version", F.row_number().over(newest).cast("long")).where(F.col("version") <= n)
 
 
-def cell_versions(changes: DataFrame, n: int = 1, keys_col: str | None = None) -> DataFrame:
-    """The last ``n`` versions of every cell of every live row, newest = 1;
-    versions older than the row's newest delete are gone with the row.
+_VERSIONED = [*A.STATE_KEY, "tag", "name", "seq", "value"]
 
-    Cells are ranked first; a delete cuts a cell's versions off from below, so
-    only the at most ``n`` newest of each cell meet their row's markers."""
-    contrib = A.contributions(A.with_row_keys(changes, keys_col))
+
+def version_records(contrib: DataFrame, n: int) -> DataFrame:
+    """What the last ``n`` versions need of contributions: each cell's ``n`` newest, each row's newest markers and
+    each source's newest truncation.  Of a union of such records these records again, in any order and with replays."""
+    cells = top_by_seq(contrib.where("tag = 'cell'").select(*_VERSIONED).distinct(), [*A.STATE_KEY, "name"], n).select(*_VERSIONED)
+    marks = contrib.where("tag <> 'cell'").groupBy(*A.STATE_KEY, "tag").agg(F.max("seq").alias("seq"))
+    return cells.unionByName(marks.select(*A.STATE_KEY, "tag", F.lit(None).cast("string").alias("name"), "seq", F.lit(None).cast("string").alias("value")))
+
+
+def versions_of(records: DataFrame, n: int, wipes: DataFrame | None = None) -> DataFrame:
+    """The last ``n`` versions of every cell of every live row from ``version_records``; ``wipes``: as for ``materialize``."""
+    low = F.lit(-(2**63))
     rows = (
-        contrib.where(F.col("tag").isin("del", "live"))
+        records.where(F.col("tag").isin("del", "live"))
         .groupBy(*A.STATE_KEY)
         .agg(F.max(F.when(F.col("tag") == "del", F.col("seq"))).alias("del_seq"), F.max(F.when(F.col("tag") == "live", F.col("seq"))).alias("live_seq"))
-        .where(F.col("live_seq") > F.coalesce("del_seq", F.lit(-(2**63))))
     )
-    newest = top_by_seq(contrib.where(F.col("tag") == "cell").select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_KEY, "name"], n)
-    return newest.join(rows, A.STATE_KEY).where(F.col("seq") > F.coalesce("del_seq", F.lit(-(2**63)))).drop("del_seq", "live_seq")
+    rows = join_small(rows, A.wipes_of(records) if wipes is None else wipes, "source_key", "left").withColumn("floor", F.greatest(F.coalesce("del_seq", low), F.coalesce("wipe_seq", low)))
+    rows = rows.where(F.col("live_seq") > F.col("floor")).select(*A.STATE_KEY, "floor")
+    newest = top_by_seq(records.where("tag = 'cell'").select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_KEY, "name"], n)
+    return newest.join(rows, A.STATE_KEY).where(F.col("seq") > F.col("floor")).drop("floor")
+
+
+def cell_versions(changes: DataFrame, n: int = 1, keys_col: str | None = None) -> DataFrame:
+    """The last ``n`` versions of every cell of every live row, newest = 1;
+    versions older than the row's newest delete, or its source's newest
+    truncation, are gone with the row.
+
+    Cells are ranked first; a delete cuts a cell's versions off from below, so
+    only the at most ``n`` newest of each cell meet their row's markers."""
+    return versions_of(A.contributions(A.with_row_keys(changes, keys_col)), n, A.source_wipes(changes))
 
 
 def op_class(op: Column) -> Column:

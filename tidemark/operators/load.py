@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import DEFAULT_CONNECTOR, row_key_from_columns
@@ -112,11 +112,54 @@ def load_plan(wanted: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def range_layout(state: DataFrame, regions: int) -> DataFrame:
-    """Lay rows out in ``regions`` contiguous row-key ranges (sampled bounds,
-    like pre-split regions) and report each range's bounds and size."""
-    r = state.repartitionByRange(regions, "row_key").withColumn("region", F.spark_partition_id())
-    return r.groupBy("region").agg(F.min("row_key").alias("start_key"), F.max("row_key").alias("end_key"), F.count(F.lit(1)).alias("n_rows"))
+def write_ranges(state: DataFrame, path: str, regions: int, key: str = "row_key") -> None:
+    """Lay rows out in at most ``regions`` contiguous key ranges (sampled bounds, like
+    pre-split regions): each range is one folder ``rows/region=<n>`` whose file is
+    sorted by key, and the split points are stored as ``splits``."""
+    r = state.repartitionByRange(regions, key).withColumn("region", F.spark_partition_id())
+    r.sortWithinPartitions("region", key).write.mode("overwrite").partitionBy("region").parquet(f"{path}/rows")
+    rows = state.sparkSession.read.parquet(f"{path}/rows")
+    splits = rows.groupBy("region").agg(F.min(key).alias("start_key"), F.max(key).alias("end_key"), F.count(F.lit(1)).alias("n_rows"))
+    splits.coalesce(1).write.mode("overwrite").parquet(f"{path}/splits")
+
+
+def read_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a range layout with their ``region``."""
+    return spark.read.parquet(f"{path}/rows")
+
+
+def range_splits(spark: SparkSession, path: str) -> DataFrame:
+    """``(region, start_key, end_key, n_rows)`` as stored with the rows."""
+    return spark.read.parquet(f"{path}/splits")
+
+
+def look_up(spark: SparkSession, path: str, value: str, key: str = "row_key") -> DataFrame:
+    """The rows of one key: the split points tell the one region whose folder is opened, and the
+    key's equality, pushed to its sorted file, the row groups."""
+    hits = range_splits(spark, path).where(F.lit(value).between(F.col("start_key"), F.col("end_key"))).select("region").collect()  # one, or none
+    return read_ranges(spark, path).where(F.col("region").isin([r["region"] for r in hits]) & (F.col(key) == F.lit(value)))
+
+
+def page_predicates(df: DataFrame, column: str, pages: int) -> list[str]:
+    """One range predicate a page over a numeric column, with about equally many rows in each however the
+    values are spread; null keys are a page of their own.  ``spark.read.jdbc(predicates=...)`` takes them as they are."""
+    at = df.approxQuantile(column, [i / pages for i in range(1, pages)], 1 / (8 * pages)) if pages > 1 else []
+    whole = df.schema[column].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    cuts = sorted({int(x) if whole else x for x in at})
+    if not cuts:
+        return [f"`{column}` IS NOT NULL", f"`{column}` IS NULL"]
+    inner = [f"`{column}` >= {a} AND `{column}` < {b}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [f"`{column}` < {cuts[0]}", *inner, f"`{column}` >= {cuts[-1]}", f"`{column}` IS NULL"]
+
+
+def read_pages(df: DataFrame, column: str, pages: int) -> DataFrame:
+    """Every row of a stored table with its ``page``, page by page: each is a scan of its own with its bounds
+    pushed down, so pages are read apart and row groups outside them are skipped."""
+    parts = [df.where(F.expr(p)).withColumn("page", F.lit(i)) for i, p in enumerate(page_predicates(df, column, pages))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
 
 
 def source_listing(changes: DataFrame) -> DataFrame:

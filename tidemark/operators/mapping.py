@@ -41,6 +41,53 @@ def mapping_state(mapping_log: DataFrame, destinations: DataFrame | None = None)
     return live
 
 
+def mapping_history(mapping_log: DataFrame) -> DataFrame:
+    """``(source_key, at, seq, destination, keys)``: what each source is mapped to from a time on, null where it is
+    not mapped any more.  ``mapping_log``: as for ``mapping_state``; its events hold in order of ``(at, seq)``.
+
+    Sources that no rename names need no fold; the events of the others are folded with what they close and open.
+    """
+    renames = mapping_log.where(F.col("op") == "rename")
+    named = renames.select(F.explode(F.array("source_key", "new_source_key")).alias("source_key")).distinct()
+    added = F.col("op") == "add"
+    plain = mapping_log.join(named, "source_key", "left_anti").where("op <> 'rename'").select(
+        "source_key", "at", "seq", F.when(added, F.col("destination")).alias("destination"), F.when(added, F.col("keys")).alias("keys"))
+    events = mapping_log.join(named, "source_key", "left_semi").agg(
+        F.sort_array(F.collect_list(F.struct("at", "seq", "op", "source_key", "new_source_key", "destination", "keys"))).alias("events"))
+    time = mapping_log.schema["at"].dataType.simpleString()
+    entry = f"struct<source_key:string,at:{time},seq:bigint,destination:string,keys:array<string>>"
+    live = "map<string,struct<destination:string,keys:array<string>>>"
+
+    def opened(source: str, destination: str, keys: str) -> str:
+        return f"named_struct('source_key', {source}, 'at', e.at, 'seq', e.seq, 'destination', {destination}, 'keys', {keys})"
+
+    without = "map_filter(acc.m, (k, v) -> k <> e.source_key"
+    gone = opened("e.source_key", "cast(null as string)", "cast(null as array<string>)")
+    fold = f"""aggregate(events, named_struct('m', cast(map() as {live}), 'h', cast(array() as array<{entry}>)), (acc, e) -> case
+        when e.op = 'add' then named_struct('m', map_concat({without}), map(e.source_key, named_struct('destination', e.destination, 'keys', e.keys))),
+            'h', concat(acc.h, array({opened("e.source_key", "e.destination", "e.keys")})))
+        when e.op = 'remove' then named_struct('m', {without}), 'h', concat(acc.h, array({gone})))
+        when map_contains_key(acc.m, e.source_key) then named_struct(
+            'm', map_concat({without} and k <> e.new_source_key), map(e.new_source_key, acc.m[e.source_key])),
+            'h', concat(acc.h, array({gone}, {opened("e.new_source_key", "acc.m[e.source_key].destination", "acc.m[e.source_key].keys")})))
+        else acc end).h"""
+    moved = events.select(F.explode(F.expr(fold)).alias("x")).select("x.*")
+    return plain.unionByName(moved)
+
+
+def route_as_of(changes: DataFrame, history: DataFrame) -> DataFrame:
+    """Changes with the ``destination`` and ``keys`` that their source was mapped to at their ``exec_time``; those
+    of a source not mapped then are dropped.
+
+    A source's entries travel as one sorted array in a broadcast look-up, so the changes, a hot source's among
+    them, stay where they are.  Entries of one time hold in order of ``seq``, from that time on.
+    """
+    per = history.groupBy("source_key").agg(F.sort_array(F.collect_list(F.struct("at", "seq", "destination", "keys"))).alias("_entries"))
+    last = F.element_at(F.filter("_entries", lambda e: e["at"] <= F.col("exec_time")), -1)
+    known = join_small(changes, per, "source_key", "inner").where(F.exists("_entries", lambda e: e["at"] <= F.col("exec_time")))
+    return known.withColumn("_entry", last).select(*changes.columns, "_entry.destination", "_entry.keys").where("destination is not null")
+
+
 def route_changes(changes: DataFrame, mapping: DataFrame) -> DataFrame:
     """Changes of mapped sources with their destination; unmapped are dropped."""
     return join_small(changes, mapping.select("source_key", "destination", "keys"), "source_key", "inner")

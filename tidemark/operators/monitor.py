@@ -56,6 +56,16 @@ def batch_metrics(spark: SparkSession, changes: DataFrame, interval_seconds: int
     )
 
 
+def metrics_of_batches(rows: DataFrame, block_size: int = DAY_OF_MINUTES) -> DataFrame:
+    """The metrics frame from rows ``(batch_id, batch_end, n_rows, last_ts)`` that a running stream wrote, one a
+    micro-batch (``streaming.metrics``)."""
+    g = rows.select("batch_id", F.lit(None).cast("timestamp_ntz").alias("batch_start"), "batch_end", "n_rows", "last_ts",
+                    F.when(F.col("n_rows") > 0, F.col("batch_id")).alias("busy_id"))
+    r = running_max(g, "batch_id", ["last_ts", "busy_id"], block_size)
+    return r.select("batch_id", "batch_start", "batch_end", "n_rows", "last_ts",
+                    F.col("run_last_ts").alias("last_exec_time"), F.col("run_busy_id").alias("last_busy"))
+
+
 def with_sleeping(metrics: DataFrame, idle_threshold: int) -> DataFrame:
     """Add ``idle_pos`` (position inside the current run of empty batches) and
     ``sleeping_batches``: the idle counter after the batch; it counts empty

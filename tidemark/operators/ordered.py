@@ -4,7 +4,8 @@
 one task; a single source (or row key) may hold a third of a change log.
 ``previous_row`` cuts the order column into quantile blocks first:
 
-1. block bounds = approximate quantiles of ``s`` (a bounded list of numbers);
+1. block bounds = approximate quantiles of ``s``, one for so many rows a task
+   (``ROWS_PER_BLOCK``), so blocks follow the data and not a constant;
 2. ``lag`` inside ``(g, block)``: no group is larger than one block;
 3. the last row of every ``(g, block)`` (a map-side combined aggregate) is
    looked up for the first row of the next non-empty block of ``g``.
@@ -12,13 +13,22 @@ one task; a single source (or row key) may hold a third of a change log.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCKS = 256
+ROWS_PER_BLOCK = 500_000
+TREE_BOUNDS = 256  # up to so many bounds are compared in generated code, beyond them by Spark's Bucketizer
+
+
+def blocks_for(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    return max(1, -(-df.count() // rows_per_block))
 
 
 def _block_bounds(df: DataFrame, order: str, blocks: int) -> list[float]:
+    if blocks < 2:
+        return []
     probs = [i / blocks for i in range(1, blocks)]
     qs = df.select(F.col(order).cast("double").alias("o")).approxQuantile("o", probs, 1.0 / (4 * blocks))
     return sorted({q for q in qs if q is not None})
@@ -32,12 +42,18 @@ def _block_of(value: Column, bounds: list[float], first: int = 0) -> Column:
     return F.when(value < bounds[mid], _block_of(value, bounds[:mid], first)).otherwise(_block_of(value, bounds[mid + 1 :], first + mid + 1))
 
 
-def with_block(df: DataFrame, order: str, blocks: int = DEFAULT_BLOCKS) -> DataFrame:
-    """Add ``_blk``: index of the quantile block of ``order``."""
-    return df.withColumn("_blk", _block_of(F.col(order).cast("double"), _block_bounds(df, order, blocks)))
+def with_block(df: DataFrame, order: str, blocks: int | None = None) -> DataFrame:
+    """Add ``_blk``: index of the quantile block of ``order``; ``blocks`` defaults to one for ``ROWS_PER_BLOCK`` rows."""
+    bounds = _block_bounds(df, order, blocks_for(df) if blocks is None else blocks)
+    if len(bounds) <= TREE_BOUNDS:
+        return df.withColumn("_blk", _block_of(F.col(order).cast("double"), bounds))
+    from pyspark.ml.feature import Bucketizer
+
+    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_order", outputCol="_at", handleInvalid="keep")
+    return cut.transform(df.withColumn("_order", F.col(order).cast("double"))).withColumn("_blk", F.col("_at").cast("int")).drop("_order", "_at")
 
 
-def previous_row(df: DataFrame, by: list[str], order: str, cols: list[str], prefix: str = "prev_", blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def previous_row(df: DataFrame, by: list[str], order: str, cols: list[str], prefix: str = "prev_", blocks: int | None = None) -> DataFrame:
     """Add ``prefix+c`` for ``c`` in ``[order, *cols]``: values of the previous
     row of the same ``by`` group in ``order`` (null for the first row).
 

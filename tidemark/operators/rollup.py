@@ -71,7 +71,7 @@ def rollup_paged(df: DataFrame, page_col: str, page_size: int, groups: list[str]
     return rollup_sum(parts, groups, columns, dest, **kw)
 
 
-def absent_inserts(changes: DataFrame, fields: list[str], keys_col: str | None = None, blocks: int = 256) -> DataFrame:
+def absent_inserts(changes: DataFrame, fields: list[str], keys_col: str | None = None, blocks: int | None = None) -> DataFrame:
     """INSERT events that hit an absent row: the row has no earlier event, its
     previous event (by ``seq``) was a DELETE or an UPDATE that gave the row
     another key, or its source was truncated or dropped since.  Returns

@@ -27,7 +27,7 @@ def segment_counts(changes: DataFrame, granularity: str = DAILY) -> DataFrame:
     return changes.groupBy("source_key", segment_id("exec_time", granularity).alias("segment"), "op").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def segment_changes(changes: DataFrame, granularity: str = DAILY, blocks: int = 256) -> DataFrame:
+def segment_changes(changes: DataFrame, granularity: str = DAILY, blocks: int | None = None) -> DataFrame:
     """Events that open a new segment: newer than the previous event of the
     same source (in ``seq`` order) and in another segment.  An out-of-order
     event across a boundary re-opens it, as the previous-event rule implies."""

@@ -524,7 +524,13 @@ UNION ALL BY NAME
 SELECT 'people_dest' AS destination, 'app.users' AS source_key, * FROM events_chg_state
 """
 
-ORACLE["range_layout_check"] = "SELECT count(DISTINCT o_orderkey) AS n_rows, true AS apart, true AS at_most_11 FROM orders"
+ORACLE["range_layout_check"] = """
+SELECT count(DISTINCT o_orderkey) AS n_rows, true AS apart, true AS at_most_11, 1 AS n_files, true AS as_stored, '1,1,0' AS found FROM orders
+"""
+
+ORACLE["paged_read"] = """
+SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 11 = 0) AS n_null, 8 AS n_pages, true AS apart, true AS balanced FROM orders
+"""
 
 ORACLE["source_keys"] = f"""
 WITH {ORDERS_CHG}, {EVENTS_CHG}, {_DDL_FIXTURE},
@@ -643,3 +649,59 @@ s AS (SELECT date_trunc('day', exec_time) AS day, count(DISTINCT i) AS n_inputs,
 SELECT strftime(day, '%Y%m%d') AS segment, n_inputs, n_events, elected, min(n) + 1 AS closed_in
 FROM s JOIN w ON mark >= day + INTERVAL 1 DAY GROUP BY ALL
 """
+
+ORACLE["versions_stream"] = ORACLE["cell_versions"]
+ORACLE["feed_rejects"] = ORACLE["decode_rejects"]
+# An entry's offset is folded to a place in the order of all rows of all entries.
+ORACLE["feed_stream"] = f"SELECT * REPLACE (version * 65536 AS version) FROM ({ORACLE['stream_apply']})"
+
+ORACLE["route_as_of"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_ALL_CHG},
+l AS (
+  SELECT source_key, exec_time, op FROM all_chg
+  UNION ALL SELECT 'chat.conversations', TIMESTAMP '2024-02-01 00:00:00', 'INSERT' FROM conversations WHERE turn < 43200
+  UNION ALL SELECT 'chat.conversations', TIMESTAMP '2024-02-02 00:00:00', 'UPDATE' FROM conversations WHERE role = 'assistant'),
+m AS (SELECT * FROM (VALUES
+  ('shop.orders', 'orders_dest', TIMESTAMP '1992-01-01 00:00:00', TIMESTAMP '1996-01-01 00:00:00', 'shop.orders'),
+  ('shop.orders', 'orders_new', TIMESTAMP '1997-06-01 00:00:00', TIMESTAMP '9999-01-01 00:00:00', 'shop.orders'),
+  ('app.users', 'users_a', TIMESTAMP '2024-01-05 00:00:00', TIMESTAMP '2024-01-12 00:00:00', 'app.users'),
+  ('app.users', 'users_b', TIMESTAMP '2024-01-12 00:00:00', TIMESTAMP '2024-01-20 00:00:00', 'app.users'),
+  ('app.users', 'users_a', TIMESTAMP '2024-01-25 12:00:00', TIMESTAMP '9999-01-01 00:00:00', 'app.users'),
+  ('chat.conversations', 'chat_dest', TIMESTAMP '2024-02-01 12:00:00', TIMESTAMP '9999-01-01 00:00:00', 'chat.later')) v(source_key, destination, a, b, key_list))
+SELECT destination, l.source_key, key_list, op, count(*) AS n_events
+FROM l JOIN m ON l.source_key = m.source_key AND exec_time >= a AND exec_time < b GROUP BY ALL
+"""
+
+ORACLE["stream_remap"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG}, {_AT},
+late AS (SELECT CAST(o_custkey AS BIGINT) AS k, op, seq, {', '.join(ORDERS_COLS)} FROM orders_chg, mid WHERE seq > t),
+{closed_form('late', ORDERS_COLS, ORDERS_ROW_KEY)},
+{closed_form('events_chg', EVENTS_COLS, EVENTS_ROW_KEY)}
+SELECT 'shop.orders' AS source_key, *, {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in EVENTS_COLS)} FROM late_state
+UNION ALL BY NAME SELECT 'app.users' AS source_key, * FROM events_chg_state
+"""
+
+ORACLE["forward_stream"] = f"""
+WITH {EVENTS_CHG},
+c AS (SELECT *, date_diff('day', (SELECT min(exec_time) FROM events_chg), exec_time) // 6 AS chunk FROM events_chg),
+b AS (SELECT chunk, row_number() OVER (ORDER BY chunk) - 1 AS batch FROM (SELECT DISTINCT chunk FROM c))
+SELECT 'instance_1' AS topic, batch, op, seq FROM c JOIN b ON c.chunk = b.chunk
+WHERE exec_time > TIMESTAMP '2024-01-04 00:00:00' + INTERVAL 1 DAY * (6 * batch)
+"""
+
+ORACLE["stream_progress"] = f"""
+WITH {ORDERS_CHG}, {EVENTS_CHG},
+l AS (SELECT exec_time FROM orders_chg UNION ALL SELECT exec_time FROM events_chg
+      UNION ALL SELECT TIMESTAMP '2024-02-01 00:00:00' + INTERVAL 1 SECOND * turn FROM conversations
+      UNION ALL SELECT TIMESTAMP '2024-02-02 00:00:00' + INTERVAL 1 SECOND * turn FROM conversations WHERE role = 'assistant'),
+y AS (SELECT min(year(exec_time)) AS lo, max(year(exec_time)) AS hi FROM l),
+g AS (SELECT unnest(range(hi - lo + 1)) AS batch_id, lo FROM y),
+n AS (SELECT g.batch_id, make_timestamp(lo + g.batch_id + 1, 1, 1, 0, 0, 0) AS batch_end, count(exec_time) AS n_rows, max(exec_time) AS last_ts
+      FROM g LEFT JOIN l ON year(exec_time) = lo + g.batch_id GROUP BY g.batch_id, lo),
+r AS (SELECT *, max(last_ts) OVER w AS last_exec_time, batch_id - coalesce(max(batch_id) FILTER (n_rows > 0) OVER w, -1) AS idle_pos
+      FROM n WINDOW w AS (ORDER BY batch_id)),
+d AS (SELECT *, idle_pos % 11 AS sleeping_batches, (epoch_us(batch_end) - epoch_us(last_exec_time)) // 1000000 AS delay FROM r)
+SELECT batch_id, n_rows, last_exec_time, sleeping_batches, idle_pos > 0 AND sleeping_batches = 0 AS idle_alert,
+       CASE WHEN (batch_id + 1) % 3 = 0 AND delay >= 200 * 86400 AND sleeping_batches = 0 THEN delay END AS delay_seconds
+FROM d
+"""

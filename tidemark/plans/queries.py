@@ -31,9 +31,12 @@ from tidemark.sources import fixtures as FX
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 from tidemark.streaming import apply_stream as STR
+from tidemark.streaming import decode_stream as DST
 from tidemark.streaming import forward as FWD
+from tidemark.streaming import metrics as MET
 from tidemark.streaming import rollup_stream as RST
 from tidemark.streaming import segments_stream as SEGS
+from tidemark.streaming import versions_stream as VS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -262,15 +265,6 @@ def apply_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.to_columns(state, FX.ORDERS_COLUMNS + FX.EVENTS_COLUMNS, extra=["destination", "source_key", "row_key", "version"])
 
 
-@query
-def range_layout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranges of range_layout: all rows in them, none overlapping (K6)."""
-    r = range_layout(spark, sf_dir)
-    before = F.lag("end_key").over(Window.orderBy("start_key"))
-    r = r.withColumn("apart", F.coalesce(before < F.col("start_key"), F.lit(True)) & (F.col("start_key") <= F.col("end_key")))
-    return r.agg(F.sum("n_rows").cast("long").alias("n_rows"), F.min("apart").alias("apart"), (F.count("*") <= 11).alias("at_most_11"))
-
-
 @query
 def source_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source keys from database and table behind a host prefix, per table of a log (K1)."""
@@ -278,11 +272,47 @@ def source_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy(K.source_key("database", "table", "db1:3306/").alias("full_key"), "source_key").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def _ranges(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
+    L.write_ranges(L.initial_load(table(spark, sf_dir, "orders"), FX.ORDERS_SOURCE, ["o_orderkey"]), path, 11)
+    return path
+
+
 @query
 def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders state laid out in 11 contiguous row-key ranges (K6)."""
-    state = L.initial_load(table(spark, sf_dir, "orders"), FX.ORDERS_SOURCE, ["o_orderkey"])
-    return L.range_layout(state, 11)
+    """Orders state written in 11 contiguous row-key ranges: bounds and sizes of the files read back (K6)."""
+    rows = L.read_ranges(spark, _ranges(spark, sf_dir))
+    return rows.groupBy("region").agg(F.min("row_key").alias("start_key"), F.max("row_key").alias("end_key"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def range_layout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the files of a range layout: all rows in them, no two ranges overlapping, a file each, as
+    large as the stored split points say; and how many rows the look-up of three keys finds, one of them missing (K6)."""
+    path = _ranges(spark, sf_dir)
+    rows = L.read_ranges(spark, path).withColumn("file", F.input_file_name())
+    r = rows.groupBy("region").agg(F.min("row_key").alias("start_key"), F.max("row_key").alias("end_key"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("file").alias("n_files"))
+    before = F.lag("end_key").over(Window.orderBy("start_key"))
+    r = r.withColumn("apart", F.coalesce(before < F.col("start_key"), F.lit(True)) & (F.col("start_key") <= F.col("end_key")))
+    stored = L.range_splits(spark, path).select("region", F.col("start_key").alias("s"), F.col("end_key").alias("e"), F.col("n_rows").alias("n"))
+    r = r.join(stored, "region", "full").withColumn("as_stored", (F.col("s") == F.col("start_key")) & (F.col("e") == F.col("end_key")) & (F.col("n") == F.col("n_rows")))
+    lo, hi = rows.agg(F.min("row_key"), F.max("row_key")).first()
+    found = [L.look_up(spark, path, k).count() for k in (lo, hi, lo + "?")]
+    return r.agg(F.sum("n_rows").cast("long").alias("n_rows"), F.min("apart").alias("apart"), (F.count("*") <= 11).alias("at_most_11"), F.max("n_files").alias("n_files"),
+                 F.min("as_stored").alias("as_stored")).withColumn("found", F.lit(",".join(map(str, found))))
+
+
+@query
+def paged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under a key with growing gaps and nulls read in eight pages: sizes and bounds."""
+    o = table(spark, sf_dir, "orders")
+    keyed = FX.stored(o.select(F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey") * F.col("o_orderkey")).alias("k"), "o_custkey"), "gappy")
+    per = L.read_pages(keyed, "k", 8).groupBy("page").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    w = Window.orderBy("lo")
+    per = per.withColumn("apart", F.coalesce(F.lag("hi").over(w) < F.col("lo"), F.lit(True)))
+    keys = F.when(F.col("lo").isNotNull(), F.col("n"))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("lo").isNull(), F.col("n"))).alias("n_null"), F.count("lo").alias("n_pages"),
+                   F.min(F.when(F.col("lo").isNotNull(), F.col("apart"))).alias("apart"), (F.max(keys) <= 2 * F.min(keys)).alias("balanced"))
 
 
 @query
@@ -336,6 +366,30 @@ def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("destination", "source_key", "op").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+# Events of a mapping: registered, moved to another destination, renamed, removed, registered again.
+MAPPING_EVENTS = [
+    (1, "add", "shop.orders", None, "orders_dest", "1992-01-01 00:00:00"),
+    (2, "rename", "shop.orders", "shop.archive", None, "1996-01-01 00:00:00"),
+    (3, "add", "shop.orders", None, "orders_new", "1997-06-01 00:00:00"),
+    (4, "add", "app.users", None, "users_a", "2024-01-05 00:00:00"),
+    (5, "add", "app.users", None, "users_b", "2024-01-12 00:00:00"),
+    (6, "remove", "app.users", None, None, "2024-01-20 00:00:00"),
+    (7, "add", "app.users", None, "users_a", "2024-01-25 12:00:00"),
+    (8, "add", "chat.later", None, "chat_dest", "2024-01-01 00:00:00"),
+    (9, "rename", "chat.later", "chat.conversations", None, "2024-02-01 12:00:00"),
+]
+
+
+@query
+def route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes under the mapping in force at their time, while it changes."""
+    events = spark.createDataFrame([(n, op, s, new, d, [s], at) for n, op, s, new, d, at in MAPPING_EVENTS],
+                                   "seq long, op string, source_key string, new_source_key string, destination string, keys array<string>, at string")
+    history = M.mapping_history(events.withColumn("at", F.col("at").cast("timestamp_ntz")))
+    r = M.route_as_of(_three_logs(spark, sf_dir), history)
+    return r.groupBy("destination", "source_key", F.array_join("keys", ",").alias("key_list"), "op").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 FORWARD_NOW = "2030-01-01 00:00:00"
 
 
@@ -578,6 +632,84 @@ def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.to_columns(state, FX.ORDERS_COLUMNS + FX.EVENTS_COLUMNS, extra=["destination", "source_key", "row_key", "version"])
 
 
+@query
+def stream_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose mapping table gains a source between micro-batches: that source's changes are applied from
+    then on (D9, P7, A5)."""
+    run = scratch_path(spark, f"stream-remap-{uuid.uuid4().hex}")
+    late = F.col("seq") > FX.orders_truncate_event(spark, sf_dir).select(F.max("seq")).scalar()
+    log = _both_logs(spark, sf_dir)
+    for routes, part in ((ROUTES[1:], ~late), (ROUTES, late)):
+        spark.createDataFrame(routes, "source_key string, destination string, keys array<string>").coalesce(1).write.mode("overwrite").parquet(f"{run}/mapping")
+        log.where(part).write.mode("append").parquet(f"{run}/input")
+        state = STR.apply_stream_once(spark, f"{run}/input", f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=100, mapping_path=f"{run}/mapping")
+    return A.to_columns(state, FX.ORDERS_COLUMNS + FX.EVENTS_COLUMNS, extra=["source_key", "row_key", "version"])
+
+
+@query
+def forward_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes forwarded by a stream that looks at the clock in each micro-batch: of a source that is not mapped,
+    those newer than the look-up (P8, W3)."""
+    run = scratch_path(spark, f"forward-{uuid.uuid4().hex}")
+    FX.write_in_time_order(FX.events_changelog(spark, sf_dir), f"{run}/input", chunk_days=6)
+    mapping_frame(spark).where("source_key <> 'app.users'").write.parquet(f"{run}/mapping")
+    src = STR.change_stream(spark, f"{run}/input", max_files_per_trigger=1)
+    FWD.write_forward_stream(src, f"{run}/mapping", "instance_1", f"{run}/out", f"{run}/checkpoint", clock=lambda b: f"2024-01-{4 + 6 * b:02} 00:00:00").awaitTermination()
+    v = F.from_json("value", "op string, seq long")
+    return FWD.read_forwarded(spark, f"{run}/out").select("topic", "batch", v.alias("v")).select("topic", "batch", "v.op", "v.seq")
+
+
+@query
+def versions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last two versions of cell_versions kept by a stream of shuffled rows."""
+    run = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    FX.events_changelog(spark, sf_dir).repartition(4).write.parquet(f"{run}/input")
+    VS.run_versions_stream(STR.change_stream(spark, f"{run}/input", max_files_per_trigger=2), f"{run}/out", f"{run}/checkpoint", 2).awaitTermination()
+    return VS.current_versions(spark, f"{run}/out", 2).select("row_key", "name", "version", "value", "seq")
+
+
+def _feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """State and dead letters of a stream over a JSON feed with broken lines in it."""
+    run = scratch_path(spark, f"feed-{uuid.uuid4().hex}")
+    FX.write_feed(DEC.encode_entries(FX.events_changelog(spark, sf_dir)).unionByName(FX.broken_lines(spark, sf_dir)), f"{run}/input")
+    DST.run_feed_stream(spark, f"{run}/input", f"{run}/state", f"{run}/dead", f"{run}/checkpoint", max_files_per_trigger=2).awaitTermination()
+    return STR.current_state(spark, f"{run}/state"), DST.read_dead_letters(spark, f"{run}/dead")
+
+
+@query
+def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """users state from a stream over serialized entries, broken lines among them."""
+    return A.to_columns(_feed(spark, sf_dir)[0], FX.EVENTS_COLUMNS, extra=["row_key", "version"])
+
+
+@query
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that this stream set aside, with the reason."""
+    return _feed(spark, sf_dir)[1]
+
+
+IDLE_YEARS, LAG_YEARS_SECONDS, LAG_EVERY_YEARS = 10, 200 * 86400, 3
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress, idle alerts and lag of a real stream, from the row that each micro-batch wrote: one fetch a year
+    over all logs, twenty-five years of them empty (O1, O2, O3)."""
+    run = scratch_path(spark, f"progress-{uuid.uuid4().hex}")
+    first, _ = FX.write_by_year(_three_logs(spark, sf_dir), f"{run}/input")
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        SG.segment_counts(batch).write.mode("overwrite").parquet(f"{run}/counts/batch={batch_id}")
+
+    process = MET.metered(counted, f"{run}/metrics", clock=lambda b: f"{first + b + 1}-01-01 00:00:00")
+    src = STR.change_stream(spark, f"{run}/input", max_files_per_trigger=1)
+    src.writeStream.foreachBatch(process).option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    m = MON.metrics_of_batches(MET.batch_rows(spark, f"{run}/metrics"))
+    idle = MON.idle_alerts(m, IDLE_YEARS).select("batch_id", F.lit(True).alias("idle_alert"))
+    lag = MON.lag_alerts(m, IDLE_YEARS, LAG_YEARS_SECONDS, LAG_EVERY_YEARS, [1]).select("batch_id", "delay_seconds")
+    return MON.progress(m, IDLE_YEARS).join(idle, "batch_id", "left").join(lag, "batch_id", "left").withColumn("idle_alert", F.coalesce("idle_alert", F.lit(False)))
+
+
 @query
 def schema_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notice rows (source, normalised DDL) for fully understood schema events."""

@@ -314,9 +314,10 @@ def orders_schema_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _land(df: DataFrame, chunk: Column, path: str, files: int) -> int:
+def _land(df: DataFrame, chunk: Column, path: str, files: int, chunks: int | None = None, fmt: str = "parquet") -> int:
     """Write a stand-in log once, then land its chunks one after another, each as
-    ``files`` files of a distributed write, the way a live feed lands them; returns their number."""
+    ``files`` files of a distributed write, the way a live feed lands them; returns their number.
+    With ``chunks`` the numbers below it that hold nothing land as empty files."""
     import uuid
 
     from tidemark.session import scratch_path
@@ -324,10 +325,23 @@ def _land(df: DataFrame, chunk: Column, path: str, files: int) -> int:
     spark = df.sparkSession
     staged = scratch_path(spark, f"staged/{uuid.uuid4().hex}")
     df.withColumn("_chunk", chunk).repartition("_chunk", F.pmod(F.xxhash64("seq"), F.lit(files))).write.partitionBy("_chunk").parquet(staged)
-    chunks = sorted(r["_chunk"] for r in spark.read.parquet(staged).select("_chunk").distinct().collect())
-    for c in chunks:
-        spark.read.schema(df.schema).parquet(f"{staged}/_chunk={c}").repartition(files).write.mode("append").parquet(path)
-    return len(chunks)
+    held = sorted(r["_chunk"] for r in spark.read.parquet(staged).select("_chunk").distinct().collect())
+    for c in held if chunks is None else range(chunks):
+        part = spark.read.schema(df.schema).parquet(f"{staged}/_chunk={c}").repartition(files) if c in held else spark.createDataFrame([], df.schema).coalesce(1)
+        part.write.mode("append").format(fmt).save(path)
+    return len(held) if chunks is None else chunks
+
+
+def write_by_year(df: DataFrame, path: str) -> tuple[int, int]:
+    """Land a stand-in log as one file a year from its first to its last, empty years too; returns the first year
+    and their number."""
+    lo, hi = df.agg(F.year(F.min("exec_time")), F.year(F.max("exec_time"))).first()
+    return lo, _land(df, F.year("exec_time") - F.lit(lo), path, 1, chunks=hi - lo + 1)
+
+
+def write_feed(lines: DataFrame, path: str, files: int = 4) -> None:
+    """Land a feed of serialized entries as text files, lines in any order."""
+    lines.select("value").repartition(files).write.text(path)
 
 
 def write_in_time_order(df: DataFrame, path: str, chunk_days: int = 6, files: int = 1) -> int:
