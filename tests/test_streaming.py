@@ -62,7 +62,7 @@ def test_column_names_that_are_used_again(spark):
         ([row(1, a="x"), ddl(2, "change a b int"), row(3, a="new"), ddl(4, "drop column b")], {"a": "new"}),
     ]
     for rows, want in cases:
-        for width in (1, 2, 9):
+        for width in (1, 9):
             root = _state(spark, "names")
             for i in range(0, len(rows), width):
                 write_batch(to_df(spark, rows[i:i + width]), i, root, "r")
@@ -196,15 +196,15 @@ def test_snapshots_of_crossed_days_equal_snapshot_at(spark):
 
 
 def test_a_base_takes_the_place_of_older_batches(spark):
-    rows = _timed(random_log(200, 10, 11), 20)  # ten days, one a batch
+    rows = _timed(random_log(200, 10, 11), 40)  # five days, one a batch
     late = dict(rows[0], seq=10**9, op="DELETE", before=rows[0]["after"] or rows[0]["before"], after=None, ddl=None)
     root = _state(spark, "base")
     sizes = []
-    for i in range(10):
-        write_batch(to_df(spark, rows[i * 20:(i + 1) * 20]), i, root, "r")
+    for i in range(5):
+        write_batch(to_df(spark, rows[i * 40:(i + 1) * 40]), i, root, "r")
         sizes.append(len([f for f in _records_read(spark, root) if "/log/" in f and "batch=-1" not in f]))
     assert max(sizes) <= sizes[1] + 8  # files of the newest batch only, whatever came before
-    write_batch(to_df(spark, [late]), 10, root, "r")  # of the first day
+    write_batch(to_df(spark, [late]), 5, root, "r")  # of the first day
     assert state_as_dict(current_state(spark, root)) == state_as_dict(A.apply_changes(to_df(spark, [*rows, late])))
 
 
@@ -245,11 +245,11 @@ def test_stream_folds_renames_keys_and_stops_like_the_batch(spark):
     from tidemark.operators.schema_apply import apply_log
 
     r = _random.Random(12)
-    for case in range(2):
+    for case, widths in enumerate(((1 << 30, 25), (40,))):
         rows = schema_log(r)
         want = state_as_dict(apply_log(to_df(spark, rows)))
         assert want == fold_schema_log(rows)
-        for width in (1 << 30, 17):
+        for width in widths:
             root = _state(spark, "schema")
             for i in range(0, len(rows), width):
                 write_batch(to_df(spark, rows[i:i + width]), i, root, "r")
