@@ -82,9 +82,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     both = cut(one.union(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = cut(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("component")))
     while True:
-        at = labels.select(F.col("node").alias("y"), F.col("component").alias("near"))
-        seen = both.join(at, "y").groupBy(F.col("x").alias("node")).agg(F.min("near").alias("near"))
-        low = labels.join(seen, "node").select("node", F.least("component", "near").alias("to"), F.col("component").alias("was"))
+        near = both.join(labels.withColumnRenamed("node", "y"), "y").select(F.col("x").alias("node"), F.col("component").alias("to"), F.lit(None).cast("long").alias("was"))
+        low = near.union(labels.select("node", F.col("component").alias("to"), F.col("component").alias("was"))).groupBy("node").agg(F.min("to").alias("to"), F.max("was").alias("was"))
         own = labels.select(F.col("node").alias("to"), F.col("component").alias("jump"))
         new = cut(low.join(own, "to", "left").select("node", F.least("to", F.coalesce("jump", "to")).alias("component"), "was"))
         if new.where("component != was").isEmpty():

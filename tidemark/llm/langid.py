@@ -27,7 +27,7 @@ from tidemark.llm.common import KEY, fp_of, key_of, on_workers
 HIDDEN, SEGMENT = 16, 24
 STEPS, BATCH, RATE = 400, 384, 0.02
 CACHE_WORDS = 500_000
-PER_LANG, SAMPLE_WORDS = 400, 50_000
+PER_LANG, SAMPLE_WORDS = 400, 15_000
 EDGE = 32  #: the blank read before and after a word
 
 

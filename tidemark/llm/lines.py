@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, id_of, keyed
-from tidemark.operators.joins import join_small
 
 #: Blanks at the ends of a line are not part of its key; from Python, as SQL literals know no form feed.
 TRIMMED = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A hash with more than HEAVY_ROWS lines, or 1/HEAVY_SHARE of all in a smaller table, is spread over SALTS sort groups
-#: or more, none above HEAVY_ROWS.
-HEAVY_ROWS, HEAVY_SHARE, SALTS = 200_000, 200, 64
+#: or more, none above HEAVY_ROWS.  HEAVY_MOST hashes are at most, so that they can be broadcast: beyond a table of
+#: HEAVY_ROWS * HEAVY_MOST lines a hash needs 1/HEAVY_MOST of all.
+HEAVY_ROWS, HEAVY_SHARE, HEAVY_MOST, SALTS = 200_000, 200, 100_000, 64
 
 
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
@@ -39,9 +39,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     hashed = cut(line_hashes(docs, id_col, text_col, min_chars))
     per_hash = hashed.groupBy("hash").agg(F.count("*").alias("n"), F.min("_id").alias("hot_first"))
-    heavy = per_hash.where(F.col("n") > min(hashed.count() // HEAVY_SHARE + SALTS, HEAVY_ROWS)).select("hash", "hot_first", F.greatest(F.lit(SALTS), F.expr(f"n div {HEAVY_ROWS} + 1")).alias("salts"))
+    total = hashed.count()
+    bound = max(min(total // HEAVY_SHARE + SALTS, HEAVY_ROWS), total // HEAVY_MOST)
+    heavy = per_hash.where(F.col("n") > bound).select("hash", "hot_first", F.greatest(F.lit(SALTS), F.expr(f"n div {HEAVY_ROWS} + 1")).alias("salts"))
     salt = F.when(F.col("hot_first").isNull(), 0).otherwise(F.pmod(F.xxhash64("_id", "pos"), F.col("salts")))
-    dealt = join_small(hashed, heavy, "hash", "left").withColumn("salt", salt).repartitionByRange("hash", "salt")
+    dealt = hashed.join(F.broadcast(heavy), "hash", "left").withColumn("salt", salt).repartitionByRange("hash", "salt")
     first = F.first("_id").over(Window.partitionBy("hash", "salt").orderBy("_id", "pos"))
     lost = dealt.withColumn("first", F.coalesce("hot_first", first)).where("_id > first")
     words = lost.groupBy("_id", "_fp", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("~bit_or(shiftleft(1L, pos % 64))").alias("bits"))
