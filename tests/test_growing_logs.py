@@ -40,3 +40,16 @@ def test_tasks_of_a_log_and_files_of_a_part_follow_its_rows(spark, monkeypatch):
     monkeypatch.setattr(FX, "ROWS_PER_FILE", 50)
     path = scratch_path(spark, f"t-parts-{uuid.uuid4().hex}")
     assert FX.write_shuffled(log, path, 4, 2000) == 10 and len(spark.read.parquet(path).inputFiles()) == 40
+
+
+def test_a_bucket_of_row_keys_is_one_state_row(spark):
+    from tidemark.streaming.rollup_stream import buckets_for, current_rollup, run_rollup_stream
+
+    assert buckets_for(10) == 64 and buckets_for(10**7) == 10**4
+    run = scratch_path(spark, f"t-buckets-{uuid.uuid4().hex}")
+    for seqs in (range(100), range(50, 150)):
+        _log(spark, seqs).coalesce(1).write.mode("append").parquet(f"{run}/in")
+    q = run_rollup_stream(spark, f"{run}/in", f"{run}/rollup", f"{run}/ckpt", ["g"], [], buckets=3)
+    q.awaitTermination()
+    assert [o["numRowsUpdated"] for p in q.recentProgress for o in p["stateOperators"] if p["numInputRows"]] == [3, 3]
+    assert [r["count"] for r in current_rollup(spark, f"{run}/rollup", ["g"], [], "d").collect()] == [150]
