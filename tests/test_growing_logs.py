@@ -53,3 +53,15 @@ def test_a_bucket_of_row_keys_is_one_state_row(spark):
     q.awaitTermination()
     assert [o["numRowsUpdated"] for p in q.recentProgress for o in p["stateOperators"] if p["numInputRows"]] == [3, 3]
     assert [r["count"] for r in current_rollup(spark, f"{run}/rollup", ["g"], [], "d").collect()] == [150]
+
+
+def test_sorts_of_records_tell_rows_apart_by_their_row_key(spark, capsys):
+    from tidemark.operators import apply as A
+    from tidemark.operators import audit as AU
+
+    log = _log(spark, [1, 2, 2])
+    for df in (A.apply_changes(log), AU.cell_versions(log, 2)):
+        df.explain()
+        sorts = [x for x in capsys.readouterr().out.splitlines() if " Sort [" in x]
+        assert sorts and all(" Sort [row_key" in x for x in sorts if "row_key" in x)
+    assert A.apply_changes(log).columns == ["source_key", "row_key", "cells", "version"]

@@ -58,8 +58,8 @@ _VERSIONED = [*A.STATE_KEY, "tag", "name", "seq", "value"]
 def version_records(contrib: DataFrame, n: int) -> DataFrame:
     """What the last ``n`` versions need of contributions: each cell's ``n`` newest, each row's newest markers and
     each source's newest truncation.  Of a union of such records these records again, in any order and with replays."""
-    cells = top_by_seq(contrib.where("tag = 'cell'").select(*_VERSIONED).distinct(), [*A.STATE_KEY, "name"], n).select(*_VERSIONED)
-    marks = contrib.where("tag <> 'cell'").groupBy(*A.STATE_KEY, "tag").agg(F.max("seq").alias("seq"))
+    cells = top_by_seq(contrib.where("tag = 'cell'").select(*_VERSIONED).distinct(), [*A.STATE_SORT, "name"], n).select(*_VERSIONED)
+    marks = contrib.where("tag <> 'cell'").groupBy(*A.STATE_SORT, "tag").agg(F.max("seq").alias("seq"))
     return cells.unionByName(marks.select(*A.STATE_KEY, "tag", F.lit(None).cast("string").alias("name"), "seq", F.lit(None).cast("string").alias("value")))
 
 
@@ -68,12 +68,12 @@ def versions_of(records: DataFrame, n: int, wipes: DataFrame | None = None) -> D
     low = F.lit(-(2**63))
     rows = (
         records.where(F.col("tag").isin("del", "live"))
-        .groupBy(*A.STATE_KEY)
+        .groupBy(*A.STATE_SORT)
         .agg(F.max(F.when(F.col("tag") == "del", F.col("seq"))).alias("del_seq"), F.max(F.when(F.col("tag") == "live", F.col("seq"))).alias("live_seq"))
     )
     rows = join_small(rows, A.wipes_of(records) if wipes is None else wipes, "source_key", "left").withColumn("floor", F.greatest(F.coalesce("del_seq", low), F.coalesce("wipe_seq", low)))
     rows = rows.where(F.col("live_seq") > F.col("floor")).select(*A.STATE_KEY, "floor")
-    newest = top_by_seq(records.where("tag = 'cell'").select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_KEY, "name"], n)
+    newest = top_by_seq(records.where("tag = 'cell'").select(*A.STATE_KEY, "name", "seq", "value"), [*A.STATE_SORT, "name"], n)
     return newest.join(rows, A.STATE_KEY).where(F.col("seq") > F.col("floor")).drop("floor")
 
 

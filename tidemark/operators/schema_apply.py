@@ -165,7 +165,7 @@ def _rekeyed(records: DataFrame, changes: DataFrame, connector: str, reverse: bo
     rounds = table.agg(F.max(F.size("changes"))).first()[0] or 0
     of = F.coalesce(F.size(F.filter("changes", lambda e: e["seq"] < F.col("seq"))), F.lit(0))
     numbered = join_small(records, table, "source_key", "left").withColumns({"generation": of, "last": F.coalesce(F.size("changes"), F.lit(0))})
-    newest = numbered.groupBy(*A.REDUCED_KEY, "generation", "last").agg(F.max(F.struct("seq", "value")).alias("m"))
+    newest = numbered.groupBy(*A.REDUCED_SORT, "generation", "last").agg(F.max(F.struct("seq", "value")).alias("m"))
     fields = [*A.REDUCED_KEY, "seq", "value"]
     root = scratch_path(spark, f"generations/{uuid.uuid4().hex}")
     newest.select(*A.REDUCED_KEY, "m.seq", "m.value", "last", "generation").write.partitionBy("generation").parquet(f"{root}/written")
