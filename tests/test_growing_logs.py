@@ -65,3 +65,12 @@ def test_sorts_of_records_tell_rows_apart_by_their_row_key(spark, capsys):
         sorts = [x for x in capsys.readouterr().out.splitlines() if " Sort [" in x]
         assert sorts and all(" Sort [row_key" in x for x in sorts if "row_key" in x)
     assert A.apply_changes(log).columns == ["source_key", "row_key", "cells", "version"]
+
+
+def test_a_line_of_a_feed_is_parsed_once(spark):
+    from tidemark.sources.decode import decode_changes, decode_rejects
+
+    lines = spark.createDataFrame([("{",), (None,)], "value string")
+    for df in (decode_changes(lines), decode_rejects(lines)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert sorted(decode_rejects(lines).collect(), key=str) == [("{", "not JSON"), (None, "not JSON")]

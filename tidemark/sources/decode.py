@@ -47,8 +47,23 @@ def fold_seq(log_file: Column, offset: Column, row: Column) -> Column:
 def decode_changes(lines: DataFrame, value_col: str = "value", source_prefix: str = "") -> DataFrame:
     """JSON entries -> change-log rows (one per row of every data entry).
     Lines that cannot be decoded are in ``decode_rejects``."""
-    e = lines.select(F.from_json(F.col(value_col), ENTRY).alias("e"), reject_reason(value_col).alias("reason")).where("reason is null").select("e.*")
-    data = e.where(~F.col("entry_type").isin(*TRANSACTION_MARKERS))
+    return changes_of(read_entries(lines, value_col), source_prefix)
+
+
+def read_entries(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Each line as its entry ``e`` or, if it is none, its text and the ``reason``: ``(value, reason, e)``.
+
+    A line is parsed once, by a generator of one row: a filter on what it gives is
+    not moved below it, where it would parse the line again for every field."""
+    line = F.col(value_col)
+    once = F.inline(F.array(F.struct(F.from_json(line, ENTRY).alias("e"), F.try_parse_json(line).isNotNull().alias("parsed"))))
+    judged = lines.select(line.alias("value"), once).select("value", reject_reason().alias("reason"), "e")
+    return judged.select(F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason", "e")
+
+
+def changes_of(entries: DataFrame, source_prefix: str = "") -> DataFrame:
+    """The changes among ``read_entries``."""
+    data = entries.where("reason is null").select("e.*").where(~F.col("entry_type").isin(*TRANSACTION_MARKERS))
     rows = data.select("*", F.posexplode_outer("rows").alias("_pos", "_row"))
     return rows.select(
         F.concat(F.lit(source_prefix), F.col("database"), F.lit("."), F.col("table")).alias("source_key"),
@@ -63,16 +78,15 @@ def decode_changes(lines: DataFrame, value_col: str = "value", source_prefix: st
     ).select(*CHANGELOG_COLUMNS)
 
 
-def reject_reason(value_col: str = "value") -> Column:
-    """Why a line is no entry; null for entries and transaction markers.
+def reject_reason() -> Column:
+    """Why a line is no entry, from its text ``value``, its entry ``e`` and whether it is JSON at all (``parsed``);
+    null for entries and transaction markers.
 
     An entry that would decode to a change without a source, an image or a place
     in the order is none: fields of another type than theirs are told from
     missing ones by their raw text."""
-    line = F.col(value_col)
-    e = F.from_json(line, ENTRY)
+    line, e, parsed = F.col("value"), F.col("e"), F.col("parsed")
     marker = F.coalesce(e["entry_type"].isin(*TRANSACTION_MARKERS), F.lit(False))
-    parsed = F.try_parse_json(line).isNotNull()
     of_rows = F.upper(e["event_type"]).isin(*ROW_OPS)
 
     def mistyped(field: str) -> Column:
@@ -99,7 +113,12 @@ def reject_reason(value_col: str = "value") -> Column:
 def decode_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``(value, reason)`` of the lines that ``decode_changes`` leaves out,
     transaction markers aside."""
-    return lines.select(F.col(value_col).alias("value"), reject_reason(value_col).alias("reason")).where("reason is not null")
+    return rejects_of(read_entries(lines, value_col))
+
+
+def rejects_of(entries: DataFrame) -> DataFrame:
+    """The lines among ``read_entries`` that are no entry."""
+    return entries.where("reason is not null").select("value", "reason")
 
 
 def encode_entries(changes: DataFrame, log_file: int = 0) -> DataFrame:

@@ -2,14 +2,15 @@
 dead-letter folder.
 
 Both outputs of a micro-batch overwrite their own folders, so a replay after a
-failure leaves the same behind.
+failure leaves the same behind.  The lines of a micro-batch are parsed once and kept
+until both are written.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.decode import decode_changes, decode_rejects
+from tidemark.sources.decode import changes_of, read_entries, rejects_of
 from tidemark.streaming.records import run_of, start, write_batch
 
 _REJECT = "value string, reason string"
@@ -24,8 +25,12 @@ def run_feed_stream(spark: SparkSession, source_dir: str, state_root: str, dead_
     spark.createDataFrame([], _REJECT).write.mode("overwrite").parquet(f"{dead_letters}/run={run}/batch=-1")
 
     def fold(lines: DataFrame, batch_id: int) -> None:
-        decode_rejects(lines).write.mode("overwrite").parquet(f"{dead_letters}/run={run}/batch={batch_id}")
-        write_batch(decode_changes(lines, source_prefix=source_prefix), batch_id, state_root, run, **apply_kw)
+        entries = read_entries(lines).persist()
+        try:
+            rejects_of(entries).write.mode("overwrite").parquet(f"{dead_letters}/run={run}/batch={batch_id}")
+            write_batch(changes_of(entries, source_prefix), batch_id, state_root, run, **apply_kw)
+        finally:
+            entries.unpersist()
 
     src = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(source_dir)
     w = src.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
