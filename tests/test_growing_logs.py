@@ -74,3 +74,11 @@ def test_a_line_of_a_feed_is_parsed_once(spark):
     for df in (decode_changes(lines), decode_rejects(lines)):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert sorted(decode_rejects(lines).collect(), key=str) == [("{", "not JSON"), (None, "not JSON")]
+
+
+def test_chunks_land_without_a_sort_or_a_second_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(FX, "ROWS_PER_FILE", 20)
+    monkeypatch.setattr(FX, "_staged", None)  # a copy of the whole log by chunk
+    path = scratch_path(spark, f"t-once-{uuid.uuid4().hex}")
+    each = FX.write_in_seq_order(FX.spread(_log(spark, range(200)), 200), path, chunks=2)
+    assert each >= 5 and sorted(r.seq for r in spark.read.parquet(path).select("seq").collect()) == list(range(200))
