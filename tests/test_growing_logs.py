@@ -82,3 +82,19 @@ def test_chunks_land_without_a_sort_or_a_second_shuffle(spark, monkeypatch):
     path = scratch_path(spark, f"t-once-{uuid.uuid4().hex}")
     each = FX.write_in_seq_order(FX.spread(_log(spark, range(200)), 200), path, chunks=2)
     assert each >= 5 and sorted(r.seq for r in spark.read.parquet(path).select("seq").collect()) == list(range(200))
+
+
+def test_a_snapshot_does_not_reduce_its_base_again(spark, monkeypatch):
+    from tidemark.operators import apply as A
+    from tidemark.streaming import records as REC
+
+    def no(records):
+        raise AssertionError("a base is reduced")
+
+    monkeypatch.setattr(A, "reduce_contributions", no)
+    run = scratch_path(spark, f"t-base-{uuid.uuid4().hex}")
+    REC.start(spark, f"{run}/state", "r")
+    log = _log(spark, [1, 2, 3]).withColumn("exec_time", F.expr("cast('2024-01-01' as timestamp_ntz) + make_interval(0, 0, 0, cast(seq as int))"))
+    REC.write_batch(log, 0, f"{run}/state", "r", snapshots=f"{run}/snapshots")
+    got = spark.read.parquet(f"{run}/snapshots").select(F.col("segment").cast("string"), F.col("cells")["id"].alias("id")).collect()
+    assert sorted((r.segment, r.id) for r in got) == [("20240103", "1"), ("20240104", "1"), ("20240104", "2")]
