@@ -98,3 +98,17 @@ def test_a_snapshot_does_not_reduce_its_base_again(spark, monkeypatch):
     REC.write_batch(log, 0, f"{run}/state", "r", snapshots=f"{run}/snapshots")
     got = spark.read.parquet(f"{run}/snapshots").select(F.col("segment").cast("string"), F.col("cells")["id"].alias("id")).collect()
     assert sorted((r.segment, r.id) for r in got) == [("20240103", "1"), ("20240104", "1"), ("20240104", "2")]
+
+
+def test_a_listing_does_not_sort_the_changes(spark, capsys):
+    from tidemark.operators import load as L
+
+    log = _log(spark, range(50)).unionByName(to_df(spark, [
+        dict(source_key="db.t", database="db", table="t", exec_time=None, op="DELETE", ddl=None, seq=99, before=[cell("Z", "1", key=True), cell("id", "1", key=True)], after=None),
+        dict(source_key="db.u", database="db", table="u", exec_time=None, op="QUERY", ddl="x", seq=1, before=None, after=None)]))
+    listing = L.source_listing(log)
+    listing.explain()
+    plan = capsys.readouterr().out.splitlines()
+    sorts, hashed = ([i for i, x in enumerate(plan) if word in x] for word in (" Sort [", " HashAggregate("))
+    assert hashed and max(sorts, default=-1) < min(hashed)  # what is sorted is what the hash aggregate left
+    assert sorted(map(tuple, listing.collect())) == [("db.t", "db", "t", ["id", "z"]), ("db.u", "db", "u", [])]

@@ -168,7 +168,10 @@ def source_listing(changes: DataFrame) -> DataFrame:
     img = F.coalesce(F.col("after"), F.col("before"))
     names = F.array_sort(F.transform(F.filter(F.coalesce(img, F.array().cast(IMAGE)),
                                               lambda c: F.coalesce(c["is_key"], F.lit(False))), lambda c: F.lower(c["name"])))
-    return changes.groupBy("source_key", "database", "table").agg(F.max(names).alias("physical_keys"))
+    # Different lists first: a task keeps those of each source in a hash table, while a maximum of arrays sorts all its
+    # changes.  ``max_by``, as the optimizer takes a distinct below ``max`` out.
+    seen = changes.select("source_key", "database", "table", names.alias("names")).distinct()
+    return seen.groupBy("source_key", "database", "table").agg(F.max_by("names", "names").alias("physical_keys"))
 
 
 def resolve_groups(listing: DataFrame, rules: DataFrame) -> DataFrame:
