@@ -112,3 +112,30 @@ def test_a_listing_does_not_sort_the_changes(spark, capsys):
     sorts, hashed = ([i for i, x in enumerate(plan) if word in x] for word in (" Sort [", " HashAggregate("))
     assert hashed and max(sorts, default=-1) < min(hashed)  # what is sorted is what the hash aggregate left
     assert sorted(map(tuple, listing.collect())) == [("db.t", "db", "t", ["id", "z"]), ("db.u", "db", "u", [])]
+
+
+def _landed(spark, name, seqs):
+    run = scratch_path(spark, f"t-{name}-{uuid.uuid4().hex}")
+    FX.write_shuffled(_log(spark, seqs), f"{run}/in", 1, len(seqs))
+    return run
+
+
+def test_shuffles_of_a_micro_batch_follow_its_files(spark, monkeypatch, capsys):
+    from tidemark.operators import apply as A
+    from tidemark.streaming import apply_stream as STR
+
+    seen, write = [], STR.write_batch
+
+    def spied(batch, *a, **kw):
+        seen.append(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        write(batch, *a, **kw)
+
+    monkeypatch.setattr(STR, "write_batch", spied)
+    monkeypatch.setattr(A, "TASKS_PER_READ", 50)
+    run = _landed(spark, "follow", range(40))
+    state = STR.apply_stream_once(spark, f"{run}/in", f"{run}/state", f"{run}/ckpt")
+    assert seen == ["50"] and spark.conf.get("spark.sql.shuffle.partitions") == "8"  # the stream's session, not the user's
+    state.explain()
+    shuffles = [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in x]
+    assert len(shuffles) == 1 and "REPARTITION_BY_NUM" in shuffles[0] and "hashpartitioning(row_key" in shuffles[0]
+    assert sorted(int(r.cells["id"]) for r in state.collect()) == list(range(40))

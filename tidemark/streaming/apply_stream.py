@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.joins import join_small
 from tidemark.operators.mapping import route_changes
 from tidemark.schema import CHANGELOG
-from tidemark.streaming.records import current_state, run_of, start, write_batch
+from tidemark.streaming.records import current_state, run_of, shuffles_follow, start, write_batch
 
 
 def change_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
@@ -45,7 +45,10 @@ def run_apply_stream(spark: SparkSession, source_dir: str, state_root: str, chec
     start(spark, state_root, run)
     kw = {"keys_col": "keys", **apply_kw} if mapping_path is not None else apply_kw
 
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def fold(batch: DataFrame, batch_id: int) -> None:
+        shuffles_follow(batch, least)
         if mapping_path is not None:
             batch = route_batch(batch, mapping_path)
         write_batch(batch, batch_id, state_root, run, **kw)

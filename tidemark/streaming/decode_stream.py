@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.decode import changes_of, read_entries, rejects_of
-from tidemark.streaming.records import run_of, start, write_batch
+from tidemark.streaming.records import run_of, shuffles_follow, start, write_batch
 
 _REJECT = "value string, reason string"
 
@@ -24,7 +24,10 @@ def run_feed_stream(spark: SparkSession, source_dir: str, state_root: str, dead_
     start(spark, state_root, run)
     spark.createDataFrame([], _REJECT).write.mode("overwrite").parquet(f"{dead_letters}/run={run}/batch=-1")
 
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def fold(lines: DataFrame, batch_id: int) -> None:
+        shuffles_follow(lines, least)
         entries = read_entries(lines).persist()
         try:
             rejects_of(entries).write.mode("overwrite").parquet(f"{dead_letters}/run={run}/batch={batch_id}")
