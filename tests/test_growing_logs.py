@@ -139,3 +139,25 @@ def test_shuffles_of_a_micro_batch_follow_its_files(spark, monkeypatch, capsys):
     shuffles = [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in x]
     assert len(shuffles) == 1 and "REPARTITION_BY_NUM" in shuffles[0] and "hashpartitioning(row_key" in shuffles[0]
     assert sorted(int(r.cells["id"]) for r in state.collect()) == list(range(40))
+
+
+def test_versions_are_cut_in_one_pass_before_the_shuffle(spark, monkeypatch, capsys):
+    from tidemark.operators import apply as A
+    from tidemark.operators import audit as AU
+    from tidemark.streaming import versions_stream as VS
+
+    log = to_df(spark, [dict(source_key="db.t", database="db", table="t", exec_time=None, op=op, ddl=None, seq=s, before=row if op == "DELETE" else None,
+                             after=None if op == "DELETE" else row)
+                        for s, op in ((1, "DELETE"), (2, "INSERT"), (3, "UPDATE"), (3, "UPDATE"), (4, "UPDATE"), (4, "UPDATE"))
+                        for row in [[cell("id", "7", key=True), cell("g", f"v{s}")]]])
+    records = AU.version_records(A.contributions(A.with_row_keys(log)), 2)
+    records.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Generate explode") == 1 and plan.count("Exchange ") == 1 and plan.count("WindowGroupLimit") == 2
+    assert sorted((r.tag, r.name or "", r.seq) for r in records.collect()) == [
+        ("cell", "g", 3), ("cell", "g", 4), ("cell", "id", 3), ("cell", "id", 4), ("del", "", 1), ("live", "", 4)]
+    run = scratch_path(spark, f"t-cut-{uuid.uuid4().hex}")
+    log.write.parquet(f"{run}/in")
+    VS.run_versions_stream(change_stream(spark, f"{run}/in"), f"{run}/out", f"{run}/ckpt", 2).awaitTermination()
+    got = VS.current_versions(spark, f"{run}/out", 2)
+    assert sorted((r.name, r.version, r.value) for r in got.collect()) == [("g", 1, "v4"), ("g", 2, "v3"), ("id", 1, "7"), ("id", 2, "7")]

@@ -58,9 +58,10 @@ _VERSIONED = [*A.STATE_KEY, "tag", "name", "seq", "value"]
 def version_records(contrib: DataFrame, n: int) -> DataFrame:
     """What the last ``n`` versions need of contributions: each cell's ``n`` newest, each row's newest markers and
     each source's newest truncation.  Of a union of such records these records again, in any order and with replays."""
-    cells = top_by_seq(contrib.where("tag = 'cell'").select(*_VERSIONED).distinct(), [*A.STATE_SORT, "name"], n).select(*_VERSIONED)
-    marks = contrib.where("tag <> 'cell'").groupBy(*A.STATE_SORT, "tag").agg(F.max("seq").alias("seq"))
-    return cells.unionByName(marks.select(*A.STATE_KEY, "tag", F.lit(None).cast("string").alias("name"), "seq", F.lit(None).cast("string").alias("value")))
+    # Markers are records without a name, so one window does for both; among equals, a rank counts different records.
+    newest = Window.partitionBy(*A.STATE_SORT, "tag", "name").orderBy(F.col("seq").desc(), F.col("value"))
+    ranked = contrib.select(*_VERSIONED).withColumn("_rank", F.dense_rank().over(newest)).where(F.col("_rank") <= n)
+    return ranked.where((F.col("tag") == "cell") | (F.col("_rank") == 1)).select(*_VERSIONED).distinct()
 
 
 def versions_of(records: DataFrame, n: int, wipes: DataFrame | None = None) -> DataFrame:

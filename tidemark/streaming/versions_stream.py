@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import apply as A
 from tidemark.operators import audit as AU
-from tidemark.streaming.records import RECORDS, run_of
+from tidemark.streaming.records import RECORDS, run_of, shuffles_follow
 
 
 def run_versions_stream(stream: DataFrame, root: str, checkpoint: str, n: int, keys_col: str | None = None, available_now: bool = True):
     """Keep the last ``n`` versions of every cell; returns the streaming query."""
     run = run_of(checkpoint)
+    least = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def fold(batch: DataFrame, batch_id: int) -> None:
+        shuffles_follow(batch, least)
         records = AU.version_records(A.contributions(A.with_row_keys(batch, keys_col)), n)
         records.write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch_id}")
 
@@ -28,4 +30,5 @@ def run_versions_stream(stream: DataFrame, root: str, checkpoint: str, n: int, k
 
 def current_versions(spark: SparkSession, root: str, n: int) -> DataFrame:
     """``cell_versions`` of all that the stream has read."""
-    return AU.versions_of(spark.read.schema(RECORDS).option("recursiveFileLookup", "true").parquet(root).distinct(), n)
+    records = spark.read.schema(RECORDS).option("recursiveFileLookup", "true").parquet(root)
+    return AU.versions_of(A.dealt(records).distinct(), n, A.wipes_of(records))
