@@ -161,3 +161,15 @@ def test_versions_are_cut_in_one_pass_before_the_shuffle(spark, monkeypatch, cap
     VS.run_versions_stream(change_stream(spark, f"{run}/in"), f"{run}/out", f"{run}/ckpt", 2).awaitTermination()
     got = VS.current_versions(spark, f"{run}/out", 2)
     assert sorted((r.name, r.version, r.value) for r in got.collect()) == [("g", 1, "v4"), ("g", 2, "v3"), ("id", 1, "7"), ("id", 2, "7")]
+
+
+def test_events_land_as_the_changes_of_their_log(spark, monkeypatch):
+    monkeypatch.setattr(FX, "ROWS_PER_FILE", 10)
+    run = scratch_path(spark, f"t-events-{uuid.uuid4().hex}")
+    kinds = ["signup", "view", "error", "click"]
+    spark.createDataFrame([(i, i % 7, kinds[i % 4], i / 4, f"p{i}") for i in [*range(100), 5]], "event_id long, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.lit("2024-01-01").cast("timestamp")).coalesce(1).write.parquet(f"{run}/events.parquet")
+    assert FX.write_events(spark, run, f"{run}/in", 2) == 11  # two changes a row at most
+    log, landed = FX.events_changelog(spark, run), spark.read.parquet(f"{run}/in")
+    assert landed.columns == log.columns and len(landed.inputFiles()) >= 15
+    assert sorted(map(str, landed.collect())) == sorted(map(str, log.collect()))
